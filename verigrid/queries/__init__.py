@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("scalars", "relational", "windows")
+MODULES = ("scalars", "relational", "windows", "mapping", "matching")
 
 
 def _load():
