@@ -19,6 +19,12 @@ def pct(part: Column, whole: Column, digits: int = 4) -> Column:
     return F.round(F.when(whole != 0, 100 * part.cast("double") / whole), digits)
 
 
+def per_unit(total: Column, units: Column, digits: int = 2) -> Column:
+    """Money per unit in exact decimals, rounded half up; NULL for no units."""
+    exact = total.cast("decimal(24,2)") / F.when(units != 0, units).cast("decimal(12,0)")
+    return F.round(exact, digits).cast("double")
+
+
 def concentration(df: DataFrame, partition: Sequence[str], value: str, tie: str) -> DataFrame:
     """Place, running total and cumulative share of members by falling value."""
     ordered = W.partitionBy(*partition).orderBy(F.col(value).desc_nulls_last(), F.col(tie))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("scalars", "relational", "windows", "mapping", "matching")
+MODULES = ("scalars", "relational", "windows", "mapping", "matching", "marts")
 
 
 def _load():
