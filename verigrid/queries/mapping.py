@@ -21,7 +21,7 @@ TOKEN_RULES = [
 TOKEN_SCHEMA = "token string, sector string, is_flagged boolean, version string, approval_status string, is_active boolean"
 
 STATUS_RULES = [
-    ("F", "Completed", "CLOSED", "s3", "APPROVED", True), ("O", "On-Going", "ACTIVE", "s3", "APPROVED", True),
+    ("F", "Completed", "INACTIVE", "s3", "APPROVED", True), ("O", "On-Going", "ACTIVE", "s3", "APPROVED", True),
     ("P", "Pending", "ACTIVE", "s3", "PENDING_REVIEW", True), ("O", "Open", "ACTIVE", "s2", "APPROVED", False),
 ]
 STATUS_SCHEMA = "source_status string, standardized_status string, status_group string, version string, approval_status string, is_active boolean"
