@@ -1,6 +1,546 @@
-from pyspark.sql import DataFrame
+"""Polygons on Spark: parse, assess, point in polygon, overlay areas (GEO01-GEO16, JOIN09, JOIN10).
+
+A polygon is an array of rings; shells turn counter-clockwise and holes clockwise
+after ``parse_polygons``. Large polygons never travel as a whole: ``cut`` turns rings
+into edges and spreads the edges over grid cells, so every later step works on the
+few edges of one cell. The cell size is a tuning knob and never changes a result.
+"""
+
+from __future__ import annotations
+
+import struct
+from collections.abc import Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verigrid.functions.geometry import ring_area, ring_is_closed, rings_bound, segments
+from verigrid.functions.text import unquote_numbers
+from verigrid.operators.scale import attach_group_values
+
+RING = "array<array<double>>"
+POLYGON = f"array<{RING}>"
+MULTI = f"array<{POLYGON}>"
+SALTS = 32
+HOT_CELLS = 256
+
+
+# --- parsing and status -------------------------------------------------------
+
+def _complete(rings: Column) -> Column:
+    """Every vertex has two numbers; a partly parsed array is no geometry."""
+    return F.forall(
+        rings, lambda ring: F.forall(ring, lambda p: (F.size(p) >= 2) & p[0].isNotNull() & p[1].isNotNull())
+    )
+
+
+def orient(ring: Column, counter_clockwise: bool) -> Column:
+    area = ring_area(ring)
+    turned = (area >= 0) if counter_clockwise else (area <= 0)
+    return F.when(turned, ring).otherwise(F.reverse(ring))
+
+
+def _shell_first(rings: Column) -> Column:
+    """GeoJSON order: the first ring is the shell, the others are holes."""
+    return F.transform(
+        rings, lambda ring, i: F.when(i == 0, orient(ring, True)).otherwise(orient(ring, False))
+    )
+
+
+def esri_rings(rings: Column) -> Column:
+    """Esri rings turn the other way: clockwise is a shell, counter-clockwise a hole."""
+    return F.transform(rings, F.reverse)
+
+
+def ring_roles(rings: Column) -> tuple[Column, Column]:
+    """Number of shells and holes of oriented rings, by the sign of their area."""
+    areas = F.transform(rings, lambda ring: ring_area(ring))
+    return F.size(F.filter(areas, lambda a: a > 0)), F.size(F.filter(areas, lambda a: a < 0))
+
+
+def parse_polygons(df: DataFrame, json: str) -> DataFrame:
+    """Add rings, geometry_parse_method and geometry_status.
+
+    GeoJSON as published comes first, then GeoJSON with quoted numbers, then Esri rings.
+    """
+    text = F.when(F.trim(json) != "", F.trim(json))
+    staged = df.withColumn("__text", text).withColumn("__plain", unquote_numbers(F.col("__text")))
+
+    def geojson(column: str) -> Column:
+        kind = F.get_json_object(column, "$.type")
+        coordinates = F.get_json_object(column, "$.coordinates")
+        single = F.from_json(coordinates, POLYGON)
+        several = F.from_json(coordinates, MULTI)
+        return F.when(
+            (kind == "Polygon") & single.isNotNull() & _complete(single), _shell_first(single)
+        ).when(
+            (kind == "MultiPolygon") & several.isNotNull() & F.forall(several, _complete),
+            F.flatten(F.transform(several, _shell_first)),
+        )
+
+    esri = F.from_json(F.get_json_object("__plain", "$.rings"), POLYGON)
+    staged = staged.withColumns(
+        {
+            "__kind": F.get_json_object("__text", "$.type"),
+            "__published": geojson("__text"),
+            "__normalised": geojson("__plain"),
+            "__esri": F.when(esri.isNotNull() & _complete(esri), esri_rings(esri)),
+        }
+    )
+    rings = F.coalesce("__published", "__normalised", "__esri")
+    other_type = F.col("__kind").isNotNull() & ~F.col("__kind").isin("Polygon", "MultiPolygon")
+    return staged.withColumn("rings", rings).withColumns(
+        {
+            "geometry_parse_method": F.when(F.col("__text").isNull(), "NOT_PARSED")
+            .when(F.col("__published").isNotNull(), "GEOJSON_AS_PUBLISHED")
+            .when(F.col("__normalised").isNotNull(), "GEOJSON_QUOTED_NUMBERS_NORMALIZED")
+            .when(F.col("__esri").isNotNull(), "ESRI_JSON_CONVERTED")
+            .otherwise("PARSE_FAILED"),
+            "geometry_status": F.when(F.col("__text").isNull(), "BLANK_GEOMETRY")
+            .when(other_type, "UNSUPPORTED_GEOMETRY_TYPE")
+            .when(F.col("rings").isNull(), "UNPARSEABLE_GEOMETRY")
+            .when((F.size("rings") == 0) | F.exists("rings", lambda r: F.size(r) == 0), "EMPTY_GEOMETRY")
+            .when(~F.forall("rings", lambda r: (F.size(r) >= 4) & ring_is_closed(r)), "INVALID_GEOMETRY")
+            .when(F.exists("rings", lambda r: ring_area(r) == 0), "INVALID_GEOMETRY")
+            .otherwise("USABLE_GEOMETRY"),
+        }
+    ).drop("__text", "__plain", "__kind", "__published", "__normalised", "__esri")
+
+
+def bounding_box(df: DataFrame, rings: str = "rings") -> DataFrame:
+    """Envelope columns of the rings."""
+    return df.withColumns(
+        {
+            "xmin": rings_bound(F.col(rings), 0, False), "xmax": rings_bound(F.col(rings), 0, True),
+            "ymin": rings_bound(F.col(rings), 1, False), "ymax": rings_bound(F.col(rings), 1, True),
+        }
+    )
+
+
+def degree_screen() -> Column:
+    """Whether an envelope can be longitude and latitude in degrees."""
+    inside = (
+        (F.col("xmin") >= -180) & (F.col("xmax") <= 180) & (F.col("ymin") >= -90) & (F.col("ymax") <= 90)
+    )
+    return F.when(F.col("xmin").isNull(), "NO_ENVELOPE").when(inside, "DEGREES").otherwise("NOT_DEGREES")
+
+
+# --- edges and cells ------------------------------------------------------------
+
+def edges(polygons: DataFrame, keys: Sequence[str], transform=None) -> DataFrame:
+    """One row per edge with x1 <= x2; ``w`` is +1 when the edge ran to the right.
+
+    ``transform`` maps (x, y) to projected coordinates, once per vertex pair.
+    """
+    ring = polygons.select(*keys, F.explode("rings").alias("ring"))
+    pairs = ring.select(*keys, F.explode(segments(F.col("ring"))).alias("s")).select(
+        *keys,
+        F.col("s.a")[0].alias("ax"), F.col("s.a")[1].alias("ay"),
+        F.col("s.b")[0].alias("bx"), F.col("s.b")[1].alias("by"),
+    )
+    if transform is not None:
+        ax, ay = transform(F.col("ax"), F.col("ay"))
+        bx, by = transform(F.col("bx"), F.col("by"))
+        pairs = pairs.select(*keys, ax.alias("ax"), ay.alias("ay"), bx.alias("bx"), by.alias("by"))
+    right = F.col("ax") <= F.col("bx")
+    pick = lambda a, b: F.when(right, F.col(a)).otherwise(F.col(b))
+    return pairs.select(
+        *keys,
+        pick("ax", "bx").alias("x1"), pick("ay", "by").alias("y1"),
+        pick("bx", "ax").alias("x2"), pick("by", "ay").alias("y2"),
+        F.when(F.col("ax") < F.col("bx"), 1).when(F.col("ax") > F.col("bx"), -1).otherwise(0).alias("w"),
+    )
+
+
+def cut(edge_rows: DataFrame, keys: Sequence[str], size: float) -> DataFrame:
+    """Spread edges over square cells (ix, iy).
+
+    A cell gets the edges that touch it, and, for every polygon, what lies straight
+    below it: those edges only matter by their direction, so they are summed into at
+    most a few rows per polygon and cell. The polygon covers a point of the cell when the
+    directions below the point do not cancel out. ``xa`` to ``xb`` is the part of the
+    edge inside the strip.
+    """
+    tops = attach_group_values(edge_rows, keys, {"top": F.max(F.greatest("y1", "y2"))})
+    step = F.lit(float(size))
+    strips = tops.withColumn(
+        "ix", F.explode(F.sequence(F.floor(F.col("x1") / step), F.floor(F.col("x2") / step)))
+    ).withColumns(
+        {
+            "xa": F.greatest(F.col("x1"), F.col("ix") * step),
+            "xb": F.least(F.col("x2"), (F.col("ix") + 1) * step),
+        }
+    )
+    slope = F.when(F.col("x2") > F.col("x1"), (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1")))
+    at = lambda x: F.when(F.col(x) == F.col("x1"), F.col("y1")).when(
+        F.col(x) == F.col("x2"), F.col("y2")
+    ).otherwise(F.col("y1") + (F.col(x) - F.col("x1")) * slope)
+    vertical = F.col("x1") == F.col("x2")
+    ya = F.when(vertical, F.col("y1")).otherwise(at("xa"))
+    yb = F.when(vertical, F.col("y2")).otherwise(at("xb"))
+    spans = strips.withColumns({"lo": F.least(ya, yb), "hi": F.greatest(ya, yb)})
+    # a margin far below any coordinate precision keeps rounding from hiding an edge
+    margin = F.lit(1e-9) * (F.abs("hi") + 1)
+    first = F.floor((F.col("lo") - margin) / step)
+    last_own = F.floor((F.col("hi") + margin) / step)
+    last = F.floor(F.col("top") / step)
+    own = spans.withColumn("iy", F.explode(F.sequence(first, last_own))).select(
+        *keys, "ix", "iy", "x1", "y1", "x2", "y2", "xa", "xb", "w", F.lit(False).alias("is_below")
+    )
+    above = (
+        spans.filter((F.col("w") != 0) & (F.col("xa") < F.col("xb")) & (last_own < last))
+        .withColumn("iy", F.explode(F.sequence(last_own + 1, last)))
+        .groupBy(*keys, "ix", "iy", "xa", "xb")
+        .agg(F.sum("w").alias("w"))
+        .filter("w <> 0")
+    )
+    none = F.lit(None).cast("double")
+    above = above.select(
+        *keys, "ix", "iy", *[none.alias(c) for c in ("x1", "y1", "x2", "y2")], "xa", "xb", "w",
+        F.lit(True).alias("is_below"),
+    )
+    return own.unionByName(above)
+
+
+def cell_join(points: DataFrame, pieces: DataFrame, point_id: str) -> DataFrame:
+    """Equi join of points and polygon pieces on the cell, with hot cells salted.
+
+    A cell is hot when it holds more than a 1/256 share of the points, so at most 256
+    cells are hot and their list may be broadcast. Their points are spread over salts
+    and only their pieces are repeated.
+    """
+    per_cell = points.groupBy("ix", "iy").agg(F.count(F.lit(1)).alias("n"))
+    total = per_cell.agg(F.sum("n").alias("total"))
+    hot = (
+        per_cell.crossJoin(F.broadcast(total))
+        .filter(F.col("n") * HOT_CELLS > F.col("total"))
+        .select("ix", "iy", F.lit(True).alias("hot"))
+    )
+    spread = points.join(F.broadcast(hot), ["ix", "iy"], "left").withColumn(
+        "salt", F.when(F.col("hot"), F.pmod(F.xxhash64(point_id), F.lit(SALTS))).otherwise(F.lit(0))
+    )
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = pieces.join(F.broadcast(hot), ["ix", "iy"], "left").withColumn("salt", F.explode(salts))
+    return spread.drop("hot").join(repeated.drop("hot"), ["ix", "iy", "salt"])
+
+
+def points_in_polygons(
+    points: DataFrame, polygons: DataFrame, point_id: str, polygon_keys: Sequence[str], size: float
+) -> DataFrame:
+    """Pairs (point, polygon) where the polygon covers the point; the boundary counts as inside.
+
+    ``points`` has x and y. Per pair the directions of the edges below the point are
+    summed; an odd sum is inside. A point on an edge is inside by an exact test.
+    """
+    step = F.lit(float(size))
+    placed = points.select(
+        point_id, F.col("x").alias("px"), F.col("y").alias("py"),
+        F.floor(F.col("x") / step).alias("ix"), F.floor(F.col("y") / step).alias("iy"),
+    )
+    pieces = cut(edges(polygons, polygon_keys), polygon_keys, size)
+    joined = cell_join(placed, pieces, point_id)
+    px, py = F.col("px"), F.col("py")
+    side = (F.col("x2") - F.col("x1")) * (py - F.col("y1")) - (F.col("y2") - F.col("y1")) * (px - F.col("x1"))
+    in_strip = (F.col("xa") <= px) & (px < F.col("xb"))
+    below = in_strip & (F.col("is_below") | F.coalesce(side > 0, F.lit(False)))
+    on_edge = F.coalesce(
+        (side == 0)
+        & px.between(F.col("x1"), F.col("x2"))
+        & py.between(F.least("y1", "y2"), F.greatest("y1", "y2")),
+        F.lit(False),
+    )
+    pairs = joined.filter(below | on_edge).groupBy(point_id, *polygon_keys).agg(
+        F.sum(F.when(below, F.col("w")).otherwise(0)).alias("turns"), F.bool_or(on_edge).alias("touch")
+    )
+    return pairs.filter((F.col("turns") % 2 != 0) | F.col("touch")).select(point_id, *polygon_keys)
+
+
+# --- overlay areas ---------------------------------------------------------------
+
+AREA_SCHEMA = "grp string, level string, polygon string, kind string, area double, low_turn int, high_turn int"
+
+
+def sweep_cell(x1, y1, x2, y2, w, owner, left, right, bottom, top):
+    """Slabs of one cell: yields (width, gaps, turns) with one column of turns per owner.
+
+    Slabs end at every edge end, at every crossing of two edges and where an edge meets
+    the cell's lower or upper side; inside a slab the order of the edges is fixed, so gap
+    times width is an exact area.
+    """
+    dx, dy = x2 - x1, y2 - y1
+    cuts = [np.array([left, right]), x1, x2]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for level in (bottom, top):
+            hit = x1 + (level - y1) * dx / dy
+            cuts.append(hit[(dy != 0) & (hit > x1) & (hit < x2)])
+        for i in range(len(x1) - 1):
+            cross = dx[i] * dy[i + 1 :] - dy[i] * dx[i + 1 :]
+            shift = (x1[i + 1 :] - x1[i]) * dy[i + 1 :] - (y1[i + 1 :] - y1[i]) * dx[i + 1 :]
+            hit = x1[i] + dx[i] * shift / cross
+            both = (hit > np.maximum(x1[i], x1[i + 1 :])) & (hit < np.minimum(x2[i], x2[i + 1 :]))
+            cuts.append(hit[(cross != 0) & both])
+    xs = np.unique(np.concatenate(cuts))
+    xs = xs[(xs >= left) & (xs <= right)]
+    owners = np.unique(owner)
+    column = np.searchsorted(owners, owner)
+    for xa, xb in zip(xs[:-1], xs[1:]):
+        middle = (xa + xb) / 2
+        active = np.flatnonzero((x1 <= middle) & (x2 > middle))
+        if not len(active):
+            continue
+        y = np.clip(y1[active] + (middle - x1[active]) * dy[active] / dx[active], bottom, top)
+        order = np.argsort(y, kind="stable")
+        rows = active[order]
+        gaps = np.diff(np.append(y[order], top))
+        marks = np.zeros((len(rows), len(owners)), dtype=np.int64)
+        marks[np.arange(len(rows)), column[rows]] = w[rows]
+        yield xb - xa, gaps, marks.cumsum(axis=0)
+
+
+def _cell_areas(key, frame: pd.DataFrame) -> pd.DataFrame:
+    """Fragment, level, union and own areas of one group in one cell."""
+    group, ix, iy, size = key
+    bottom, top = iy * size, (iy + 1) * size
+    flat = frame["is_below"].to_numpy()
+    xa, xb = frame["xa"].to_numpy(float), frame["xb"].to_numpy(float)
+    # edges that lie below enter the cell as parts of its lower side
+    y1 = np.where(flat, bottom, frame["y1"].to_numpy(float))
+    y2 = np.where(flat, bottom, frame["y2"].to_numpy(float))
+    x1 = np.where(flat, xa, frame["x1"].to_numpy(float))
+    x2 = np.where(flat, xb, frame["x2"].to_numpy(float))
+    names = frame["polygon"].fillna("").to_numpy()
+    owners, owner = np.unique(names, return_inverse=True)
+    level_of = dict(zip(names, frame["level"]))
+    levels = np.array([level_of[o] for o in owners], dtype=object)
+    is_clip = owners == ""
+    w = frame["w"].to_numpy(np.int64)
+    area = np.zeros(len(owners))
+    low, high = np.zeros(len(owners), dtype=int), np.zeros(len(owners), dtype=int)
+    by_level = {name: 0.0 for name in set(levels[~is_clip])}
+    union = clip_area = nonzero = 0.0
+    for width, gaps, turns in sweep_cell(
+        x1, y1, x2, y2, w, owner, ix * size, (ix + 1) * size, bottom, top
+    ):
+        here = gaps * width
+        solid = here > 0
+        if solid.any():
+            low, high = np.minimum(low, turns[solid].min(axis=0)), np.maximum(high, turns[solid].max(axis=0))
+        inside = turns % 2 != 0
+        clip = inside[:, is_clip].any(axis=1) if is_clip.any() else np.ones(len(here), dtype=bool)
+        clip_area += here[clip].sum()
+        weighted = np.where(clip, here, 0.0)
+        area += weighted @ inside
+        nonzero += weighted @ (turns[:, ~is_clip] != 0).any(axis=1)
+        for name in by_level:
+            by_level[name] += weighted @ inside[:, (levels == name) & ~is_clip].any(axis=1)
+        union += weighted @ inside[:, ~is_clip].any(axis=1)
+    rows = [
+        (group, levels[i], owners[i], "POLYGON", area[i], low[i], high[i])
+        for i in range(len(owners))
+        if not is_clip[i]
+    ]
+    rows += [(group, name, None, "LEVEL", value, 0, 0) for name, value in by_level.items()]
+    rows += [(group, None, None, "UNION", union, 0, 0), (group, None, None, "NONZERO", nonzero, 0, 0)]
+    if is_clip.any():
+        rows.append((group, None, None, "CLIP", clip_area, 0, 0))
+    return pd.DataFrame(rows, columns=["grp", "level", "polygon", "kind", "area", "low_turn", "high_turn"])
+
+
+def _areas(pieces: DataFrame) -> DataFrame:
+    """Sum the cell areas; ``pieces`` has grp, ix, iy, size, polygon, level and the edge columns."""
+    wide = pieces.filter((F.col("xa") < F.col("xb")) & (F.col("w") != 0))
+    cells = wide.groupBy("grp", "ix", "iy", "size").applyInPandas(_cell_areas, AREA_SCHEMA)
+    return cells.groupBy("grp", "level", "polygon", "kind").agg(
+        F.sum("area").alias("area"), F.min("low_turn").alias("low_turn"), F.max("high_turn").alias("high_turn")
+    )
+
+
+def measure_polygons(polygons: DataFrame, key: str, size: float, transform=None) -> DataFrame:
+    """Even-odd area, non-zero area and turning range of each polygon, cell by cell.
+
+    Oriented rings of a valid polygon turn 0 or 1 time around every point; any other
+    number shows a crossing or an overlap inside the polygon.
+    """
+    rows = edges(polygons, [key], transform)
+    pieces = cut(rows, [key], size).select(
+        "*", F.col(key).cast("string").alias("grp"), F.col(key).cast("string").alias("polygon"),
+        F.lit("-").alias("level"), F.lit(float(size)).alias("size"),
+    )
+    summed = _areas(pieces)
+    kind = F.col("kind")
+    return summed.groupBy(F.col("grp").alias(key)).agg(
+        F.sum(F.when(kind == "UNION", F.col("area"))).alias("even_odd_area"),
+        F.sum(F.when(kind == "NONZERO", F.col("area"))).alias("nonzero_area"),
+        F.min("low_turn").alias("low_turn"), F.max("high_turn").alias("high_turn"),
+    ).withColumn("turns_once", (F.col("low_turn") >= 0) & (F.col("high_turn") <= 1))
+
+
+def accept_repair(area: Column, declared: Column, ratio: float, absolute: float) -> Column:
+    """A repaired area is kept within the larger of a relative and an absolute tolerance."""
+    return F.coalesce(
+        (declared > 0) & (F.abs(area - declared) <= F.greatest(declared * ratio, F.lit(absolute))), F.lit(False)
+    )
+
+
+def overlay_area(
+    polygons: DataFrame, regions: DataFrame, size: float, transform=None, refine_over: int = 2000, refine: int = 8
+) -> DataFrame:
+    """Areas of polygons inside regions, per level and over all levels.
+
+    ``polygons`` has polygon_id, level, rings; ``regions`` has region, rings. Output per
+    region and level: fragment sum, dissolved area, polygon count; per region its own
+    area and the union over levels.
+
+    Equal geometries of one level are swept once and counted by their number, so copies
+    cost nothing. A cell with more than ``refine_over`` edges is cut again into smaller
+    cells; cells are independent, so the sum stays exact.
+    """
+    copies = (
+        polygons.select("polygon_id", "level", "rings", F.xxhash64("level", "rings").alias("mark"))
+        .groupBy("level", "rings", "mark")
+        .agg(F.count(F.lit(1)).alias("copies"), F.min("polygon_id").cast("string").alias("polygon"))
+    )
+    shape_edges = edges(copies.select("polygon", "level", "rings"), ["polygon", "level"], transform)
+    clip_edges = edges(regions.select("region", "rings"), ["region"], transform)
+
+    def spread(cell: float, shape_edges: DataFrame, clip_edges: DataFrame) -> DataFrame:
+        clip = cut(clip_edges, ["region"], cell).select(
+            "*", F.lit(None).cast("string").alias("polygon"), F.lit(None).cast("string").alias("level")
+        )
+        where = clip.select("region", "ix", "iy").distinct()
+        inside = cut(shape_edges, ["polygon", "level"], cell).join(where, ["ix", "iy"])
+        return clip.unionByName(inside).withColumn("size", F.lit(float(cell)))
+
+    base = spread(size, shape_edges, clip_edges)
+    crowded = base.groupBy("region", "ix", "iy").agg(F.count(F.lit(1)).alias("n")).filter(
+        F.col("n") > refine_over
+    ).select("region", "ix", "iy")
+    calm = base.join(crowded, ["region", "ix", "iy"], "left_anti")
+    home = crowded.select("region", F.col("ix").alias("hx"), F.col("iy").alias("hy"))
+    # only what reaches into a crowded cell is cut again
+    involved = base.join(crowded, ["region", "ix", "iy"], "left_semi").select("region", "polygon").distinct()
+    again = shape_edges.join(involved.select("polygon"), "polygon", "left_semi")
+    borders = clip_edges.join(involved.select("region"), "region", "left_semi")
+    fine = spread(size / refine, again, borders).withColumns(
+        {"hx": F.floor(F.col("ix") / refine), "hy": F.floor(F.col("iy") / refine)}
+    )
+    split = fine.join(home, ["region", "hx", "hy"], "left_semi").drop("hx", "hy")
+    summed = _areas(calm.unionByName(split).withColumnRenamed("region", "grp"))
+    counted = summed.join(copies.select("polygon", "copies"), "polygon", "left")
+    kind, area = F.col("kind"), F.col("area")
+    hit = (kind == "POLYGON") & (area > 0)
+    per_level = counted.filter(kind.isin("POLYGON", "LEVEL")).groupBy(F.col("grp").alias("region"), "level").agg(
+        F.sum(F.when(hit, F.col("copies")).otherwise(0)).alias("source_polygon_count"),
+        F.sum(F.when(kind == "POLYGON", area * F.col("copies"))).alias("fragment_area"),
+        F.sum(F.when(kind == "LEVEL", area)).alias("dissolved_area"),
+    )
+    per_region = counted.groupBy(F.col("grp").alias("region")).agg(
+        F.sum(F.when(kind == "UNION", area)).alias("union_area"),
+        F.sum(F.when(kind == "CLIP", area)).alias("region_area"),
+    )
+    return per_level.filter("source_polygon_count > 0").join(per_region, "region", "right")
+
+
+def overlaps(areas: DataFrame, unit: float = 1e6) -> DataFrame:
+    """Overlap within a level and across levels, in square kilometres, unrounded (GEO10)."""
+    measured = areas.select(
+        "region", "level", "source_polygon_count",
+        (F.col("dissolved_area") / unit).alias("susceptible_area"),
+        (F.col("region_area") / unit).alias("region_area"),
+        ((F.col("fragment_area") - F.col("dissolved_area")) / unit).alias("within_level_overlap"),
+        F.col("dissolved_area"), F.col("union_area"),
+    )
+    levels = measured.groupBy("region").agg(
+        ((F.sum("dissolved_area") - F.max("union_area")) / unit).alias("cross_level_overlap")
+    )
+    return measured.drop("dissolved_area", "union_area").join(levels, "region", "left")
+
+
+def exposure_grid(
+    members: DataFrame, levels: DataFrame, measured: DataFrame, tolerance: float = 0.01
+) -> DataFrame:
+    """Complete region x level grid: real zeros in safe regions, NULL elsewhere (GEO11).
+
+    ``members`` has region and boundary_status. Values are rounded once, here, and
+    nothing is clamped; additivity compares the unrounded overlap.
+    """
+    safe = F.col("boundary_status") == "VALID_REGION_BOUNDARY"
+    per_level = measured.filter("level is not null").select(
+        "region", "level", "susceptible_area", "within_level_overlap", "source_polygon_count",
+        F.lit(True).alias("__hit"),
+    )
+    per_region = measured.groupBy("region").agg(
+        F.max("region_area").alias("__own"), F.max("cross_level_overlap").alias("__cross")
+    )
+    grid = members.crossJoin(levels).join(per_level, ["region", "level"], "left").join(per_region, "region", "left")
+    zero = F.lit(0.0)
+    amount = lambda c: F.when(safe, F.round(F.coalesce(F.col(c), zero), 4)).cast("decimal(18,4)")
+    cross = F.coalesce(F.col("__cross"), zero)
+    share = F.when(F.col("__own") != 0, 100 * F.coalesce(F.col("susceptible_area"), zero) / F.col("__own"))
+    hit = F.col("__hit").isNotNull()
+    return grid.select(
+        "region", "level", "boundary_status",
+        F.when(safe, F.round("__own", 4)).cast("decimal(18,4)").alias("region_area_sqkm"),
+        amount("susceptible_area").alias("susceptible_area_sqkm"),
+        F.when(safe, F.round(share, 4)).cast("decimal(7,4)").alias("share_of_region_area_pct"),
+        F.when(safe, F.coalesce("source_polygon_count", F.lit(0))).alias("source_polygon_count"),
+        amount("within_level_overlap").alias("within_level_overlap_sqkm"),
+        amount("__cross").alias("cross_level_overlap_sqkm"),
+        F.when(~safe, "NOT_EVALUATED")
+        .when(cross > tolerance, "NON_ADDITIVE_CROSS_LEVEL_OVERLAP")
+        .otherwise("ADDITIVE_WITHIN_TOLERANCE")
+        .alias("additivity_status"),
+        F.when(~safe, "NO_SAFE_REGION_BOUNDARY").when(hit, "CALCULATED").otherwise("NO_MAPPED_EXPOSURE").alias(
+            "spatial_match_status"
+        ),
+    )
+
+
+# --- boundaries ---------------------------------------------------------------------
+
+def assess_boundaries(
+    members: DataFrame, boundaries: DataFrame, features: DataFrame, membership: DataFrame
+) -> DataFrame:
+    """Whether each region's boundary may be used (GEO12).
+
+    ``members`` has region; ``boundaries`` has region and is_valid per feature;
+    ``features`` has area and region as the boundary set places them; ``membership`` has
+    area and region as they are now. Territory is compared both ways: areas that moved or
+    vanished, and current areas the boundary set lacks.
+    """
+    counted = boundaries.groupBy("region").agg(
+        F.count(F.lit(1)).alias("boundary_feature_count"), F.bool_and("is_valid").alias("__valid")
+    )
+    now = membership.select("area", F.col("region").alias("now"))
+    placed = features.select("area", "region").distinct()
+    left = (
+        placed.join(now, "area", "left")
+        .filter(~F.col("now").eqNullSafe(F.col("region")))
+        .select("region", F.concat("area", F.lit(" now "), F.coalesce("now", F.lit("unlisted"))).alias("detail"))
+    )
+    joined = membership.join(placed.select("area"), "area", "left_anti").select(
+        "region", F.concat("area", F.lit(" missing from boundary")).alias("detail")
+    )
+    moved = left.unionByName(joined).groupBy("region").agg(
+        F.count(F.lit(1)).alias("territory_difference_count"),
+        F.concat_ws("; ", F.sort_array(F.collect_set("detail"))).alias("territory_difference_details"),
+    )
+    rows = members.join(counted, "region", "left").join(moved, "region", "left")
+    count = F.coalesce("boundary_feature_count", F.lit(0))
+    differences = F.coalesce("territory_difference_count", F.lit(0))
+    status = (
+        F.when(count == 0, "NO_SAFE_REGION_BOUNDARY")
+        .when(count > 1, "AMBIGUOUS_REGION_BOUNDARY")
+        .when(~F.coalesce("__valid", F.lit(False)), "INVALID_REGION_GEOMETRY")
+        .when(differences > 0, "BOUNDARY_TERRITORY_MISMATCH")
+        .otherwise("VALID_REGION_BOUNDARY")
+    )
+    return rows.withColumns(
+        {"boundary_feature_count": count, "territory_difference_count": differences, "boundary_status": status}
+    ).drop("__valid")
+
 
 def boundary_status(areas: DataFrame, boundaries: DataFrame) -> DataFrame:
     """One boundary per area with an explicit status (GEO13).
@@ -20,3 +560,46 @@ def boundary_status(areas: DataFrame, boundaries: DataFrame) -> DataFrame:
         .otherwise("VALID_BOUNDARY")
     )
     return joined.withColumns({"boundary_candidate_count": count, "boundary_status": status}).drop("__valid")
+
+
+# --- storage --------------------------------------------------------------------------
+
+def to_wkb(rings: Column) -> Column:
+    """Little-endian WKB polygon of the rings, in Arrow batches."""
+
+    @F.pandas_udf("binary")
+    def encode(column: pd.Series) -> pd.Series:
+        def one(value):
+            if value is None:
+                return None
+            parts = [struct.pack("<BII", 1, 3, len(value))]
+            for ring in value:
+                flat = np.array([list(p) for p in ring], dtype="<f8")
+                parts += [struct.pack("<I", len(flat)), flat.tobytes()]
+            return b"".join(parts)
+
+        return column.map(one)
+
+    return encode(rings)
+
+
+def from_wkb(wkb: Column) -> Column:
+    """Rings of a little-endian WKB polygon."""
+
+    @F.pandas_udf(POLYGON)
+    def decode(column: pd.Series) -> pd.Series:
+        def one(value):
+            if value is None:
+                return None
+            _, _, count = struct.unpack_from("<BII", value, 0)
+            offset, rings = 9, []
+            for _ in range(count):
+                (size,) = struct.unpack_from("<I", value, offset)
+                flat = np.frombuffer(value, dtype="<f8", count=2 * size, offset=offset + 4)
+                rings.append(flat.reshape(size, 2).tolist())
+                offset += 4 + 16 * size
+            return rings
+
+        return column.map(one)
+
+    return decode(wkb)
