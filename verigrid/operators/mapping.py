@@ -40,12 +40,9 @@ def active_mapping(config: DataFrame, version: str, keys: Sequence[str]) -> Data
 
     The check is part of the plan, so the gate runs with the query that uses the mapping.
     """
-    state = mapping_state(config, version, keys).select("mapping_state")
-    message = F.concat(F.lit("mapping cannot act: "), F.col("mapping_state"))
-    passed = state.filter(F.assert_true(F.col("mapping_state") == "OK", message).isNull())
-    return (
-        config.filter(may_act()).crossJoin(F.broadcast(passed)).drop("mapping_state")
-    )
+    state = mapping_state(config, version, keys).select("mapping_state").scalar()
+    message = F.concat(F.lit("mapping cannot act: "), state)
+    return config.filter(may_act()).filter(F.assert_true(state == "OK", message).isNull())
 
 
 def apply_mapping(df: DataFrame, mapping: DataFrame, on: Mapping[str, str], take: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verigrid.functions.text import match_key, standardize, strip_footnote, strip_stars
-from verigrid.operators.scale import attach_group_values, carry_forward, lookup
+from verigrid.operators.scale import attach_group_values, carry_forward, lookup, with_context
 
 
 # --- places -----------------------------------------------------------------
@@ -578,7 +578,7 @@ def evidence_profile(rows: DataFrame, money: str) -> DataFrame:
     )
     total = grouped.agg(F.sum("projects").alias("__n"), F.sum("money").alias("__m"))
     pct = lambda part, whole: F.round(100.0 * F.col(part).cast("double") / F.col(whole).cast("double"), 2)
-    return grouped.crossJoin(F.broadcast(total)).select(
+    return grouped.transform(with_context, total).select(
         "evidence_group", "projects", "projects_with_money", "money",
         pct("projects", "__n").alias("project_pct"), pct("money", "__m").alias("money_pct"),
     )

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from verigrid.operators.scale import with_context
 
 
 def _status(lowest: Column, highest: Column, missing: str, resolved: Column | str) -> Column:
@@ -110,7 +111,7 @@ def accounting(df: DataFrame, buckets: Mapping[str, Column], audited: DataFrame)
         *[F.count_if(cond).alias(name) for name, cond in buckets.items()],
     )
     total = sum((F.col(name) for name in buckets), F.lit(0))
-    return counts.crossJoin(F.broadcast(audited)).withColumn(
+    return counts.transform(with_context, audited).withColumn(
         "is_reconciled",
         (F.col("total_rows") == total) & (F.col("total_rows") == F.col("audited_rows")),
     )

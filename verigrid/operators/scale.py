@@ -47,10 +47,20 @@ def attach_group_values(
     return lookup(df, per_key, keys, "inner")
 
 
+def with_context(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row frame to every row, as a scalar subquery.
+
+    The row is computed once and reaches the tasks as a literal; nothing is joined. A
+    frame with more than one row stops the job.
+    """
+    row = one_row.select(F.struct("*")).scalar()
+    return df.withColumns({name: row[name] for name in one_row.columns})
+
+
 def attach_total(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
-    """The values of ``agg() OVER ()``: a one-row aggregate, broadcast to every row."""
+    """The values of ``agg() OVER ()`` from a one-row aggregate."""
     total = df.agg(*[expr.alias(name) for name, expr in values.items()])
-    return df.crossJoin(F.broadcast(total))
+    return df.transform(with_context, total)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[Column]) -> DataFrame:
@@ -97,6 +107,12 @@ def identical_row_ordinals(df: DataFrame, ordinal: str, rows_per_task: int = 1_0
     return spread.withColumn(ordinal, F.explode(F.sequence(first, last))).drop("__n", "__chunk")
 
 
+def _earlier_blocks(partition: Sequence[str]):
+    """The blocks of a partition before the current one; a window over block summaries only."""
+    parts = [F.col("__block")[name] for name in partition]
+    return W.partitionBy(*parts).orderBy(F.col("__block")["b"]).rowsBetween(W.unboundedPreceding, -1)
+
+
 def running_values(
     df: DataFrame,
     partition: Sequence[str],
@@ -112,14 +128,15 @@ def running_values(
     partition is therefore spread over as many tasks as it has blocks. ``strict``
     leaves the current row out.
     """
-    blocked = df.withColumn("__block", block)
-    keys = [*partition, "__block"]
-    block_sums = blocked.groupBy(*keys).agg(
+    # one struct key: NULL parts compare equal, and the window and the join share its shuffle
+    blocked = df.withColumn("__block", F.struct(*partition, block.alias("b")))
+    keys = ["__block"]
+    block_sums = blocked.groupBy("__block").agg(
         *[F.sum(expr).alias(f"__s_{name}") for name, expr in sums.items()]
     )
-    before = W.partitionBy(*partition).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
+    before = _earlier_blocks(partition)
     opening = block_sums.select(
-        *keys, *[F.sum(f"__s_{name}").over(before).alias(f"__o_{name}") for name in sums]
+        "__block", *[F.sum(f"__s_{name}").over(before).alias(f"__o_{name}") for name in sums]
     )
     inside = W.partitionBy(*keys).orderBy(*order).rowsBetween(
         W.unboundedPreceding, -1 if strict else 0
@@ -127,7 +144,7 @@ def running_values(
     scanned = blocked.withColumns(
         {f"__i_{name}": F.sum(expr).over(inside) for name, expr in sums.items()}
     )
-    joined = lookup(scanned, opening, keys, "inner")
+    joined = scanned.join(opening, "__block")
     out = {
         name: F.when(
             F.col(f"__i_{name}").isNotNull() | F.col(f"__o_{name}").isNotNull(),
@@ -154,11 +171,12 @@ def carry_forward(
     NULL, so it replaces what was carried before. ``order`` is a row number that is
     unique per partition, so a block of ``block_rows`` numbers bounds one task.
     """
-    blocked = df.withColumn("__block", F.floor(F.col(order) / block_rows)).withColumns(
+    block = F.floor(F.col(order) / block_rows).alias("b")
+    blocked = df.withColumn("__block", F.struct(*partition, block)).withColumns(
         {f"__v_{name}": expr for name, expr in values.items()}
     )
-    keys = [*partition, "__block"]
-    closing = blocked.groupBy(*keys).agg(
+    keys = ["__block"]
+    closing = blocked.groupBy("__block").agg(
         *[
             F.max_by(f"__v_{name}", F.when(F.col(f"__v_{name}").isNotNull(), F.col(order))).alias(
                 f"__c_{name}"
@@ -166,9 +184,9 @@ def carry_forward(
             for name in values
         ]
     )
-    before = W.partitionBy(*partition).orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
+    before = _earlier_blocks(partition)
     opening = closing.select(
-        *keys,
+        "__block",
         *[F.last(f"__c_{name}", ignorenulls=True).over(before).alias(f"__o_{name}") for name in values],
     )
     inside = W.partitionBy(*keys).orderBy(order).rowsBetween(
@@ -177,7 +195,7 @@ def carry_forward(
     scanned = blocked.withColumns(
         {f"__l_{name}": F.last(f"__v_{name}", ignorenulls=True).over(inside) for name in values}
     )
-    joined = lookup(scanned, opening, keys, "inner")
+    joined = scanned.join(opening, "__block")
     return joined.withColumns(
         {name: F.coalesce(f"__l_{name}", f"__o_{name}") for name in values}
     ).drop("__block", *[f"{p}{n}" for n in values for p in ("__v_", "__l_", "__o_")])

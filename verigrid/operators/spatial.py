@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from verigrid.functions.geometry import ring_area, ring_is_closed, rings_bound, segments
 from verigrid.functions.text import unquote_numbers
-from verigrid.operators.scale import attach_group_values
+from verigrid.operators.scale import with_context
+from verigrid.sinks.stage import materialize
 
 RING = "array<array<double>>"
 POLYGON = f"array<{RING}>"
@@ -132,22 +133,28 @@ def degree_screen() -> Column:
 def edges(polygons: DataFrame, keys: Sequence[str], transform=None) -> DataFrame:
     """One row per edge with x1 <= x2; ``w`` is +1 when the edge ran to the right.
 
-    ``transform`` maps (x, y) to projected coordinates, once per vertex pair.
+    ``transform`` maps (x, y) to projected coordinates, once per vertex pair; it must be
+    separable and keep the order of y. ``top`` is the polygon's largest y.
     """
-    ring = polygons.select(*keys, F.explode("rings").alias("ring"))
-    pairs = ring.select(*keys, F.explode(segments(F.col("ring"))).alias("s")).select(
-        *keys,
+    ring = polygons.select(
+        *keys, rings_bound(F.col("rings"), 1, True).alias("top"), F.explode("rings").alias("ring")
+    )
+    pairs = ring.select(*keys, "top", F.explode(segments(F.col("ring"))).alias("s")).select(
+        *keys, "top",
         F.col("s.a")[0].alias("ax"), F.col("s.a")[1].alias("ay"),
         F.col("s.b")[0].alias("bx"), F.col("s.b")[1].alias("by"),
     )
     if transform is not None:
         ax, ay = transform(F.col("ax"), F.col("ay"))
         bx, by = transform(F.col("bx"), F.col("by"))
-        pairs = pairs.select(*keys, ax.alias("ax"), ay.alias("ay"), bx.alias("bx"), by.alias("by"))
+        _, top = transform(F.lit(0.0), F.col("top"))
+        pairs = pairs.select(
+            *keys, top.alias("top"), ax.alias("ax"), ay.alias("ay"), bx.alias("bx"), by.alias("by")
+        )
     right = F.col("ax") <= F.col("bx")
     pick = lambda a, b: F.when(right, F.col(a)).otherwise(F.col(b))
     return pairs.select(
-        *keys,
+        *keys, "top",
         pick("ax", "bx").alias("x1"), pick("ay", "by").alias("y1"),
         pick("bx", "ax").alias("x2"), pick("by", "ay").alias("y2"),
         F.when(F.col("ax") < F.col("bx"), 1).when(F.col("ax") > F.col("bx"), -1).otherwise(0).alias("w"),
@@ -163,9 +170,8 @@ def cut(edge_rows: DataFrame, keys: Sequence[str], size: float) -> DataFrame:
     directions below the point do not cancel out. ``xa`` to ``xb`` is the part of the
     edge inside the strip.
     """
-    tops = attach_group_values(edge_rows, keys, {"top": F.max(F.greatest("y1", "y2"))})
     step = F.lit(float(size))
-    strips = tops.withColumn(
+    strips = edge_rows.withColumn(
         "ix", F.explode(F.sequence(F.floor(F.col("x1") / step), F.floor(F.col("x2") / step)))
     ).withColumns(
         {
@@ -185,7 +191,7 @@ def cut(edge_rows: DataFrame, keys: Sequence[str], size: float) -> DataFrame:
     margin = F.lit(1e-9) * (F.abs("hi") + 1)
     first = F.floor((F.col("lo") - margin) / step)
     last_own = F.floor((F.col("hi") + margin) / step)
-    last = F.floor(F.col("top") / step)
+    last = F.floor((F.col("top") + F.lit(1e-9) * (F.abs("top") + 1)) / step)
     own = spans.withColumn("iy", F.explode(F.sequence(first, last_own))).select(
         *keys, "ix", "iy", "x1", "y1", "x2", "y2", "xa", "xb", "w", F.lit(False).alias("is_below")
     )
@@ -214,7 +220,7 @@ def cell_join(points: DataFrame, pieces: DataFrame, point_id: str) -> DataFrame:
     per_cell = points.groupBy("ix", "iy").agg(F.count(F.lit(1)).alias("n"))
     total = per_cell.agg(F.sum("n").alias("total"))
     hot = (
-        per_cell.crossJoin(F.broadcast(total))
+        per_cell.transform(with_context, total)
         .filter(F.col("n") * HOT_CELLS > F.col("total"))
         .select("ix", "iy", F.lit(True).alias("hot"))
     )
@@ -239,7 +245,8 @@ def points_in_polygons(
         point_id, F.col("x").alias("px"), F.col("y").alias("py"),
         F.floor(F.col("x") / step).alias("ix"), F.floor(F.col("y") / step).alias("iy"),
     )
-    pieces = cut(edges(polygons, polygon_keys), polygon_keys, size)
+    rows = materialize(edges(polygons, polygon_keys), "edges")
+    pieces = cut(rows, polygon_keys, size)
     joined = cell_join(placed, pieces, point_id)
     px, py = F.col("px"), F.col("py")
     side = (F.col("x2") - F.col("x1")) * (py - F.col("y1")) - (F.col("y2") - F.col("y1")) * (px - F.col("x1"))
@@ -363,9 +370,9 @@ def measure_polygons(polygons: DataFrame, key: str, size: float, transform=None)
     Oriented rings of a valid polygon turn 0 or 1 time around every point; any other
     number shows a crossing or an overlap inside the polygon.
     """
-    rows = edges(polygons, [key], transform)
+    rows = materialize(edges(polygons, [key], transform), "edges")
     pieces = cut(rows, [key], size).select(
-        "*", F.col(key).cast("string").alias("grp"), F.col(key).cast("string").alias("polygon"),
+        "ix", "iy", "x1", "y1", "x2", "y2", "xa", "xb", "w", "is_below", F.col(key).cast("string").alias("grp"), F.col(key).cast("string").alias("polygon"),
         F.lit("-").alias("level"), F.lit(float(size)).alias("size"),
     )
     summed = _areas(pieces)
@@ -377,6 +384,19 @@ def measure_polygons(polygons: DataFrame, key: str, size: float, transform=None)
     ).withColumn("turns_once", (F.col("low_turn") >= 0) & (F.col("high_turn") <= 1))
 
 
+def union_area(polygons: DataFrame, group: str, polygon_id: str, size: float, transform=None) -> DataFrame:
+    """Dissolved area of all polygons of a group: a spatial union aggregate, cell by cell."""
+    rows = materialize(edges(polygons, [group, polygon_id], transform), "edges")
+    pieces = cut(rows, [group, polygon_id], size).select(
+        "ix", "iy", "x1", "y1", "x2", "y2", "xa", "xb", "w", "is_below",
+        F.col(group).cast("string").alias("grp"), F.col(polygon_id).cast("string").alias("polygon"),
+        F.lit("-").alias("level"), F.lit(float(size)).alias("size"),
+    )
+    return _areas(pieces).filter("kind = 'UNION'").groupBy(F.col("grp").alias(group)).agg(
+        F.sum("area").alias("union_area")
+    )
+
+
 def accept_repair(area: Column, declared: Column, ratio: float, absolute: float) -> Column:
     """A repaired area is kept within the larger of a relative and an absolute tolerance."""
     return F.coalesce(
@@ -402,8 +422,11 @@ def overlay_area(
         .groupBy("level", "rings", "mark")
         .agg(F.count(F.lit(1)).alias("copies"), F.min("polygon_id").cast("string").alias("polygon"))
     )
-    shape_edges = edges(copies.select("polygon", "level", "rings"), ["polygon", "level"], transform)
-    clip_edges = edges(regions.select("region", "rings"), ["region"], transform)
+    copies = materialize(copies, "shapes")
+    shape_edges = materialize(
+        edges(copies.select("polygon", "level", "rings"), ["polygon", "level"], transform), "shape-edges"
+    )
+    clip_edges = materialize(edges(regions.select("region", "rings"), ["region"], transform), "clip-edges")
 
     def spread(cell: float, shape_edges: DataFrame, clip_edges: DataFrame) -> DataFrame:
         clip = cut(clip_edges, ["region"], cell).select(
@@ -413,21 +436,22 @@ def overlay_area(
         inside = cut(shape_edges, ["polygon", "level"], cell).join(where, ["ix", "iy"])
         return clip.unionByName(inside).withColumn("size", F.lit(float(cell)))
 
-    base = spread(size, shape_edges, clip_edges)
-    crowded = base.groupBy("region", "ix", "iy").agg(F.count(F.lit(1)).alias("n")).filter(
+    pieces = materialize(spread(size, shape_edges, clip_edges), "pieces")
+    crowded = pieces.groupBy("region", "ix", "iy").agg(F.count(F.lit(1)).alias("n")).filter(
         F.col("n") > refine_over
     ).select("region", "ix", "iy")
-    calm = base.join(crowded, ["region", "ix", "iy"], "left_anti")
-    home = crowded.select("region", F.col("ix").alias("hx"), F.col("iy").alias("hy"))
-    # only what reaches into a crowded cell is cut again
-    involved = base.join(crowded, ["region", "ix", "iy"], "left_semi").select("region", "polygon").distinct()
-    again = shape_edges.join(involved.select("polygon"), "polygon", "left_semi")
-    borders = clip_edges.join(involved.select("region"), "region", "left_semi")
-    fine = spread(size / refine, again, borders).withColumns(
-        {"hx": F.floor(F.col("ix") / refine), "hy": F.floor(F.col("iy") / refine)}
-    )
-    split = fine.join(home, ["region", "hx", "hy"], "left_semi").drop("hx", "hy")
-    summed = _areas(calm.unionByName(split).withColumnRenamed("region", "grp"))
+    if not crowded.isEmpty():
+        home = crowded.select("region", F.col("ix").alias("hx"), F.col("iy").alias("hy"))
+        # only what reaches into a crowded cell is cut again
+        involved = pieces.join(crowded, ["region", "ix", "iy"], "left_semi").select("region", "polygon").distinct()
+        again = shape_edges.join(involved.select("polygon"), "polygon", "left_semi")
+        borders = clip_edges.join(involved.select("region"), "region", "left_semi")
+        fine = spread(size / refine, again, borders).withColumns(
+            {"hx": F.floor(F.col("ix") / refine), "hy": F.floor(F.col("iy") / refine)}
+        )
+        split = fine.join(home, ["region", "hx", "hy"], "left_semi").drop("hx", "hy")
+        pieces = pieces.join(crowded, ["region", "ix", "iy"], "left_anti").unionByName(split)
+    summed = materialize(_areas(pieces.withColumnRenamed("region", "grp")), "areas")
     counted = summed.join(copies.select("polygon", "copies"), "polygon", "left")
     kind, area = F.col("kind"), F.col("area")
     hit = (kind == "POLYGON") & (area > 0)

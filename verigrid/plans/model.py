@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from verigrid.functions.dates import date_key, spans_more_than, zero_progress
 from verigrid.functions.identity import surrogate_key
-from verigrid.operators.scale import latest_per_key
+from verigrid.operators.scale import latest_per_key, with_context
 
 
 def with_unknown(df: DataFrame, key: str, defaults: Mapping[str, str]) -> DataFrame:
@@ -102,7 +102,7 @@ def snapshot_fact(
     The natural column has the same name on both sides; a row outside the condition, or
     without a member, gets key 0. ``snapshot_date`` is one row with snapshot_date.
     """
-    fact = projects.crossJoin(F.broadcast(snapshot_date))
+    fact = projects.transform(with_context, snapshot_date)
     for fact_key, (dim, dim_key, natural, condition) in dims.items():
         members = dim.filter(F.col(dim_key) != 0).select(
             F.col(natural).alias("__natural"), F.col(dim_key).alias("__key")
@@ -133,7 +133,7 @@ def fact_checks(fact: DataFrame, source: DataFrame, keys: Sequence[str], money:
         F.sum(money).alias("fact_money"),
     )
     given = source.agg(F.count(F.lit(1)).alias("source_rows"), F.sum(money).alias("source_money"))
-    return made.crossJoin(F.broadcast(given)).withColumn(
+    return made.transform(with_context, given).withColumn(
         "is_reconciled",
         (F.col("fact_rows") == F.col("source_rows"))
         & (F.col("null_keys") == 0)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verigrid.operators.resolve import fingerprint
-from verigrid.operators.scale import latest_batch, latest_per_key
+from verigrid.operators.scale import latest_batch, latest_per_key, with_context
 
 STOP, FLAG = "stop", "flag"
 TERMINAL = ("SUCCESS", "SKIPPED_IDEMPOTENT")
@@ -257,7 +257,7 @@ def end_to_end(required: DataFrame, evidence: DataFrame, log: DataFrame) -> Data
             F.collect_set("table_name").alias("covered"),
         )
     )
-    judged = counted.crossJoin(F.broadcast(newest_load)).withColumns(
+    judged = counted.transform(with_context, newest_load).withColumns(
         {
             "missing": F.array_sort(F.array_except("expected_tables", "covered")),
             "is_current": F.coalesce(F.col("evidence_run_ts") >= F.col("newest_load"), F.lit(False)),
@@ -300,7 +300,7 @@ def cross_layer(layers: Mapping[str, DataFrame], money: str, snapshot: str) -> D
             F.count(F.lit(1)).alias(f"{name}_rows"), F.sum(money).alias(f"{name}_money"),
             F.min(snapshot).alias(f"{name}_lo"), F.max(snapshot).alias(f"{name}_hi"),
         )
-        one_row = part if one_row is None else one_row.crossJoin(F.broadcast(part))
+        one_row = part if one_row is None else one_row.transform(with_context, part)
     base = names[0]
     rows = []
     for name in names[1:]:

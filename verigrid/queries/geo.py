@@ -156,7 +156,8 @@ def geo03(t):
 
 def repaired(t):
     """Final status: a usable text whose rings turn more than once is invalid until its measured area is accepted."""
-    parsed = spatial.parse_polygons(shapes(t), "geometry_json")
+    # the parse is written once; measuring reads it several times
+    parsed = materialize(spatial.parse_polygons(shapes(t), "geometry_json"), "parsed")
     usable = parsed.filter("geometry_status = 'USABLE_GEOMETRY'")
     measured = spatial.measure_polygons(usable, "s_suppkey", 4.0).withColumn("s_suppkey", F.col("s_suppkey").cast("bigint"))
     joined = parsed.join(measured, "s_suppkey", "left")
@@ -253,6 +254,15 @@ def geo10(t):
     )
 
 
+@query("agg13", f"WITH {BOX_SQL}, u AS (SELECT level, unnest(generate_series(bx0, bx1 - 1)) AS ux, by0, by1 FROM boxes), c AS (SELECT DISTINCT level, ux, unnest(generate_series(by0, by1 - 1)) AS uy FROM u) SELECT level, CAST(COUNT(*) AS DOUBLE) AS union_area FROM c GROUP BY 1")
+def agg13(t):
+    """Area of the union of all polygons per level, without any clip."""
+    groups = supplier_boxes(t).withColumnRenamed("level", "grp")
+    return spatial.union_area(groups, "grp", "s_suppkey", 10.0).select(
+        F.col("grp").alias("level"), F.round("union_area", 6).alias("union_area")
+    )
+
+
 LEVELS = [("Low",), ("Moderate",), ("High",), ("Very High",)]
 GRID_SQL = f"""{OVERLAY_SQL}, lv(level) AS (VALUES ('Low'), ('Moderate'), ('High'), ('Very High')), mem AS (SELECT r_name AS region, r_name <> 'EUROPE' AS safe FROM region),
     grid AS (SELECT mem.region, lv.level, safe, a, d, f, n, (SELECT MAX(cross_overlap) FROM meas y WHERE y.region = mem.region) AS cx FROM mem CROSS JOIN lv LEFT JOIN (SELECT DISTINCT region, a FROM meas) o ON o.region = mem.region LEFT JOIN (SELECT region, level, d, f, n FROM meas WHERE level IS NOT NULL) m ON m.region = mem.region AND m.level = lv.level)"""
@@ -322,14 +332,13 @@ def geo14(t):
 
 @query("geo15", "SELECT n_nationkey, CASE WHEN n_nationkey >= 20 THEN CAST(2 AS BIGINT) ELSE CAST(1 AS BIGINT) END AS ring_count, CAST(4326 AS BIGINT) AS srid, TRUE AS same_after_rebuild FROM nation")
 def geo15(t):
-    """Rings to WKB, through Spark's own geometry type with its SRID, and back to rings."""
-    stored = nation_polygons(t).withColumn("wkb", spatial.to_wkb(F.col("rings")))
-    typed = stored.withColumn("srid", F.expr("st_srid(st_setsrid(st_geomfromwkb(wkb), 4326))")).withColumn(
-        "wkb", F.expr("st_asbinary(st_geomfromwkb(wkb))")
+    """Rings stored as WKB beside their SRID, and back to rings."""
+    stored = nation_polygons(t).select(
+        "n_nationkey", "rings", spatial.to_wkb(F.col("rings")).alias("wkb"), F.lit(4326).cast("bigint").alias("srid")
     )
-    back = typed.withColumn("back", spatial.from_wkb(F.col("wkb")))
+    back = stored.withColumn("back", spatial.from_wkb(F.col("wkb")))
     return back.select(
-        "n_nationkey", F.size("back").cast("bigint").alias("ring_count"), F.col("srid").cast("bigint").alias("srid"),
+        "n_nationkey", F.size("back").cast("bigint").alias("ring_count"), "srid",
         (F.col("back") == F.col("rings")).alias("same_after_rebuild"),
     )
 

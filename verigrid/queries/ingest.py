@@ -13,6 +13,7 @@ from verigrid.session import work_dir
 from verigrid.sinks import publish as sink
 from verigrid.sinks import upsert
 from verigrid.sources import contracts, dump_rows, snapshot
+from verigrid.operators.scale import with_context
 
 EVENTS = contracts.SourceContract(
     "events_csv", "events", {"id": ["event_id", "id"], "kind": ["EVENT_TYPE"], "details": ["props", "payload"]}, version="2024-01"
@@ -65,7 +66,7 @@ def src06(t):
     a = snapshot.snapshot_identity(scan, EVENTS).select(F.col("snapshot_id").alias("a"), "file_count")
     b = snapshot.snapshot_identity(scan, EVENTS).select(F.col("snapshot_id").alias("b"))
     c = snapshot.snapshot_identity(scan, other).select(F.col("snapshot_id").alias("c"))
-    return a.crossJoin(b).crossJoin(c).select(
+    return a.transform(with_context, b).transform(with_context, c).select(
         (F.col("a") == F.col("b")).alias("same_on_rerun"), (F.col("a") != F.col("c")).alias("differs_by_version"),
         (F.col("file_count") > 0).alias("has_files"),
     )
@@ -90,7 +91,7 @@ def src07(t):
         F.max("_ingested_at").cast("date").cast("string").alias("ingested_on"),
         F.max(F.lit(len(stamped)).cast("bigint")).alias("lineage_columns"),
     )
-    return counted.crossJoin(F.broadcast(state.select("identity_is_single", "identity_nulls")))
+    return counted.transform(with_context, state.select("identity_is_single", "identity_nulls"))
 
 
 @query(
@@ -287,4 +288,4 @@ def snk08(t):
         "o_orderkey", "o_orderpriority", F.year("o_orderdate").cast("bigint").alias("version"), (F.col("o_orderstatus") != "P").alias("is_active")
     )
     newest = rows.agg(F.max("version").alias("newest"))
-    return upsert.retire_older_versions(rows.crossJoin(F.broadcast(newest)), "version", F.col("newest")).drop("newest")
+    return upsert.retire_older_versions(rows.transform(with_context, newest), "version", F.col("newest")).drop("newest")

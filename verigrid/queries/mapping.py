@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from verigrid.functions import text
 from verigrid.operators import mapping, resolve
 from verigrid.queries.registry import query
+from verigrid.operators.scale import with_context
 
 # token, sector, flag, version, approval, active
 TOKEN_RULES = [
@@ -102,7 +103,7 @@ def map01(t):
     )
     acting = acting_statuses(t).select("source_status", "standardized_status", "version")
     state = mapping.mapping_state(status_rules(t), "version", ["source_status"]).select("mapping_state")
-    return counts.join(acting, "source_status", "left").crossJoin(F.broadcast(state))
+    return counts.join(acting, "source_status", "left").transform(with_context, state)
 
 
 @query(

@@ -14,6 +14,7 @@ from verigrid.queries import star
 from verigrid.queries.mapping import PART_TOKENS_SQL, RULES_SQL, acting_statuses, acting_tokens, part_tokens
 from verigrid.queries.registry import query
 from verigrid.queries.star import PROJECTS_SQL as W, d2
+from verigrid.operators.scale import with_context
 
 PLACES_SQL = """
     codes AS (SELECT concat(lpad(CAST(r_regionkey + 1 AS VARCHAR), 2, '0'), '00000000') AS code, r_name AS name, 'REGION' AS place_type FROM region WHERE r_name <> 'EUROPE'
@@ -218,7 +219,7 @@ def dim01(t):
 
 def calendar(t):
     last = t.lineitem.agg(F.max("l_shipdate").cast("date").alias("hi"))
-    bounds = t.orders.agg(F.min("o_orderdate").cast("date").alias("lo")).crossJoin(F.broadcast(last))
+    bounds = t.orders.agg(F.min("o_orderdate").cast("date").alias("lo")).transform(with_context, last)
     return model.calendar(t.spark, F.col("lo"), F.col("hi"), bounds)
 
 
@@ -416,7 +417,7 @@ def fct06(t):
         F.count_if(F.col("zero_progress_flag").isNull()).alias("unresolved_progress"),
     )
     checked = model.fact_checks(fact, star.projects(t), ["region_key", "status_key"], "budget")
-    return counts.crossJoin(F.broadcast(checked.select("is_reconciled")))
+    return counts.transform(with_context, checked.select("is_reconciled"))
 
 
 @query(

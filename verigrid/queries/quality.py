@@ -19,6 +19,7 @@ from verigrid.queries.model import AREAS_SQL, COMPONENT_SQL
 from verigrid.queries.registry import query
 from verigrid.queries.star import PROJECTS_SQL as W
 from verigrid.session import work_dir
+from verigrid.operators.scale import with_context
 
 
 def check_rows(table: str, source: str, specs, total: str = "COUNT(*)") -> str:
@@ -242,7 +243,7 @@ def dq07(t):
                 consistent("a missing budget stays NULL", F.col("budget").isNull() == (status == "MISSING")),
                 Check("Validity", "progress is inside range", F.count_if(F.col("progress_quality_status") == "OUT_OF_RANGE"), "flag"),
             ]),
-            checks(entity.crossJoin(F.broadcast(lines)), "project", [
+            checks(entity.transform(with_context, lines), "project", [
                 Check("Accuracy", "budget agrees inside a project", F.count_if(F.col("budget_resolution_status") == "CONFLICT"), "flag"),
                 Check("Consistency", "components of all projects add up", F.when(F.sum("component_count") == F.max("lines"), 0).otherwise(1)),
             ]),
@@ -266,7 +267,7 @@ def dq08(t):
     found = matching.exact_match(t.supplier, t.customer, key("s_nationkey", "s_acctbal"), key("c_nationkey", "c_acctbal"), "c_custkey")
     total = t.supplier.agg(F.count(F.lit(1)).alias("suppliers"))
     return shown(
-        checks(found.crossJoin(F.broadcast(total)), "source_match", [
+        checks(found.transform(with_context, total), "source_match", [
             Check("Completeness", "every source row is in one key", F.abs(F.sum("source_rows") - F.max("suppliers"))),
             Check("Accuracy", "no target is reached by an ambiguous key", F.count_if(F.col("match_status") == "AMBIGUOUS_TARGET"), "flag"),
             consistent("only unique targets publish an id", (F.col("target_candidate_count") == 1) == F.col("matched_id").isNotNull()),
@@ -417,7 +418,7 @@ def dq18(t):
 def dq19(t):
     """The second layer is complete, the third lost its largest orders."""
     snap = t.orders.agg(F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("snapshot"))
-    bronze = t.orders.select(F.col("o_totalprice").cast("decimal(18,2)").alias("money"), "o_custkey").crossJoin(F.broadcast(snap))
+    bronze = t.orders.select(F.col("o_totalprice").cast("decimal(18,2)").alias("money"), "o_custkey").transform(with_context, snap)
     silver = bronze.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("money", "snapshot")
     return quality.cross_layer(
         {"bronze": bronze, "silver": silver, "gold": silver.filter("money <= 499000")}, "money", "snapshot"
@@ -444,8 +445,8 @@ def dq21(t):
     newest = quality.acceptance(saved).select("table_name", "check_name", "status", "action")
     marks = [quality.identity_fingerprint(f, ["o_orderkey", "status"]).withColumnRenamed("fingerprint", n).select(n)
              for f, n in ((evidence(t), "a"), (evidence(t).repartition("table_name"), "b"))]
-    same = marks[0].crossJoin(F.broadcast(marks[1])).select((F.col("a") == F.col("b")).alias("same_fingerprint"))
-    return newest.crossJoin(F.broadcast(same))
+    same = marks[0].transform(with_context, marks[1]).select((F.col("a") == F.col("b")).alias("same_fingerprint"))
+    return newest.transform(with_context, same)
 
 
 @query(

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from verigrid.plans import marts
+from verigrid.operators.scale import with_context
 
 CLASSES = {"Low": 1, "Moderate": 2, "High": 3, "Very High": 4}
 OTHER_CLASSES = ["AMBIGUOUS", "OUTSIDE_MAPPED_ZONES", "NO_USABLE_POINT", "INVALID_SOURCE"]
@@ -127,7 +128,7 @@ def snapshot(t):
 def facts(t):
     from verigrid.functions.dates import spans_more_than, zero_progress
 
-    dated = projects(t).crossJoin(F.broadcast(snapshot(t)))
+    dated = projects(t).transform(with_context, snapshot(t))
     return dated.withColumns(
         {
             "point_class": marts.point_class(),

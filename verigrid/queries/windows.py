@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from verigrid.operators import scale
 from verigrid.operators.windows import pct
 from verigrid.queries.registry import query
+from verigrid.operators.scale import with_context
 
 
 def money(name):
@@ -89,7 +90,7 @@ def win06(t):
     per_order = t.lineitem.groupBy("l_orderkey", "l_returnflag").agg(F.sum(money("l_quantity")).alias("q"))
     shared = scale.attach_group_values(per_order, ["l_returnflag"], {"flag_total": F.sum("q")})
     total = t.lineitem.agg(F.sum(money("l_quantity")).alias("total"))
-    shared = shared.crossJoin(F.broadcast(total))
+    shared = shared.transform(with_context, total)
     return shared.select(
         "l_orderkey", "l_returnflag",
         pct(F.col("q"), F.col("flag_total")).alias("share_of_flag_pct"),

@@ -54,16 +54,11 @@ def snapshot_upsert(
 
     The job stops when the stored table already holds a newer snapshot.
     """
-    newest = target.agg(F.max(snapshot_day).alias("__stored")).crossJoin(
-        source.agg(F.max(snapshot_day).alias("__given"))
-    )
-    message = "the source holds an older snapshot than the stored table"
-    allowed = newest.filter(
-        F.assert_true(
-            F.coalesce(F.col("__given") >= F.col("__stored"), F.lit(True)), F.lit(message)
-        ).isNull()
-    ).select(F.lit(True).alias("__allowed"))
-    both = _both_sides(target, source, keys).crossJoin(F.broadcast(allowed))
+    stored = target.agg(F.max(snapshot_day)).scalar()
+    given = source.agg(F.max(snapshot_day)).scalar()
+    message = F.lit("the source holds an older snapshot than the stored table")
+    newer = F.coalesce(given >= stored, F.lit(True))
+    both = _both_sides(target, source, keys).filter(F.assert_true(newer, message).isNull())
     has_source = F.col("s").isNotNull()
     columns = [
         F.when(has_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)

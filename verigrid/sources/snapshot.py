@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from verigrid.plans.quality import Check, checks
 from verigrid.sources.contracts import SourceContract
+from verigrid.operators.scale import with_context
 
 COMPLETED = ("SUCCESS", "SKIPPED_IDEMPOTENT")
 
@@ -92,7 +93,7 @@ def stamp_lineage(df: DataFrame, contract: SourceContract, identity: DataFrame,
         F.col("snapshot_id").alias("_source_snapshot_id"), F.col("size_bytes").alias("_source_file_size_bytes"),
         F.col("modified_at").alias("_source_modified_at"),
     )
-    stamped = df.crossJoin(F.broadcast(one))
+    stamped = df.transform(with_context, one)
     return stamped.withColumns(
         {
             "_source_system": F.lit(contract.system), "_source_name": F.lit(contract.name),
@@ -111,7 +112,7 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 def reconcile_rows(written: DataFrame, parsed_rows: int, lines: DataFrame, table: str) -> DataFrame:
     """File records, parsed rows and written rows must be the same number, the header must occur once."""
-    counts = written.agg(F.count(F.lit(1)).alias("written_rows")).crossJoin(F.broadcast(lines))
+    counts = written.agg(F.count(F.lit(1)).alias("written_rows")).transform(with_context, lines)
     records = F.max("lines") - F.max("header_lines")
     wrong = lambda ok: F.when(ok, 0).otherwise(1)
     return checks(
