@@ -306,7 +306,7 @@ def sweep_cell(x1, y1, x2, y2, w, owner, left, right, bottom, top):
         yield xb - xa, gaps, marks.cumsum(axis=0)
 
 
-def _cell_areas(key, frame: pd.DataFrame) -> pd.DataFrame:
+def _cell_areas(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     """Fragment, level, union and own areas of one group in one cell."""
     group, ix, iy, size = key
     bottom, top = iy * size, (iy + 1) * size
