@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("scalars", "relational", "windows", "mapping", "matching", "marts", "model", "quality", "ingest", "geo")
+MODULES = ("scalars", "relational", "windows", "mapping", "matching", "marts", "model", "quality", "ingest", "geo", "facets")
 
 
 def _load():
