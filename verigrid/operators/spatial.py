@@ -355,6 +355,61 @@ def _cell_areas(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["grp", "level", "polygon", "kind", "area", "low_turn", "high_turn"])
 
 
+def _by_cells(spread, size: float, limit: int, factor: int = 8, rounds: int = 3) -> DataFrame:
+    """Pieces per group and cell, with crowded cells cut again into smaller ones.
+
+    ``spread(cell, involved)`` cuts edges into cells of one size, only those of the given
+    (grp, polygon) pairs when there are any. Cells are independent, so cutting some of
+    them finer leaves every sum as it is. ``factor`` is a power of two, so the small cells
+    tile the large one exactly. A cell is crowded by the edges that touch it, not by what
+    lies below. Cutting stops when no cell holds more than ``limit`` edges, and for cells
+    where it no longer helps: edges that lie on each other stay together at any size.
+    """
+    cell = ["grp", "ix", "iy"]
+    unknown = F.lit(None).cast("bigint")
+    current = materialize(spread(size, None).withColumn("held", unknown), "pieces")
+    done = None
+    for _ in range(rounds):
+        counted = current.groupBy(*cell).agg(
+            F.count_if(~F.col("is_below")).alias("n"), F.max("held").alias("before")
+        )
+        helps = F.col("before").isNull() | (F.col("n") * 2 <= F.col("before"))
+        crowded = counted.filter((F.col("n") > limit) & helps).select(*cell, "n")
+        if crowded.isEmpty():
+            break
+        calm = current.join(crowded, cell, "left_anti").select(*current.columns)
+        done = calm if done is None else done.unionByName(calm)
+        # only what reaches into a crowded cell is cut again
+        involved = current.join(crowded, cell, "left_semi").select("grp", "polygon").distinct()
+        size = size / factor
+        home = crowded.select(
+            "grp", F.col("ix").alias("hx"), F.col("iy").alias("hy"), F.col("n").alias("held")
+        )
+        fine = spread(size, involved).withColumns(
+            {"hx": F.floor(F.col("ix") / factor), "hy": F.floor(F.col("iy") / factor)}
+        )
+        inside = fine.join(home, ["grp", "hx", "hy"])
+        current = materialize(inside.select(*current.columns), "pieces")
+    return current if done is None else done.unionByName(current)
+
+
+def _own_cells(rows: DataFrame, group: Column, polygon: Column, keys: Sequence[str], size: float, limit: int) -> DataFrame:
+    """Cells of polygons that are measured without a clip region."""
+    named = rows.withColumns({"grp": group.cast("string"), "polygon": polygon.cast("string")}).drop(
+        *[k for k in keys if k not in ("grp", "polygon")]
+    )
+    # the row keeps its own copy, so both branches of a refinement read the same edges
+    named = materialize(named, "edges")
+
+    def spread(cell: float, involved) -> DataFrame:
+        chosen = named if involved is None else named.join(involved, ["grp", "polygon"], "left_semi")
+        return cut(chosen, ["grp", "polygon"], cell).withColumns(
+            {"level": F.lit("-"), "size": F.lit(float(cell))}
+        )
+
+    return _by_cells(spread, size, limit)
+
+
 def _areas(pieces: DataFrame) -> DataFrame:
     """Sum the cell areas; ``pieces`` has grp, ix, iy, size, polygon, level and the edge columns."""
     wide = pieces.filter((F.col("xa") < F.col("xb")) & (F.col("w") != 0))
@@ -364,17 +419,13 @@ def _areas(pieces: DataFrame) -> DataFrame:
     )
 
 
-def measure_polygons(polygons: DataFrame, key: str, size: float, transform=None) -> DataFrame:
+def measure_polygons(polygons: DataFrame, key: str, size: float, transform=None, limit: int = 2000) -> DataFrame:
     """Even-odd area, non-zero area and turning range of each polygon, cell by cell.
 
     Oriented rings of a valid polygon turn 0 or 1 time around every point; any other
     number shows a crossing or an overlap inside the polygon.
     """
-    rows = materialize(edges(polygons, [key], transform), "edges")
-    pieces = cut(rows, [key], size).select(
-        "ix", "iy", "x1", "y1", "x2", "y2", "xa", "xb", "w", "is_below", F.col(key).cast("string").alias("grp"), F.col(key).cast("string").alias("polygon"),
-        F.lit("-").alias("level"), F.lit(float(size)).alias("size"),
-    )
+    pieces = _own_cells(edges(polygons, [key], transform), F.col(key), F.col(key), [key], size, limit)
     summed = _areas(pieces)
     kind = F.col("kind")
     return summed.groupBy(F.col("grp").alias(key)).agg(
@@ -384,14 +435,12 @@ def measure_polygons(polygons: DataFrame, key: str, size: float, transform=None)
     ).withColumn("turns_once", (F.col("low_turn") >= 0) & (F.col("high_turn") <= 1))
 
 
-def union_area(polygons: DataFrame, group: str, polygon_id: str, size: float, transform=None) -> DataFrame:
+def union_area(
+    polygons: DataFrame, group: str, polygon_id: str, size: float, transform=None, limit: int = 2000
+) -> DataFrame:
     """Dissolved area of all polygons of a group: a spatial union aggregate, cell by cell."""
-    rows = materialize(edges(polygons, [group, polygon_id], transform), "edges")
-    pieces = cut(rows, [group, polygon_id], size).select(
-        "ix", "iy", "x1", "y1", "x2", "y2", "xa", "xb", "w", "is_below",
-        F.col(group).cast("string").alias("grp"), F.col(polygon_id).cast("string").alias("polygon"),
-        F.lit("-").alias("level"), F.lit(float(size)).alias("size"),
-    )
+    rows = edges(polygons, [group, polygon_id], transform)
+    pieces = _own_cells(rows, F.col(group), F.col(polygon_id), [group, polygon_id], size, limit)
     return _areas(pieces).filter("kind = 'UNION'").groupBy(F.col("grp").alias(group)).agg(
         F.sum("area").alias("union_area")
     )
@@ -405,7 +454,7 @@ def accept_repair(area: Column, declared: Column, ratio: float, absolute: float)
 
 
 def overlay_area(
-    polygons: DataFrame, regions: DataFrame, size: float, transform=None, refine_over: int = 2000, refine: int = 8
+    polygons: DataFrame, regions: DataFrame, size: float, transform=None, refine_over: int = 2000
 ) -> DataFrame:
     """Areas of polygons inside regions, per level and over all levels.
 
@@ -426,32 +475,22 @@ def overlay_area(
     shape_edges = materialize(
         edges(copies.select("polygon", "level", "rings"), ["polygon", "level"], transform), "shape-edges"
     )
-    clip_edges = materialize(edges(regions.select("region", "rings"), ["region"], transform), "clip-edges")
+    clip_edges = materialize(
+        edges(regions.select(F.col("region").alias("grp"), "rings"), ["grp"], transform), "clip-edges"
+    )
 
-    def spread(cell: float, shape_edges: DataFrame, clip_edges: DataFrame) -> DataFrame:
-        clip = cut(clip_edges, ["region"], cell).select(
-            "*", F.lit(None).cast("string").alias("polygon"), F.lit(None).cast("string").alias("level")
-        )
-        where = clip.select("region", "ix", "iy").distinct()
-        inside = cut(shape_edges, ["polygon", "level"], cell).join(where, ["ix", "iy"])
+    def spread(cell: float, involved) -> DataFrame:
+        shapes_now, clips_now = shape_edges, clip_edges
+        if involved is not None:
+            shapes_now = shape_edges.join(involved.select("polygon").distinct(), "polygon", "left_semi")
+            clips_now = clip_edges.join(involved.select("grp").distinct(), "grp", "left_semi")
+        none = F.lit(None).cast("string")
+        clip = cut(clips_now, ["grp"], cell).withColumns({"polygon": none, "level": none})
+        where = clip.select("grp", "ix", "iy").distinct()
+        inside = cut(shapes_now, ["polygon", "level"], cell).join(where, ["ix", "iy"])
         return clip.unionByName(inside).withColumn("size", F.lit(float(cell)))
 
-    pieces = materialize(spread(size, shape_edges, clip_edges), "pieces")
-    crowded = pieces.groupBy("region", "ix", "iy").agg(F.count(F.lit(1)).alias("n")).filter(
-        F.col("n") > refine_over
-    ).select("region", "ix", "iy")
-    if not crowded.isEmpty():
-        home = crowded.select("region", F.col("ix").alias("hx"), F.col("iy").alias("hy"))
-        # only what reaches into a crowded cell is cut again
-        involved = pieces.join(crowded, ["region", "ix", "iy"], "left_semi").select("region", "polygon").distinct()
-        again = shape_edges.join(involved.select("polygon"), "polygon", "left_semi")
-        borders = clip_edges.join(involved.select("region"), "region", "left_semi")
-        fine = spread(size / refine, again, borders).withColumns(
-            {"hx": F.floor(F.col("ix") / refine), "hy": F.floor(F.col("iy") / refine)}
-        )
-        split = fine.join(home, ["region", "hx", "hy"], "left_semi").drop("hx", "hy")
-        pieces = pieces.join(crowded, ["region", "ix", "iy"], "left_anti").unionByName(split)
-    summed = materialize(_areas(pieces.withColumnRenamed("region", "grp")), "areas")
+    summed = materialize(_areas(_by_cells(spread, size, refine_over)), "areas")
     counted = summed.join(copies.select("polygon", "copies"), "polygon", "left")
     kind, area = F.col("kind"), F.col("area")
     hit = (kind == "POLYGON") & (area > 0)

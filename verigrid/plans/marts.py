@@ -191,8 +191,9 @@ def class_alignment(
 ) -> DataFrame:
     """Region x point class grid with counts and money per flag, and exposure area.
 
-    ``regions`` has region_key, region_name, coverage. Counts are 0 where the region
-    has data and NULL where it has none; money is never turned into 0.
+    ``regions`` has region_key, region_name, is_limited; coverage follows from the same
+    totals. Counts are 0 where the region has data and NULL where it has none; money is
+    never turned into 0.
     """
     totals = facts.filter("region_key <> 0").groupBy("region_key", "point_class").agg(
         F.count(F.lit(1)).alias("project_count"),
@@ -201,6 +202,10 @@ def class_alignment(
         *[F.sum(F.when(cond, F.col("budget"))).alias(f"{name}_budget") for name, cond in flags.items()],
     )
     counts = ["project_count", *[f"{name}_count" for name in flags]]
+    mapped = totals.groupBy("region_key").agg(F.sum("project_count").alias("__mapped"))
+    regions = regions.join(mapped, "region_key", "left").withColumn(
+        "coverage", coverage_status(F.col("__mapped"), F.col("is_limited"))
+    ).drop("__mapped", "is_limited")
     per_region = exposure.groupBy("region_key").agg(exposure_status().alias("exposure_area_status"))
     grid = lookup(regions.crossJoin(classes), totals, ["region_key", "point_class"], "left")
     grid = grid.join(

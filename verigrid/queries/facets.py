@@ -163,12 +163,12 @@ def snk09(t):
     return upsert.evolve(t.orders.select("o_orderkey"), wanted, ["area_key", "area_status"])
 
 
-@query("snk10", "SELECT n_regionkey, CAST(COUNT(*) AS BIGINT) AS nations FROM nation GROUP BY 1")
+@query("snk10", "SELECT c_nationkey, CAST(COUNT(*) AS BIGINT) AS customers FROM customer GROUP BY 1")
 def snk10(t):
-    counts = t.nation.groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("nations"))
-    comments = {"n_regionkey": "Region of the nations.", "nations": "Number of nations."}
-    sink.publish_views({"nations_by_region": (counts, comments)}, retired=["old_nations_by_region"])
-    return t.spark.table("nations_by_region")
+    counts = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"))
+    comments = {"c_nationkey": "Nation of the customers.", "customers": "Number of customers."}
+    sink.publish_views({"customers_by_nation": (counts, comments)}, retired=["old_customers_by_nation"])
+    return t.spark.table("customers_by_nation")
 
 
 @query("snk11", f"WITH {RULES_SQL} SELECT source_status, version, (SELECT CAST(COUNT(*) AS BIGINT) FROM orders WHERE o_orderstatus = source_status) AS orders FROM status_rules")

@@ -321,24 +321,21 @@ def geo13(t):
     return spatial.boundary_status(areas, features)
 
 
-@query(
-    "geo14",
-    f"WITH {COVER_SQL} SELECT n_nationkey, ROUND(SUM((x1 + x2) * (x1 * y2 - x2 * y1)) / (3 * SUM(x1 * y2 - x2 * y1)), 6) AS centroid_x, ROUND(SUM((y1 + y2) * (x1 * y2 - x2 * y1)) / (3 * SUM(x1 * y2 - x2 * y1)), 6) AS centroid_y FROM edge GROUP BY 1",
-)
+@query("geo14", f"WITH {BOX_SQL} SELECT s_suppkey, (bx0 + bx1) / 2 AS centroid_x, (by0 + by1) / 2 AS centroid_y FROM boxes")
 def geo14(t):
     x, y = geometry.centroid(F.col("rings"))
-    return nation_polygons(t).select("n_nationkey", F.round(x, 6).alias("centroid_x"), F.round(y, 6).alias("centroid_y"))
+    return supplier_boxes(t).select("s_suppkey", F.round(x, 9).alias("centroid_x"), F.round(y, 9).alias("centroid_y"))
 
 
-@query("geo15", "SELECT n_nationkey, CASE WHEN n_nationkey >= 20 THEN CAST(2 AS BIGINT) ELSE CAST(1 AS BIGINT) END AS ring_count, CAST(4326 AS BIGINT) AS srid, TRUE AS same_after_rebuild FROM nation")
+@query("geo15", "SELECT s_suppkey, CAST(1 AS BIGINT) AS ring_count, CAST(4326 AS BIGINT) AS srid, TRUE AS same_after_rebuild FROM supplier")
 def geo15(t):
     """Rings stored as WKB beside their SRID, and back to rings."""
-    stored = nation_polygons(t).select(
-        "n_nationkey", "rings", spatial.to_wkb(F.col("rings")).alias("wkb"), F.lit(4326).cast("bigint").alias("srid")
+    stored = supplier_boxes(t).select(
+        "s_suppkey", "rings", spatial.to_wkb(F.col("rings")).alias("wkb"), F.lit(4326).cast("bigint").alias("srid")
     )
     back = stored.withColumn("back", spatial.from_wkb(F.col("wkb")))
     return back.select(
-        "n_nationkey", F.size("back").cast("bigint").alias("ring_count"), "srid",
+        "s_suppkey", F.size("back").cast("bigint").alias("ring_count"), "srid",
         (F.col("back") == F.col("rings")).alias("same_after_rebuild"),
     )
 

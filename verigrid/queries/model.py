@@ -233,12 +233,16 @@ def region_dim(t):
 
 @query(
     "dim02",
-    """SELECT concat('R', CAST(r_regionkey + 1 AS VARCHAR)) AS region_code, r_name AS region_name, FALSE AS is_unknown, TRUE AS has_unique_key FROM region UNION ALL SELECT NULL, 'Unknown', TRUE, TRUE""",
+    """SELECT concat('R', CAST(r_regionkey + 1 AS VARCHAR)) AS region_code, r_name AS region_name, FALSE AS is_unknown, TRUE AS has_unique_key, (SELECT CAST(COUNT(*) AS BIGINT) FROM customer JOIN nation ON n_nationkey = c_nationkey WHERE n_regionkey = r_regionkey) AS customers FROM region UNION ALL SELECT NULL, 'Unknown', TRUE, TRUE, 0""",
 )
 def dim02(t):
     counted = scale.attach_group_values(region_dim(t), ["region_key"], {"n": F.count(F.lit(1))})
-    return counted.select(
-        "region_code", "region_name", (F.col("region_key") == 0).alias("is_unknown"), (F.col("n") == 1).alias("has_unique_key")
+    people = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(
+        F.concat(F.lit("R"), (F.col("n_regionkey") + 1).cast("string")).alias("region_code")
+    ).agg(F.count(F.lit(1)).alias("customers"))
+    return counted.join(people, "region_code", "left").select(
+        "region_code", "region_name", (F.col("region_key") == 0).alias("is_unknown"), (F.col("n") == 1).alias("has_unique_key"),
+        F.coalesce("customers", F.lit(0)).alias("customers"),
     )
 
 

@@ -85,7 +85,8 @@ def join08(t):
     "join11",
     """
     WITH places AS (SELECT concat('1', lpad(CAST(r_regionkey AS VARCHAR), 2, '0'), '000') AS code, r_name AS name FROM region WHERE r_name <> 'EUROPE'
-        UNION ALL SELECT concat('1', lpad(CAST(n_regionkey AS VARCHAR), 2, '0'), lpad(CAST(n_nationkey + 1 AS VARCHAR), 3, '0')), n_name FROM nation)
+        UNION ALL SELECT concat('1', lpad(CAST(n_regionkey AS VARCHAR), 2, '0'), lpad(CAST(n_nationkey + 1 AS VARCHAR), 3, '0')), n_name FROM nation
+        UNION ALL SELECT concat('1', lpad(CAST(n_regionkey AS VARCHAR), 2, '0'), lpad(CAST(100 + c_custkey % 800 AS VARCHAR), 3, '0')), c_name FROM customer JOIN nation ON n_nationkey = c_nationkey)
     SELECT p.code, p.name, a.code AS parent_code, a.name AS parent_name FROM places p
     LEFT JOIN places a ON a.code = concat(substr(p.code, 1, 3), '000') AND a.code <> p.code""",
 )
@@ -101,7 +102,14 @@ def join11(t):
         ).alias("code"),
         F.col("n_name").alias("name"),
     )
-    places = regions.unionByName(nations)
+    leaves = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.concat(
+            F.lit("1"), F.lpad(F.col("n_regionkey").cast("string"), 2, "0"),
+            F.lpad((100 + F.col("c_custkey") % 800).cast("string"), 3, "0"),
+        ).alias("code"),
+        F.col("c_name").alias("name"),
+    )
+    places = regions.unionByName(nations).unionByName(leaves)
     parents = places.select(F.col("code").alias("parent_code"), F.col("name").alias("parent_name"))
     wanted = typing.parent_code(F.col("code"), 3, 6)
     return places.join(

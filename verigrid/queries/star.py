@@ -220,13 +220,9 @@ def area_members(t):
 
 
 def region_members(t):
-    by_region = facts(t).filter("region_key <> 0").groupBy("region_key").agg(F.count(F.lit(1)).alias("n"))
-    regions = members(t).filter("level = 'REGION'").select(
+    return members(t).filter("level = 'REGION'").select(
         F.col("member_key").alias("region_key"), F.col("member_name").alias("region_name"), "is_limited"
     )
-    return regions.join(by_region, "region_key", "left").select(
-        "region_key", "region_name", marts.coverage_status(F.col("n"), F.col("is_limited")).alias("coverage")
-    )
 
 
 def classes(t):
