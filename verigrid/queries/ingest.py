@@ -61,11 +61,11 @@ def src02(t):
 
 @query("src06", "SELECT TRUE AS same_on_rerun, TRUE AS differs_by_version, TRUE AS has_files FROM (SELECT COUNT(*) FROM events)")
 def src06(t):
-    scan = snapshot.scan_csv(t.spark, csv_file(t), NAMES, EVENTS)
+    path = csv_file(t)
     other = contracts.SourceContract(EVENTS.name, EVENTS.table, EVENTS.groups, version="2024-02")
-    a = snapshot.snapshot_identity(scan, EVENTS).select(F.col("snapshot_id").alias("a"), "file_count")
-    b = snapshot.snapshot_identity(scan, EVENTS).select(F.col("snapshot_id").alias("b"))
-    c = snapshot.snapshot_identity(scan, other).select(F.col("snapshot_id").alias("c"))
+    a = snapshot.snapshot_identity(t.spark, path, EVENTS).select(F.col("snapshot_id").alias("a"), "file_count")
+    b = snapshot.snapshot_identity(t.spark, path, EVENTS).select(F.col("snapshot_id").alias("b"))
+    c = snapshot.snapshot_identity(t.spark, path, other).select(F.col("snapshot_id").alias("c"))
     return a.transform(with_context, b).transform(with_context, c).select(
         (F.col("a") == F.col("b")).alias("same_on_rerun"), (F.col("a") != F.col("c")).alias("differs_by_version"),
         (F.col("file_count") > 0).alias("has_files"),
@@ -73,8 +73,9 @@ def src06(t):
 
 
 def landed(t):
-    scan = snapshot.scan_csv(t.spark, csv_file(t), NAMES, EVENTS)
-    return snapshot.stamp_lineage(scan, EVENTS, snapshot.snapshot_identity(scan, EVENTS), "run-1", "2024-02-01 00:00:00")
+    path = csv_file(t)
+    scan = snapshot.scan_csv(t.spark, path, NAMES, EVENTS)
+    return snapshot.stamp_lineage(scan, EVENTS, snapshot.snapshot_identity(t.spark, path, EVENTS), "run-1", "2024-02-01 00:00:00")
 
 
 @query(

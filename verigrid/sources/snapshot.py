@@ -58,20 +58,18 @@ def header_lines(spark: SparkSession, path: str, names: Sequence[str], line_sep:
     )
 
 
-def snapshot_identity(df: DataFrame, contract: SourceContract) -> DataFrame:
-    """One row naming the snapshot from file facts only; file contents are never hashed.
+def snapshot_identity(spark: SparkSession, path: str, contract: SourceContract) -> DataFrame:
+    """One row naming the snapshot from file facts only; no file is opened.
 
-    ``df`` is a file scan, so its hidden file metadata is available. The fingerprint of
-    the file set does not depend on file order.
+    The listing columns of the binary source are read without its content column. The
+    fingerprint of the file set does not depend on file order.
     """
-    files = df.select(
-        "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"
-    ).distinct()
+    files = spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
     facts = files.agg(
-        F.min("file_path").alias("source_path"),
-        F.count(F.lit(1)).alias("file_count"), F.sum("file_size").alias("size_bytes"),
-        F.max("file_modification_time").alias("modified_at"),
-        F.bit_xor(F.xxhash64("file_path", "file_size", F.unix_micros("file_modification_time"))).alias("files_mark"),
+        F.min("path").alias("source_path"),
+        F.count(F.lit(1)).alias("file_count"), F.sum("length").alias("size_bytes"),
+        F.max("modificationTime").alias("modified_at"),
+        F.bit_xor(F.xxhash64("path", "length", F.unix_micros("modificationTime"))).alias("files_mark"),
     )
     identity = F.sha2(
         F.concat_ws(
@@ -176,7 +174,7 @@ def load_snapshot(
     """
     require_header(contract, names)
     scan = scan_csv(spark, path, names, contract)
-    stamped = stamp_lineage(scan, contract, snapshot_identity(scan, contract), run_id, ingested_at)
+    stamped = stamp_lineage(scan, contract, snapshot_identity(spark, path, contract), run_id, ingested_at)
     counted, watch = observed(stamped, f"load {contract.name}")
     counted.write.parquet(out)
     lines = header_lines(spark, path, names, contract.line_sep)
