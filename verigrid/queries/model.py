@@ -136,23 +136,22 @@ def mat14(t):
     )
 
 
-def components(t):
-    """Every line as a typed component: raw kept, status beside it, one key per source row."""
-    raw = t.lineitem.select(
+def raw_components(t):
+    return t.lineitem.select(
         F.col("l_orderkey").cast("string").alias("contract_id"),
         F.when(F.col("l_returnflag") != "N", F.col("l_extendedprice").cast("decimal(18,2)").cast("string")).alias("budget_raw"),
         F.when(F.col("l_linestatus") == "O", F.concat(F.lit(" "), F.col("l_quantity").cast("int").cast("string"))).otherwise("").alias("progress_raw"),
         F.col("l_partkey").cast("string").alias("part_raw"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("start_raw"),
     )
-    columns = raw.columns
-    numbered = scale.identical_row_ordinals(raw, "source_row_ordinal")
+
+
+def typed_components(raw):
+    """Typed values and their statuses beside the raw texts."""
     budget, budget_status = typing.typed(F.col("budget_raw"), "decimal(18,2)", 0, below="NEGATIVE")
     progress, progress_status = typing.typed(F.col("progress_raw"), "double", 0, 40)
-    keyed = numbered.withColumn("source_row_hash", identity.row_hash(columns))
-    return keyed.withColumns(
+    return raw.withColumns(
         {
-            "component_key": identity.run_id("COMPONENT", "snap-1", F.col("source_row_hash"), F.col("source_row_ordinal")),
             "budget": budget, "budget_quality_status": budget_status,
             "progress": progress, "progress_quality_status": progress_status,
             "start_date": F.col("start_raw").try_cast("date"),
@@ -160,6 +159,15 @@ def components(t):
     )
 
 
+def components(t):
+    """Every line as a component with one key per source row; equal rows are numbered."""
+    raw = raw_components(t)
+    numbered = scale.identical_row_ordinals(raw, "source_row_ordinal")
+    keyed = numbered.withColumn("source_row_hash", identity.row_hash(raw.columns))
+    key = identity.run_id("COMPONENT", "snap-1", F.col("source_row_hash"), F.col("source_row_ordinal"))
+    return typed_components(keyed.withColumn("component_key", key))
+
+
 COMPONENT_SQL = """
     raw AS (SELECT CAST(l_orderkey AS VARCHAR) AS contract_id, CASE WHEN l_returnflag <> 'N' THEN CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) END AS budget_raw, CASE WHEN l_linestatus = 'O' THEN concat(' ', CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)) ELSE '' END AS progress_raw,
         CAST(l_partkey AS VARCHAR) AS part_raw, strftime(l_shipdate, '%Y-%m-%d') AS start_raw FROM lineitem),
@@ -187,8 +195,9 @@ def mat16(t):
 )
 def mat17(t):
     invalid = "MISSING_OR_INVALID"
+    # consolidation needs the rows, not their keys
     entity = resolve.resolve_attributes(
-        components(t), ["contract_id"],
+        typed_components(raw_components(t)), ["contract_id"],
         {
             "part": typing.blank_to_null(F.col("part_raw")), "start_date": F.col("start_date"),
             "progress": F.col("progress"),

@@ -232,7 +232,7 @@ def dq06(t):
 def dq07(t):
     from verigrid.operators.resolve import resolve_attributes
 
-    parts = model_queries.components(t)
+    parts = model_queries.typed_components(model_queries.raw_components(t))
     entity = resolve_attributes(parts, ["contract_id"], {}, money={"budget": F.col("budget")})
     lines = t.lineitem.agg(F.count(F.lit(1)).alias("lines"))
     status = F.col("budget_quality_status")
