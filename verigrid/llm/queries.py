@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verigrid.llm import mixing, packing, quality, token_files, url_filter
+from verigrid.llm import ann, licenses, mixing, packing, quality, secrets, token_files, url_filter
 from verigrid.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@register
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @register
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = url_filter.judge_urls(table(spark, sf_dir, "pages"))
@@ -65,6 +70,15 @@ def _op5_sql() -> str:
 SQL["op5_url_filter"] = _op5_sql()
 
 
+@register
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("bigint")
+    base = F.filter("spans", lambda x: x["kind"] < secrets.KINDS.index("random"))
+    counts = [count(i).alias(f"n_{kind}") for i, kind in enumerate(secrets.KINDS[:3])]
+    return found.select("doc_id", *counts, F.sha2(secrets.told(base), 256).alias("base_sha256"), secrets.told(F.col("spans")).alias("spans"))
+
+
 @register
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -80,6 +94,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", crc, "doc_tokens", "sequence_id", "offset")
 
 
+@register
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 @register
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
