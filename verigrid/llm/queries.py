@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verigrid.llm import ann, licenses, mixing, packing, quality, secrets, token_files, url_filter
+from verigrid.llm import ann, jaccard, licenses, mixing, packing, quality, secrets, token_files, url_filter
 from verigrid.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+@register
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 @register
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = url_filter.judge_urls(table(spark, sf_dir, "pages"))
