@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verigrid.llm import ann, jaccard, licenses, mixing, packing, quality, secrets, token_files, url_filter
+from verigrid.llm import ann, jaccard, licenses, mixing, packing, quality, secrets, suffix_dedup, token_files, url_filter
 from verigrid.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@register
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @register
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
