@@ -1,14 +1,13 @@
 """N-gram Jaccard join: documents linked by similar shingle sets, with set relations used to skip work.
 
 * Equal sets are one class; only a class's smallest document goes on.
-* Index lists are built over set prefixes in one global order of shingles, frequent ones last. A
-  posting holds the position in its set and the set's size, and only postings at positions that can
-  still lead to enough overlap are made: 1/4 of a set, and 1/7 where it is the smaller set of a pair.
+* Index lists are built over set prefixes (a quarter of a set) in one global order of shingles,
+  frequent ones last. A posting holds the position in its set and the set's size.
 * A list's first set is its leader. Sets are verified against leaders first; what is similar to a
   leader joins its component. The other lists' answers then follow from that: members of one
   component are skipped as a block, so a large group of near copies costs a star, not all pairs.
 * What is left, pairs of different components, is cut by size and by position (shared prefix
-  shingles plus what lies behind the last shared one) and verified on the whole sets.
+  shingles plus what can lie behind the prefixes or the last shared one) and verified on whole sets.
 
 Components are exact up to collisions of 64-bit shingle hashes inside a pair of sets.
 """
@@ -69,9 +68,9 @@ def least_overlap(a: Column, b: Column, percent: int) -> Column:
     return F.ceil(F.lit(percent) * (a + b) / F.lit(100.0 + percent)).cast("int")
 
 
-def prefix_lengths(n: int, percent: int) -> tuple[int, int]:
-    """Positions that matter as the larger and as the smaller set of a pair."""
-    return n - -(-percent * n // 100) + 1, n - -(-2 * percent * n // (100 + percent)) + 1
+def prefix_length(n: int, percent: int) -> int:
+    """Positions of which any similar pair shares at least one shingle."""
+    return n - -(-percent * n // 100) + 1
 
 
 def sets_and_counts(docs: DataFrame, width: int, block: int) -> DataFrame:
@@ -125,7 +124,7 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) ->
                 if not tokens.size or key in seen:
                     continue
                 seen.add(key)
-                length = prefix_lengths(tokens.size, percent)[0]
+                length = prefix_length(tokens.size, percent)
                 if frequent.size:
                     at = np.minimum(np.searchsorted(frequent, tokens), frequent.size - 1)
                     often = frequent[at] == tokens
@@ -193,7 +192,7 @@ def id_filter(ids: DataFrame, name: str, bits: int = 24) -> np.ndarray:
 def sets_of(docs: DataFrame, ids: DataFrame, width: int, bits: int = 24) -> DataFrame:
     """``doc_id`` and ``tokens`` (sorted, 8 bytes each) of the documents whose ids are wanted.
 
-    A bitmap lets most other documents stay where they are; the join decides.
+    A bitmap lets nearly all other documents stay where they are; a few more than wanted may come.
     """
     bitmap = id_filter(ids, "doc_id", bits)
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits)).alias("slot")
@@ -207,7 +206,9 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int, bits: int = 24) -> Data
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(tokens, pa.binary())], ["doc_id", "tokens"])
 
     found = docs.select("doc_id", "text", slot).mapInArrow(run, "doc_id bigint, tokens binary")
-    return found.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    sets = stage(found, "pair-sets")
+    repeated = sets.groupBy("doc_id").count().filter("count > 1").limit(1).count()
+    return sets.dropDuplicates(["doc_id"]) if repeated else sets
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -224,19 +225,25 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Dat
 
     pairs = stage(pairs, "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = stage(sets_of(docs, ids, width), "pair-sets")
+    sets = sets_of(docs, ids, width)
     one, two = (sets.select(F.col("doc_id").alias(k), F.col("tokens").alias(f"t{k}")) for k in "ab")
     held = pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb")
     return stage(held.mapInArrow(run, "a bigint, b bigint"), "similar")
 
 
 def enough(pairs: DataFrame, percent: int) -> DataFrame:
-    """Distinct (a, b) whose shared prefix shingles and what follows the last one can reach the overlap."""
+    """Distinct (a, b) that can still reach the overlap.
+
+    Shingles that both sets share lie in both prefixes, where they are counted, or behind the prefix
+    that ends first, or behind the last shared position.
+    """
     per = pairs.groupBy("a", "b", "na", "nb").agg(
         F.count("*").alias("both"), F.max("pa").alias("pa"), F.max("pb").alias("pb")
     )
     behind = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    return per.filter(F.col("both") + behind >= least_overlap(F.col("na"), F.col("nb"), percent)).select("a", "b")
+    beyond = F.ceil(F.lit(percent) * F.greatest("na", "nb") / F.lit(100.0)).cast("int") - 1
+    reach = F.col("both") + F.least(behind, beyond)
+    return per.filter(reach >= least_overlap(F.col("na"), F.col("nb"), percent)).select("a", "b")
 
 
 def leader_pairs(lists: DataFrame, percent: int) -> DataFrame:
@@ -251,8 +258,7 @@ def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """Pairs of a list in different components that size and position leave; a is the smaller set."""
     mixed = lists.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
     lists = stage(lists.join(mixed, "token"), "mixed-lists")
-    smaller = F.col("n") - F.ceil(2 * percent * F.col("n") / (100.0 + percent)) + 1
-    a = lists.filter(F.col("pos") < smaller).selectExpr("token", "doc_id as a", "n as na", "pos as pa", "comp as ca")
+    a = lists.selectExpr("token", "doc_id as a", "n as na", "pos as pa", "comp as ca")
     b = lists.selectExpr("token", "doc_id as b", "n as nb", "pos as pb", "comp as cb")
     ordered = "ca <> cb AND (na < nb OR (na = nb AND a < b))"
     fits = F.expr(f"{ordered} AND 100 * na >= {percent} * nb")
