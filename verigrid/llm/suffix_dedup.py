@@ -133,7 +133,7 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Block]:
         yield block
 
 
-def block_anchors(block: Block, length: int, seed: int, part: int = 4_000_000):
+def block_anchors(block: Block, length: int, seed: int, part: int = 1_000_000):
     """Anchors of a block (places, document numbers, fingerprints), a part of its bytes at a time."""
     data, ends, ids = block.joined()
     starts = np.concatenate([[0], ends[:-1]])
@@ -447,7 +447,7 @@ def merged_intervals(runs: DataFrame, length: int, seed: int, buckets: int) -> D
     return runs.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(meet, INTERVALS)
 
 
-def remove(docs: DataFrame, length: int = 50, seed: int = 24, size: int = 16_000_000, bits: int = 26) -> DataFrame:
+def remove(docs: DataFrame, length: int = 50, seed: int = 24, size: int = 8_000_000, bits: int = 26) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``, ``kept`` (text, null if whole).
 
     Texts are UTF-8 bytes; ``kept`` drops bytes of characters cut in two. Null and empty texts have
