@@ -124,16 +124,18 @@ class Block:
 def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Block]:
     block = Block()
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            block.add(doc_id, text)
-            if block.size >= size:
-                yield block
-                block = Block()
+        for first in range(0, batch.num_rows, 256):  # few texts are Python objects at a time
+            part = batch.slice(first, 256)
+            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                block.add(doc_id, text)
+                if block.size >= size:
+                    yield block
+                    block = Block()
     if block.ids:
         yield block
 
 
-def block_anchors(block: Block, length: int, seed: int, part: int = 1_000_000):
+def block_anchors(block: Block, length: int, seed: int, part: int = 500_000):
     """Anchors of a block (places, document numbers, fingerprints), a part of its bytes at a time."""
     data, ends, ids = block.joined()
     starts = np.concatenate([[0], ends[:-1]])
@@ -433,8 +435,8 @@ def merged_intervals(runs: DataFrame, length: int, seed: int, buckets: int) -> D
         low, high = np.empty(order.size, np.int64), np.empty(order.size, np.int64)
         edges = np.flatnonzero(np.concatenate([[True], shared[1:] < seed])) if order.size else []
         a = 0
-        while a < order.size:  # whole groups, some tens of thousands of suffixes at a time
-            k = int(np.searchsorted(edges, a + 40_000))
+        while a < order.size:  # whole groups, some thousands of suffixes at a time
+            k = int(np.searchsorted(edges, a + 8_000))
             b = int(edges[k]) if k < len(edges) else order.size
             part = order[a:b]
             low[part], high[part] = held_before(rows[part], lefts[part], rights[part], docs[part], group[part], length, seed)
