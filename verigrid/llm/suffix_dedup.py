@@ -177,7 +177,7 @@ def shared_anchors(docs: DataFrame, length: int, seed: int, size: int, buckets:
             new = np.ones(prints.size, bool)
             new[1:] = (prints[1:] != prints[:-1]) | (owner[1:] != owner[:-1])
             prints = prints[new]
-            start = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]])) if prints.size else []
+            start = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]])[: prints.size])
             counts = np.minimum(np.diff(np.append(start, prints.size)), 2)  # twice tells enough
             prints = np.repeat(prints[start], counts)
             cuts = np.searchsorted(bucket_of(prints, buckets), np.arange(buckets + 1))
