@@ -55,7 +55,7 @@ class WordEncoder:
     ``room`` characters, so its memory is bounded whatever the corpus holds.
     """
 
-    def __init__(self, path: str, spaced: bool, most: int = 1_000_000, room: int = 64_000_000):
+    def __init__(self, path: str, spaced: bool, most: int = 1_500_000, room: int = 64_000_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -74,9 +74,25 @@ class WordEncoder:
     def _text(self, key: str) -> str:
         return key[1:] if key[:1] in (_FIRST, _AS_IS) else self.blank + key
 
+    def _ids(self, keys: list[str]) -> list[list[int]]:
+        """Ids of each key. Bare words of letters go together: each is one unit of the pre-tokenizer."""
+        letters = [] if self.blank else [key for key in keys if key.isalpha()]
+        found: dict[str, list[int]] = {}
+        if letters:
+            whole = self.library.encode("\n".join(letters), add_special_tokens=False)
+            units = np.array(whole.word_ids, np.int64)
+            cuts = np.flatnonzero(np.diff(units)) + 1
+            if cuts.size + 1 == len(letters):
+                ids, edges = whole.ids, [0, *cuts.tolist(), units.size]
+                found = {w: ids[i:j] for w, i, j in zip(letters, edges, edges[1:], strict=False)}
+        rest = [key for key in keys if key not in found]
+        texts = [self._text(key) for key in rest]
+        encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        found.update((key, e.ids) for key, e in zip(rest, encoded, strict=True))
+        return [found[key] for key in keys]
+
     def _learn(self, keys: list[str]) -> None:
-        texts = [self._text(key) for key in keys]
-        encoded = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        encoded = self._ids(keys)
         count = np.fromiter(map(len, encoded), np.int64, len(encoded))
         flat = np.fromiter(chain.from_iterable(encoded), np.uint32, int(count.sum()))
         first = self.flat.size + np.cumsum(count) - count
