@@ -48,10 +48,14 @@ def test_point_in_polygon_any_cell_size(spark):
     special = [(0, 0), (4, 2), (2, 4), (1, 2), (2, 1), (2, 2), (4, 4), (3, 3), (2, 0)]
     points += [(1000 + i, float(x), float(y)) for i, (x, y) in enumerate(special)]
     points += [(2000 + i, 0.5 + i * 1e-4, 0.5) for i in range(400)]
+    # at, just below and just above borders that are no binary fractions
+    borders = [k * size for size in (0.1, 0.3, 0.7) for k in range(1, 6)]
+    near = [y for x in borders for y in (x, math.nextafter(x, -9), math.nextafter(x, 9))]
+    points += [(3000 + i, x, 0.5) for i, x in enumerate(near)] + [(4000 + i, 0.5, x) for i, x in enumerate(near)]
     want = {(i, p) for i, x, y in points for p, rings in shapes if covers(rings, x, y)}
     pts = spark.createDataFrame(points, "id long, x double, y double")
     df = spark.createDataFrame(shapes, SCHEMA)
-    for size in (0.5, 2.0, 50.0):
+    for size in (0.1, 0.3, 0.5, 0.7, 2.0, 50.0):
         got = {tuple(r) for r in spatial.points_in_polygons(pts, df, "id", ["pid"], size).collect()}
         assert got == want, size
 

@@ -161,6 +161,16 @@ def edges(polygons: DataFrame, keys: Sequence[str], transform=None) -> DataFrame
     )
 
 
+def cell_of(x: Column, step: Column) -> Column:
+    """The cell whose borders, as they are computed elsewhere, hold x.
+
+    A division can round across a border that is no binary fraction; comparing with the borders
+    themselves puts such a value back.
+    """
+    cell = F.floor(x / step)
+    return F.when(x < cell * step, cell - 1).when(x >= (cell + 1) * step, cell + 1).otherwise(cell)
+
+
 def cut(edge_rows: DataFrame, keys: Sequence[str], size: float) -> DataFrame:
     """Spread edges over square cells (ix, iy).
 
@@ -172,7 +182,7 @@ def cut(edge_rows: DataFrame, keys: Sequence[str], size: float) -> DataFrame:
     """
     step = F.lit(float(size))
     strips = edge_rows.withColumn(
-        "ix", F.explode(F.sequence(F.floor(F.col("x1") / step), F.floor(F.col("x2") / step)))
+        "ix", F.explode(F.sequence(cell_of(F.col("x1"), step), cell_of(F.col("x2"), step)))
     ).withColumns(
         {
             "xa": F.greatest(F.col("x1"), F.col("ix") * step),
@@ -243,7 +253,7 @@ def points_in_polygons(
     step = F.lit(float(size))
     placed = points.select(
         point_id, F.col("x").alias("px"), F.col("y").alias("py"),
-        F.floor(F.col("x") / step).alias("ix"), F.floor(F.col("y") / step).alias("iy"),
+        cell_of(F.col("x"), step).alias("ix"), cell_of(F.col("y"), step).alias("iy"),
     )
     rows = materialize(edges(polygons, polygon_keys), "edges")
     pieces = cut(rows, polygon_keys, size)

@@ -5,25 +5,35 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from verigrid.operators.scale import lookup
 
 
+def _once(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The source as it is; the job stops where a key repeats, which would multiply rows."""
+    held = F.count(F.lit(1)).over(W.partitionBy(*keys))
+    message = F.lit("a key occurs more than once in the source of an upsert")
+    counted = source.withColumn("__held", held)
+    return counted.filter(F.assert_true(F.col("__held") == 1, message).isNull()).drop("__held")
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], allow_new_columns: bool = False) -> DataFrame:
     """Matched keys take the source row, new keys are added, other rows stay.
 
-    ``source`` holds a key once. With ``allow_new_columns`` a column that only one side
+    A key that occurs twice in ``source`` stops the job. With ``allow_new_columns`` a column that only one side
     has is NULL on the other.
     """
+    source = _once(source, keys)
     kept = lookup(target, source.select(*keys), keys, "left_anti")
     return kept.unionByName(source, allowMissingColumns=allow_new_columns)
 
 
 def _both_sides(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     t = target.select(F.struct("*").alias("t"))
-    s = source.select(F.struct("*").alias("s"))
+    s = _once(source, keys).select(F.struct("*").alias("s"))
     condition = F.lit(True)
     for key in keys:
         condition = condition & F.col(f"t.{key}").eqNullSafe(F.col(f"s.{key}"))
