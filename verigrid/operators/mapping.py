@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verigrid.operators.scale import lookup
+
 APPROVED = "APPROVED"
 
 
@@ -117,7 +119,7 @@ def classify_tokens(
         .alias("category_classification_status"),
         F.coalesce("unapproved_tokens", F.array().cast("array<string>")).alias("unapproved_tokens"),
     )
-    return df.join(classified, tokens)
+    return lookup(df, classified, [tokens])
 
 
 def mapping_coverage(
