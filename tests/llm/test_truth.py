@@ -205,3 +205,22 @@ def test_pipeline_matches_plain_steps(spark, docs):
     assert all(mixed.get(r["doc_id"], 0) * r["size"] == r["taken"] for r in rows(spark, "op10_mixing"))
     out = corpus_pipeline.run(spark, FOLDER).collect()
     assert out and {r["doc_id"] for r in out} <= kept & set(docs)
+
+
+@pytest.mark.parametrize(("name", "spaced"), [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
+def test_word_encoder_gives_the_ids_of_whole_texts(name, spaced):
+    from tokenizers import Tokenizer
+
+    from verigrid.llm.tokens import WordEncoder
+
+    texts = [
+        "HELLO, World! ok", "K ABC, é, É. é", "a.. x!? y&&& ###z", "don't, it's. Don't;", "  two  blanks, here. ",
+        "", "s, 's 'll ,'s", "straße, À×÷ÿ.", "<|endoftext|> a.", "(252) 555-5573 ab1c", "a­ b ª µ,", "tab\tand\nline\r\n x",
+    ]
+    library = Tokenizer.from_file(public_tokenizers.path(name))
+    want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    words = WordEncoder(public_tokenizers.path(name), spaced)
+    for _ in range(2):
+        ids, counts = words.encode(texts)
+        assert counts.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]

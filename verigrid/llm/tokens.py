@@ -9,17 +9,32 @@ carefully, and texts with control characters, unusual blanks or special tokens a
 from __future__ import annotations
 
 import re
-from itertools import chain, repeat
+from itertools import repeat
+from operator import attrgetter
 
 import numpy as np
 
 #: A word with the blanks before it, and what blanks remain at the end.
 _CHUNKS = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+\Z").findall
+#: Letters of ASCII and Latin-1, then ASCII marks other than the apostrophe.
+_PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-&(-/:-@\[-`{-~]*)\Z").match
+_ID = attrgetter("id")
 _NO_BLANKS = str.maketrans("", "", "\t\n\r\f\v")
 #: How a key says what it stands for: the first word of a text, or a chunk as it is.
 _FIRST, _AS_IS = "\x00", "\x01"
 
 
+def _shown_bytes() -> dict[int, str]:
+    """Blank and Latin-1 letters as byte-level vocabularies write their UTF-8 bytes."""
+    kept = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    moved = iter(range(0x100, 0x200))
+    byte = [chr(b) if b in kept else chr(next(moved)) for b in range(256)]
+    return {c: "".join(byte[b] for b in chr(c).encode()) for c in (0x20, *range(0xC0, 0x100))}
+
+
+_SHOWN = _shown_bytes()
+
+
 def _common(text: str) -> bool:
     """No special token, control character or blank other than the ASCII ones."""
     if "<|" in text:
@@ -61,6 +76,7 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.keys = _spaced_keys if spaced else _bare_keys
         self.blank = " " if spaced else ""
+        self.lead = _SHOWN[ord(" ")] if spaced else ""
         self.most, self.room = most, room
         self._clear()
 
@@ -74,27 +90,39 @@ class WordEncoder:
     def _text(self, key: str) -> str:
         return key[1:] if key[:1] in (_FIRST, _AS_IS) else self.blank + key
 
-    def _ids(self, keys: list[str]) -> list[list[int]]:
-        """Ids of each key. Bare words of letters go together: each is one unit of the pre-tokenizer."""
-        letters = [] if self.blank else [key for key in keys if key.isalpha()]
-        found: dict[str, list[int]] = {}
-        if letters:
-            whole = self.library.encode("\n".join(letters), add_special_tokens=False)
-            units = np.array(whole.word_ids, np.int64)
-            cuts = np.flatnonzero(np.diff(units)) + 1
-            if cuts.size + 1 == len(letters):
-                ids, edges = whole.ids, [0, *cuts.tolist(), units.size]
-                found = {w: ids[i:j] for w, i, j in zip(letters, edges, edges[1:], strict=False)}
-        rest = [key for key in keys if key not in found]
-        texts = [self._text(key) for key in rest]
-        encoded = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        found.update((key, e.ids) for key, e in zip(rest, encoded, strict=True))
-        return [found[key] for key in keys]
+    def _ids(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the keys one after the other, and how many belong to each.
+
+        Letters are one unit of the pre-tokenizer and the marks behind them are another. The
+        normalizer changes nothing but the case of such letters, so the model of the library alone
+        gives their ids.
+        """
+        tokenize = self.library.model.tokenize
+        matches = [_PLAIN(key) for key in keys]
+        others = [key for key, plain in zip(keys, matches, strict=True) if plain is None]
+        encoded = iter(self.library.encode_batch_fast([self._text(key) for key in others], add_special_tokens=False))
+        marks: dict[str, list[int]] = {}
+        flat: list[int] = []
+        ends: list[int] = []
+        for plain in matches:
+            if plain is None:
+                flat += next(encoded).ids
+            else:
+                letters, mark = plain.groups()
+                if not self.blank:
+                    letters = letters.lower()
+                if not letters.isascii():
+                    letters = letters.translate(_SHOWN)
+                flat.extend(map(_ID, tokenize(self.lead + letters)))
+                if mark:
+                    if mark not in marks:
+                        marks[mark] = [token.id for token in tokenize(mark)]
+                    flat += marks[mark]
+            ends.append(len(flat))
+        return np.array(flat, np.uint32), np.diff(np.array(ends, np.int64), prepend=0)
 
     def _learn(self, keys: list[str]) -> None:
-        encoded = self._ids(keys)
-        count = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter(chain.from_iterable(encoded), np.uint32, int(count.sum()))
+        flat, count = self._ids(keys)
         first = self.flat.size + np.cumsum(count) - count
         self.known.update(zip(keys, range(self.first.size, self.first.size + len(keys)), strict=True))
         self.held += sum(map(len, keys))
