@@ -131,6 +131,7 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Block]:
                 if block.size >= size:
                     yield block
                     block = Block()
+                    pa.default_memory_pool().release_unused()  # batches gone by then go back to the system
     if block.ids:
         yield block
 
