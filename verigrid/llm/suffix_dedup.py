@@ -383,10 +383,8 @@ def runs_of(docs: DataFrame, bitmap, length: int, seed: int, size: int, buckets:
             cuts = np.argsort(bucket_of(prints, buckets), kind="stable")
             edges = np.searchsorted(bucket_of(prints, buckets)[cuts], np.arange(buckets + 1))
             found, settled = [], []
-            for k in range(buckets):
+            for k in np.flatnonzero(np.diff(edges)).tolist():
                 mine = cuts[edges[k] : edges[k + 1]]
-                if not mine.size:
-                    continue
                 p, d = place[mine], owner[mine]
                 rows, lefts, rights = contexts(data, starts, ends, p, d, length, seed)
                 order = order_of(rows, slice(left, None))
@@ -425,12 +423,16 @@ def merged_intervals(runs: DataFrame, length: int, seed: int, buckets: int) -> D
     left = length - seed
 
     def meet(table: pa.Table) -> pa.Table:
-        parts = [Run(data, left, length) for data in table.column("run").to_pylist()]
+        parts = [Run(data.as_py(), left, length) for data in table.column("run")]
         order_run, order_at, shared = merge(parts, length)
         base = np.cumsum([0, *[len(p.keys) for p in parts]])
+        for part in parts:  # merged: the numbers make room for the joined rows
+            part.keys, part.prefix = [], []
         order = base[order_run] + order_at
         joined = lambda name: np.concatenate([getattr(p, name) for p in parts])
         rows, lefts, rights, docs, counts = (joined(n) for n in ("rows", "lefts", "rights", "docs", "counts"))
+        for part in parts:
+            part.rows = None
         group = np.empty(order.size, np.int64)
         group[order] = np.cumsum(shared < seed)
         low, high = np.empty(order.size, np.int64), np.empty(order.size, np.int64)
@@ -464,7 +466,7 @@ def remove(docs: DataFrame, length: int = 50, seed: int = 24, size: int = 8_000_
     text = F.coalesce(F.col("text"), F.lit(""))
     facts = stage(docs.select("doc_id", F.octet_length(text).cast("bigint").alias("n_bytes"), F.sha2(text, 256).alias("sha")), "bytes")
     total = facts.agg(F.sum("n_bytes")).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 64_000_000 + 1)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 8_000_000 + 1)
     bitmap = spark.sparkContext.broadcast(shared_anchors(docs, length, seed, size, buckets, bits))  # 2**bits bits
     staged = stage(runs_of(docs, bitmap, length, seed, size, buckets, bits), "suffix-runs")
     merged = merged_intervals(staged.filter("run IS NOT NULL").select("bucket", "run"), length, seed, buckets)
