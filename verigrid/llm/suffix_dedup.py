@@ -21,6 +21,7 @@ Documents equal to a smaller one are removed whole by their hash.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import struct
 from collections.abc import Iterator
@@ -121,6 +122,14 @@ class Block:
         return np.frombuffer(b"".join(self.texts), np.uint8), ends, np.array(self.ids, np.int64)
 
 
+def give_back() -> None:
+    """Memory of batches and arrays that are gone goes back to the system, not only to the allocators."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other systems' allocators do without
+    if trim is not None:
+        trim(0)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Block]:
     block = Block()
     for batch in batches:
@@ -131,7 +140,7 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Block]:
                 if block.size >= size:
                     yield block
                     block = Block()
-                    pa.default_memory_pool().release_unused()  # batches gone by then go back to the system
+                    give_back()
     if block.ids:
         yield block
 
@@ -163,17 +172,31 @@ def unpack_run(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def bucket_of(prints: np.ndarray, buckets: int) -> np.ndarray:
-    return ((prints >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
+def bucket_of(prints: np.ndarray, buckets: int, width: int) -> np.ndarray:
+    """Buckets of anchors, equally full though anchors have small hashes.
+
+    A byte whose hash is x is the least of some ``width`` in a row with chance q**(width - 1) *
+    (1 + (width - 1) * x), where q = 1 - x; buckets are equal parts of that distribution. Only
+    products are used, so that every machine finds the same bucket.
+    """
+    q = 1 - (prints >> np.uint64(11)) / float(1 << 53)
+    above, base, n = (width + 1) / 2 - (width - 1) / 2 * q, q, width
+    while n:
+        if n & 1:
+            above = above * base
+        base = base * base
+        n >>= 1
+    return np.clip((1 - above) * buckets, 0, buckets - 1).astype(np.int64)
 
 
 def shared_anchors(docs: DataFrame, length: int, seed: int, size: int, buckets: int, bits: int) -> np.ndarray:
     """Bitmap of fingerprints that two documents hold; 2**bits bits whatever the corpus."""
+    width = length - seed + 1
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, size):
             *_, owner, prints = block_anchors(block, length, seed)
-            order = np.lexsort((owner, prints))
+            order = np.lexsort((owner, prints, bucket_of(prints, buckets, width)))
             prints, owner = prints[order], owner[order]
             new = np.ones(prints.size, bool)
             new[1:] = (prints[1:] != prints[:-1]) | (owner[1:] != owner[:-1])
@@ -181,7 +204,7 @@ def shared_anchors(docs: DataFrame, length: int, seed: int, size: int, buckets:
             start = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]])[: prints.size])
             counts = np.minimum(np.diff(np.append(start, prints.size)), 2)  # twice tells enough
             prints = np.repeat(prints[start], counts)
-            cuts = np.searchsorted(bucket_of(prints, buckets), np.arange(buckets + 1))
+            cuts = np.searchsorted(bucket_of(prints, buckets, width), np.arange(buckets + 1))
             runs = [(k, pack_run(prints[a:b])) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
             if runs:
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in runs], pa.int32()), pa.array([r[1] for r in runs], pa.binary())], ["bucket", "run"])
@@ -241,30 +264,38 @@ def write_run(rows, lefts, rights, docs, counts, places, left: int) -> bytes:
 
 
 class Run:
-    """A run as it arrives; suffixes are decoded one behind the other."""
+    """A run as it arrives; suffixes are decoded one behind the other, when the merge asks for them."""
 
     def __init__(self, data: bytes, left: int, length: int):
         raw = zstandard.decompress(data)
-        n, *sizes = struct.unpack_from("<9q", raw)
+        self.count, *sizes = struct.unpack_from("<9q", raw)
         at, parts = 72, []
         for size in sizes:
             parts.append(raw[at : at + size])
             at += size
-        prefix, rest, before, lefts, rights, docs, counts, places = parts
-        self.prefix = list(prefix)
-        self.keys: list[int] = []  # a suffix as one big-endian number: whole prefixes compare at once
-        last, at = b"", 0
-        suffixes = bytearray()
-        for shared in self.prefix:
-            last = last[:shared] + rest[at : at + length - shared]
-            at += length - shared
-            suffixes += last
-            self.keys.append(int.from_bytes(last))
-        tail = np.frombuffer(bytes(suffixes), np.uint8).reshape(n, length)
-        self.rows = np.concatenate([np.frombuffer(before, np.uint8).reshape(left, n).T, tail], axis=1)
-        self.lefts, self.rights = (np.frombuffer(x, np.uint8).astype(np.int64) for x in (lefts, rights))
+        self.prefix, self.rest, before, lefts, rights, docs, counts, places = parts
+        self.length, self.at, self.last = length, 0, b""
+        self.decoded = bytearray()
+        self.before = np.frombuffer(before, np.uint8).reshape(left, self.count).T
+        self.lefts, self.rights = (np.frombuffer(x, np.uint8) for x in (lefts, rights))
         self.docs, self.counts, self.places = (np.frombuffer(x, t) for x, t in ((docs, "<i8"), (counts, "<i4"), (places, "<i8")))
 
+    def suffix(self, i: int) -> int:
+        """The i-th suffix as one big-endian number, so whole prefixes compare at once; asked for in order."""
+        shared = self.prefix[i]
+        end = self.at + self.length - shared
+        self.last = self.last[:shared] + self.rest[self.at : end]
+        self.at = end
+        self.decoded += self.last
+        return int.from_bytes(self.last)
+
+    def write_rows(self, out: np.ndarray) -> None:
+        """Contexts of a merged run; what they were decoded from is let go."""
+        left = self.before.shape[1]
+        out[:, :left] = self.before
+        out[:, left:] = np.frombuffer(self.decoded, np.uint8).reshape(self.count, self.length)
+        self.before, self.decoded, self.rest, self.prefix = self.before[:0], bytearray(), b"", b""
+
 
 def merge(runs: list[Run], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order of all suffixes as (run, place in run) with the prefix shared with the one before.
@@ -274,12 +305,10 @@ def merge(runs: list[Run], length: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     suffixes compared, and the loser keeps the newly found length.
     """
     size = 1 << max(1, (len(runs) - 1).bit_length())
-    keys = [r.keys for r in runs] + [[]] * (size - len(runs))
-    prefixes = [r.prefix for r in runs] + [[]] * (size - len(runs))
-    counts = [len(k) for k in keys]
+    counts = [r.count for r in runs] + [0] * (size - len(runs))
     at = [0] * size
     end = 1 << (8 * length)  # larger than any suffix
-    now = [k[0] if k else end for k in keys]
+    now = [runs[k].suffix(0) if n else end for k, n in enumerate(counts)]
     shares = [0] * size
     losers = [0] * size
 
@@ -313,7 +342,7 @@ def merge(runs: list[Run], length: int) -> tuple[np.ndarray, np.ndarray, np.ndar
         at[best] += 1
         i = at[best]
         if i < counts[best]:
-            now[best], shares[best] = keys[best][i], prefixes[best][i]
+            now[best], shares[best] = runs[best].suffix(i), runs[best].prefix[i]
         else:
             now[best], shares[best] = end, -1  # loses against all that is left
         node = (best + size) >> 1
@@ -380,8 +409,9 @@ def runs_of(docs: DataFrame, bitmap, length: int, seed: int, size: int, buckets:
             slot = (prints >> np.uint64(16)) & np.uint64((1 << bits) - 1)
             hit = held[slot >> np.uint64(5)] >> (slot & np.uint64(31)).astype(np.uint32) & 1 == 1
             place, owner, prints = place[hit], owner[hit], prints[hit]
-            cuts = np.argsort(bucket_of(prints, buckets), kind="stable")
-            edges = np.searchsorted(bucket_of(prints, buckets)[cuts], np.arange(buckets + 1))
+            bucket = bucket_of(prints, buckets, left + 1)
+            cuts = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[cuts], np.arange(buckets + 1))
             found, settled = [], []
             for k in np.flatnonzero(np.diff(edges)).tolist():
                 mine = cuts[edges[k] : edges[k + 1]]
@@ -425,14 +455,13 @@ def merged_intervals(runs: DataFrame, length: int, seed: int, buckets: int) -> D
     def meet(table: pa.Table) -> pa.Table:
         parts = [Run(data.as_py(), left, length) for data in table.column("run")]
         order_run, order_at, shared = merge(parts, length)
-        base = np.cumsum([0, *[len(p.keys) for p in parts]])
-        for part in parts:  # merged: the numbers make room for the joined rows
-            part.keys, part.prefix = [], []
+        base = np.cumsum([0, *[p.count for p in parts]])
         order = base[order_run] + order_at
         joined = lambda name: np.concatenate([getattr(p, name) for p in parts])
-        rows, lefts, rights, docs, counts = (joined(n) for n in ("rows", "lefts", "rights", "docs", "counts"))
-        for part in parts:
-            part.rows = None
+        lefts, rights, docs, counts = (joined(n) for n in ("lefts", "rights", "docs", "counts"))
+        rows = np.empty((order.size, 2 * length - seed), np.uint8)
+        for k, part in enumerate(parts):
+            part.write_rows(rows[base[k] : base[k + 1]])
         group = np.empty(order.size, np.int64)
         group[order] = np.cumsum(shared < seed)
         low, high = np.empty(order.size, np.int64), np.empty(order.size, np.int64)
@@ -447,7 +476,10 @@ def merged_intervals(runs: DataFrame, length: int, seed: int, buckets: int) -> D
         places = joined("places")
         doc, lo, hi = (np.repeat(x, counts) for x in (docs, low, high))
         cut = hi >= 0
-        return by_document(doc[cut], places[cut] - hi[cut], places[cut] - lo[cut] + length)
+        found = by_document(doc[cut], places[cut] - hi[cut], places[cut] - lo[cut] + length)
+        del parts, rows
+        give_back()
+        return found
 
     return runs.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(meet, INTERVALS)
 
@@ -466,7 +498,7 @@ def remove(docs: DataFrame, length: int = 50, seed: int = 24, size: int = 8_000_
     text = F.coalesce(F.col("text"), F.lit(""))
     facts = stage(docs.select("doc_id", F.octet_length(text).cast("bigint").alias("n_bytes"), F.sha2(text, 256).alias("sha")), "bytes")
     total = facts.agg(F.sum("n_bytes")).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 8_000_000 + 1)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 4_000_000 + 1)
     bitmap = spark.sparkContext.broadcast(shared_anchors(docs, length, seed, size, buckets, bits))  # 2**bits bits
     staged = stage(runs_of(docs, bitmap, length, seed, size, buckets, bits), "suffix-runs")
     merged = merged_intervals(staged.filter("run IS NOT NULL").select("bucket", "run"), length, seed, buckets)
