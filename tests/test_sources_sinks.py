@@ -43,6 +43,19 @@ def test_line_scan_is_strict(spark):
             snapshot.scan_lines(spark, written(bad), ["id", "value"]).collect()
 
 
+def test_line_scan_stops_at_open_quotes(spark):
+    with pytest.raises(Exception, match="open quote"):
+        snapshot.scan_lines(spark, written('id,value\n1,"x\n'), ["id", "value"]).collect()
+
+
+@pytest.mark.parametrize(("text", "status"), [("id,value\n1,a\n2,b\n", "PASS"), ("id,value\n1,a\nid,value\n2,b\n", "FAIL"), ("1,a\n2,b\n", "FAIL")])
+def test_header_occurs_once(spark, text, status):
+    path = written(text)
+    rows = snapshot.scan_lines(spark, path, ["id", "value"])
+    results = snapshot.reconcile_rows(rows, rows.count(), snapshot.header_lines(spark, path, ["id", "value"]), "t")
+    assert {r.check_name: r.status for r in results.collect()}["header occurs once per file"] == status
+
+
 def test_csv_scan_is_strict(spark):
     rows = snapshot.scan_csv(spark, written("id,value\n1,a\n"), ["id", "value"], CONTRACT).collect()
     assert [tuple(r) for r in rows] == [("1", "a")]
@@ -84,6 +97,20 @@ def test_publish_moves_pointer_only_after_checks(spark):
     assert sink.read_published(spark, root, "t").count() == 5
 
 
+def test_failed_rerun_of_the_live_run_harms_nothing(spark):
+    root = folder()
+    rule = lambda df: quality.checks(df, "t", [quality.Check("Completeness", "few rows", F.when(F.count(F.lit(1)) < 9, 0).otherwise(1))])
+    sink.publish(spark.range(5), root, "t", "r1", rule)
+    pointer = sink.read_pointer(spark, root, "t")
+    lost = sink.run_path(root, "t", "r1", pointer["attempt"])
+    spark.range(4).write.mode("overwrite").parquet(lost)  # a row is missing: the rerun is not skipped
+    with pytest.raises(quality.GateError):
+        sink.publish(spark.range(99), root, "t", "r1", rule)
+    assert sink.read_published(spark, root, "t").count() == 4
+    assert sink.publish(spark.range(5), root, "t", "r1", rule)[0] == "PUBLISHED"
+    assert sink.read_published(spark, root, "t").count() == 5
+
+
 def test_snapshot_upsert_refuses_older(spark):
     schema = "k int, v string, cur boolean, day string"
     target = spark.createDataFrame([(1, "a", True, "2024-02"), (2, "b", True, "2024-02")], schema)

@@ -29,6 +29,9 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "12g") ->
     )
 
 
+_local_folders: dict[str, str] = {}
+
+
 def work_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, for staged tables and checkpoints.
 
@@ -41,6 +44,6 @@ def work_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="verigrid-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="verigrid-")
+    return _local_folders[context.applicationId]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,49 +11,58 @@ from pyspark.sql.utils import AnalysisException
 
 from verigrid.plans.quality import gate
 
-POINTER_SCHEMA = "table_name string, run_id string, row_count bigint, published_seq bigint"
+POINTER_SCHEMA = "table_name string, run_id string, row_count bigint, published_seq bigint, attempt string"
 
 
-def run_path(root: str, table: str, run_id: str) -> str:
-    return f"{root}/{table}/run_id={run_id}"
+def run_path(root: str, table: str, run_id: str, attempt: str) -> str:
+    return f"{root}/{table}/run_id={run_id}/attempt={attempt}"
 
 
 def read_pointer(spark: SparkSession, root: str, table: str):
-    """The newest pointer row of a table, or None. The pointer log has one row per publish."""
+    """The newest pointer row of a table, or None where no log exists; a log that cannot be read stops the job.
+
+    The pointer log has one row per publish. Should two writers take one sequence, all readers
+    follow the same of both.
+    """
     try:
         log = spark.read.schema(POINTER_SCHEMA).parquet(f"{root}/_pointer/{table}")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    return log.orderBy(F.col("published_seq").desc()).first()
+    return log.orderBy(F.desc("published_seq"), F.desc("run_id"), F.desc("attempt")).first()
 
 
 def read_published(spark: SparkSession, root: str, table: str) -> DataFrame:
     pointer = read_pointer(spark, root, table)
     if pointer is None:
         raise LookupError(f"{table} is not published under {root}")
-    return spark.read.parquet(run_path(root, table, pointer["run_id"]))
+    return spark.read.parquet(run_path(root, table, pointer["run_id"], pointer["attempt"]))
 
 
 def publish(df: DataFrame, root: str, table: str, run_id: str, checks=None) -> tuple[str, DataFrame]:
     """Replace a table by the rows of ``df`` under ``run_id``.
 
     Readers follow the pointer, which moves only after the staged rows are written,
-    counted and checked; a failed run leaves the previous table in place. A rerun of
-    the published run id is skipped. ``checks`` maps a staged DataFrame to check rows.
+    counted and checked. Every attempt writes a folder of its own, so a failed run, also
+    of the published run id, leaves the previous table in place. A rerun of the published
+    run id is skipped while its rows are all there. ``checks`` maps a staged DataFrame to
+    check rows.
     """
     spark = df.sparkSession
     pointer = read_pointer(spark, root, table)
-    path = run_path(root, table, run_id)
     if pointer is not None and pointer["run_id"] == run_id:
-        current = spark.read.parquet(path)
+        current = read_published(spark, root, table)
         if current.count() == pointer["row_count"]:
             return "SKIPPED_CURRENT", current
-    df.write.mode("overwrite").parquet(path)
+    attempt = uuid.uuid4().hex
+    path = run_path(root, table, run_id, attempt)
+    df.write.parquet(path)
     staged = spark.read.parquet(path)
     if checks is not None:
         gate(checks(staged))
     sequence = 1 if pointer is None else pointer["published_seq"] + 1
-    row = spark.createDataFrame([(table, run_id, staged.count(), sequence)], POINTER_SCHEMA)
+    row = spark.createDataFrame([(table, run_id, staged.count(), sequence, attempt)], POINTER_SCHEMA)
     row.coalesce(1).write.mode("append").parquet(f"{root}/_pointer/{table}")
     return "PUBLISHED", staged
 
