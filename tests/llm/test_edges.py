@@ -1,5 +1,6 @@
 """Every operator and pipeline stage on awkward tables: nulls, empty and long texts, ties, repeats, clashing names."""
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -70,3 +71,16 @@ def test_neighbours(spark):
     assert rows[(10, 1)] == (9, 1.0) and rows[(10, 2)] == (11, 1.0)
     assert ann.search(vectors(spark, 2), F.lit(True)).count() == 2
     assert ann.search(vectors(spark, 0) if False else vectors(spark, 40).limit(0), F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("copies", [9, 10, 11, 50, 1000])
+@pytest.mark.parametrize("size", [32, 64, 128])
+def test_all_copies_of_a_query_are_found(copies, size):
+    rows = np.random.default_rng(copies).standard_normal((4000, size))
+    query = rows[0].copy()
+    rows[:: 4000 // copies][:copies] = query
+    same = np.flatnonzero((rows == query).all(axis=1))
+    found = ann.Chunk(np.arange(4000), rows).search(query, -1, 10)
+    assert len(found) == 10
+    near = [int(i) for i in same[:10]]
+    assert [v for v, _ in found][: len(near)] == near and all(s == 0 for _, s in found[: len(near)])

@@ -85,9 +85,14 @@ class Chunk:
         while edges[-1] < size:
             edges.append(min(size, max(first_block, 2 * edges[-1])))
         self.blocks = [(a, b, np.ascontiguousarray(turned[:, a:b])) for a, b in zip(edges, edges[1:], strict=False)]
+        self.longest = float((vectors**2).sum(axis=1).max(initial=0.0))
 
     def search(self, query: np.ndarray, own: int, k: int, strictness: float = 2.1) -> list[tuple[int, float]]:
-        """The ``k`` nearest that the tests leave, as (vec_id, distance), nearest first."""
+        """The ``k`` nearest that the tests leave, as (vec_id, distance), nearest first.
+
+        Rotating rounds, so bounds have an absolute slack: exact copies stay however many there are.
+        The tests never leave fewer than ``k`` candidates of those that there are.
+        """
         turned = query @ self.turn
         size = len(query)
         left = np.flatnonzero(self.ids != own)
@@ -97,11 +102,15 @@ class Chunk:
         whole = ((self.vectors[seed] - query) ** 2).sum(axis=1)
         limit = np.partition(whole, k - 1)[k - 1] if whole.size > k else np.inf
         partial = np.zeros(left.size)
+        least = min(k, left.size)
+        slack = 1e-12 * (float((query**2).sum()) + self.longest)
         for a, b, block in self.blocks:
             partial = partial + ((block[left] - turned[a:b]) ** 2).sum(axis=1)
             # rotated dimensions are like a random sample, so b of them predict b / size of the distance
             bound = limit * (b / size) * (1 + strictness / np.sqrt(b)) ** 2 if b < size else limit * (1 + 1e-9)
-            stay = partial <= bound
+            stay = partial <= bound + slack
+            if np.count_nonzero(stay) < least:
+                stay[np.argpartition(partial, least - 1)[:least]] = True
             left, partial = left[stay], partial[stay]
             if b < size and left.size > k:
                 guess = left[np.argpartition(partial, k - 1)[:k]]
