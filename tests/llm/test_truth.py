@@ -135,6 +135,33 @@ def test_random_runs_and_words(spark):
     assert redacted.first()["text"] == "é [secret] z"
 
 
+LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+
+
+def test_keys_of_every_encoding_are_found(spark):
+    rng = np.random.default_rng(11)
+    draw = lambda letters, n: "".join(rng.choice(list(letters), n))
+    alphabets = [DIGITS + LOWER, DIGITS + UPPER, LOWER + "234567", UPPER + "234567", LOWER, UPPER, LOWER + UPPER, LOWER + UPPER + DIGITS]
+    keys = [draw(a, 64) for a in alphabets for _ in range(5)]
+    keys += ["-".join(draw("0123456789abcdef", n) for n in (8, 4, 4, 4, 12)) for _ in range(5)]
+    df = spark.createDataFrame([(i, f"see {k} here") for i, k in enumerate(keys)], "doc_id bigint, text string")
+    found = {r["doc_id"]: r["n"] for r in secrets.scan(df).selectExpr("doc_id", "size(spans) AS n").collect()}
+    assert all(sum(found[i] for i in range(a, a + 5)) >= 4 for a in range(0, len(keys), 5))
+    assert "[secret]" in secrets.redact(df).filter("doc_id = 0").first()["text"]
+
+
+def test_rare_short_keys_are_found(spark):
+    rng = np.random.default_rng(5)
+    letters, words = list(LOWER + UPPER + DIGITS), ["user", "account", "handler", "default", "session", "message", "index", "value", "order", "parse"]
+    names = ["".join(w.title() for w in rng.choice(words, 3)) + str(rng.integers(10, 99)) for _ in range(2500)]
+    names += ["-".join(rng.choice(words, 4)) + "-" + str(rng.integers(2000, 2030)) for _ in range(2500)]
+    keys = ["".join(rng.choice(letters, 20)) for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate([*keys, *names])), "doc_id bigint, text string")
+    found = {r["doc_id"]: r["n"] for r in secrets.scan(df).selectExpr("doc_id", "size(spans) AS n").collect()}
+    assert sum(found[i] for i in range(20)) >= 15
+    assert sum(found[i] for i in range(20, len(found))) <= 2
+
+
 def test_licenses(spark):
     mit = licenses.TEMPLATES["mit"].split()
     texts = ["x y z " * 40 + " ".join(mit) + " q" * 50, " ".join(mit[: len(mit) // 2]), "word " * 9 + "Released under the MIT License.", ""]

@@ -1,12 +1,14 @@
 """Secret scan with DataFrame functions only: fixed patterns, then tests of randomness.
 
 Fixed patterns give base spans. Every other long run of key characters is a candidate: its encoding
-is inferred from the characters it uses, and three tests ask whether its symbols could be random
-draws from that alphabet: chi-squared uniformity, runs about the middle of the alphabet, and serial
-correlation. Fisher's method joins them. A random-looking run is still no secret if ordinary text of
-its length could look so: its p-value under text (few coincident symbols, or only symbols of the
-encoding) must pass a step-up false-discovery control among all candidates of its encoding and
-length class in the table.
+is the smallest alphabet that holds it (separators aside where the rest has one case, as in a UUID),
+and three tests ask whether its symbols could be random draws from that alphabet: chi-squared
+uniformity, runs about the middle of the alphabet, and serial correlation. Fisher's method joins
+them. A random-looking run is still no secret if ordinary text could look so: its p-value under text
+must pass a step-up false-discovery control among all candidates of its encoding and length class in
+the table. Text is a fixed model of letter pairs and of changes between lower case, upper case,
+digits and separators; the p-value is the likelihood ratio of text to uniform draws times the number
+of encodings, which text falls below with no more than that chance (Markov's inequality).
 """
 
 from __future__ import annotations
@@ -23,12 +25,37 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"(AKIA[A-Z0-9]{16,})"
 HEX = r"([0-9a-f]{24,})"
 KINDS = ("assign", "access", "hex", "random")
-CANDIDATE = r"([A-Za-z0-9+/_=-]{20,})"
+CANDIDATE = r"([A-Za-z0-9+/_=-]{16,})"
 #: Alphabets in code order.
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-ALPHABETS = {"hex": "0123456789abcdef", "base32": UPPER + "234567", "base64": UPPER + LOWER + DIGITS + "+/-_"}
-#: Letters of ordinary text: sums of squared and of cubed frequencies, and the share of a-f and digits.
-TEXT_PAIRS, TEXT_TRIPLES, TEXT_HEX = 0.065, 0.0053, 0.27
+ALPHABETS = {
+    "hex": "0123456789abcdef", "lower": LOWER, "upper": UPPER, "base32": UPPER + "234567", "base32-lower": LOWER + "234567",
+    "base36": DIGITS + LOWER, "base36-upper": DIGITS + UPPER, "letters": UPPER + LOWER, "base64": UPPER + LOWER + DIGITS + "+/-_",
+}
+#: All characters of a candidate, and those that may stand between the groups of a key of one case.
+SEPARATORS = "+/-_="
+CHARACTERS = UPPER + LOWER + DIGITS + SEPARATORS
+#: Costs (decades) of letters in ordinary text: code of the character less 48 is twenty times
+#: -log10 of the chance; a row for the start of a word, then one for each letter before. Counted in
+#: English, French, German and Spanish words and in Python sources, mixed with 15 % uniform letters.
+LETTERS = (
+    "GMGJDNPPJXWLLKJJSJGHOSRXXXTNGJSXPXIXWFLDVOXDFBHUXWTXFVPU=WWXIPX?XXBUXLLUHXXXPXFXSXFWX=FXKLWX?XXNSFNXXXVXGTVO"
+    "<SWV@XXOXS?XXQKPMXXXWXHVKGMSTXKXXKPASQU@DKRSXPXTGTSSEFVX>XXIWUBWXIMKIXXXQXBTUX;XOJGXXMRKMTXFIQLWXXXX@PUX<XUO"
+    "GXUOVQETXNLGQUVXWVNRHNEROXXXXLM=DRXOJEXQXVXQ6XTVEXXXOXUXXXIQXXJXFUVXXXLVUQ7XQXEXXMVOSSXUESRUMXUXEXUP<XXXAXXB"
+    "XWFVXXMOOXXXHXAOXV;XXXBXXSJXIEXXOUNXXXXXGSJFESCTKXTQUQJTWRG?QRXXXXRRLMUSSXLXULK=PNXBGNESOXXX@XUTAKXRKXXEXWFK"
+    "XBNJOXXXNXXXXVXXXXXXVQXUXXXURX2XXXXXBTOQ<WQVFXSRORGUXJIJQUXXRXLVFTAWUIFXTPRVKLTRH>JXWXTXEWRW?XXD?XXSWXJTXFKM"
+    "QXXXPPKNOT?STXNXXJLBPKXGIGXXXFXXAXVX7XXX>XXXQXMXXXVWXXXVXXBXWQEXX=BXXQVIFXXGJXXXUXXXGTGSASXXFXXOMVKBSMT@XOXR"
+    "TXKRORGURSJXXKKHK>XNDDWUQXXVFQOU;XTUJWVRRXMSWSOP<XXXWU"
+)
+#: Chances of the next kind (lower, upper, digit, separator) by the kind before.
+MOVES = {
+    "start": (0.45, 0.35, 0.15, 0.05), "lower": (0.86, 0.05, 0.04, 0.05), "upper": (0.42, 0.48, 0.05, 0.05),
+    "digit": (0.07, 0.07, 0.76, 0.10), "separator": (0.42, 0.15, 0.18, 0.25),
+}
+#: Upper-case letters are abbreviations as often as words, so half of their chance is uniform.
+ABBREVIATED = 0.5
+#: What a separator between groups costs at most.
+SEPARATOR_COST = 2.0
 SPAN = "struct<kind:int,start:int,end:int>"
 BINS = 300
 
@@ -85,13 +112,37 @@ def upper_tail(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(z * 1.5976 + z * z * z * 0.07056))
 
 
-def encoding_of(token: Column) -> Column:
-    mixed = F.rlike(token, F.lit("[0-9]")) & F.rlike(token, F.lit("[a-z]")) & F.rlike(token, F.lit("[A-Z]"))
-    return (
-        F.when(F.rlike(token, F.lit("^(?:[0-9a-f]*[0-9][0-9a-f]*|[0-9A-F]*[0-9][0-9A-F]*)$")), F.lit("hex"))
-        .when(F.rlike(token, F.lit("^[A-Z2-7]*[2-7][A-Z2-7]*$")), F.lit("base32"))
-        .when(mixed, F.lit("base64"))
-    )
+def text_costs() -> list[int]:
+    """Cost in hundredths of a decade of each of ``CHARACTERS`` after the start (row 0) or each of them."""
+    kind_of = lambda c: 0 if c in LOWER else 1 if c in UPPER else 2 if c in DIGITS else 3
+    kinds, out = list(MOVES.values()), []
+    for before in ("", *CHARACTERS):
+        first = kind_of(before) if before else -1
+        for c in CHARACTERS:
+            kind = kind_of(c)
+            chance = 1 / (10 if kind == 2 else len(SEPARATORS))
+            if kind < 2:
+                # an upper-case letter after a lower-case one begins a word
+                row = LOWER.index(before.lower()) + 1 if 0 <= first < 2 and (first, kind) != (0, 1) else 0
+                chance = 10 ** ((48 - ord(LETTERS[26 * row + LOWER.index(c.lower())])) / 20)
+                chance = chance if kind == 0 else (1 - ABBREVIATED) * chance + ABBREVIATED / 26
+            out.append(round(-100 * math.log10(kinds[first + 1][kind] * chance)))
+    return out
+
+
+def key_of(token: Column) -> Column:
+    """The token without separators where what is left is long enough and of one case, else the token."""
+    bare = F.translate(token, SEPARATORS, "")
+    return F.when((F.length(bare) >= 16) & F.rlike(bare, F.lit("^(?:[0-9a-z]*|[0-9A-Z]*)$")), bare).otherwise(token)
+
+
+def encoding_of(key: Column) -> Column:
+    """The smallest alphabet that holds the key; there is one for every candidate."""
+    patterns = {
+        "hex": "[0-9a-f]*|[0-9A-F]*", "lower": "[a-z]*", "upper": "[A-Z]*", "base32": "[A-Z2-7]*", "base32-lower": "[a-z2-7]*",
+        "base36": "[0-9a-z]*", "base36-upper": "[0-9A-Z]*", "letters": "[A-Za-z]*",
+    }
+    return F.coalesce(*[F.when(F.rlike(key, F.lit(f"^(?:{p})$")), F.lit(n)) for n, p in patterns.items()], F.lit("base64"))
 
 
 def randomness(codes: Column, symbols: Column) -> Column:
@@ -122,36 +173,37 @@ def randomness(codes: Column, symbols: Column) -> Column:
     return let(codes, tests)
 
 
-def text_chance(codes: Column, encoding: Column) -> Column:
-    """Chance that ordinary text of this length looks as random."""
-    n = F.size(codes).cast("double")
+def text_chance(token: Column, key: Column, symbols: Column) -> Column:
+    """log10 of the chance that ordinary text looks as little like text; 0 at most."""
+    costs = F.split(F.lit(",".join(map(str, text_costs()))), ",").cast("array<int>")  # folded to a constant
+    width = len(CHARACTERS)
 
-    def coincidence(cs: Column) -> Column:
-        same = F.aggregate(
-            F.transform(F.array_distinct(cs), lambda c: F.size(F.filter(cs, lambda x: x == c)).cast("double")),
-            F.lit(0.0), lambda acc, c: acc + c * (c - 1) / 2,
-        )
-        mean = n * (n - 1) / 2 * TEXT_PAIRS
-        spread = F.sqrt(n * (n - 1) / 2 * (TEXT_PAIRS - TEXT_PAIRS**2) + n * (n - 1) * (n - 2) * (TEXT_TRIPLES - TEXT_PAIRS**2))
-        return upper_tail((mean - same) / spread)
+    def step(acc: Column, c: Column) -> Column:
+        at = F.instr(F.lit(CHARACTERS), c)
+        return F.struct(at.alias("before"), (acc["cost"] + F.get(costs, acc["before"] * width + at - 1)).alias("cost"))
 
-    return F.when(encoding == "hex", F.exp(n * math.log(TEXT_HEX))).otherwise(let(codes, coincidence))
+    zero = F.struct(F.lit(0).alias("before"), F.lit(0).cast("int").alias("cost"))
+    cost = F.aggregate(F.split(token, ""), zero, step, lambda acc: acc["cost"] / 100)
+    groups = F.lit(SEPARATOR_COST) * (F.length(token) - F.length(key))
+    return F.least(F.lit(0.0), F.length(key) * F.log10(symbols) + groups + math.log10(len(ALPHABETS)) - cost)
 
 
 def candidates(text: Column, base: Column) -> Column:
     """Tested runs outside base spans: (start, end, encoding, length class, p_random, bin of p_text)."""
     runs = F.filter(found(text, CANDIDATE, 1), lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    bare = lambda x: F.regexp_replace(x["match"], "=+$", "")
-    named = F.transform(runs, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), bare(x).alias("token"), encoding_of(bare(x)).alias("enc")))
-    named = F.filter(named, lambda x: x["enc"].isNotNull() & (F.length(x["token"]) >= 20))
+    ends = lambda x: (x["start"].alias("start"), x["end"].alias("end"))
+    named = F.transform(runs, lambda x: F.struct(*ends(x), F.regexp_replace(x["match"], "=+$", "").alias("token")))
+    named = F.filter(named, lambda x: F.length(x["token"]) >= 16)
+    named = F.transform(named, lambda x: F.struct(*ends(x), x["token"].alias("token"), key_of(x["token"]).alias("key")))
+    named = F.transform(named, lambda x: F.struct(*ends(x), x["token"].alias("token"), x["key"].alias("key"), encoding_of(x["key"]).alias("enc")))
 
     def test(x: Column) -> Column:
         alphabet = F.element_at(F.create_map(*[F.lit(v) for kv in ALPHABETS.items() for v in kv]), x["enc"])
         symbols = F.length(alphabet).cast("double")
-        token = F.when(x["enc"] == "hex", F.lower(x["token"])).otherwise(x["token"])
-        codes = F.transform(F.split(token, ""), lambda c: F.instr(alphabet, c).cast("double") - 0.5)
-        bits = F.floor(F.log2(F.length(x["token"]).cast("double"))).cast("int")
-        chance = F.floor(F.log10(text_chance(codes, x["enc"])) * -10).cast("int")
+        key = F.when(x["enc"] == "hex", F.lower(x["key"])).otherwise(x["key"])
+        codes = F.transform(F.split(key, ""), lambda c: F.instr(alphabet, c).cast("double") - 0.5)
+        bits = F.floor(F.log2(F.length(x["key"]).cast("double"))).cast("int")
+        chance = F.floor(text_chance(x["token"], x["key"], symbols) * -10).cast("int")
         return F.struct(
             x["start"].alias("start"), x["end"].alias("end"), x["enc"].alias("enc"), bits.alias("bits"),
             randomness(codes, symbols).alias("p"), F.least(chance, F.lit(BINS)).alias("bin"),
@@ -169,7 +221,7 @@ def examine(df: DataFrame) -> DataFrame:
 def cutoffs(tested: DataFrame, rate: float, alpha: float) -> dict[tuple[str, int], int]:
     """The least bin that counts as a discovery, by encoding and length class.
 
-    A histogram by encoding (3), length class (below 32) and bin (to ``BINS``) stands for all
+    A histogram by encoding (9), length class (below 32) and bin (to ``BINS``) stands for all
     candidates, so what comes to the driver is bounded. Step-up: the largest p-value (a bin's upper
     edge) with p * tests <= rate * discoveries.
     """
