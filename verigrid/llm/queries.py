@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verigrid.llm import ann, jaccard, licenses, mixing, packing, quality, secrets, suffix_dedup, token_files, url_filter
+from verigrid.llm import ann, jaccard, licenses, mixing, packing, prefix_trie, quality, secrets, suffix_dedup, token_files, url_filter
 from verigrid.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,48 @@ WITH sized AS (
 SELECT p.doc_id, p.size, p.source_size, p.target,
        ((floor((p.i + 1) * p.rate + b.u) - floor(p.i * p.rate + b.u)) * p.size)::BIGINT AS taken
 FROM placed p JOIN best b ON p.source IS NOT DISTINCT FROM b.source"""
+
+
+@register
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+SQL["op13_prefix_trie"] = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS rank
+  FROM conversations WHERE conv_id IS NOT NULL
+), sizes AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, count(*) AS n,
+         xor(4294967295, list_reduce(
+           list_prepend(4294967295::BIGINT, list_transform(range(1, length(conv_id::VARCHAR) + 1), lambda i: ascii(substr(conv_id::VARCHAR, i, 1))::BIGINT)),
+           lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+             lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))) % 4 AS h
+  FROM turns GROUP BY conv_id
+), convs AS (
+  SELECT s.conv_id, s.base, s.h, least(s.h, coalesce(b.n, 0)) AS m, least(s.h, coalesce(b.n, 0)) + greatest(s.n - s.h, 0) AS length
+  FROM sizes s LEFT JOIN sizes b ON b.conv_id = s.base
+), rebuilt AS (
+  SELECT c.conv_id, t.rank AS d, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.rank <= c.m
+  UNION ALL
+  SELECT c.conv_id, t.rank - c.h + c.m, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.rank > c.h
+), prefixes AS (
+  SELECT conv_id, d, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS words,
+         string_agg(md5(md5(role) || md5(text)), '') OVER (PARTITION BY conv_id ORDER BY d) AS key
+  FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), nodes AS (
+  SELECT p.key, p.d, count(*) AS n_convs, min(p.conv_id) AS conv_id, any_value(p.words) AS words,
+         sha256(coalesce(string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) FILTER (c.length = p.d), '')) AS ends_sha256
+  FROM prefixes p JOIN convs c USING (conv_id) GROUP BY p.key, p.d
+), children AS (
+  SELECT left(key, length(key) - 32) AS key, count(*) AS n FROM nodes WHERE d > 0 GROUP BY 1
+), below AS (
+  SELECT n.key, sum((m.n_convs - 1) * m.words)::BIGINT AS saved_tokens, count(*) FILTER (k.n IS NULL) AS n_leaves
+  FROM nodes n JOIN nodes m ON starts_with(m.key, n.key) LEFT JOIN children k ON k.key = m.key GROUP BY n.key
+)
+SELECT n.conv_id, n.d::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0)::BIGINT AS n_children,
+       b.n_leaves, b.saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b USING (key) LEFT JOIN children k USING (key)
+LEFT JOIN nodes p ON n.d > 0 AND p.key = left(n.key, length(n.key) - 32)"""
