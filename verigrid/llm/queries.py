@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verigrid.llm import ann, jaccard, licenses, mixing, packing, prefix_trie, quality, secrets, suffix_dedup, token_files, url_filter
+from verigrid.llm import ann, hard_negatives, jaccard, licenses, mixing, packing, prefix_trie, quality, secrets, suffix_dedup, token_files, url_filter
 from verigrid.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,6 +161,33 @@ SELECT p.doc_id, p.size, p.source_size, p.target,
 FROM placed p JOIN best b ON p.source IS NOT DISTINCT FROM b.source"""
 
 
+@register
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, moved)
+
+
+SQL["op11_hard_negatives"] = """
+WITH valid AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.q, c.q)::BIGINT AS score
+  FROM valid a JOIN valid c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id, (row_number() OVER w)::INTEGER AS rank, n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER w <= 3"""
+
+
 @register
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
