@@ -129,7 +129,7 @@ def mine(
     vectors: DataFrame, anchor: Column, label: Column | None = None, scale: int = 256, positives: int = 5,
     negatives: int = 3, low: int = 50, high: int = 95, rows: int = 2048, block: int = 512,
 ) -> DataFrame:
-    """Hard negatives of the rows that ``anchor`` holds for (schema ``RESULT``).
+    """Hard negatives of the rows that ``anchor``, an expression over ``vec_id``, holds for (schema ``RESULT``).
 
     ``vectors`` needs ``vec_id``, ``embedding`` and, unless ``label`` is given, ``label``. Rows with a
     null id, label or vector, with a null or non-finite component, or of another length than most

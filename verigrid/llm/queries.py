@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verigrid.llm import ann, hard_negatives, jaccard, licenses, mixing, packing, prefix_trie, quality, secrets, suffix_dedup, token_files, url_filter
+from verigrid.llm import ann, hard_negatives, jaccard, licenses, mixing, packing, prefix_trie, quality, secrets, suffix_dedup, token_files, url_filter, vector_dedup
 from verigrid.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,6 +188,30 @@ WINDOW w AS (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.ve
 QUALIFY row_number() OVER w <= 3"""
 
 
+@register
+def op12_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.groups(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op12_vector_dedup"] = """
+WITH RECURSIVE valid AS (
+  SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM valid a JOIN valid b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.x, b.x) >= 0.9
+), reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other
+), counts AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+), labels AS (
+  SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
+)
+SELECT e.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN labels l USING (vec_id) LEFT JOIN counts c ON c.a = e.vec_id"""
+
+
 @register
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
