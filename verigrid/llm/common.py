@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,6 +24,20 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [text or "" for text in batch.column(name).to_pylist()]
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches in short parts, so that few texts are Python objects at a time."""
+    for batch in batches:
+        yield from (batch.slice(first, rows) for first in range(0, batch.num_rows, rows))
+
+
+def give_back() -> None:
+    """Memory of batches and arrays that are gone goes back to the system, not only to the allocators."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other systems' allocators do without
+    if trim is not None:
+        trim(0)
+
+
 def slices(texts: list[str], size: int) -> Iterator[tuple[int, int]]:
     """Cut a list of texts into runs of about ``size`` characters, so memory follows the run."""
     first = held = 0

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verigrid.llm.common import stage, texts_of
+from verigrid.llm.common import give_back, stage, texts_of
 from verigrid.llm.graph import components
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
@@ -107,6 +107,8 @@ def sets_and_counts(docs: DataFrame, width: int, block: int) -> DataFrame:
             yield rows([batch.column(0), *zip(*out, strict=True), None, None])
         if held:
             yield counted()
+        hashes, held, seen = WordHashes(), [], set()
+        give_back()
 
     return docs.mapInArrow(run, "doc_id bigint, n int, c1 bigint, c2 bigint, token bigint, found int")
 
@@ -137,6 +139,8 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) ->
                 columns.append(np.repeat(np.array([p[3] for p in parts], np.int32), lengths))
                 columns.append(np.concatenate([np.arange(n, dtype=np.int32) for n in lengths]))
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "c1", "c2", "n", "pos"])
+        hashes, parts = WordHashes(), []
+        give_back()
 
     return docs.select("text").mapInArrow(run, POSTING)
 
@@ -204,6 +208,8 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int, bits: int = 24) -> Data
             rows = pa.array(np.flatnonzero(bitmap[slots >> 5] >> (slots & 31).astype(np.uint32) & 1))
             tokens = [shingle_set(t or "", width, hashes).tobytes() for t in batch.column(1).take(rows).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array(tokens, pa.binary())], ["doc_id", "tokens"])
+        hashes, tokens = WordHashes(), []
+        give_back()
 
     found = docs.select("doc_id", "text", slot).mapInArrow(run, "doc_id bigint, tokens binary")
     sets = stage(found, "pair-sets")

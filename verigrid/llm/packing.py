@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from verigrid.llm.common import slices, texts_of
+from verigrid.llm.common import give_back, parts, slices, texts_of
 from verigrid.llm.tokens import encoder
 
 PIECES = (
@@ -122,7 +122,7 @@ def powers_of_two(pieces: list[tuple[int, int, int]], capacity: int) -> list[lis
 
 def pack(
     docs: DataFrame, vocabulary_path: str, end_id: int, spaced: bool = False, capacity: int = 2048,
-    group: int = 8_000_000,
+    group: int = 4_000_000, most: int = 150_000, room: int = 4_000_000,
 ) -> DataFrame:
     """Encode every text and pack it; one row per piece (schema ``PIECES``).
 
@@ -130,11 +130,12 @@ def pack(
     are cut off, so memory is bounded and nothing is shuffled; ``sequence_id`` holds the partition
     in its upper half. ``ids`` are little-endian unsigned 32-bit integers. A null or empty text is
     a document of the end id alone, repeated rows are packed each, an empty table gives no rows,
-    other columns are ignored. One document's ids must fit in a task's memory.
+    other columns are ignored. One document's ids must fit in a task's memory; ``most`` and ``room``
+    bound the worker's two tables of known words.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(vocabulary_path, spaced)
+        words = encoder(vocabulary_path, spaced, most=most, room=room)
         following = TaskContext.get().partitionId() << 32
         rest: list[tuple] = []  # document, first id kept, all ids of the document, what is left of them
         waiting = 0
@@ -158,15 +159,16 @@ def pack(
                     out.append((doc, first + start, length, part, total, following, offset))
                     offset += length
                 following += 1
-                if len(out) >= 4096:
+                if len(out) >= 512:
                     yield rows(out)
                     out = []
             if out:
                 yield rows(out)
             rest.clear()
             waiting = 0
+            give_back()
 
-        for batch in batches:
+        for batch in parts(batches):
             ids_of_docs, texts = batch.column(0).to_pylist(), texts_of(batch)
             for a, b in slices(texts, 1_000_000):
                 ids, counts = words.encode(texts[a:b])

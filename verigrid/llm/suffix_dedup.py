@@ -21,7 +21,6 @@ Documents equal to a smaller one are removed whole by their hash.
 
 from __future__ import annotations
 
-import ctypes
 import hashlib
 import struct
 from collections.abc import Iterator
@@ -32,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verigrid.llm.common import stage
+from verigrid.llm.common import give_back, stage
 from verigrid.llm.jaccard import id_filter
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -122,14 +121,6 @@ class Block:
         return np.frombuffer(b"".join(self.texts), np.uint8), ends, np.array(self.ids, np.int64)
 
 
-def give_back() -> None:
-    """Memory of batches and arrays that are gone goes back to the system, not only to the allocators."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other systems' allocators do without
-    if trim is not None:
-        trim(0)
-
-
 def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Block]:
     block = Block()
     for batch in batches:

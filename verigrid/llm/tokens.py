@@ -66,11 +66,12 @@ class WordEncoder:
     """Encodes batches of texts with a file of the tokenizers library.
 
     ``spaced`` tells that blanks belong to the ids (byte-level vocabularies); otherwise the
-    vocabulary drops blanks and case. The table of known words is emptied at ``most`` words or
-    ``room`` characters, so its memory is bounded whatever the corpus holds.
+    vocabulary drops blanks and case. At ``most`` words or ``room`` characters the table of known
+    words becomes the old table, from which words that come again are taken over, and the table
+    that was old goes; memory is bounded whatever the corpus holds and frequent words stay known.
     """
 
-    def __init__(self, path: str, spaced: bool, most: int = 1_500_000, room: int = 64_000_000):
+    def __init__(self, path: str, spaced: bool, most: int = 750_000, room: int = 32_000_000):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -79,6 +80,12 @@ class WordEncoder:
         self.lead = _SHOWN[ord(" ")] if spaced else ""
         self.most, self.room = most, room
         self._clear()
+        self._age()
+
+    def _age(self) -> None:
+        """The table becomes the old one and a new one is begun."""
+        self.old, self.old_flat, self.old_first, self.old_count = self.known, self.flat, self.first, self.count
+        self._clear()
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
@@ -121,8 +128,21 @@ class WordEncoder:
             ends.append(len(flat))
         return np.array(flat, np.uint32), np.diff(np.array(ends, np.int64), prepend=0)
 
+    def _taken_over(self, at: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of the old table."""
+        first, count = self.old_first[at], self.old_count[at]
+        before = np.cumsum(count) - count
+        return self.old_flat[np.repeat(first - before, count) + np.arange(count.sum())], count
+
     def _learn(self, keys: list[str]) -> None:
-        flat, count = self._ids(keys)
+        at = [self.old.get(key, -1) for key in keys]
+        again, fresh = ([k for k, i in zip(keys, at, strict=True) if (i >= 0) == old] for old in (True, False))
+        self._add(again, *self._taken_over([i for i in at if i >= 0]))
+        self._add(fresh, *self._ids(fresh))
+
+    def _add(self, keys: list[str], flat: np.ndarray, count: np.ndarray) -> None:
+        if not keys:
+            return
         first = self.flat.size + np.cumsum(count) - count
         self.known.update(zip(keys, range(self.first.size, self.first.size + len(keys)), strict=True))
         self.held += sum(map(len, keys))
@@ -133,7 +153,7 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many belong to each text."""
         if len(self.known) > self.most or self.held > self.room:
-            self._clear()
+            self._age()
         keys: list[str] = []
         ends = np.zeros(len(texts) + 1, np.int64)
         for i, text in enumerate(texts):
@@ -152,9 +172,9 @@ class WordEncoder:
 _ENCODERS: dict[tuple, WordEncoder] = {}
 
 
-def encoder(path: str, spaced: bool) -> WordEncoder:
-    """The worker's encoder of a vocabulary file; a reused worker keeps its table of words."""
-    key = (path, spaced)
+def encoder(path: str, spaced: bool, **bounds: int) -> WordEncoder:
+    """The worker's encoder of a vocabulary file; a reused worker keeps its tables of words."""
+    key = (path, spaced, *bounds.items())
     if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(path, spaced)
+        _ENCODERS[key] = WordEncoder(path, spaced, **bounds)
     return _ENCODERS[key]
