@@ -129,3 +129,63 @@ def test_wkb_round_trip(spark):
     df = spark.createDataFrame(polygons(), SCHEMA)
     back = df.withColumn("back", spatial.from_wkb(spatial.to_wkb(F.col("rings"))))
     assert back.filter(F.col("back") != F.col("rings")).count() == 0
+
+
+def circle(n, cx=0.3, cy=0.2, r=7.3):
+    ring = [[cx + r * math.cos(2 * math.pi * i / n), cy + r * math.sin(2 * math.pi * i / n)] for i in range(n)]
+    return [ring + [ring[0]]]
+
+
+def test_rows_below_do_not_grow_with_vertices(spark):
+    held = {}
+    for n in (2_000, 20_000, 200_000):
+        df = spark.createDataFrame([(1, circle(n))], SCHEMA)
+        pieces = spatial.cut(spatial.edges(df, ["pid"]), ["pid"], 1.0).filter("is_below")
+        held[n] = pieces.agg(F.count("*").alias("all")).first()["all"], pieces.groupBy("ix", "iy").count().agg(F.max("count")).first()[0]
+    assert max(a for a, _ in held.values()) <= 1.05 * held[2_000][0] and max(m for _, m in held.values()) <= 4, held
+
+
+def test_steps_cancel_at_every_cell_size(spark):
+    """Points high above a jagged chain, and inside and above a ring that folds back on itself."""
+    rng = random.Random(11)
+    jagged = [[i / 10, rng.choice([0.0, 0.05, 0.3])] for i in range(101)]
+    lid = [[10.0, 9.0], [5.0, 6.5], [0.0, 9.0]]
+    folded = [[0.0, 0.0], [6.0, 0.5], [3.0, 1.0], [8.0, 1.5], [8.0, 7.0], [2.0, 7.5], [5.0, 6.0], [0.0, 6.0], [0.0, 0.0]]
+    shapes = [(1, [jagged + lid + [jagged[0]]]), (2, [folded])]
+    points = [(i, rng.uniform(-1, 11), rng.uniform(-1, 10)) for i in range(400)]
+    want = {(i, p) for i, x, y in points for p, rings in shapes if covers(rings, x, y)}
+    pts, df = spark.createDataFrame(points, "id long, x double, y double"), spark.createDataFrame(shapes, SCHEMA)
+    for size in (0.25, 1.0, 3.7):
+        assert {tuple(r) for r in spatial.points_in_polygons(pts, df, "id", ["pid"], size).collect()} == want, size
+
+
+def square(x, y, a=1.0):
+    return [[[x, y], [x + a, y], [x + a, y + a], [x, y + a], [x, y]]]
+
+
+def test_equal_shapes_and_shared_borders_do_not_crowd_a_cell(spark):
+    schema = "g string, pid int, rings array<array<array<double>>>"
+    tilted = [[[0.0, 0.0], [3.0, 1.0], [2.0, 4.0], [-1.0, 3.0], [0.0, 0.0]]]
+    for n in (1_000, 4_000):
+        df = spark.createDataFrame([("a", i, tilted) for i in range(n)], schema)
+        for once in (False, True):
+            assert abs(spatial.union_area(df, "g", "pid", 50.0, limit=20, turns_once=once).first()["union_area"] - 10) < 1e-9
+    # a full board of squares is one square, whatever its fields: four lines of which two are left
+    board = spark.createDataFrame([("b", 40 * i + j, square(float(i), float(j))) for i in range(40) for j in range(40)], schema)
+    lines = spatial.merged_lines(spatial.edges(board, ["g", "pid"]).drop("pid"), ["g"])
+    assert sorted((r.x1, r.y1, r.x2, r.y2, r.w) for r in lines.collect()) == [(0, 0, 40, 0, 1), (0, 40, 40, 40, -1)]
+    assert spatial.union_area(board, "g", "pid", 64.0, turns_once=True).first()["union_area"] == 1600
+
+
+def test_refinement_goes_as_far_as_it_helps(spark):
+    """A crowd of small squares in one corner of a large cell needs more than three rounds."""
+    squares = [("c", i, square(i % 20 / 4096, i // 20 / 4096, 1 / 8192)) for i in range(400)]
+    df = spark.createDataFrame(squares, "g string, pid int, rings array<array<array<double>>>")
+    area = spatial.union_area(df, "g", "pid", 4096.0, limit=30).first()["union_area"]
+    assert abs(area - 400 / 8192**2) < 1e-15
+
+
+def test_union_counts_parity_where_polygons_do_not_turn_once(spark):
+    twice = [square(0.0, 0.0)[0], square(0.0, 0.0)[0]]
+    df = spark.createDataFrame([("d", 1, twice), ("d", 2, square(0.5, 0.0))], "g string, pid int, rings array<array<array<double>>>")
+    assert abs(spatial.union_area(df, "g", "pid", 3.0).first()["union_area"] - 1) < 1e-12

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from verigrid.functions.geometry import ring_area, ring_is_closed, rings_bound, segments
@@ -161,6 +162,43 @@ def edges(polygons: DataFrame, keys: Sequence[str], transform=None) -> DataFrame
     )
 
 
+def shape_mark(rings: Column) -> Column:
+    """A 256-bit hash of the vertices; a double's text is exact, so equal marks mean equal shapes."""
+    return F.sha2(rings.cast("string"), 256)
+
+
+def merged_lines(edge_rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same winding with each stretch of a line once per owner.
+
+    An edge becomes a step at either end of its stretch of its line; steps at one place are
+    added up, and between what is left the running sum of the line is the new direction.
+    Repeated edges become one, opposite ones vanish, and neighbours that share a border lose
+    it. Upright edges turn nothing and go; only areas may be taken from the result.
+    """
+    slope = (F.col("y2") - F.col("y1")) / (F.col("x2") - F.col("x1"))
+    lined = edge_rows.filter((F.col("w") != 0) & (F.col("x1") < F.col("x2"))).withColumn("m", slope)
+    lined = lined.withColumn("c", F.col("y1") - F.col("m") * F.col("x1"))
+    ends = F.array(
+        F.struct(F.col("x1").alias("x"), F.col("y1").alias("y"), F.col("w").cast("bigint").alias("s")),
+        F.struct(F.col("x2").alias("x"), F.col("y2").alias("y"), (-F.col("w")).cast("bigint").alias("s")),
+    )
+    steps = (
+        lined.select(*keys, "m", "c", "top", F.inline(ends)).groupBy(*keys, "m", "c", "x")
+        .agg(F.sum("s").alias("s"), F.min("y").alias("y"), F.max("top").alias("top"))
+        .filter("s <> 0")
+    )
+    along = W.partitionBy(*keys, "m", "c").orderBy("x")
+    swept = steps.withColumns(
+        {
+            "turns": F.sum("s").over(along.rowsBetween(W.unboundedPreceding, 0)),
+            "x2": F.lead("x").over(along), "y2": F.lead("y").over(along),
+        }
+    )
+    return swept.filter("turns <> 0 AND x2 IS NOT NULL").select(
+        *keys, "top", F.col("x").alias("x1"), F.col("y").alias("y1"), "x2", "y2", F.col("turns").cast("int").alias("w")
+    )
+
+
 def cell_of(x: Column, step: Column) -> Column:
     """The cell whose borders, as they are computed elsewhere, hold x.
 
@@ -174,11 +212,14 @@ def cell_of(x: Column, step: Column) -> Column:
 def cut(edge_rows: DataFrame, keys: Sequence[str], size: float) -> DataFrame:
     """Spread edges over square cells (ix, iy).
 
-    A cell gets the edges that touch it, and, for every polygon, what lies straight
-    below it: those edges only matter by their direction, so they are summed into at
-    most a few rows per polygon and cell. The polygon covers a point of the cell when the
-    directions below the point do not cancel out. ``xa`` to ``xb`` is the part of the
-    edge inside the strip.
+    A cell gets the edges that touch it, and, for every polygon, winding steps: what lies
+    wholly below the cell only matters by its direction, so an edge below becomes +w where
+    it begins and -w where it ends. Steps of neighbouring edges cancel at the vertex they
+    share, so a chain leaves its two ends however many vertices it has. What is left at one x
+    is carried upwards, row of cells by row of cells, until later steps cancel it. A step
+    row holds from ``xa`` to the right side of its strip (``xb``); the polygon covers a point
+    when the steps up to it and the edges below it do not cancel out. For edges, ``xa`` to
+    ``xb`` is the part inside the strip.
     """
     step = F.lit(float(size))
     strips = edge_rows.withColumn(
@@ -205,12 +246,31 @@ def cut(edge_rows: DataFrame, keys: Sequence[str], size: float) -> DataFrame:
     own = spans.withColumn("iy", F.explode(F.sequence(first, last_own))).select(
         *keys, "ix", "iy", "x1", "y1", "x2", "y2", "xa", "xb", "w", F.lit(False).alias("is_below")
     )
-    above = (
+    right = (F.col("ix") + 1) * step
+    ends = F.array(
+        F.struct(F.col("xa").alias("x"), F.col("w").cast("bigint").alias("s")),
+        F.struct(F.col("xb").alias("x"), (-F.col("w")).cast("bigint").alias("s")),
+    )
+    steps = (
         spans.filter((F.col("w") != 0) & (F.col("xa") < F.col("xb")) & (last_own < last))
-        .withColumn("iy", F.explode(F.sequence(last_own + 1, last)))
-        .groupBy(*keys, "ix", "iy", "xa", "xb")
-        .agg(F.sum("w").alias("w"))
-        .filter("w <> 0")
+        .select(*keys, "ix", (last_own + 1).alias("iy"), last.alias("last"), F.inline(ends))
+        .filter(F.col("x") < right)
+        .groupBy(*keys, "ix", "x", "iy")
+        .agg(F.sum("s").alias("s"), F.max("last").alias("last"))
+        .filter("s <> 0")
+    )
+    # at most one row per row of cells
+    upwards = W.partitionBy(*keys, "ix", "x").orderBy("iy")
+    above = (
+        steps.withColumns(
+            {
+                "w": F.sum("s").over(upwards.rowsBetween(W.unboundedPreceding, 0)),
+                "until": F.coalesce(F.lead("iy").over(upwards) - 1, F.col("last")),
+            }
+        )
+        .filter("w <> 0 AND iy <= until")
+        .withColumn("iy", F.explode(F.sequence("iy", "until")))
+        .withColumns({"xa": F.col("x"), "xb": right, "w": F.col("w").cast("int")})
     )
     none = F.lit(None).cast("double")
     above = above.select(
@@ -365,21 +425,22 @@ def _cell_areas(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["grp", "level", "polygon", "kind", "area", "low_turn", "high_turn"])
 
 
-def _by_cells(spread, size: float, limit: int, factor: int = 8, rounds: int = 3) -> DataFrame:
+def _by_cells(spread, size: float, limit: int, factor: int = 8) -> DataFrame:
     """Pieces per group and cell, with crowded cells cut again into smaller ones.
 
     ``spread(cell, involved)`` cuts edges into cells of one size, only those of the given
     (grp, polygon) pairs when there are any. Cells are independent, so cutting some of
     them finer leaves every sum as it is. ``factor`` is a power of two, so the small cells
     tile the large one exactly. A cell is crowded by the edges that touch it, not by what
-    lies below. Cutting stops when no cell holds more than ``limit`` edges, and for cells
-    where it no longer helps: edges that lie on each other stay together at any size.
+    lies below. A cell is cut as long as that halves its edges, so the number of rounds
+    follows from the data; lines that lie on each other were merged before, and what stays
+    together at any size are lines through one point.
     """
     cell = ["grp", "ix", "iy"]
     unknown = F.lit(None).cast("bigint")
     current = materialize(spread(size, None).withColumn("held", unknown), "pieces")
     done = None
-    for _ in range(rounds):
+    while True:
         counted = current.groupBy(*cell).agg(
             F.count_if(~F.col("is_below")).alias("n"), F.max("held").alias("before")
         )
@@ -408,6 +469,7 @@ def _own_cells(rows: DataFrame, group: Column, polygon: Column, keys: Sequence[s
     named = rows.withColumns({"grp": group.cast("string"), "polygon": polygon.cast("string")}).drop(
         *[k for k in keys if k not in ("grp", "polygon")]
     )
+    named = merged_lines(named, ["grp", "polygon"])
     # the row keeps its own copy, so both branches of a refinement read the same edges
     named = materialize(named, "edges")
 
@@ -446,12 +508,23 @@ def measure_polygons(polygons: DataFrame, key: str, size: float, transform=None,
 
 
 def union_area(
-    polygons: DataFrame, group: str, polygon_id: str, size: float, transform=None, limit: int = 2000
+    polygons: DataFrame, group: str, polygon_id: str, size: float, transform=None, limit: int = 2000,
+    turns_once: bool = False,
 ) -> DataFrame:
-    """Dissolved area of all polygons of a group: a spatial union aggregate, cell by cell."""
-    rows = edges(polygons, [group, polygon_id], transform)
-    pieces = _own_cells(rows, F.col(group), F.col(polygon_id), [group, polygon_id], size, limit)
-    return _areas(pieces).filter("kind = 'UNION'").groupBy(F.col("grp").alias(group)).agg(
+    """Dissolved area of all polygons of a group: a spatial union aggregate, cell by cell.
+
+    Equal shapes of a group are swept once. ``turns_once`` says that every polygon is known
+    to turn 0 or 1 times around every point (see ``measure_polygons``). Turns then add up
+    over polygons, so a group is one owner whose edges are merged on each line: borders that
+    neighbours share vanish, and a cell holds as many edges as it has different lines.
+    """
+    shapes = polygons.select(group, polygon_id, "rings", shape_mark(F.col("rings")).alias("mark"))
+    shapes = shapes.groupBy(group, "mark").agg(F.min(polygon_id).alias(polygon_id), F.any_value("rings").alias("rings"))
+    rows = edges(shapes, [group, polygon_id], transform)
+    owner = F.lit("all") if turns_once else F.col(polygon_id)
+    pieces = _own_cells(rows, F.col(group), owner, [group, polygon_id], size, limit)
+    kind = "NONZERO" if turns_once else "UNION"
+    return _areas(pieces).filter(F.col("kind") == kind).groupBy(F.col("grp").alias(group)).agg(
         F.sum("area").alias("union_area")
     )
 
@@ -477,16 +550,23 @@ def overlay_area(
     cells; cells are independent, so the sum stays exact.
     """
     copies = (
-        polygons.select("polygon_id", "level", "rings", F.xxhash64("level", "rings").alias("mark"))
-        .groupBy("level", "rings", "mark")
-        .agg(F.count(F.lit(1)).alias("copies"), F.min("polygon_id").cast("string").alias("polygon"))
+        polygons.select("polygon_id", "level", "rings", shape_mark(F.col("rings")).alias("mark"))
+        .groupBy("level", "mark")
+        .agg(
+            F.count(F.lit(1)).alias("copies"), F.min("polygon_id").cast("string").alias("polygon"),
+            F.any_value("rings").alias("rings"),
+        )
     )
     copies = materialize(copies, "shapes")
     shape_edges = materialize(
-        edges(copies.select("polygon", "level", "rings"), ["polygon", "level"], transform), "shape-edges"
+        merged_lines(
+            edges(copies.select("polygon", "level", "rings"), ["polygon", "level"], transform), ["polygon", "level"]
+        ),
+        "shape-edges",
     )
     clip_edges = materialize(
-        edges(regions.select(F.col("region").alias("grp"), "rings"), ["grp"], transform), "clip-edges"
+        merged_lines(edges(regions.select(F.col("region").alias("grp"), "rings"), ["grp"], transform), ["grp"]),
+        "clip-edges",
     )
 
     def spread(cell: float, involved) -> DataFrame:
