@@ -43,12 +43,65 @@ def test_line_scan_is_strict(spark):
             snapshot.scan_lines(spark, written(bad), ["id", "value"]).collect()
 
 
-def test_line_scan_stops_at_open_quotes(spark):
-    with pytest.raises(Exception, match="open quote"):
-        snapshot.scan_lines(spark, written('id,value\n1,"x\n'), ["id", "value"]).collect()
-
-
-@pytest.mark.parametrize(("text", "status"), [("id,value\n1,a\n2,b\n", "PASS"), ("id,value\n1,a\nid,value\n2,b\n", "FAIL"), ("1,a\n2,b\n", "FAIL")])
+@pytest.mark.parametrize("line", ['1,"x', '1,"a"b', '1,"a"b"c"', '"1"2,a', '1,"a" ', '1,a\rb', '1,"a""', '1,2,""b"'])
+def test_line_scan_stops_at_bad_quoting(spark, line):
+    with pytest.raises(Exception, match="no well-formed record"):
+        snapshot.scan_lines(spark, written(f"id,value\n{line}\n"), ["id", "value"]).collect()
+
+
+def test_line_scan_reads_what_is_well_formed(spark):
+    text = '\ufeff"id",value\r\n1,a"b\r\n"2",""\r\n3,"""x"", y"\r\n4,\r\n5," s "\r\n'
+    rows = snapshot.scan_lines(spark, written(text), ["id", "value"]).collect()
+    assert [tuple(r) for r in rows] == [("1", 'a"b'), ("2", ""), ("3", '"x", y'), ("4", ""), ("5", " s ")]
+    long = '""'.join(["x" * 50] * 40_000)
+    assert snapshot.scan_lines(spark, written(f'id,value\n1,"{long}"\n'), ["id", "value"]).first()["value"] == long.replace('""', '"')
+
+
+def test_each_file_begins_with_the_header(spark):
+    path = Path(written("id,value\n1,a\n", "a.csv")).parent
+    (path / "b.csv").write_text("2,b\nid,value\n")
+    with pytest.raises(Exception, match="not the header"):
+        snapshot.scan_lines(spark, str(path), ["id", "value"]).collect()
+
+
+def test_records_with_line_breaks_are_read_by_many_splits(spark):
+    """Fields with line breaks, doubled quotes and commas, cut into splits of a few hundred bytes."""
+    import csv
+    import io
+    import random
+
+    rng = random.Random(8)
+    fields = ["", "a", "b,c", 'say "hi"', "two\nlines", '"\n"', "\n\n\n", "x" * 90, "line\r\nend", "word\n" * 200]
+    rows = [[str(i), rng.choice(fields), rng.choice(fields)] for i in range(600)]
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\r\n").writerows([["id", "a", "b"], *rows])
+    path = Path(written(out.getvalue(), "a.csv")).parent
+    (path / "b.csv").write_bytes(b"id,a,b\n7,x,\"only\none\"")
+    contract = contracts.SourceContract("s", "t", {"id": ["id"]}, multi_line=True)
+    want = sorted([tuple(r) for r in rows] + [("7", "x", "only\none")])
+    default = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("134217728", "4096", "300"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            scan = snapshot.scan_csv(spark, str(path), ["id", "a", "b"], contract)
+            assert sorted(map(tuple, scan.collect())) == want, size
+            counts = snapshot.file_records(snapshot.contract_records(spark, str(path), contract), ["id", "a", "b"]).first()
+            assert tuple(counts) == (603, 2, 0)
+        assert snapshot.records(spark, str(path), multi_line=True).rdd.getNumPartitions() > 50
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+
+
+def test_escaped_quotes_and_open_ends(spark):
+    contract = contracts.SourceContract("s", "t", {"id": ["id"]}, multi_line=True, escape="\\")
+    path = written('id,v\n1,"a \\"b\\"\nc"\n2,"\\\\"\n')
+    rows = snapshot.scan_csv(spark, path, ["id", "v"], contract).collect()
+    assert [tuple(r) for r in rows] == [("1", 'a "b"\nc'), ("2", "\\")]
+    with pytest.raises(Exception, match="no well-formed record"):
+        snapshot.scan_csv(spark, written('id,v\n1,"open\n2,b\n'), ["id", "v"], contract).collect()
+
+
+@pytest.mark.parametrize(("text", "status"), [("id,value\n1,a\n2,b\n", "PASS"), ("id,value\n1,a\nid,value\n2,b\n", "FAIL")])
 def test_header_occurs_once(spark, text, status):
     path = written(text)
     rows = snapshot.scan_lines(spark, path, ["id", "value"])

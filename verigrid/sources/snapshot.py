@@ -6,66 +6,28 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from verigrid.plans.quality import Check, checks, gate
 from verigrid.sources.contracts import SourceContract, require_header
+from verigrid.sources.records import contract_records, file_records, parse_records, records
 from verigrid.operators.scale import with_context
 
 COMPLETED = ("SUCCESS", "SKIPPED_IDEMPOTENT")
 
 
-def all_strings(names: Sequence[str]) -> StructType:
-    return StructType([StructField(name, StringType()) for name in names])
-
-
 def scan_csv(spark: SparkSession, path: str, names: Sequence[str], contract: SourceContract) -> DataFrame:
-    """All-string CSV scan with a header; a malformed record stops the job."""
-    return (
-        spark.read.schema(all_strings(names))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
-        .option("multiLine", contract.multi_line)
-        .option("escape", contract.escape)
-        .csv(path)
-    )
+    """All-string scan of CSV files with a header; files are split also where fields hold line breaks."""
+    return parse_records(contract_records(spark, path, contract), names, contract.escape)
 
 
 def scan_lines(spark: SparkSession, path: str, names: Sequence[str], line_sep: str = "\n") -> DataFrame:
-    """One strict record per physical line, split at ``line_sep``; header lines are dropped.
-
-    A header that is repeated inside a file is dropped too; ``header_lines`` counts it and
-    ``reconcile_rows`` fails the load.
-
-    Each line is parsed on its own inside the JVM, so the scan splits large files. A
-    line of another width or with an open quote stops the job. An empty field is an
-    empty text: strictness leaves no other reason for a missing field.
-    """
-    header = ",".join(names)
-    lines = spark.read.option("lineSep", line_sep).text(path).filter(F.col("value") != header)
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    stop = F.raise_error(F.concat(F.lit("open quote in line: "), F.col("value")))
-    parsed = F.from_csv(
-        F.when(quotes % 2 == 0, F.col("value")).otherwise(stop), all_strings(names).simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "),
-        {"mode": "FAILFAST", "escape": '"', "maxCharsPerColumn": "-1"},
-    )
-    record = lines.select(parsed.alias("r"))
-    return record.select(*[F.coalesce(F.col(f"r.{name}"), F.lit("")).alias(name) for name in names])
+    """One strict record per physical line, split at ``line_sep``; each file begins with the header."""
+    return parse_records(records(spark, path, line_sep), names)
 
 
 def header_lines(spark: SparkSession, path: str, names: Sequence[str], line_sep: str = "\n") -> DataFrame:
-    """Physical line and header counts and the files without exactly one header, independent of the record parser."""
-    header = ",".join(names)
-    lines = spark.read.option("lineSep", line_sep).text(path)
-    files = lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(
-        F.count(F.lit(1)).alias("lines"), F.count_if(F.col("value") == header).alias("header_lines")
-    )
-    return files.agg(
-        F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"),
-        F.coalesce(F.sum("header_lines"), F.lit(0)).alias("header_lines"),
-        F.count_if(F.col("header_lines") != 1).alias("header_faults"),
-    )
+    """Line and header counts and the files without exactly one header, independent of the record parser."""
+    return file_records(records(spark, path, line_sep), names)
 
 
 def snapshot_identity(spark: SparkSession, path: str, contract: SourceContract) -> DataFrame:
