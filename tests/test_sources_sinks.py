@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from verigrid.plans import quality
 from verigrid.sinks import publish as sink
 from verigrid.sinks import upsert
-from verigrid.sources import contracts, dump_rows, snapshot
+from verigrid.sources import contracts, dump_rows, loader, snapshot
 
 CONTRACT = contracts.SourceContract("s", "t", {"id": ["ID"], "value": ["value", "amount"]}, expected_rows=2)
 
@@ -127,6 +127,47 @@ def test_load_decisions(spark):
     assert got == {"1": "LOAD", "2": "SKIPPED_IDEMPOTENT", "3": "CONFLICT", "4": "LOAD"}
 
 
+def events(spark, root):
+    rows = loader.read_audit(spark, root).orderBy("started_at", F.col("completed_at").asc_nulls_first()).collect()
+    return [(r.run_id, r.status, r.rows_loaded) for r in rows], [r.error_message for r in rows if r.status == "FAILED"]
+
+
+def test_loader_events_and_claims(spark):
+    root = folder()
+    contract = contracts.SourceContract("s", "t", {"id": ["id"], "value": ["value"]}, multi_line=True)
+    good, bad = written('id,value\n1,"a\nb"\n2,c\n'), written("id,value\n1,a\nid,value\n2,b\n")
+    go = lambda path, run, **more: loader.load(spark, path, ["id", "value"], contract, root, run, "d1", **more)
+    other = loader.Claim(spark, root, "s", "d1")
+    other.take("r0")
+    with pytest.raises(loader.SnapshotConflict, match="run r0 is loading"):
+        go(good, "r1")
+    assert sink.read_pointer(spark, root, "t") is None
+    assert go(good, "r2", take_over="r0") == ("SUCCESS", 2) and other.holder() is None
+    assert go(good, "r3") == ("SKIPPED_IDEMPOTENT", 2)
+    with pytest.raises(loader.SnapshotConflict, match="loaded from other files by run r2"):
+        go(bad, "r4")
+    with pytest.raises(quality.GateError):
+        loader.load(spark, bad, ["id", "value"], contract, root, "r5", "d2")
+    assert loader.Claim(spark, root, "s", "d2").holder() is None
+    assert sorted(r.value for r in sink.read_published(spark, root, "t").collect()) == ["a\nb", "c"]
+    log, errors = events(spark, root)
+    assert log == [("r1", "FAILED", None), ("r2", "STARTED", None), ("r2", "SUCCESS", 2), ("r3", "SKIPPED_IDEMPOTENT", 2), ("r4", "FAILED", None), ("r5", "STARTED", None), ("r5", "FAILED", None)]
+    assert "header occurs once per file" in errors[2] and all(errors)
+
+
+def test_skipped_load_needs_the_published_rows(spark):
+    """Another snapshot was published since: the same snapshot is loaded again."""
+    root = folder()
+    contract = contracts.SourceContract("s", "t", {"id": ["id"]})
+    one, two = written("id\n1\n"), written("id\n2\n3\n")
+    assert loader.load(spark, one, ["id"], contract, root, "r1", "d1") == ("SUCCESS", 1)
+    assert loader.load(spark, two, ["id"], contract, root, "r2", "d2") == ("SUCCESS", 2)
+    assert loader.load(spark, one, ["id"], contract, root, "r3", "d1") == ("SUCCESS", 1)
+    with pytest.raises(contracts.ContractError):
+        loader.load(spark, one, ["other"], contract, root, "r4", "d3")
+    assert [r.id for r in sink.read_published(spark, root, "t").collect()] == ["1"]
+
+
 def test_dump_rows_add_up(spark):
     cells = [["Title"], ["name", "n"], ["A", "1"], ["", ""], ["odd", "x"], ["Note: a", ""], ["more notes", ""], ["B", "2"], ["odd", "y"]]
     rows = spark.createDataFrame([("f", "s", i, c + [""] * (2 - len(c))) for i, c in enumerate(cells)], "file string, sheet string, row_no int, cells array<string>")

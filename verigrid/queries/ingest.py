@@ -12,28 +12,38 @@ from verigrid.queries.registry import query
 from verigrid.session import work_dir
 from verigrid.sinks import publish as sink
 from verigrid.sinks import upsert
-from verigrid.sources import contracts, dump_rows, snapshot
+from verigrid.sources import contracts, dump_rows, loader, snapshot
 from verigrid.operators.scale import with_context
 
 EVENTS = contracts.SourceContract(
-    "events_csv", "events", {"id": ["event_id", "id"], "kind": ["EVENT_TYPE"], "details": ["props", "payload"]}, version="2024-01"
+    "events_csv", "events", {"id": ["event_id", "id"], "kind": ["EVENT_TYPE"], "details": ["props", "payload"]}, version="2024-01", multi_line=True
 )
 ORDERS = contracts.SourceContract("orders", "orders", {"id": ["o_orderkey"], "money": ["amount", "total"]})
 NATIONS = contracts.SourceContract("nation", "nation", {"id": ["N_NATIONKEY"], "name": ["n_name"]}, expected_rows=25)
-NAMES = ["event_id", "event_type", "props"]
+REGIONS = contracts.SourceContract("region", "region", {"id": ["r_regionkey"], "name": ["R_NAME"]}, expected_rows=5)
+CUSTOMERS = contracts.SourceContract("customer", "customer", {"id": ["c_custkey"], "nation": ["c_nationkey"]}, version="2")
+SUPPLIERS = contracts.SourceContract("supplier", "supplier", {"id": ["s_suppkey"], "balance": ["s_acctbal", "balance"]})
+CONTRACTS = (EVENTS, ORDERS, NATIONS, REGIONS, CUSTOMERS, SUPPLIERS)
+NAMES = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+EVENT_SQL = """CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, CAST(user_id AS VARCHAR) AS user_id, event_type, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS value"""
 
 
 def folder(t, label):
     return f"{work_dir(t.spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def as_strings(t):
-    return t.events.select(*[F.col(c).cast("string").alias(c) for c in NAMES])
+def as_strings(t, broken=False):
+    """All columns of events as texts; ``broken`` writes each JSON text over several lines."""
+    props = F.replace(F.col("props"), F.lit(": "), F.lit(":\n ")) if broken else F.col("props")
+    ts, value = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.col("value").cast("decimal(18,2)")
+    texts = {"ts": ts, "value": value, "props": props}
+    return t.events.select(*[texts.get(c, F.col(c)).cast("string").alias(c) for c in NAMES])
 
 
 def csv_file(t):
+    """Fields hold line breaks, so records are longer than lines."""
     path = folder(t, "csv")
-    as_strings(t).write.option("header", True).option("escape", '"').csv(path)
+    as_strings(t, True).write.option("header", True).option("escape", '"').csv(path)
     return path
 
 
@@ -44,16 +54,17 @@ def line_file(t):
     return path
 
 
-@query("src01", "SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, props FROM events")
+@query("src01", f"SELECT {EVENT_SQL}, replace(props, ': ', ':' || chr(10) || ' ') AS props FROM events")
 def src01(t):
     names, _ = contracts.safe_names(NAMES)
     contracts.require_header(EVENTS, names)
     return snapshot.scan_csv(t.spark, csv_file(t), names, EVENTS)
 
 
-@query("src02", "SELECT CAST(event_id AS VARCHAR) AS event_id, event_type, props FROM events")
+@query("src02", f"SELECT {EVENT_SQL}, props FROM events")
 def src02(t):
-    return snapshot.scan_lines(t.spark, line_file(t), NAMES, "\r\n")
+    """Lines are split at the line feed; the carriage return before it is no part of a record."""
+    return snapshot.scan_lines(t.spark, line_file(t), NAMES)
 
 
 @query("src06", "SELECT TRUE AS same_on_rerun, TRUE AS differs_by_version, TRUE AS has_files FROM (SELECT COUNT(*) FROM events)")
@@ -98,10 +109,10 @@ def src07(t):
 )
 def src08(t):
     path, out = line_file(t), folder(t, "landed")
-    parsed, watch = snapshot.observed(snapshot.scan_lines(t.spark, path, NAMES, "\r\n"), "landing")
+    parsed, watch = snapshot.observed(snapshot.scan_lines(t.spark, path, NAMES), "landing")
     parsed.write.parquet(out)
     count = watch.get["parsed_rows"]
-    lines = snapshot.header_lines(t.spark, path, NAMES, "\r\n")
+    lines = snapshot.header_lines(t.spark, path, NAMES)
     results = snapshot.reconcile_rows(t.spark.read.parquet(out), count, lines, "events")
     return results.select("check_name", "failed_rows", "status", F.lit(count).cast("bigint").alias("parsed_rows"))
 
@@ -137,14 +148,25 @@ def src09(t):
     return snapshot.load_decision(log, requested, ["file_mark"])
 
 
-@query("src10", f"WITH {AUDIT_SQL} SELECT status, CAST(COUNT(*) AS BIGINT) AS events, MIN(run_id) AS first_run, MAX(run_id) AS last_run FROM audit GROUP BY 1")
+@query(
+    "src10",
+    f"""WITH {AUDIT_SQL} SELECT status, CAST(COUNT(*) AS BIGINT) AS events, MIN(run_id) AS first_run, MAX(run_id) AS last_run, CAST(COUNT(*) FILTER (status = 'FAILED') AS BIGINT) AS with_error FROM audit GROUP BY 1
+        UNION ALL SELECT 'STARTED', COUNT(*), MIN(run_id), MAX(run_id), 0 FROM audit WHERE status <> 'SKIPPED_IDEMPOTENT'""",
+)
 def src10(t):
+    """Each attempt's events in the fixed schema: a start for what was loaded, then how it ended."""
     path = folder(t, "audit")
     log = audit(t)
+    names = [field.split() for field in loader.AUDIT_SCHEMA.split(", ")]
+    fixed = lambda df: df.select(*[(F.col(n) if n in df.columns else F.lit(None)).cast(kind).alias(n) for n, kind in names])
+    failed = F.when(F.col("status") == "FAILED", F.concat(F.lit("load of "), "snapshot_id", F.lit(" failed")))
+    begun = log.filter("status <> 'SKIPPED_IDEMPOTENT'").withColumns({"status": F.lit("STARTED"), "completed_at": F.lit(None), "rows_loaded": F.lit(None)})
+    sink.append(fixed(begun), path)
     for status in ("SUCCESS", "SKIPPED_IDEMPOTENT", "FAILED"):
-        sink.append(log.filter(F.col("status") == status), path)
-    return t.spark.read.schema(log.schema).parquet(path).groupBy("status").agg(
-        F.count(F.lit(1)).alias("events"), F.min("run_id").alias("first_run"), F.max("run_id").alias("last_run")
+        sink.append(fixed(log.filter(F.col("status") == status).withColumn("error_message", failed)), path)
+    return t.spark.read.schema(loader.AUDIT_SCHEMA).parquet(path).groupBy("status").agg(
+        F.count(F.lit(1)).alias("events"), F.min("run_id").alias("first_run"), F.max("run_id").alias("last_run"),
+        F.count("error_message").alias("with_error"),
     )
 
 
