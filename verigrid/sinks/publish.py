@@ -14,6 +14,13 @@ from verigrid.plans.quality import gate
 POINTER_SCHEMA = "table_name string, run_id string, row_count bigint, published_seq bigint, attempt string"
 
 
+def one_row(spark: SparkSession, schema: str, *values) -> DataFrame:
+    """A row of literals in one partition; no Python worker is asked for it."""
+    fields = [field.split() for field in schema.split(", ")]
+    columns = [F.lit(value).cast(kind).alias(name) for (name, kind), value in zip(fields, values, strict=True)]
+    return spark.range(0, 1, 1, 1).select(*columns)
+
+
 def run_path(root: str, table: str, run_id: str, attempt: str) -> str:
     return f"{root}/{table}/run_id={run_id}/attempt={attempt}"
 
@@ -62,8 +69,8 @@ def publish(df: DataFrame, root: str, table: str, run_id: str, checks=None) -> t
     if checks is not None:
         gate(checks(staged))
     sequence = 1 if pointer is None else pointer["published_seq"] + 1
-    row = spark.createDataFrame([(table, run_id, staged.count(), sequence, attempt)], POINTER_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(f"{root}/_pointer/{table}")
+    row = one_row(spark, POINTER_SCHEMA, table, run_id, staged.count(), sequence, attempt)
+    row.write.mode("append").parquet(f"{root}/_pointer/{table}")
     return "PUBLISHED", staged
 
 

@@ -115,9 +115,10 @@ def load(
         done = None if status == "STARTED" else now()
         row = event | {"status": status, "rows_loaded": rows, "completed_at": done, "error_message": error, "column_mapping_json": json.dumps(mapping)}
         order = [field.split()[0] for field in AUDIT_SCHEMA.split(", ")]
-        sink.append(spark.createDataFrame([tuple(row.get(c) for c in order)], AUDIT_SCHEMA).coalesce(1), f"{root}/_audit")
+        sink.append(sink.one_row(spark, AUDIT_SCHEMA, *[row.get(c) for c in order]), f"{root}/_audit")
 
-    requested = spark.createDataFrame([tuple(event[c] for c in ("source_name", "snapshot_id", *IDENTITY))], "source_name string, snapshot_id string, source_path string, source_size_bytes bigint, source_modified_at timestamp, source_version string")
+    wanted = "source_name string, snapshot_id string, source_path string, source_size_bytes bigint, source_modified_at timestamp, source_version string"
+    requested = sink.one_row(spark, wanted, *[event[c] for c in ("source_name", "snapshot_id", *IDENTITY)])
     decision = snapshot.load_decision(read_audit(spark, root), requested, IDENTITY).first()
     claim = Claim(spark, root, contract.name, snapshot_id)
     try:
@@ -136,7 +137,8 @@ def load(
         contracts.require_header(contract, columns)
         found = contract_records(spark, path, contract)
         scan = parse_records(found, names, contract.escape).toDF(*columns)
-        identity = spark.createDataFrame([(*(facts[c] for c in ("source_path", "size_bytes", "modified_at")), snapshot_id)], "source_path string, size_bytes bigint, modified_at timestamp, snapshot_id string")
+        kinds = "source_path string, size_bytes bigint, modified_at timestamp, snapshot_id string"
+        identity = sink.one_row(spark, kinds, *[facts[c] for c in ("source_path", "size_bytes", "modified_at")], snapshot_id)
         stamped = snapshot.stamp_lineage(scan, contract, identity, run_id, started.strftime("%Y-%m-%d %H:%M:%S"))
         counted, watch = snapshot.observed(stamped, f"load {contract.name} {run_id}")
         lines = file_records(found, names)
