@@ -40,6 +40,15 @@ def test_match_key_folds_separators_and_words(spark):
     assert keys == ["SANTOTOMAS"] * 3 + ["SANJUAN"] * 3 + ["BARANGAY 1"]
 
 
+def test_unquote_respects_escapes(spark):
+    texts = {
+        r'{"n":"a \" \"5\"","v":"7"}': r'{"n":"a \" \"5\"","v":7}', r'{"n":"\\","v":"7"}': r'{"n":"\\","v":7}',
+        r'{"n":"\"","v":["1","2"]}': r'{"n":"\"","v":[1,2]}', r'{"n":"open \"}': r'{"n":"open \"}', "": "",
+    }
+    df = spark.createDataFrame([(k,) for k in texts], "j string").select("j", text.unquote_numbers(F.col("j")).alias("u"))
+    assert {r.j: r.u for r in df.collect()} == texts
+
+
 def test_unquote_and_label(spark):
     row = one(
         spark,

@@ -26,7 +26,9 @@ def tokens(col: Column, separator: str = ",") -> Column:
 
 
 def strip_stars(col: Column) -> Column:
-    return F.regexp_replace(col, r"\s*\*+$", "")
+    """The text without stars at its end and the blanks before them."""
+    star = F.lit("*")
+    return F.when(col.endswith("*"), F.rtrim(F.rtrim(col, star))).otherwise(col)
 
 
 def strip_footnote(col: Column) -> Column:
@@ -35,29 +37,44 @@ def strip_footnote(col: Column) -> Column:
     return F.when(bare != "", bare)
 
 
-def expand_words(col: Column, words: Mapping[str, str] = SAINT_WORDS) -> Column:
-    """Replace whole words that stand in the table, with or without a full stop behind them.
-
-    Every word is looked up once, so repeated abbreviations are all expanded.
-    """
+def long_form(words: Mapping[str, str]):
+    """A function that looks one word up, with or without a full stop behind it."""
     table = F.create_map(*[F.lit(text) for pair in words.items() for text in pair])
 
     def full(word: Column) -> Column:
         stem = F.when(word.endswith("."), F.substring(word, F.lit(1), F.length(word) - 1))
         return F.coalesce(F.try_element_at(table, word), F.try_element_at(table, stem), word)
 
-    return F.array_join(F.transform(F.split(F.trim(col), " "), full), " ")
+    return full
+
+
+def expand_words(col: Column, words: Mapping[str, str] = SAINT_WORDS) -> Column:
+    """Replace whole words that stand in the table; repeated abbreviations are all expanded."""
+    return F.array_join(F.transform(F.split(F.trim(col), " "), long_form(words)), " ")
+
+
+def is_letter(char: Column) -> Column:
+    return char.rlike(r"\p{L}")
+
+
+def join_words(words: Column) -> Column:
+    """Words in a row; a blank stays only where a letter is missing on one of its sides."""
+
+    def add(done: Column, word: Column) -> Column:
+        close = is_letter(F.right(done, F.lit(1))) & is_letter(F.left(word, F.lit(1)))
+        return F.concat(done, F.when(close, "").otherwise(" "), word)
+
+    return F.aggregate(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), F.element_at(words, 1), add)
 
 
 def match_key(col: Column, words: Mapping[str, str] = SAINT_WORDS) -> Column:
-    """One key for two vocabularies: marks dropped, words expanded, separators folded.
+    """One key for two vocabularies: footnote marks gone, words in their long form, letters together.
 
     A hyphen, a blank between two letters and no separator are the same name.
     """
-    plain = F.translate(col, SUPERSCRIPT_DIGITS, "")
-    plain = strip_stars(F.trim(F.regexp_replace(plain, r"\s+", " ")))
-    joined = F.regexp_replace(expand_words(plain, words), "-", "")
-    return F.regexp_replace(joined, r"(?<=\p{L}) (?=\p{L})", "")
+    name = strip_stars(F.trim(F.translate(col, SUPERSCRIPT_DIGITS, "")))
+    full = long_form(words)
+    return join_words(F.transform(F.split(name, r"\s+"), lambda word: F.translate(full(word), "-", "")))
 
 
 def short_label(col: Column) -> Column:
@@ -69,9 +86,13 @@ def short_label(col: Column) -> Column:
 def unquote_numbers(col: Column) -> Column:
     """JSON text whose quoted numbers and quoted lists stand without quotes.
 
-    Cut at the quotes, every second part is the inside of a string. Text with an open quote stays.
+    Escaped characters are put aside first, so that every quote left begins or ends a string, and
+    put back at the end: cut at the quotes, every second part is the inside of a string. A string
+    with an escape in it is no number and keeps its quotes. Text with an open string stays.
     """
-    parts = F.split(col, '"')
+    marked = F.regexp_replace(col, r"\\(.)", "\ue000$1\ue001")
+    aside = F.replace(marked, F.lit('\ue000"\ue001'), F.lit("\ue002"))
+    parts = F.split(aside, '"')
 
     def is_number(part: Column) -> Column:
         only = F.translate(part, "0123456789.eE+-", "") == ""
@@ -79,9 +100,12 @@ def unquote_numbers(col: Column) -> Column:
         return only & ends & part.try_cast("double").isNotNull()
 
     def rebuilt(part: Column, place: Column) -> Column:
-        bare = (part.startswith("[") & part.endswith("]")) | is_number(part)
+        plain = ~part.rlike("[\ue000\ue002]")
+        bare = plain & ((part.startswith("[") & part.endswith("]")) | is_number(part))
         return F.when((place % 2 == 0) | F.coalesce(bare, F.lit(False)), part).otherwise(
             F.concat(F.lit('"'), part, F.lit('"'))
         )
 
-    return F.when(F.size(parts) % 2 == 0, col).otherwise(F.array_join(F.transform(parts, rebuilt), ""))
+    joined = F.array_join(F.transform(parts, rebuilt), "")
+    back = F.regexp_replace(F.replace(joined, F.lit("\ue002"), F.lit('\ue000"\ue001')), "\ue000(.)\ue001", r"\\$1")
+    return F.when(F.size(parts) % 2 == 0, col).otherwise(back)

@@ -9,6 +9,7 @@ a row count is the distinct project count.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -303,23 +304,40 @@ def point_view(facts: DataFrame, region_population: DataFrame, area_population:
     )
 
 
-def link_coverage(facts: DataFrame, links: Mapping[str, tuple[Column, Column]], money: str = "budget") -> DataFrame:
-    """Every project once per link: outcome counts and money with shares.
-
-    The links are laid out as an array per project, so the facts are read once.
-    """
-    laid_out = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("integration_link"), outcome.alias("link_outcome"),
-                F.coalesce(linked, F.lit(False)).alias("is_linked"),
-            )
-            for name, (outcome, linked) in links.items()
-        ]
-    )
-    rows = facts.select("region_key", money, F.explode(laid_out).alias("l")).select(
-        "l.integration_link", "l.link_outcome", "l.is_linked", "region_key", money
-    )
+@dataclass(frozen=True)
+class Link:
+    """A column that shows a link, the kind of evidence in it, and what else the kind needs."""
+
+    column: str
+    kind: str
+    by: str = ""
+
+
+def outcome(link: Link) -> tuple[Column, Column]:
+    """(outcome, whether the project is linked) by the kind of evidence."""
+    value = F.col(link.column)
+    if link.kind == "member":  # key 0 stands for no member
+        return F.col(link.by), value != 0
+    if link.kind == "group":
+        return F.col(link.by), value.isNotNull()
+    if link.kind == "status":
+        return value, value == link.by
+    if link.kind == "mark":
+        return F.when(value, "marked").otherwise("unmarked"), value
+    if link.kind == "amount":
+        return F.when(value.isNull(), "missing").when(value == 0, "zero").otherwise("given"), value.isNotNull()
+    if link.kind == "value":
+        reached = F.col(link.by) != 0
+        told = F.when(~reached, "no member").when(value.isNull(), "member without value").otherwise("value")
+        return told, reached & value.isNotNull()
+    raise ValueError(f"unknown kind of link: {link.kind}")
+
+
+def link_coverage(facts: DataFrame, links: Sequence[Link], money: str = "budget") -> DataFrame:
+    """Every project once per link: outcome counts and money with shares; the facts are read once."""
+    found = [(link.column, *outcome(link)) for link in links]
+    each = F.array(*[F.struct(F.lit(n).alias("integration_link"), o.alias("link_outcome"), F.coalesce(k, F.lit(False)).alias("is_linked")) for n, o, k in found])
+    rows = facts.select("region_key", money, F.inline(each))
     totals = rows.groupBy("integration_link", "link_outcome", "is_linked", "region_key").agg(
         *count_money(money)
     )

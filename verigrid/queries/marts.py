@@ -152,19 +152,19 @@ def mrt05(t):
 @query(
     "mrt06",
     f"""WITH {W}, ctx AS (SELECT f.*, {HIER} AS hier, rp.population_count AS rpop, ap.population_count AS apop FROM facts f LEFT JOIN region_pop rp ON rp.region_key = f.region_key LEFT JOIN area_pop ap ON ap.area_key = f.area_key),
-    lk AS (SELECT region_key, budget, 'PSGC_REGION' AS integration_link, region_match_status AS link_outcome, region_key <> 0 AS is_linked FROM ctx
-        UNION ALL SELECT region_key, budget, 'PSGC_REPORTING_AREA', area_match_status, area_key <> 0 FROM ctx UNION ALL SELECT region_key, budget, 'REGION_PROVINCE_HIERARCHY', hier, hier = 'CONSISTENT' FROM ctx
-        UNION ALL SELECT region_key, budget, 'COORDINATES', coordinate_status, coordinate_status = 'VALID_PAIR' FROM ctx UNION ALL SELECT region_key, budget, 'POPULATION_VIA_REGION', CASE WHEN region_key = 0 THEN 'NO_OFFICIAL_REGION' WHEN rpop IS NOT NULL THEN 'LINKED' ELSE 'REGION_WITHOUT_POPULATION' END, region_key <> 0 AND rpop IS NOT NULL FROM ctx
-        UNION ALL SELECT region_key, budget, 'POPULATION_VIA_REPORTING_AREA', CASE WHEN area_key = 0 THEN 'NO_REPORTING_AREA' WHEN apop IS NOT NULL THEN 'LINKED' ELSE 'REPORTING_AREA_WITHOUT_POPULATION' END, area_key <> 0 AND apop IS NOT NULL FROM ctx
-        UNION ALL SELECT region_key, budget, 'FLOOD_SUSCEPTIBILITY', CASE WHEN class_match_status = 'MATCHED' THEN 'MATCHED' ELSE point_class END, class_match_status = 'MATCHED' FROM ctx UNION ALL SELECT region_key, budget, 'PROJECT_CATEGORY', sector_status, sector IS NOT NULL FROM ctx
-        UNION ALL SELECT region_key, budget, 'PROJECT_STATUS', CASE WHEN status_key = 0 THEN 'NO_SOURCE_STATUS' WHEN status_group IS NULL THEN 'NO_APPROVED_STATUS_RULE' ELSE 'MAPPED' END, status_group IS NOT NULL FROM ctx
-        UNION ALL SELECT region_key, budget, 'REPORTED_BUDGET', CASE WHEN budget IS NULL THEN 'NOT_REPORTED' WHEN budget = 0 THEN 'REPORTED_ZERO' ELSE 'REPORTED_ABOVE_ZERO' END, budget IS NOT NULL FROM ctx UNION ALL SELECT region_key, budget, 'OFFICIAL_FLOOD_LIST', CASE WHEN in_list THEN 'MATCHED' ELSE 'NOT_LISTED' END, in_list FROM ctx),
-    tt AS (SELECT integration_link, link_outcome, is_linked, region_key, COUNT(*) AS n, COUNT(budget) AS nb, SUM(budget) AS b FROM lk GROUP BY ALL)
+    lk AS (SELECT region_key, budget, unnest([
+        {{'l': 'budget', 'o': CASE WHEN budget > 0 THEN 'given' WHEN budget IS NULL THEN 'missing' ELSE 'zero' END, 'k': budget IS NOT NULL}}, {{'l': 'in_list', 'o': CASE WHEN in_list THEN 'marked' ELSE 'unmarked' END, 'k': in_list}},
+        {{'l': 'coordinate_status', 'o': coordinate_status, 'k': coordinate_status = 'VALID_PAIR'}}, {{'l': 'hierarchy_status', 'o': hier, 'k': hier = 'CONSISTENT'}}, {{'l': 'class_match_status', 'o': class_match_status, 'k': class_match_status = 'MATCHED'}},
+        {{'l': 'region_key', 'o': region_match_status, 'k': region_key <> 0}}, {{'l': 'area_key', 'o': area_match_status, 'k': area_key <> 0}},
+        {{'l': 'region_population', 'o': CASE WHEN region_key = 0 THEN 'no member' WHEN rpop IS NULL THEN 'member without value' ELSE 'value' END, 'k': region_key <> 0 AND rpop IS NOT NULL}},
+        {{'l': 'area_population', 'o': CASE WHEN area_key = 0 THEN 'no member' WHEN apop IS NULL THEN 'member without value' ELSE 'value' END, 'k': area_key <> 0 AND apop IS NOT NULL}},
+        {{'l': 'sector', 'o': sector_status, 'k': sector IS NOT NULL}}, {{'l': 'status_group', 'o': CASE WHEN status_key = 0 THEN 'NO_SOURCE_STATUS' WHEN status_group IS NULL THEN 'NO_APPROVED_STATUS_RULE' ELSE 'MAPPED' END, 'k': status_group IS NOT NULL}}]) AS x FROM ctx),
+    tt AS (SELECT x.l AS integration_link, x.o AS link_outcome, coalesce(x.k, FALSE) AS is_linked, region_key, COUNT(*) AS n, COUNT(budget) AS nb, SUM(budget) AS b FROM lk GROUP BY ALL)
     SELECT integration_link, link_outcome, is_linked, region_key, CAST(n AS BIGINT) AS project_count, CAST(nb AS BIGINT) AS projects_with_budget, CAST(b AS DECIMAL(38,2)) AS total_budget, {share('n', 'SUM(n) OVER (PARTITION BY integration_link)')} AS pct_of_link_projects, {share('b', 'SUM(b) OVER (PARTITION BY integration_link)')} AS pct_of_link_budget, {share('n', 'SUM(n) OVER (PARTITION BY integration_link, region_key)')} AS pct_of_region_projects FROM tt""",
 )
 def mrt06(t):
     context = marts.point_view(star.facts(t), star.region_population(t), star.area_population(t))
-    covered = marts.link_coverage(context, star.links())
+    covered = marts.link_coverage(context, star.LINKS)
     return covered.withColumn("total_budget", d2("total_budget"))
 
 

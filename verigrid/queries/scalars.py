@@ -177,13 +177,15 @@ FN02_NAMES = r"""
         replace(upper(p_name), ' ', CASE WHEN p_size > 40 THEN '-' ELSE '  ' END), ' ', CAST(p_size AS VARCHAR),
         CASE WHEN p_type = 'PROMO' THEN '¹²' WHEN p_type = 'LARGE' THEN ' **' ELSE '' END) AS name FROM part"""
 
-FN02_SQL = rf"""
+#: Words put together, a blank left only where a letter is missing beside it; takes a list of words.
+JOIN_WORDS = r"list_reduce(%s, lambda done, word: done || CASE WHEN regexp_matches(right(done, 1), '\p{L}') AND regexp_matches(left(word, 1), '\p{L}') THEN '' ELSE ' ' END || word)"
+LONG_WORD = "CASE WHEN w IN ('STO', 'STO.') THEN 'SANTO' WHEN w IN ('STA', 'STA.') THEN 'SANTA' WHEN w IN ('ST', 'ST.') THEN 'SAINT' ELSE w END"
+
+FN02_SQL = f"""
     WITH names AS ({FN02_NAMES}),
-    plain AS (SELECT p_partkey, name, regexp_replace(trim(regexp_replace(regexp_replace(name, '[⁰¹²³⁴⁵⁶⁷⁸⁹]', '', 'g'), '\s+', ' ', 'g')), '\s*\*+$', '') AS p FROM names),
-    words AS (SELECT p_partkey, name, trim(regexp_replace(regexp_replace(regexp_replace(concat(' ', p, ' '), ' STO\.? ', ' SANTO ', 'g'),
-        ' STA\.? ', ' SANTA ', 'g'), ' ST\.? ', ' SAINT ', 'g')) AS w FROM plain)
-    SELECT p_partkey, name, regexp_replace(regexp_replace(replace(w, '-', ''), '([\p{{L}}]) ([\p{{L}}])', '\1\2', 'g'), '([\p{{L}}]) ([\p{{L}}])', '\1\2', 'g') AS match_key
-    FROM words"""
+    words AS (SELECT p_partkey, name, list_filter(string_split(rtrim(translate(name, '⁰¹²³⁴⁵⁶⁷⁸⁹', ''), ' *'), ' '), lambda w: w <> '') AS words FROM names),
+    long AS (SELECT p_partkey, name, list_transform(words, lambda w: replace({LONG_WORD}, '-', '')) AS words FROM words)
+    SELECT p_partkey, name, {JOIN_WORDS % 'words'} AS match_key FROM long"""
 
 
 def place_like_names(t):
@@ -232,13 +234,15 @@ def fn04(t):
 
 @query(
     "fn05",
-    """SELECT event_id, concat('{"id":', CAST(event_id AS VARCHAR), ',"at":[', CAST(user_id AS VARCHAR), ',-', CAST(user_id AS VARCHAR), '.5],"name":"', event_type, '"}') AS json FROM events""",
+    """SELECT event_id, concat('{"id":', CAST(event_id AS VARCHAR), ',"at":[', CAST(user_id AS VARCHAR), ',-', CAST(user_id AS VARCHAR), '.5],"name":"', event_type, CASE WHEN user_id % 2 = 0 THEN concat(' \\"', CAST(user_id AS VARCHAR), '\\" \\\\') ELSE '' END, '"}') AS json FROM events""",
 )
 def fn05(t):
+    """Every second name holds escaped quotes, a number between them and an escaped backslash."""
     user = F.col("user_id").cast("string")
+    more = F.when(F.col("user_id") % 2 == 0, F.concat(F.lit(' \\"'), user, F.lit('\\" \\\\'))).otherwise("")
     quoted = F.concat(
         F.lit('{"id":"'), F.col("event_id").cast("string"), F.lit('","at":["'), user,
-        F.lit('","-'), user, F.lit('.5"],"name":"'), "event_type", F.lit('"}'),
+        F.lit('","-'), user, F.lit('.5"],"name":"'), "event_type", more, F.lit('"}'),
     )
     return t.events.select("event_id", text.unquote_numbers(quoted).alias("json"))
 

@@ -230,35 +230,18 @@ def classes(t):
     return t.spark.createDataFrame(rows, "point_class string, is_level boolean, severity_rank int")
 
 
-def links():
-    """The link outcomes of a project with its population context attached."""
-    region, area = F.col("region_key"), F.col("area_key")
-    budget = F.col("budget")
-    flood_link = F.when(F.col("class_match_status") == "MATCHED", "MATCHED").otherwise(F.col("point_class"))
-    hierarchy = marts.hierarchy_status()
-    return {
-        "PSGC_REGION": (F.col("region_match_status"), region != 0),
-        "PSGC_REPORTING_AREA": (F.col("area_match_status"), area != 0),
-        "REGION_PROVINCE_HIERARCHY": (hierarchy, hierarchy == "CONSISTENT"),
-        "COORDINATES": (F.col("coordinate_status"), F.col("coordinate_status") == "VALID_PAIR"),
-        "POPULATION_VIA_REGION": (
-            F.when(region == 0, "NO_OFFICIAL_REGION").when(F.col("region_population").isNotNull(), "LINKED").otherwise(
-                "REGION_WITHOUT_POPULATION"
-            ),
-            (region != 0) & F.col("region_population").isNotNull(),
-        ),
-        "POPULATION_VIA_REPORTING_AREA": (
-            F.when(area == 0, "NO_REPORTING_AREA").when(F.col("area_population").isNotNull(), "LINKED").otherwise(
-                "REPORTING_AREA_WITHOUT_POPULATION"
-            ),
-            (area != 0) & F.col("area_population").isNotNull(),
-        ),
-        "FLOOD_SUSCEPTIBILITY": (flood_link, flood_link == "MATCHED"),
-        "PROJECT_CATEGORY": (F.col("sector_status"), F.col("sector").isNotNull()),
-        "PROJECT_STATUS": (marts.status_mapping(), F.col("status_group").isNotNull()),
-        "REPORTED_BUDGET": (
-            F.when(budget.isNull(), "NOT_REPORTED").when(budget == 0, "REPORTED_ZERO").otherwise("REPORTED_ABOVE_ZERO"),
-            budget.isNotNull(),
-        ),
-        "OFFICIAL_FLOOD_LIST": (F.when(F.col("in_list"), "MATCHED").otherwise("NOT_LISTED"), F.col("in_list")),
-    }
+#: What a project can be joined to, by the column that shows it: a member key with the column that tells
+#: the outcome, a value reached through a key, a status with its good value, an amount, a mark or a group.
+LINKS = [
+    marts.Link("budget", "amount"),
+    marts.Link("in_list", "mark"),
+    marts.Link("coordinate_status", "status", "VALID_PAIR"),
+    marts.Link("hierarchy_status", "status", "CONSISTENT"),
+    marts.Link("class_match_status", "status", "MATCHED"),
+    marts.Link("region_key", "member", "region_match_status"),
+    marts.Link("area_key", "member", "area_match_status"),
+    marts.Link("region_population", "value", "region_key"),
+    marts.Link("area_population", "value", "area_key"),
+    marts.Link("sector", "group", "sector_status"),
+    marts.Link("status_group", "group", "status_mapping_status"),
+]
