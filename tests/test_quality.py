@@ -80,3 +80,17 @@ def test_cross_layer_drift(spark):
         ("c", "row count agrees"): "FAIL", ("c", "money agrees"): "FAIL", ("c", "one snapshot"): "PASS",
         ("d", "row count agrees"): "PASS", ("d", "money agrees"): "PASS", ("d", "one snapshot"): "FAIL",
     }
+
+
+def test_marks_see_lost_pairs_and_changed_cells(spark):
+    from verigrid.operators import resolve
+
+    rows = [(i % 50, f"v{i}", None if i % 7 else "x") for i in range(400)] + [(None, "n", None)]
+    schema = "k int, v string, w string"
+    mark = lambda rs: tuple(quality.table_mark(spark.createDataFrame(rs, schema)).first())
+    assert mark(rows) == mark(rows[::-1]) and mark(rows) != mark(rows + rows[:1] * 2)
+    assert mark([(1, "ab", "c")]) != mark([(1, "a", "bc")]) and mark([(1, None, "-")]) != mark([(1, "-", None)])
+    changed = [(k, v, "y" if v == "v3" else w) for k, v, w in rows] + [(9, "v9", None)] * 2 + [(77, "new", None)]
+    found = resolve.differing_keys(spark.createDataFrame(rows, schema), spark.createDataFrame(changed, schema), ["k"], ["v", "w"], buckets=16)
+    assert sorted(map(tuple, found.collect())) == [(3, 8, 8), (9, 8, 10), (77, 0, 1)]
+    assert resolve.differing_keys(spark.createDataFrame(rows, schema), spark.createDataFrame(rows, schema), ["k"], ["v", "w"]).count() == 0

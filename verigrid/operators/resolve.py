@@ -91,9 +91,53 @@ def union_of_arrays(df: DataFrame, keys: Sequence[str], arrays: Mapping[str, str
     return out
 
 
-def fingerprint(cols: Sequence[str]) -> Column:
-    """Order-independent table fingerprint."""
-    return F.bit_xor(F.xxhash64(*[F.col(name) for name in cols]))
+def row_text(cols: Sequence[Column]) -> Column:
+    """A row as one text: each value behind its length, so no two rows read the same; NULL is '-'."""
+    texts = [c.cast("string") for c in cols]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
+
+
+def multiset_mark(cols: Sequence[Column]) -> list[Column]:
+    """Order-independent mark of a bag of rows: their number and two sums of 60-bit row hashes.
+
+    Sums keep what an exclusive or loses: equal rows do not cancel each other. They combine
+    map-side and over parts of a table, and fit a decimal for any number of rows.
+    """
+    digest = F.md5(row_text(cols))
+    half = lambda at: F.sum(F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(20,0)")).cast("decimal(38,0)")
+    return [F.count(F.lit(1)).alias("mark_rows"), half(1).alias("mark_low"), half(16).alias("mark_high")]
+
+
+def differing_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], cols: Sequence[str], buckets: int = 4096) -> DataFrame:
+    """The keys whose bags of rows differ, with their number of rows on either side.
+
+    A tree of marks: bucket marks are compared first, and only the rows of buckets that differ are
+    marked key by key. Two equal tables cost one small aggregate each.
+    """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("bucket")
+    every = [F.col(c) for c in (*keys, *cols)]
+    marks = ["mark_rows", "mark_low", "mark_high"]
+
+    def met(one: DataFrame, two: DataFrame, by: Sequence[str]) -> DataFrame:
+        sides = [df.groupBy(*by).agg(*multiset_mark(every)).withColumnsRenamed({m: f"{m}_{n}" for m in marks}) for n, df in ((1, one), (2, two))]
+        on = sides[0].join(sides[1].withColumnsRenamed({k: f"__{k}" for k in by}), null_safe([sides[0][k].eqNullSafe(F.col(f"__{k}")) for k in by]), "full_outer")
+        same = null_safe([F.col(f"{m}_1").eqNullSafe(F.col(f"{m}_2")) for m in marks])
+        found = on.filter(~same)
+        return found.select(
+            *[F.when(F.col("mark_rows_1").isNull(), F.col(f"__{k}")).otherwise(F.col(k)).alias(k) for k in by],
+            *[F.coalesce(f"mark_rows_{n}", F.lit(0)).alias(name) for n, name in ((1, "left_rows"), (2, "right_rows"))],
+        )
+
+    one, two = (df.select(*keys, *cols).withColumn("bucket", bucket) for df in (left, right))
+    broken = met(one, two, ["bucket"]).select("bucket")
+    return met(one.join(broken, "bucket", "left_semi"), two.join(broken, "bucket", "left_semi"), list(keys))
+
+
+def null_safe(conditions: Sequence[Column]) -> Column:
+    out = F.lit(True)
+    for condition in conditions:
+        out = out & condition
+    return out
 
 
 def distinct_text(col: Column, separator: str = "; ") -> Column:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verigrid.operators.resolve import fingerprint
+from verigrid.operators.resolve import multiset_mark
 from verigrid.operators.scale import latest_batch, latest_per_key, with_context
 
 STOP, FLAG = "stop", "flag"
@@ -347,8 +347,10 @@ def acceptance(evidence: DataFrame) -> DataFrame:
     )
 
 
-def identity_fingerprint(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("rows"), fingerprint(cols).alias("fingerprint"))
+def table_mark(df: DataFrame) -> DataFrame:
+    """One row that marks all columns of all rows, whatever their order."""
+    return df.agg(*multiset_mark([F.col(c) for c in df.columns]))
+
 
 
 def two_level_reconciliation(

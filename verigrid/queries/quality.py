@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from verigrid.functions import identity
 from verigrid.operators import mapping, matching
-from verigrid.operators.resolve import fingerprint
 from verigrid.plans import model, quality
 from verigrid.plans.quality import Check, checks, consistent, in_range, not_null, vocabulary, zero_not_null
 from verigrid.queries import mapping as mapping_queries
@@ -448,8 +447,7 @@ def dq21(t):
         F.max("status").alias("status"), F.max("action").alias("action")
     )
     newest = quality.acceptance(saved).select("table_name", "check_name", "status", "action")
-    marks = [quality.identity_fingerprint(f, ["o_orderkey", "status"]).withColumnRenamed("fingerprint", n).select(n)
-             for f, n in ((evidence(t), "a"), (evidence(t).repartition("table_name"), "b"))]
+    marks = [quality.table_mark(f).select(F.struct("*").alias(n)) for f, n in ((evidence(t), "a"), (evidence(t).repartition("table_name"), "b"))]
     same = marks[0].transform(with_context, marks[1]).select((F.col("a") == F.col("b")).alias("same_fingerprint"))
     return newest.transform(with_context, same)
 
