@@ -64,6 +64,39 @@ def test_stages(spark, docs, empty, tmp_path):
     assert corpus_pipeline.near_duplicates(spark, docs, "").filter("doc_id = 2").count() == 0
 
 
+@pytest.mark.parametrize("parts", [1, 3, 5])
+def test_an_id_with_two_texts_loses_no_link(spark, parts):
+    words = [f"w{i}" for i in range(60)]
+    one, other = " ".join(words), " ".join(reversed(words))
+    rows = [(1, one + " x"), (2, one), (2, other), (3, other + " y"), (4, "alone"), (5, ""), (5, other + " z"), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)
+    found = sorted(tuple(r) for r in jaccard.join(docs).select("doc_id", "component_id").collect())
+    assert found == [(1, 1), (2, 1), (2, 1), (3, 1), (4, 4), (5, 1), (5, 1), (6, 6)]
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == [1, 4, 6]
+
+
+def test_a_crowd_of_near_copies_is_gathered_by_changing_leaders(spark):
+    rng = np.random.default_rng(13)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(160):
+        words = list(base)
+        for at in rng.choice(120, 3, replace=False):
+            words[at] = f"v{i}x{at}"
+        texts.append(words)
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in texts]
+    label = list(range(len(sets)))
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                low, high = sorted((label[a], label[b]))
+                label = [low if v == high else v for v in label]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.join(docs).collect()} == dict(enumerate(label))
+
+
 def test_neighbours(spark):
     found = ann.search(vectors(spark, 40), F.col("vec_id") % 5 == 0, k=3)
     rows = {(r.query_id, r.rank): (r.vec_id, r.score) for r in found.collect()}

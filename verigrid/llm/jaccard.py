@@ -6,6 +6,7 @@
 * A list's first set is its leader. Sets are verified against leaders first; what is similar to a
   leader joins its component. The other lists' answers then follow from that: members of one
   component are skipped as a block, so a large group of near copies costs a star, not all pairs.
+  While lists still hold many more pairs of different components than entries, other members lead.
 * What is left, pairs of different components, is cut by size and by position (shared prefix
   shingles plus what can lie behind the prefixes or the last shared one) and verified on whole sets.
 
@@ -260,10 +261,26 @@ def leader_pairs(lists: DataFrame, percent: int) -> DataFrame:
     return met.selectExpr("l.doc_id as a", "doc_id as b", "l.n as na", "n as nb", "l.pos as pa", "pos as pb")
 
 
+def mixed_lists(lists: DataFrame) -> tuple[DataFrame, int, int]:
+    """Lists with two components or more, their entries, and the pairs of different components in them."""
+    each = lists.groupBy("token", "comp").agg(F.count("*").alias("n"))
+    per = each.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+    per = stage(per.filter("n * n > own"), "mixed")
+    sizes = per.agg(F.sum("n").alias("n"), F.sum((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs")).first()
+    return stage(lists.join(per.select("token"), "token"), "mixed-lists"), sizes["n"] or 0, int(sizes["pairs"] or 0)
+
+
+def round_pairs(lists: DataFrame, number: int, percent: int) -> DataFrame:
+    """Each list's members of other components beside a leader that changes from round to round."""
+    first = lists.groupBy("token").agg(F.min_by(F.struct("doc_id", "n", "pos", "comp"), F.xxhash64(F.lit(number), "doc_id")).alias("l"))
+    met = lists.join(first, "token").filter("comp <> l.comp")
+    met = met.filter(100 * F.least("n", "l.n") >= percent * F.greatest("n", "l.n"))
+    pick = lambda x, y: F.when(F.col("doc_id") < F.col("l.doc_id"), F.col(x)).otherwise(F.col(y))
+    return met.select(pick("doc_id", "l.doc_id").alias("a"), pick("l.doc_id", "doc_id").alias("b"), pick("n", "l.n").alias("na"), pick("l.n", "n").alias("nb"), pick("pos", "l.pos").alias("pa"), pick("l.pos", "pos").alias("pb"))
+
+
 def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a list in different components that size and position leave; a is the smaller set."""
-    mixed = lists.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
-    lists = stage(lists.join(mixed, "token"), "mixed-lists")
+    """Pairs of a mixed list in different components that size and position leave; a is the smaller set."""
     a = lists.selectExpr("token", "doc_id as a", "n as na", "pos as pa", "comp as ca")
     b = lists.selectExpr("token", "doc_id as b", "n as nb", "pos as pb", "comp as cb")
     ordered = "ca <> cb AND (na < nb OR (na = nb AND a < b))"
@@ -273,17 +290,39 @@ def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b", "na", "nb", "pa", "pb")
 
 
+def joined_by_id(docs: DataFrame, *how) -> DataFrame:
+    """The join where one id has several texts: rows are joined, then the id ties its rows together."""
+    rows = stage(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "rows")
+    found = join(rows.select(F.col("row").alias("doc_id"), "text"), *how).selectExpr("doc_id AS row", "n_shingles", "component_id AS part")
+    found = stage(found.join(rows.select("row", "doc_id"), "row"), "rows-joined")
+    linked = found.filter("doc_id IS NOT NULL AND n_shingles > 0")
+    ties = linked.groupBy("doc_id").agg(F.min("part").alias("one"), F.collect_set("part").alias("parts"))
+    ties = ties.filter(F.size("parts") > 1).select("one", F.explode("parts").alias("other"))
+    labels = components(ties, "one", "other")
+    found = found.join(labels, found["part"] == labels["node"], "left").withColumn("part", F.coalesce("label", "part"))
+    least = found.filter("n_shingles > 0").groupBy("part").agg(F.min("doc_id").alias("least"))
+    out = found.join(least, "part", "left")
+    # an empty set is linked with nothing, but its id may have another text
+    same = linked.select("doc_id", "part").join(labels, F.col("part") == labels["node"], "left").select("doc_id", F.coalesce("label", "part").alias("part"))
+    same = same.join(least, "part").groupBy("doc_id").agg(F.min("least").alias("by_id"))
+    out = out.join(same, "doc_id", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce(F.when(F.col("n_shingles") > 0, F.col("least")), "by_id", "doc_id").alias("component_id"))
+
+
 def join(docs: DataFrame, width: int = 5, percent: int = 75, often: int = 64, block: int = 3_000_000) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` for every row of ``docs``.
 
     ``docs`` needs ``doc_id`` and ``text``; other columns are ignored. Null, empty and blank texts
     have no shingle and stand alone; a text of fewer words than ``width`` is one shingle. Repeated
-    rows come back each. A null ``doc_id`` is never a component's name unless all of it are null.
+    rows come back each, and rows of one id with different texts are in one component. A null ``doc_id`` is never a component's name unless all of it are null.
     An empty table gives no rows.
     """
     docs = docs.select("doc_id", "text")
     first = stage(sets_and_counts(docs, width, block), "sets")
     found = first.filter("n IS NOT NULL").drop("token", "found")
+    kinds = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct("c1", "c2")).alias("lo"), F.max(F.struct("c1", "c2")).alias("hi"))
+    if kinds.filter("lo <> hi").limit(1).count():
+        return joined_by_id(docs, width, percent, often, block)
     classes = found.filter("n > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("doc_id"))
     classes = stage(classes.filter("doc_id IS NOT NULL"), "classes")
     total = found.agg(F.sum("n")).first()[0] or 0
@@ -294,10 +333,22 @@ def join(docs: DataFrame, width: int = 5, percent: int = 75, often: int = 64, bl
     lists = stage(shared_postings(prefixes(docs, width, percent, frequent)), "lists")
     lists = stage(lists.join(classes, ["c1", "c2"]).select("token", "doc_id", "n", "pos"), "lists-by-id")
     stars = verified(enough(leader_pairs(lists, percent), percent), docs, width, percent)
-    labels = components(stars, "a", "b")
-    named = lists.join(labels, lists["doc_id"] == labels["node"], "left")
-    named = named.select("token", "doc_id", "n", "pos", F.coalesce("label", "doc_id").alias("comp"))
-    rest = verified(enough(cross_pairs(named, percent), percent), docs, width, percent)
+    number, links = 0, stars
+    while True:
+        labels = components(links, "a", "b")
+        named = lists.join(labels, lists["doc_id"] == labels["node"], "left")
+        named = named.select("token", "doc_id", "n", "pos", F.coalesce("label", "doc_id").alias("comp"))
+        mixed, entries, pairs = mixed_lists(named)
+        # a crowd of near copies leaves more pairs than entries: other leaders gather it first
+        if pairs <= 8 * entries:
+            break
+        number += 1
+        more = verified(enough(round_pairs(mixed, number, percent), percent), docs, width, percent)
+        if more.isEmpty():
+            break
+        links = links.unionByName(more)
+    rest = verified(enough(cross_pairs(mixed, percent), percent), docs, width, percent)
+    stars = links
     labels = components(stars.unionByName(rest), "a", "b")
     named = classes.join(labels, classes["doc_id"] == labels["node"], "left")
     named = named.select("c1", "c2", F.coalesce("label", "doc_id").alias("component_id"))
