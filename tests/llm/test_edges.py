@@ -76,7 +76,7 @@ def test_an_id_with_two_texts_loses_no_link(spark, parts):
     assert sorted(r.doc_id for r in kept) == [1, 4, 6]
 
 
-def test_a_crowd_of_near_copies_is_gathered_by_changing_leaders(spark):
+def test_a_crowd_of_near_copies_is_one_component(spark):
     rng = np.random.default_rng(13)
     base = [f"w{i}" for i in range(120)]
     texts = []
