@@ -125,6 +125,16 @@ def test_parse_methods_and_statuses(spark):
     ]
 
 
+def test_esri_metres_land_in_degrees(spark):
+    a = 6378137.0
+    place = lambda lon, lat: [math.radians(lon) * a, math.log(math.tan(math.pi / 4 + math.radians(lat) / 2)) * a]
+    ring = [place(*p) for p in ((120.0, 14.0), (120.0, 15.0), (121.0, 15.0), (121.0, 14.0), (120.0, 14.0))]
+    texts = [f'{{"rings":[{ring}],"spatialReference":{{"wkid":{w}}}}}' for w in (102100, 3857)] + ['{"rings":[[[120,14],[120,15],[121,15],[121,14],[120,14]]],"spatialReference":{"wkid":4326}}']
+    rows = spatial.bounding_box(spatial.parse_polygons(spark.createDataFrame([(t,) for t in texts], "j string"), "j")).collect()
+    for r in rows:
+        assert r.geometry_parse_method == "ESRI_JSON_CONVERTED" and np.allclose([r.xmin, r.ymin, r.xmax, r.ymax], [120, 14, 121, 15])
+
+
 def test_wkb_round_trip(spark):
     df = spark.createDataFrame(polygons(), SCHEMA)
     back = df.withColumn("back", spatial.from_wkb(spatial.to_wkb(F.col("rings"))))

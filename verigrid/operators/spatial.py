@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from verigrid.functions.geometry import ring_area, ring_is_closed, rings_bound, segments
+from verigrid.functions.geometry import from_mercator, ring_area, ring_is_closed, rings_bound, segments
 from verigrid.functions.text import unquote_numbers
 from verigrid.operators.scale import with_context
 from verigrid.sinks.stage import materialize
@@ -56,6 +56,16 @@ def esri_rings(rings: Column) -> Column:
     return F.transform(rings, F.reverse)
 
 
+# The codes under which Esri names the spherical Mercator plane in metres.
+MERCATOR_CODES = ("102100", "102113", "3857", "900913")
+
+
+def degrees_of(rings: Column, metres: Column) -> Column:
+    """Rings in degrees; those in Mercator metres are turned back."""
+    turned = F.transform(rings, lambda ring: F.transform(ring, lambda p: F.array(*from_mercator(p[0], p[1]))))
+    return F.when(metres, turned).otherwise(rings)
+
+
 def ring_roles(rings: Column) -> tuple[Column, Column]:
     """Number of shells and holes of oriented rings, by the sign of their area."""
     areas = F.transform(rings, lambda ring: ring_area(ring))
@@ -65,7 +75,9 @@ def ring_roles(rings: Column) -> tuple[Column, Column]:
 def parse_polygons(df: DataFrame, json: str) -> DataFrame:
     """Add rings, geometry_parse_method and geometry_status.
 
-    GeoJSON as published comes first, then GeoJSON with quoted numbers, then Esri rings.
+    GeoJSON as published comes first, then GeoJSON with quoted numbers, then Esri rings. GeoJSON is
+    in degrees by its standard; Esri rings whose spatial reference is the Mercator plane come back
+    in degrees too.
     """
     text = F.when(F.trim(json) != "", F.trim(json))
     staged = df.withColumn("__text", text).withColumn("__plain", unquote_numbers(F.col("__text")))
@@ -83,12 +95,14 @@ def parse_polygons(df: DataFrame, json: str) -> DataFrame:
         )
 
     esri = F.from_json(F.get_json_object("__plain", "$.rings"), POLYGON)
+    wkid = F.coalesce(F.get_json_object("__plain", "$.spatialReference.latestWkid"), F.get_json_object("__plain", "$.spatialReference.wkid"))
+    metres = F.coalesce(wkid.isin(*MERCATOR_CODES), F.lit(False))
     staged = staged.withColumns(
         {
             "__kind": F.get_json_object("__text", "$.type"),
             "__published": geojson("__text"),
             "__normalised": geojson("__plain"),
-            "__esri": F.when(esri.isNotNull() & _complete(esri), esri_rings(esri)),
+            "__esri": F.when(esri.isNotNull() & _complete(esri), esri_rings(degrees_of(esri, metres))),
         }
     )
     rings = F.coalesce("__published", "__normalised", "__esri")

@@ -103,8 +103,14 @@ def shapes(t):
     square = [(0, 0), (2, 0), (2, 3), (0, 3), (0, 0)]
     hole = [(1, 1), (1, 2), (2, 2), (2, 1), (1, 1)]
     wrap = lambda kind, body: F.concat(F.lit(f'{{"type":"{kind}","coordinates":['), body, F.lit("]}"))
+    def metres(points):
+        """The ring on the Mercator plane, as Esri services give it."""
+        pairs = [F.concat(F.lit("["), *[c.cast("string") for c in (xy[0], F.lit(","), xy[1])], F.lit("]")) for xy in (geometry.to_mercator(x + dx, F.lit(float(y))) for dx, y in points)]
+        return F.concat(F.lit("["), F.concat_ws(",", *pairs), F.lit("]"))
+
     esri = F.concat(
-        F.lit('{"rings":['), coordinates(list(reversed(square))), F.lit(","), coordinates(list(reversed(hole))), F.lit("]}")
+        F.lit('{"rings":['), metres(list(reversed(square))), F.lit(","), metres(list(reversed(hole))),
+        F.lit('],"spatialReference":{"wkid":102100,"latestWkid":3857}}'),
     )
     moved = [(dx + 5, y) for dx, y in square]
     multi = F.concat(F.lit("["), coordinates(square), F.lit("],["), coordinates(moved), F.lit("]"))
@@ -145,7 +151,7 @@ def geo02(t):
     shells, holes = spatial.ring_roles(F.col("rings"))
     return parsed.select(
         "s_suppkey", shells.cast("bigint").alias("shells"), holes.cast("bigint").alias("holes"),
-        geometry.rings_area(F.col("rings")).alias("area"),
+        F.round(geometry.rings_area(F.col("rings")), 9).alias("area"),
     )
 
 
