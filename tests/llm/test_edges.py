@@ -76,15 +76,8 @@ def test_an_id_with_two_texts_loses_no_link(spark, parts):
     assert sorted(r.doc_id for r in kept) == [1, 4, 6]
 
 
-def test_a_crowd_of_near_copies_is_one_component(spark):
-    rng = np.random.default_rng(13)
-    base = [f"w{i}" for i in range(120)]
-    texts = []
-    for i in range(160):
-        words = list(base)
-        for at in rng.choice(120, 3, replace=False):
-            words[at] = f"v{i}x{at}"
-        texts.append(words)
+def components_of(texts):
+    """Smallest reachable index per text, by comparing every pair of five-word shingle sets."""
     sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in texts]
     label = list(range(len(sets)))
     for a in range(len(sets)):
@@ -93,8 +86,46 @@ def test_a_crowd_of_near_copies_is_one_component(spark):
             if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
                 low, high = sorted((label[a], label[b]))
                 label = [low if v == high else v for v in label]
+    return dict(enumerate(label))
+
+
+def jaccard_components(spark, texts):
     docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")
-    assert {r.doc_id: r.component_id for r in jaccard.join(docs).collect()} == dict(enumerate(label))
+    return {r.doc_id: r.component_id for r in jaccard.join(docs).collect()}
+
+
+def test_a_crowd_of_near_copies_is_one_component(spark):
+    rng = np.random.default_rng(13)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for i in range(160):
+        words = list(base)
+        for at in rng.choice(120, 3, replace=False):
+            words[at] = f"v{i}x{at}"
+        texts.append(words)
+    assert jaccard_components(spark, texts) == components_of(texts)
+
+
+def test_groups_whose_leaders_are_far_are_linked_by_their_members(spark):
+    """Each text drops words at one end of a window that drifts, and groups share a passage without being similar."""
+    rng = np.random.default_rng(4)
+    texts = []
+    for _ in range(12):
+        words = [f"w{i}" for i in rng.permutation(400)]
+        first = int(rng.integers(100))
+        for _ in range(int(rng.integers(2, 9))):
+            first = max(0, min(260, first + int(rng.integers(-16, 17))))
+            texts.append(words[first : first + int(rng.integers(100, 130))])
+    passage = [f"p{i}" for i in range(60)]
+    crowd = [f"c{i}" for i in range(60)]
+    for i in range(30):  # near copies that hold the passage
+        texts.append(passage + crowd[: 50 + i % 10] + [f"end{i}"])
+    for i in range(30):  # others that hold it too
+        texts.append(passage + [f"other{i}x{k}" for k in range(int(rng.integers(8, 60)))])
+    texts = [texts[i] for i in rng.permutation(len(texts))]
+    want = components_of(texts)
+    assert len(set(want.values())) > 20
+    assert jaccard_components(spark, texts) == want
 
 
 def test_neighbours(spark):

@@ -6,8 +6,10 @@
 * A list's first set is its leader. Sets are verified against leaders first; what is similar to a
   leader joins its component. The other lists' answers then follow from that: members of one
   component are skipped as a block, so a large group of near copies costs a star, not all pairs.
-* What is left, pairs of different components, is cut by size and by position (shared prefix
-  shingles plus what can lie behind the prefixes or the last shared one) and verified on whole sets.
+* In what is left a component is one block of a list, with the range of its sizes and positions; blocks
+  that cannot reach the overlap are skipped. Of blocks that meet only the leaders are compared, and their
+  members' answers follow from the leaders' overlap and what each member has beside its leader; members
+  are paired, by size and position, only where that bound leaves them.
 
 Components are exact up to collisions of 64-bit shingle hashes inside a pair of sets.
 """
@@ -217,24 +219,34 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int, bits: int = 24) -> Data
     return sets.dropDuplicates(["doc_id"]) if repeated else sets
 
 
-def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
+def overlaps(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """``pairs`` (a, b, own) with ``both``, the shingles their whole sets share, and the sizes na and nb."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+            found = []
+            for x, y in zip(batch.column(3), batch.column(4), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = np.intersect1d(x, y, assume_unique=True).size
-                keep.append(100 * both >= percent * (x.size + y.size - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                found.append((np.intersect1d(x, y, assume_unique=True).size, x.size, y.size))
+            counts = np.array(found, np.int64).reshape(-1, 3)
+            columns = [*batch.columns[:3], *[pa.array(counts[:, k]) for k in range(3)]]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "own", "both", "na", "nb"])
 
-    pairs = stage(pairs, "pairs")
+    pairs = stage(pairs.select("a", "b", "own"), "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     sets = sets_of(docs, ids, width)
     one, two = (sets.select(F.col("doc_id").alias(k), F.col("tokens").alias(f"t{k}")) for k in "ab")
-    held = pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb")
-    return stage(held.mapInArrow(run, "a bigint, b bigint"), "similar")
+    held = pairs.join(one, "a").join(two, "b").select("a", "b", "own", "ta", "tb")
+    return stage(held.mapInArrow(run, "a bigint, b bigint, own boolean, both bigint, na bigint, nb bigint"), "overlaps")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough."""
+    return overlaps(pairs.withColumn("own", F.lit(False)), docs, width).filter(_linked(percent)).select("a", "b")
+
+
+def _linked(percent: int) -> Column:
+    return 100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))
 
 
 def enough(pairs: DataFrame, percent: int) -> DataFrame:
@@ -260,19 +272,87 @@ def leader_pairs(lists: DataFrame, percent: int) -> DataFrame:
     return met.selectExpr("l.doc_id as a", "doc_id as b", "l.n as na", "n as nb", "l.pos as pa", "pos as pb")
 
 
-def cross_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a list in different components that size and position leave; a is the smaller set."""
-    mixed = lists.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token")
-    lists = stage(lists.join(mixed, "token"), "mixed-lists")
-    a = lists.selectExpr("token", "doc_id as a", "n as na", "pos as pa", "comp as ca")
-    b = lists.selectExpr("token", "doc_id as b", "n as nb", "pos as pb", "comp as cb")
-    ordered = "ca <> cb AND (na < nb OR (na = nb AND a < b))"
-    fits = F.expr(f"{ordered} AND 100 * na >= {percent} * nb")
-    reach = F.least(F.col("pa"), F.col("pb")) + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    met = a.join(b, "token").filter(fits & (reach >= least_overlap(F.col("na"), F.col("nb"), percent)))
+def met_blocks(lists: DataFrame, percent: int) -> DataFrame:
+    """Components (a < b, by leaders) that meet in lists such that some members may be similar.
+
+    A component's postings of a list are one block that tells the range of its sizes, its last position
+    and the most that lies behind a position; blocks that cannot reach the overlap are skipped whole.
+    ``sa`` and ``sb`` tell components of one set.
+    """
+    blocks = lists.groupBy("token", "comp").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("pos").alias("p"),
+        F.max(F.col("n") - F.col("pos")).alias("r"), F.min("alone").alias("s"),
+    )
+    blocks = stage(blocks, "blocks")
+    mixed = blocks.groupBy("token").count().filter("count > 1").select("token")
+    blocks = stage(blocks.join(mixed, "token"), "mixed-blocks")
+    a, b = (
+        blocks.selectExpr("token", f"comp as {k}", f"lo as l{k}", f"hi as h{k}", f"p as p{k}", f"r as r{k}", f"s as s{k}")
+        for k in "ab"
+    )
+    sizes = F.expr(f"a < b AND 100 * ha >= {percent} * lb AND 100 * hb >= {percent} * la")
+    reach = F.least("pa", "pb") + F.least("ra", "rb")
+    met = a.join(b, "token").filter(sizes & (reach >= least_overlap(F.col("la"), F.col("lb"), percent)))
+    # a set alone shares every list it met in; a member of a group at least one of them
+    per = met.groupBy("a", "b", "sa", "sb").agg(
+        F.count("*").alias("both"), *[F.min(f"l{k}").alias(f"l{k}") for k in "ab"], *[F.max(f"h{k}").alias(f"h{k}") for k in "ab"],
+        *[F.when(F.col(f"s{k}"), F.min(f"r{k}")).otherwise(F.max(f"r{k}")).alias(f"r{k}") for k in "ab"],
+    )
+    beyond = F.ceil(F.lit(percent) * F.greatest("ha", "hb") / F.lit(100.0)).cast("int") - 1
+    most = F.col("both") + F.least(F.least("ra", "rb") - 1, beyond)
+    return stage(per.filter(most >= least_overlap(F.col("la"), F.col("lb"), percent)).select("a", "b", "sa", "sb"), "met-components")
+
+
+def member_pairs(lists: DataFrame, near: DataFrame, gains: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of the components in ``near`` that size, position and their gains leave."""
+    wanted = near.select(F.col("ca").alias("comp")).union(near.select("cb")).distinct()
+    lists = lists.join(wanted, "comp").join(gains, "doc_id", "left")
+    lists = stage(lists.withColumn("gain", F.coalesce("gain", F.lit(-percent) * F.col("n").cast("bigint"))), "near-lists")
+    a, b = (
+        lists.selectExpr("token", f"doc_id as {k}", f"n as n{k}", f"pos as p{k}", f"comp as c{k}", f"gain as g{k}") for k in "ab"
+    )
+    fits = F.expr(f"{100 + percent} * both + ga + gb >= 0 AND 100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    reach = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    met = near.join(a, "ca").join(b, ["token", "cb"])
+    met = met.filter(fits & (reach >= least_overlap(F.col("na"), F.col("nb"), percent)))
     return met.select("a", "b", "na", "nb", "pa", "pb")
 
 
+def cross_links(lists: DataFrame, labels: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) between different components, at least one wherever any of their members are similar.
+
+    Only leaders are compared at first. A member c of leader C shares with any set no more than C does,
+    plus what c has beside C. With o shingles shared by two leaders, members c and d can therefore only
+    be similar if (100 + percent) * o + gain(c) + gain(d) >= 0, where gain(c) is
+    (100 + percent) * |c without C| - percent * |c|. Most pairs of a group and its surroundings end
+    there with one comparison; members are paired only where the bound leaves them.
+    """
+    groups = labels.select("node", "label").unionByName(labels.select(F.col("label").alias("node"), "label").distinct())
+    named = lists.join(groups, lists["doc_id"] == groups["node"], "left").select(
+        "token", "doc_id", "n", "pos", F.coalesce("label", "doc_id").alias("comp"), F.col("label").isNull().alias("alone")
+    )
+    met = met_blocks(named, percent)
+    in_groups = met.filter("NOT sa").select(F.col("a").alias("label")).union(met.filter("NOT sb").select("b")).distinct()
+    own = labels.join(in_groups, "label").select(F.col("label").alias("a"), F.col("node").alias("b"), F.lit(True).alias("own"))
+    found = overlaps(met.select("a", "b", F.lit(False).alias("own")).unionByName(own), docs, width)
+    gain = (100 + percent) * (F.col("nb") - F.col("both")) - percent * F.col("nb")
+    gains = found.filter("own").select(F.col("b").alias("doc_id"), F.col("a").alias("comp"), gain.alias("gain"))
+    best = gains.groupBy("comp").agg(F.max("gain").alias("best"))
+    leaders = found.filter("NOT own")
+    links = leaders.filter(_linked(percent)).select("a", "b")
+    near = leaders.filter(~_linked(percent))
+    for k in "ab":
+        side = best.select(F.col("comp").alias(k), F.col("best").alias(f"best_{k}"))
+        near = near.join(side, k, "left").withColumn(f"best_{k}", F.greatest(f"best_{k}", -percent * F.col(f"n{k}")))
+    near = near.join(met.filter("NOT (sa AND sb)").select("a", "b"), ["a", "b"])
+    near = near.filter((100 + percent) * F.col("both") + F.col("best_a") + F.col("best_b") >= 0)
+    near = stage(near.selectExpr("a as ca", "b as cb", "both"), "near-components")
+    if near.limit(1).count() == 0:
+        return links
+    pairs = member_pairs(named, near, gains.drop("comp"), percent)
+    return links.unionByName(verified(enough(pairs, percent), docs, width, percent))
+
+
 def joined_by_id(docs: DataFrame, *how) -> DataFrame:
     """The join where one id has several texts: rows are joined, then the id ties its rows together."""
     rows = stage(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "rows")
@@ -317,9 +397,7 @@ def join(docs: DataFrame, width: int = 5, percent: int = 75, often: int = 64, bl
     lists = stage(lists.join(classes, ["c1", "c2"]).select("token", "doc_id", "n", "pos"), "lists-by-id")
     stars = verified(enough(leader_pairs(lists, percent), percent), docs, width, percent)
     labels = components(stars, "a", "b")
-    named = lists.join(labels, lists["doc_id"] == labels["node"], "left")
-    named = named.select("token", "doc_id", "n", "pos", F.coalesce("label", "doc_id").alias("comp"))
-    rest = verified(enough(cross_pairs(named, percent), percent), docs, width, percent)
+    rest = cross_links(lists, labels, docs, width, percent)
     labels = components(stars.unionByName(rest), "a", "b")
     named = classes.join(labels, classes["doc_id"] == labels["node"], "left")
     named = named.select("c1", "c2", F.coalesce("label", "doc_id").alias("component_id"))
