@@ -220,29 +220,33 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int, bits: int = 24) -> Data
 
 
 def overlaps(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """``pairs`` (a, b, own) with ``both``, the shingles their whole sets share, and the sizes na and nb."""
+    """``pairs`` (a, b, own) with ``both``, the shingles their whole sets share, the sizes na and nb, and what
+    a holds beside b and b beside a (``xa``, ``xb``) where ``own`` is not null; ``xa`` only where it is false."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for x, y in zip(batch.column(3), batch.column(4), strict=True):
+            found, beside = [], ([], [])
+            for x, y, own in zip(batch.column(3), batch.column(4), batch.column(2).to_pylist(), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
                 found.append((np.intersect1d(x, y, assume_unique=True).size, x.size, y.size))
+                beside[0].append(np.setdiff1d(x, y, True).view(np.int64) if own is False else None)
+                beside[1].append(None if own is None else np.setdiff1d(y, x, True).view(np.int64))
             counts = np.array(found, np.int64).reshape(-1, 3)
             columns = [*batch.columns[:3], *[pa.array(counts[:, k]) for k in range(3)]]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "own", "both", "na", "nb"])
+            columns += [pa.array(x, pa.list_(pa.int64())) for x in beside]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "own", "both", "na", "nb", "xa", "xb"])
 
     pairs = stage(pairs.select("a", "b", "own"), "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     sets = sets_of(docs, ids, width)
     one, two = (sets.select(F.col("doc_id").alias(k), F.col("tokens").alias(f"t{k}")) for k in "ab")
     held = pairs.join(one, "a").join(two, "b").select("a", "b", "own", "ta", "tb")
-    return stage(held.mapInArrow(run, "a bigint, b bigint, own boolean, both bigint, na bigint, nb bigint"), "overlaps")
+    return stage(held.mapInArrow(run, "a bigint, b bigint, own boolean, both bigint, na bigint, nb bigint, xa array<bigint>, xb array<bigint>"), "overlaps")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
-    return overlaps(pairs.withColumn("own", F.lit(False)), docs, width).filter(_linked(percent)).select("a", "b")
+    return overlaps(pairs.withColumn("own", F.lit(None).cast("boolean")), docs, width).filter(_linked(percent)).select("a", "b")
 
 
 def _linked(percent: int) -> Column:
@@ -303,19 +307,39 @@ def met_blocks(lists: DataFrame, percent: int) -> DataFrame:
     return stage(per.filter(most >= least_overlap(F.col("la"), F.col("lb"), percent)).select("a", "b", "sa", "sb"), "met-components")
 
 
-def member_pairs(lists: DataFrame, near: DataFrame, gains: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of the components in ``near`` that size, position and their gains leave."""
+def member_pairs(lists: DataFrame, near: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of near components by their lists, as far as size and position leave them.
+
+    Between two groups a member counts with its gain. A set alone meets only members that could do with
+    what the set shares with their leader; the others are found by ``shared_differences``.
+    """
     wanted = near.select(F.col("ca").alias("comp")).union(near.select("cb")).distinct()
-    lists = lists.join(wanted, "comp").join(gains, "doc_id", "left")
+    lists = lists.join(wanted, "comp").join(members.select("doc_id", "gain"), "doc_id", "left")
     lists = stage(lists.withColumn("gain", F.coalesce("gain", F.lit(-percent) * F.col("n").cast("bigint"))), "near-lists")
     a, b = (
         lists.selectExpr("token", f"doc_id as {k}", f"n as n{k}", f"pos as p{k}", f"comp as c{k}", f"gain as g{k}") for k in "ab"
     )
-    fits = F.expr(f"{100 + percent} * both + ga + gb >= 0 AND 100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    fits = F.expr(
+        f"{100 + percent} * both + IF(alone, -{percent} * (na + nb), ga + gb) >= 0"
+        f" AND 100 * least(na, nb) >= {percent} * greatest(na, nb)"
+    )
     reach = F.least("pa", "pb") + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
     met = near.join(a, "ca").join(b, ["token", "cb"])
     met = met.filter(fits & (reach >= least_overlap(F.col("na"), F.col("nb"), percent)))
-    return met.select("a", "b", "na", "nb", "pa", "pb")
+    return enough(met.select("a", "b", "na", "nb", "pa", "pb"), percent)
+
+
+def shared_differences(near: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of a set alone and a group's member that share shingles their leader does not have.
+
+    a shares with b at most what it shares with the leader and what of its rest lies in b's rest, so the
+    rests are joined by shingle instead of the sets.
+    """
+    one = near.filter("alone").select(F.col("ca").alias("a"), "na", F.col("cb").alias("comp"), "both", F.explode("rest").alias("token"))
+    two = members.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), "comp", "gain", F.explode("rest").alias("token"))
+    met = one.join(two, ["comp", "token"]).filter(F.expr(f"{100 + percent} * both - {percent} * na + gain >= 0"))
+    met = met.groupBy("a", "b", "na", "nb", "both").agg(F.count("*").alias("more"))
+    return met.filter(f"{100 + percent} * (both + more) >= {percent} * (na + nb)").select("a", "b")
 
 
 def cross_links(lists: DataFrame, labels: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -325,7 +349,8 @@ def cross_links(lists: DataFrame, labels: DataFrame, docs: DataFrame, width: int
     plus what c has beside C. With o shingles shared by two leaders, members c and d can therefore only
     be similar if (100 + percent) * o + gain(c) + gain(d) >= 0, where gain(c) is
     (100 + percent) * |c without C| - percent * |c|. Most pairs of a group and its surroundings end
-    there with one comparison; members are paired only where the bound leaves them.
+    there with one comparison. Where the bound leaves a set beside a group, the set can only be similar to
+    members small enough for o or to members with which it shares shingles that the leader does not have.
     """
     groups = labels.select("node", "label").unionByName(labels.select(F.col("label").alias("node"), "label").distinct())
     named = lists.join(groups, lists["doc_id"] == groups["node"], "left").select(
@@ -336,21 +361,27 @@ def cross_links(lists: DataFrame, labels: DataFrame, docs: DataFrame, width: int
     own = labels.join(in_groups, "label").select(F.col("label").alias("a"), F.col("node").alias("b"), F.lit(True).alias("own"))
     found = overlaps(met.select("a", "b", F.lit(False).alias("own")).unionByName(own), docs, width)
     gain = (100 + percent) * (F.col("nb") - F.col("both")) - percent * F.col("nb")
-    gains = found.filter("own").select(F.col("b").alias("doc_id"), F.col("a").alias("comp"), gain.alias("gain"))
-    best = gains.groupBy("comp").agg(F.max("gain").alias("best"))
+    members = found.filter("own").select(
+        F.col("b").alias("doc_id"), F.col("a").alias("comp"), F.col("nb").alias("n"), gain.alias("gain"), F.col("xb").alias("rest")
+    )
+    best = members.groupBy("comp").agg(F.max("gain").alias("best"), F.min("n").alias("least"))
     leaders = found.filter("NOT own")
     links = leaders.filter(_linked(percent)).select("a", "b")
-    near = leaders.filter(~_linked(percent))
+    near = leaders.filter(~_linked(percent)).join(met.filter("NOT (sa AND sb)"), ["a", "b"])
     for k in "ab":
-        side = best.select(F.col("comp").alias(k), F.col("best").alias(f"best_{k}"))
-        near = near.join(side, k, "left").withColumn(f"best_{k}", F.greatest(f"best_{k}", -percent * F.col(f"n{k}")))
-    near = near.join(met.filter("NOT (sa AND sb)").select("a", "b"), ["a", "b"])
+        side = best.select(F.col("comp").alias(k), F.col("best").alias(f"best_{k}"), F.col("least").alias(f"least_{k}"))
+        near = near.join(side, k, "left").withColumn(f"best_{k}", F.greatest(f"best_{k}", F.lit(-percent) * F.col(f"n{k}")))
+        near = near.withColumn(f"least_{k}", F.least(f"least_{k}", f"n{k}"))
     near = near.filter((100 + percent) * F.col("both") + F.col("best_a") + F.col("best_b") >= 0)
-    near = stage(near.selectExpr("a as ca", "b as cb", "both"), "near-components")
+    first = {name: F.when(F.col("sb"), F.col(b)).otherwise(F.col(a)).alias(name) for name, a, b in [("ca", "a", "b"), ("na", "na", "nb"), ("rest", "xa", "xb")]}
+    by_lists = F.expr(f"NOT (sa OR sb) OR {100 + percent} * both >= {percent} * (least_a + least_b)").alias("by_lists")
+    near = near.select(*first.values(), F.when(F.col("sb"), F.col("a")).otherwise(F.col("b")).alias("cb"), "both", F.expr("sa OR sb").alias("alone"), by_lists)
+    near = stage(near, "near-components")
     if near.limit(1).count() == 0:
         return links
-    pairs = member_pairs(named, near, gains.drop("comp"), percent)
-    return links.unionByName(verified(enough(pairs, percent), docs, width, percent))
+    pairs = member_pairs(named, near.filter("by_lists").select("ca", "cb", "both", "alone"), members, percent)
+    pairs = pairs.union(shared_differences(near, members, percent)).distinct()
+    return links.unionByName(verified(pairs, docs, width, percent))
 
 
 def joined_by_id(docs: DataFrame, *how) -> DataFrame:
