@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verigrid.llm import jaccard, mixing, packing, quality, secrets
-from verigrid.llm.common import only, stage
+from verigrid.llm.common import only, passing_stages, stage
+from verigrid.sinks.stage import materialize
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +26,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Null and blank texts stand alone and stay, as do rows without id; of rows with one id that whose
     text has the smallest hash stays. An empty table stays empty; other columns are carried along.
     """
-    joined = stage(jaccard.join(docs), "components")
+    with passing_stages(spark):
+        joined = materialize(jaccard.join(docs), "components")
     gone = joined.filter("component_id <> doc_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti")
     repeated = joined.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count()

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import ctypes
+import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verigrid.session import work_dir
 from verigrid.sinks.stage import materialize
 
 #: Fixed value: a word is a run of characters outside this class.
@@ -16,7 +20,28 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: The same blanks as bytes; ``bytes.split()`` uses exactly these.
 BLANKS = b" \t\n\x0b\x0c\r"
 
-stage = materialize
+_passing: ContextVar[str] = ContextVar("passing", default="")
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write a stage once and read it back; inside ``passing_stages`` it goes with the block."""
+    return materialize(df, _passing.get() + label)
+
+
+@contextmanager
+def passing_stages(spark: SparkSession) -> Iterator[None]:
+    """Stages written inside the block are removed at its end.
+
+    What outlives the block has to be written with ``materialize`` inside it.
+    """
+    folder = f"passing-{uuid.uuid4().hex}"
+    before = _passing.set(f"{folder}/")
+    try:
+        yield
+    finally:
+        _passing.reset(before)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{work_dir(spark)}/stage/{folder}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
