@@ -28,11 +28,39 @@ def test_running_values(spark):
     df = skewed(spark)
     window = W.partitionBy("k").orderBy("n").rowsBetween(W.unboundedPreceding, 0)
     want = df.withColumn("s", F.sum("v").over(window))
-    for width in (1, 64, 10**6):
-        got = scale.running_values(df, ["k"], [F.col("n")], F.floor(F.col("n") / width), {"s": F.col("v")})
+    for width in (1, 64, 10**6, None):
+        block = F.floor(F.col("n") / width) if width else None
+        got = scale.running_values(df, ["k"], [F.col("n")], block, {"s": F.col("v")})
         assert same(want, got)
 
 
+def test_measured_blocks_cut_a_key_with_all_rows(spark):
+    joining = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(joining)
+    spark.conf.set(joining, "false")
+    try:
+        rows = spark.range(20_000).select(
+            F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"), (-F.col("id")).alias("n"), (F.col("id") % 7).alias("v")
+        )
+        blocks = scale.measured_blocks(rows, ["k"], [F.col("n")]).groupBy("__block").count()
+        hot = [r["count"] for r in blocks.filter("__block.k is null").collect()]
+        ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # 18,000 rows of the NULL key lie in nearly all ranges, none of which holds much more than its share
+        assert len(hot) >= 3 * ranges // 4 and sum(hot) == 18_000 and max(hot) < 1.5 * 20_000 / ranges
+        # summaries: other keys have one row and one block each
+        assert blocks.count() == len(hot) + 2_000
+        window = W.partitionBy("k").orderBy("n").rowsBetween(W.unboundedPreceding, 0)
+        want = rows.withColumn("s", F.sum("v").over(window))
+        assert same(want, scale.running_values(rows, ["k"], [F.col("n")], None, {"s": F.col("v")}))
+        falling = W.partitionBy("k").orderBy(F.col("n").desc()).rowsBetween(W.unboundedPreceding, -1)
+        want = rows.withColumn("s", F.sum("v").over(falling))
+        assert same(want, scale.running_values(rows, ["k"], [F.col("n").desc()], None, {"s": F.col("v")}, strict=True))
+        none = scale.running_values(rows.limit(0), ["k"], [F.col("n")], None, {"s": F.col("v")})
+        assert none.count() == 0
+    finally:
+        spark.conf.set(joining, before)
+
+
 def test_carry_forward_with_reset(spark):
     df = skewed(spark)
     mark = F.when(F.col("mark") == "reset", F.struct(F.lit(None).cast("string").alias("c"))).when(
@@ -41,7 +69,7 @@ def test_carry_forward_with_reset(spark):
     for strict, upper in ((False, 0), (True, -1)):
         window = W.partitionBy("k").orderBy("n").rowsBetween(W.unboundedPreceding, upper)
         want = df.withColumn("c", F.last(mark, ignorenulls=True).over(window))
-        for block in (3, 100, 10**6):
+        for block in (3, 100, 10**6, None):
             got = scale.carry_forward(df, ["k"], "n", block, {"c": mark}, strict=strict)
             assert same(want, got)
 

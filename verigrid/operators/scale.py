@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from verigrid.sinks.stage import materialize
+
 
 def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     condition = F.lit(True)
@@ -113,23 +115,40 @@ def _earlier_blocks(partition: Sequence[str]):
     return W.partitionBy(*parts).orderBy(F.col("__block")["b"]).rowsBetween(W.unboundedPreceding, -1)
 
 
+def measured_blocks(df: DataFrame, partition: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """``df`` with ``__block``, a struct of ``partition`` and the range ``b`` a row fell into.
+
+    Ranges over (partition, order) are cut by Spark from a sample of the rows themselves and hold about
+    equally many, so a partition with all rows has as many blocks as the session has shuffle partitions
+    (fewer where adaptive execution joins small ones) and a small one has one or two. Rows equal in
+    ``order`` share a block. The rows are written out once: ranges are sampled, and all readers have
+    to see the same ones, also when an executor is lost.
+    """
+    ranged = df.repartitionByRange(*[F.col(name) for name in partition], *order)
+    kept = materialize(ranged.withColumn("__range", F.spark_partition_id()), "scan-ranges")
+    return kept.withColumn("__block", F.struct(*partition, F.col("__range").alias("b"))).drop("__range")
+
+
 def running_values(
     df: DataFrame,
     partition: Sequence[str],
     order: Sequence[Column],
-    block: Column,
+    block: Column | None,
     sums: Mapping[str, Column],
     strict: bool = False,
 ) -> DataFrame:
     """Running sums in ``order``, scanned in blocks.
 
-    ``block`` must not decrease along ``order``. Each block is summed on its own,
-    the few block sums are scanned, and rows add their block's opening value. A hot
-    partition is therefore spread over as many tasks as it has blocks. ``strict``
-    leaves the current row out.
+    Without ``block`` the blocks are measured (``measured_blocks``); a given one must not
+    decrease along ``order``. Each block is summed on its own, the few block sums are
+    scanned, and rows add their block's opening value. A hot partition is therefore
+    spread over as many tasks as it has blocks. ``strict`` leaves the current row out.
     """
     # one struct key: NULL parts compare equal, and the window and the join share its shuffle
-    blocked = df.withColumn("__block", F.struct(*partition, block.alias("b")))
+    if block is None:
+        blocked = measured_blocks(df, partition, order)
+    else:
+        blocked = df.withColumn("__block", F.struct(*partition, block.alias("b")))
     keys = ["__block"]
     block_sums = blocked.groupBy("__block").agg(
         *[F.sum(expr).alias(f"__s_{name}") for name, expr in sums.items()]
@@ -161,20 +180,23 @@ def carry_forward(
     df: DataFrame,
     partition: Sequence[str],
     order: str,
-    block_rows: int,
+    block_rows: int | None,
     values: Mapping[str, Column],
     strict: bool = False,
 ) -> DataFrame:
     """The last non-null value up to the current row, or strictly before it.
 
     Give a struct with a NULL field to carry a *reset*: the struct itself is not
-    NULL, so it replaces what was carried before. ``order`` is a row number that is
-    unique per partition, so a block of ``block_rows`` numbers bounds one task.
+    NULL, so it replaces what was carried before. ``order`` is unique per partition.
+    Without ``block_rows`` the blocks are measured (``measured_blocks``); where ``order``
+    is a dense row number, a block of ``block_rows`` numbers spares the written table.
     """
-    block = F.floor(F.col(order) / block_rows).alias("b")
-    blocked = df.withColumn("__block", F.struct(*partition, block)).withColumns(
-        {f"__v_{name}": expr for name, expr in values.items()}
-    )
+    if block_rows is None:
+        blocked = measured_blocks(df, partition, [F.col(order)])
+    else:
+        block = F.floor(F.col(order) / block_rows).alias("b")
+        blocked = df.withColumn("__block", F.struct(*partition, block))
+    blocked = blocked.withColumns({f"__v_{name}": expr for name, expr in values.items()})
     keys = ["__block"]
     closing = blocked.groupBy("__block").agg(
         *[

@@ -71,7 +71,7 @@ def win05(t):
         events,
         ["user_id"],
         [F.col("ts"), F.col("event_id")],
-        F.date_trunc("day", F.col("ts").cast("timestamp")),
+        None,
         {"running_value": F.col("amount"), "running_events": F.lit(1).cast("bigint")},
     )
     return scanned.select(
@@ -128,7 +128,7 @@ def marked_events(t):
 )
 def win08(t):
     carried = scale.carry_forward(
-        marked_events(t), ["user_id"], "event_id", 4096, {"carried": F.col("mark")}
+        marked_events(t), ["user_id"], "event_id", None, {"carried": F.col("mark")}
     )
     return carried.select(
         "event_id", "user_id", "event_type", F.col("carried.code").alias("context"),
@@ -142,7 +142,7 @@ def win08(t):
 )
 def win09(t):
     carried = scale.carry_forward(
-        marked_events(t), ["user_id"], "event_id", 4096, {"carried": F.col("mark")}, strict=True
+        marked_events(t), ["user_id"], "event_id", None, {"carried": F.col("mark")}, strict=True
     )
     return carried.select(
         "event_id", "user_id", "event_type", F.col("carried.code").alias("context"),
