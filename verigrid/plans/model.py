@@ -3,24 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verigrid.functions.dates import date_key, spans_more_than, zero_progress
-from verigrid.functions.identity import surrogate_key
+from verigrid.functions.identity import run_id, surrogate_key
 from verigrid.operators.scale import latest_per_key, with_context
+from verigrid.operators.versions import valid_version
 
 
 def with_unknown(df: DataFrame, key: str, defaults: Mapping[str, str]) -> DataFrame:
     """Add the reserved member 0; columns without a default stay NULL."""
     spark = df.sparkSession
     columns = []
-    for field in df.schema:
-        if field.name == key:
-            columns.append(F.lit(0).cast(field.dataType).alias(key))
+    for part in df.schema:
+        if part.name == key:
+            columns.append(F.lit(0).cast(part.dataType).alias(key))
         else:
-            columns.append(F.lit(defaults.get(field.name)).cast(field.dataType).alias(field.name))
+            columns.append(F.lit(defaults.get(part.name)).cast(part.dataType).alias(part.name))
     return df.unionByName(spark.range(1).select(*columns))
 
 
@@ -90,31 +93,75 @@ def project_dimension(entities: DataFrame, listed: DataFrame, key: str) -> DataF
     ).drop("__in")
 
 
+@dataclass(frozen=True)
+class KeyRule:
+    """How a fact row finds its member of one dimension.
+
+    ``on`` pairs fact columns with the natural columns of ``dimension``. With ``valid`` (first day, day
+    after the last) it is the version that holds on the fact's day ``at``. A row outside ``only`` or
+    without a member gets key 0; with ``stop`` a row that has all natural values but no member ends the
+    job instead. ``carry`` takes attributes of the member along, NULL beside key 0.
+    """
+
+    dimension: DataFrame
+    key: str
+    on: Mapping[str, str]
+    only: Column | None = None
+    valid: tuple[str, str] | None = None
+    at: str | None = None
+    carry: Mapping[str, str] = field(default_factory=dict)
+    stop: bool = False
+
+
+def with_key(fact: DataFrame, name: str, rule: KeyRule) -> DataFrame:
+    """``fact`` with the key ``name`` and what the rule carries; never more or fewer rows, given unique members."""
+    members = rule.dimension.filter(F.col(rule.key) != 0)
+    take = {rule.key: "__key"} | {theirs: f"__c_{ours}" for theirs, ours in rule.carry.items()}
+    if rule.valid:
+        found = valid_version(fact, members, rule.on, rule.at, rule.valid, take)
+    else:
+        named = members.select(
+            *[F.col(theirs).alias(f"__on_{i}") for i, theirs in enumerate(rule.on.values())],
+            *[F.col(theirs).alias(ours) for theirs, ours in take.items()],
+        )
+        same = reduce(lambda x, y: x & y, [fact[ours] == named[f"__on_{i}"] for i, ours in enumerate(rule.on)])
+        found = fact.join(named, same, "left").drop(*[f"__on_{i}" for i in range(len(rule.on))])
+    usable = F.lit(True) if rule.only is None else F.coalesce(rule.only, F.lit(False))
+    key = F.when(usable, F.col("__key"))
+    if rule.stop:
+        known = reduce(lambda x, y: x & y, [F.col(ours).isNotNull() for ours in rule.on])
+        values = F.concat_ws(", ", *[F.col(ours).cast("string") for ours in rule.on])
+        lost = F.raise_error(F.concat(F.lit(f"STOP: {name} has no active member for "), values)).cast("bigint")
+        key = F.coalesce(key, F.when(usable & known, lost))
+    carried = {ours: F.when(usable, F.col(f"__c_{ours}")) for ours in rule.carry.values()}
+    return found.withColumns({name: F.coalesce(key, F.lit(0)), **carried}).drop(
+        "__key", *[f"__c_{ours}" for ours in rule.carry.values()]
+    )
+
+
 def snapshot_fact(
     projects: DataFrame,
-    dims: Mapping[str, tuple[DataFrame, str, str, Column | None]],
+    rules: Mapping[str, KeyRule],
     snapshot_date: DataFrame,
+    source: str,
+    versions: Sequence[str] = (),
     long_running_months: int = 24,
 ) -> DataFrame:
     """One fact row per project with resolved dimension keys.
 
-    ``dims`` maps a fact key to (dimension, dimension key, natural column, condition).
-    The natural column has the same name on both sides; a row outside the condition, or
-    without a member, gets key 0. ``snapshot_date`` is one row with snapshot_date.
+    ``rules`` maps a fact key to its rule; ``snapshot_date`` is one row with snapshot_date. The snapshot
+    is known by ``source`` and that date. The project's own key is the one its dimension gives it, a hash
+    of ``source`` and the contract, so it needs no join; snapshot key and run id are hashes of what
+    they stand for, ``versions`` being the rule versions that took part.
     """
-    fact = projects.transform(with_context, snapshot_date)
-    for fact_key, (dim, dim_key, natural, condition) in dims.items():
-        members = dim.filter(F.col(dim_key) != 0).select(
-            F.col(natural).alias("__natural"), F.col(dim_key).alias("__key")
-        )
-        joined = fact.join(members, fact[natural] == members["__natural"], "left")
-        usable = F.lit(True) if condition is None else F.coalesce(condition, F.lit(False))
-        fact = joined.withColumn(
-            fact_key, F.coalesce(F.when(usable, F.col("__key")), F.lit(0))
-        ).drop("__natural", "__key")
+    fact = projects.withColumnRenamed("project_key", "contract_id").transform(with_context, snapshot_date)
+    for name, rule in rules.items():
+        fact = with_key(fact, name, rule)
     start, end, as_of = F.col("start_date"), F.col("completion_date"), F.col("snapshot_date")
-    return fact.withColumns(
+    fact = fact.withColumns(
         {
+            "project_key": surrogate_key("PROJECT", source, F.col("contract_id")),
+            "source_snapshot_id": F.concat_ws("-", F.lit(source), F.date_format(as_of, "yyyyMMdd")),
             "snapshot_date_key": date_key(as_of),
             "start_date_key": date_key(start),
             "completion_date_key": date_key(end),
@@ -123,19 +170,38 @@ def snapshot_fact(
             "is_current_snapshot": F.lit(True),
         }
     )
+    return fact.withColumns(
+        {
+            "project_snapshot_key": surrogate_key("PROJECT_SNAPSHOT", F.col("project_key"), F.col("source_snapshot_id")),
+            "run_id": run_id(F.col("source_snapshot_id"), *versions),
+        }
+    )
+
 
+def fact_checks(
+    fact: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    money: str,
+    unique: str,
+    also: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """Row count, uniqueness of ``unique``, missing keys and money of a fact against its source.
 
-def fact_checks(fact: DataFrame, source: DataFrame, keys: Sequence[str], money: str) -> DataFrame:
-    """Row count, key uniqueness, missing keys and money of a fact against its source."""
+    ``also`` are further aggregates of the fact, taken in the same pass.
+    """
     made = fact.agg(
         F.count(F.lit(1)).alias("fact_rows"),
-        F.count_if(sum((F.col(k).isNull().cast("int") for k in keys), F.lit(0)) > 0).alias("null_keys"),
+        F.count_if(F.array_contains(F.array(*[F.col(k).isNull() for k in keys]), True)).alias("null_keys"),
+        F.count_distinct(unique).alias("unique_rows"),
         F.sum(money).alias("fact_money"),
+        *[value.alias(name) for name, value in (also or {}).items()],
     )
     given = source.agg(F.count(F.lit(1)).alias("source_rows"), F.sum(money).alias("source_money"))
     return made.transform(with_context, given).withColumn(
         "is_reconciled",
         (F.col("fact_rows") == F.col("source_rows"))
+        & (F.col("unique_rows") == F.col("fact_rows"))
         & (F.col("null_keys") == 0)
         & F.col("fact_money").eqNullSafe(F.col("source_money")),
     )

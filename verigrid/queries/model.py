@@ -325,36 +325,64 @@ def dim07(t):
     return boundary_status(areas(t), boundaries).select("code", "name", "area_type", "parent_code", "boundary_status")
 
 
-FACT_OUT = """SELECT project_key, CASE WHEN region_key <> 0 THEN concat('R', CAST(region_key AS VARCHAR)) END AS region_code, source_status, status_group, CAST(strftime(snapshot_date, '%Y%m%d') AS BIGINT) AS snapshot_date_key, CAST(strftime(start_date, '%Y%m%d') AS BIGINT) AS start_date_key,
-        coalesce(CAST(strftime(completion_date, '%Y%m%d') AS BIGINT), 0) AS completion_date_key, budget, long_running_flag, zero_progress_flag FROM facts"""
+FACT_OUT = """SELECT project_key AS contract_id, CASE WHEN region_match_status = 'MATCHED' THEN concat('R', CAST(region_key AS VARCHAR)) END AS region_code, CASE WHEN region_match_status = 'MATCHED' THEN CASE WHEN start_date < DATE '1994-01-01' + CAST(region_key AS INTEGER) * 90 THEN 'g1' WHEN start_date < DATE '1996-06-01' THEN 'g2' ELSE 'g3' END END AS region_version,
+        CASE WHEN area_match_status = 'MATCHED' THEN concat('N', CAST(area_key AS VARCHAR)) END AS area_code, source_status, status_group, CASE WHEN class_match_status = 'MATCHED' AND level IN (SELECT level FROM exposure) THEN level END AS level,
+        CAST(strftime(snapshot_date, '%Y%m%d') AS BIGINT) AS snapshot_date_key, CAST(strftime(start_date, '%Y%m%d') AS BIGINT) AS start_date_key, coalesce(CAST(strftime(completion_date, '%Y%m%d') AS BIGINT), 0) AS completion_date_key, budget, long_running_flag, zero_progress_flag,
+        concat('ORDERS-', strftime(snapshot_date, '%Y%m%d')) AS source_snapshot_id, sha256(concat('ORDERS-', strftime(snapshot_date, '%Y%m%d'), '|s3|delivery-1')) AS run_id FROM facts"""
+
+
+def region_versions(t):
+    """Each region in three versions; the first border differs by region, the outer ones are open."""
+    number = F.col("r_regionkey") + 1
+    first_border = F.date_add(F.lit("1994-01-01").cast("date"), (number * 90).cast("int"))
+    second_border, none = F.lit("1996-06-01").cast("date"), F.lit(None).cast("date")
+    spans = F.array(
+        *[
+            F.struct(F.lit(name).alias("version"), since.alias("valid_from"), until.alias("valid_until"))
+            for name, since, until in (
+                ("g1", none, first_border), ("g2", first_border, second_border), ("g3", second_border, none)
+            )
+        ]
+    )
+    members = t.region.select(F.concat(F.lit("R"), number.cast("string")).alias("region_code"), F.inline(spans))
+    return model.dimension(members, "region_key", "REGION", ["region_code", "version"], {})
 
 
 def snapshot_fact(t):
     """Projects with their keys resolved against the real dimensions."""
-    rows = star.projects(t).withColumn(
-        "region_code", F.concat(F.lit("R"), F.col("region_key").cast("string"))
-    ).drop("region_key", "status_key", "status_group")
-    active = status_dim(t).filter("is_active or status_key = 0")
-    matched = F.col("region_match_status").isin("MATCHED", "MATCHED_WITH_CONFLICT")
-    return model.snapshot_fact(
-        rows,
-        {
-            "region_key": (region_dim(t), "region_key", "region_code", matched),
-            "status_key": (active, "status_key", "source_status", None),
-        },
-        star.snapshot(t),
-    ), active
+    code = lambda letter, key: F.when(F.col(key) != 0, F.concat(F.lit(letter), F.col(key).cast("string")))
+    rows = star.projects(t).withColumns({"region_natural": code("R", "region_key"), "area_natural": code("N", "area_key")})
+    rows = rows.drop("region_key", "area_key", "status_key", "status_group")
+    areas = t.nation.select(F.concat(F.lit("N"), (F.col("n_nationkey") + 1).cast("string")).alias("area_code"))
+    levels = star.exposure(t).select("level").distinct()
+    rules = {
+        "region_key": model.KeyRule(
+            region_versions(t), "region_key", {"region_natural": "region_code"},
+            F.col("region_match_status").isin("MATCHED", "MATCHED_WITH_CONFLICT"),
+            ("valid_from", "valid_until"), "start_date", {"region_code": "region_code", "version": "region_version"},
+        ),
+        "area_key": model.KeyRule(
+            model.dimension(areas, "area_key", "AREA", ["area_code"], {}), "area_key", {"area_natural": "area_code"},
+            F.col("area_match_status") == "MATCHED", carry={"area_code": "area_code"},
+        ),
+        "status_key": model.KeyRule(
+            status_dim(t).filter("is_active"), "status_key", {"source_status": "source_status"},
+            carry={"status_group": "status_group"}, stop=True,
+        ),
+        "level_key": model.KeyRule(
+            model.dimension(levels, "level_key", "LEVEL", ["level"], {}), "level_key", {"level": "level"},
+            F.col("class_match_status") == "MATCHED", carry={"level": "mapped_level"},
+        ),
+    }
+    return model.snapshot_fact(rows, rules, star.snapshot(t), "ORDERS", ["s3", "delivery-1"])
 
 
 @query("fct01", f"WITH {W} {FACT_OUT}")
 def fct01(t):
-    fact, statuses = snapshot_fact(t)
-    named = fact.drop("region_code", "source_status").join(
-        region_dim(t).select("region_key", "region_code"), "region_key"
-    ).join(statuses.select("status_key", "source_status", "status_group"), "status_key")
-    return named.select(
-        "project_key", "region_code", "source_status", "status_group", "snapshot_date_key", "start_date_key",
-        "completion_date_key", "budget", "long_running_flag", "zero_progress_flag",
+    return snapshot_fact(t).select(
+        "contract_id", "region_code", "region_version", "area_code", "source_status", "status_group",
+        F.col("mapped_level").alias("level"), "snapshot_date_key", "start_date_key", "completion_date_key", "budget",
+        "long_running_flag", "zero_progress_flag", "source_snapshot_id", "run_id",
     )
 
 
@@ -422,15 +450,17 @@ def fct05(t):
     f"""WITH {W} SELECT CAST(COUNT(*) AS BIGINT) AS projects, CAST(COUNT(*) FILTER (WHERE long_running_flag) AS BIGINT) AS long_running, CAST(COUNT(*) FILTER (WHERE long_running_flag IS NULL) AS BIGINT) AS not_judged, CAST(COUNT(*) FILTER (WHERE zero_progress_flag) AS BIGINT) AS zero_progress, CAST(COUNT(*) FILTER (WHERE zero_progress_flag IS NULL) AS BIGINT) AS unresolved_progress, TRUE AS is_reconciled FROM facts""",
 )
 def fct06(t):
-    fact, _ = snapshot_fact(t)
-    counts = fact.agg(
-        F.count(F.lit(1)).alias("projects"), F.count_if("long_running_flag").alias("long_running"),
-        F.count_if(F.col("long_running_flag").isNull()).alias("not_judged"),
-        F.count_if("zero_progress_flag").alias("zero_progress"),
-        F.count_if(F.col("zero_progress_flag").isNull()).alias("unresolved_progress"),
+    counts = {
+        "long_running": F.count_if("long_running_flag"),
+        "not_judged": F.count_if(F.col("long_running_flag").isNull()),
+        "zero_progress": F.count_if("zero_progress_flag"),
+        "unresolved_progress": F.count_if(F.col("zero_progress_flag").isNull()),
+    }
+    keys = ["project_key", "region_key", "area_key", "status_key", "level_key", "snapshot_date_key", "start_date_key"]
+    checked = model.fact_checks(
+        snapshot_fact(t), star.projects(t), keys, "budget", "project_snapshot_key", counts
     )
-    checked = model.fact_checks(fact, star.projects(t), ["region_key", "status_key"], "budget")
-    return counts.transform(with_context, checked.select("is_reconciled"))
+    return checked.select(F.col("fact_rows").alias("projects"), *counts, "is_reconciled")
 
 
 @query(
