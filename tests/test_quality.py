@@ -94,3 +94,36 @@ def test_marks_see_lost_pairs_and_changed_cells(spark):
     found = resolve.differing_keys(spark.createDataFrame(rows, schema), spark.createDataFrame(changed, schema), ["k"], ["v", "w"], buckets=16)
     assert sorted(map(tuple, found.collect())) == [(3, 8, 8), (9, 8, 10), (77, 0, 1)]
     assert resolve.differing_keys(spark.createDataFrame(rows, schema), spark.createDataFrame(rows, schema), ["k"], ["v", "w"]).count() == 0
+
+
+def test_mart_rebuilds_find_planted_faults(spark):
+    from verigrid.queries import quality as suites
+    from verigrid.queries import rebuild
+    from verigrid.queries.registry import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    good = suites.published_marts(t)
+    first = {mart: good[mart].orderBy(*rebuild.KEYS[mart]).first() for mart in ("equity_mart", "monitoring_mart", "point_mart")}
+    area, order = first["equity_mart"]["member_key"], first["point_mart"]["project_key"]
+    here = F.col("project_key") == order
+    bad = good | {
+        # a status told otherwise, a project that is missing and one that no order holds, a value turned into NULL
+        "equity_mart": good["equity_mart"].withColumn(
+            "coverage", F.when(F.col("member_key") == area, "OTHER").otherwise(F.col("coverage"))
+        ),
+        "monitoring_mart": good["monitoring_mart"].withColumn("project_key", F.when(here, -1).otherwise(F.col("project_key"))),
+        "point_mart": good["point_mart"].withColumn("hierarchy_status", F.when(~here, F.col("hierarchy_status"))),
+    }
+    names = list(rebuild.REBUILDS)
+    results = suites.mart_checks(t, bad)
+    found = set()
+    for mart in first:
+        for row in results[names.index(mart)].collect():
+            if row["status"] != "PASS":
+                found.add((mart, row["check_name"], row["failed_rows"]))
+    assert found == {
+        ("equity_mart", "status equals the rebuild", 1),
+        ("monitoring_mart", "no expected row is missing", 1),
+        ("monitoring_mart", "no unexpected row exists", 1),
+        ("point_mart", "status equals the rebuild", 1),
+    }

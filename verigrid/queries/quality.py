@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 
 from verigrid.functions import identity
 from verigrid.operators import mapping, matching
-from verigrid.plans import model, quality
+from verigrid.plans import marts, model, quality
 from verigrid.plans.quality import Check, checks, consistent, in_range, not_null, vocabulary, zero_not_null
 from verigrid.queries import mapping as mapping_queries
+from verigrid.queries import marts as mart_queries
 from verigrid.queries import model as model_queries
-from verigrid.queries import star
+from verigrid.queries import rebuild, star
 from verigrid.queries.mapping import RULES_SQL
 from verigrid.queries.model import AREAS_SQL, COMPONENT_SQL
-from verigrid.queries.registry import query
+from verigrid.queries.registry import SQL, query
 from verigrid.queries.star import PROJECTS_SQL as W
 from verigrid.session import work_dir
 from verigrid.operators.scale import with_context
@@ -325,6 +326,10 @@ def rebuilt_areas(t):
     return everyone.join(totals, "member_key", "left").withColumn("project_count", F.coalesce("project_count", F.lit(0)))
 
 
+#: The query that publishes each mart; its SQL tells how many rows the comparison has to see.
+MART_QUERIES = {"distribution_mart": "mrt01", "equity_mart": "mrt02", "alignment_mart": "mrt03", "monitoring_mart": "mrt04", "point_mart": "mrt05"}
+
+
 @query(
     "dq14",
     f"WITH {W}, act AS (SELECT n_nationkey + 1 AS k, COUNT(project_key) AS n, SUM(budget) AS b FROM nation LEFT JOIN facts ON area_key = n_nationkey + 1 GROUP BY 1), e0 AS (SELECT c_nationkey + 1 AS k, COUNT(*) AS n, SUM(CASE WHEN NOT (c_nationkey = 18 OR (o_orderstatus = 'P' AND o_orderpriority = '2-HIGH')) THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS b FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderpriority NOT IN ('4-NOT SPECIFIED', '5-LOW') AND c_nationkey NOT IN (7, 24) GROUP BY 1),"
@@ -333,15 +338,41 @@ def rebuilt_areas(t):
         ("Completeness", "no expected row is missing", n_if("ak IS NULL"), "stop"), ("Completeness", "no unexpected row exists", n_if("ek IS NULL"), "stop"),
         ("Accuracy", "counts equals the rebuild", n_if("en IS DISTINCT FROM an"), "stop"), ("Accuracy", "money equals the rebuild", n_if("eb IS DISTINCT FROM ab"), "stop"),
     ])
-    + ") SELECT * FROM x",
+    + ") SELECT * FROM x UNION ALL "
+    + " UNION ALL ".join(
+        check_rows(mart, f"({SQL[name]})", [
+            ("Completeness", "no expected row is missing", n_if("FALSE"), "stop"), ("Completeness", "no unexpected row exists", n_if("FALSE"), "stop"),
+            *[("Accuracy", f"{family} equals the rebuild", n_if("FALSE"), "stop") for family in rebuild.FAMILIES[mart]],
+        ])
+        for mart, name in MART_QUERIES.items()
+    ),
 )
 def dq14(t):
-    return shown(
-        quality.compare(
-            rebuilt_areas(t), star.area_members(t), "area_mart", ["member_key"],
-            {"counts": ["project_count"], "money": ["total_budget"]},
-        )
+    areas = quality.compare(
+        rebuilt_areas(t), star.area_members(t), "area_mart", ["member_key"],
+        {"counts": ["project_count"], "money": ["total_budget"]},
     )
+    return shown(quality.all_of(areas, *mart_checks(t, published_marts(t))))
+
+
+def published_marts(t):
+    facts = star.facts(t)
+    return {
+        "distribution_mart": star.distribution(t),
+        "equity_mart": mart_queries.equity(t),
+        "alignment_mart": mart_queries.alignment(t),
+        "monitoring_mart": marts.monitoring(facts),
+        "point_mart": marts.point_view(facts, star.region_population(t), star.area_population(t)),
+    }
+
+
+def mart_checks(t, published):
+    """Every mart against its rebuild: rows on one side only, and a check per column family."""
+    raw = rebuild.sources(t)
+    return [
+        quality.compare(make(t, raw), published[mart], mart, rebuild.KEYS[mart], rebuild.FAMILIES[mart])
+        for mart, make in rebuild.REBUILDS.items()
+    ]
 
 
 @query(
