@@ -96,3 +96,23 @@ def test_fact_checks_see_repeats_and_missing_keys(spark):
     assert not check(repeated)
     assert not check(fact.withColumn("status_key", F.expr("nullif(status_key, 0)")))
     assert not check(fact.withColumn("budget", F.col("budget") + 1))
+
+
+def test_boundary_rows_and_losses(spark):
+    square = [[[0.0, 0.0], [2.0, 0.0], [2.0, 2.0], [0.0, 2.0], [0.0, 0.0]]]
+    flat = [[[0.0, 0.0], [2.0, 0.0], [1.0, 0.0], [0.0, 0.0]]]
+    rows = [("a", "v1", square), ("a", "v2", flat), ("b", "v1", square), ("b", "v1", flat), ("a", None, None), ("zz", "v1", square)]
+    shapes = spark.createDataFrame(rows, "code string, boundary_version string, rings array<array<array<double>>>")
+    members = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "key long, code string")
+    made = model.boundary_dimension(members, shapes, "key")
+    got = {(r["code"], r["boundary_version"]): r for r in made.collect()}
+    assert set(got) == {("a", "v1"), ("a", "v2"), ("a", None), ("b", "v1")}
+    good, line, none, two = got["a", "v1"], got["a", "v2"], got["a", None], got["b", "v1"]
+    assert good["geometry_valid_flag"] and (good["centroid_longitude"], good["centroid_latitude"]) == (1.0, 1.0) and good["rings"] == square
+    assert line["geometry_valid_flag"] is False and line["publication_status"] == "PUBLISHED" and line["centroid_longitude"] is None
+    assert none["geometry_valid_flag"] is False and none["feature_count"] == 1
+    assert two["publication_status"] == "SKIPPED_AMBIGUOUS" and two["boundary_key"] is None and two["rings"] is None
+    assert len({good["boundary_key"], line["boundary_key"], none["boundary_key"]}) == 3
+    assert model.boundary_losses(made, shapes).first().asDict() == {"published": 3, "skipped_ambiguous": 2, "shapes": 6, "skipped_no_member": 1}
+    empty = model.boundary_dimension(members, shapes.limit(0), "key")
+    assert empty.count() == 0 and model.boundary_losses(empty, shapes.limit(0)).first()["skipped_no_member"] == 0

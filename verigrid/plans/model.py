@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verigrid.functions.dates import date_key, spans_more_than, zero_progress
+from verigrid.functions.geometry import centroid
 from verigrid.functions.identity import run_id, surrogate_key
 from verigrid.operators.scale import latest_per_key, with_context
 from verigrid.operators.versions import valid_version
@@ -50,18 +51,44 @@ def calendar(spark: SparkSession, first: Column, last: Column, bounds: DataFrame
 
 
 def boundary_dimension(members: DataFrame, boundaries: DataFrame, key: str) -> DataFrame:
-    """Boundary rows of members with exactly one boundary per version; the rest are only counted.
+    """Boundaries by member and version: published with shape and centroid, or only counted.
 
-    ``boundaries`` has code and boundary_version.
+    ``members`` has ``key`` and code, ``boundaries`` has code, boundary_version and rings. A member with
+    one shape in a version gets a row with its key, rings, whether they enclose an area, and centroid.
+    Several shapes are ambiguous: counted, none of them chosen. Codes without a member are left out;
+    ``boundary_losses`` counts them. A NULL version is a version; NULL rings enclose nothing.
     """
     counted = boundaries.groupBy("code", "boundary_version").agg(
-        F.count(F.lit(1)).alias("feature_count")
+        F.count(F.lit(1)).alias("feature_count"), F.max("rings").alias("__rings")
     )
-    return members.select(key, "code").join(counted, "code").select(
-        key, "code", "boundary_version", "feature_count",
-        F.when(F.col("feature_count") == 1, "PUBLISHED").otherwise("SKIPPED_AMBIGUOUS").alias(
-            "publication_status"
-        ),
+    one = F.col("feature_count") == 1
+    placed = members.select(key, "code").join(counted, "code").withColumns(
+        {
+            "boundary_key": F.when(one, surrogate_key("BOUNDARY", F.col(key), F.col("boundary_version"))),
+            "rings": F.when(one, F.col("__rings")),
+            "publication_status": F.when(one, "PUBLISHED").otherwise("SKIPPED_AMBIGUOUS"),
+        }
+    ).drop("__rings")
+    longitude, latitude = centroid(F.col("rings"))
+    return placed.withColumns(
+        {
+            "geometry_valid_flag": F.when(one, longitude.isNotNull()),
+            "centroid_longitude": longitude,
+            "centroid_latitude": latitude,
+        }
+    )
+
+
+def boundary_losses(dimension: DataFrame, boundaries: DataFrame) -> DataFrame:
+    """One row: shapes given, published, skipped as ambiguous and skipped without a member; they add up."""
+    published = F.col("publication_status") == "PUBLISHED"
+    made = dimension.agg(
+        F.count_if(published).alias("published"),
+        F.coalesce(F.sum(F.when(~published, F.col("feature_count"))), F.lit(0)).alias("skipped_ambiguous"),
+    )
+    given = boundaries.agg(F.count(F.lit(1)).alias("shapes"))
+    return made.transform(with_context, given).withColumn(
+        "skipped_no_member", F.col("shapes") - F.col("published") - F.col("skipped_ambiguous")
     )
 
 

@@ -257,15 +257,29 @@ def dim02(t):
 
 @query(
     "dim03",
-    """SELECT concat('N', CAST(s_nationkey AS VARCHAR)) AS code, CASE WHEN s_acctbal < 7000 THEN 'b1' ELSE 'b2' END AS boundary_version, CAST(COUNT(*) AS BIGINT) AS feature_count, CASE WHEN COUNT(*) = 1 THEN 'PUBLISHED' ELSE 'SKIPPED_AMBIGUOUS' END AS publication_status FROM supplier GROUP BY 1, 2""",
+    """WITH b AS (SELECT concat('N', CAST(s_nationkey AS VARCHAR)) AS code, CASE WHEN s_acctbal < 7000 THEN 'b1' ELSE 'b2' END AS boundary_version, s_nationkey AS x, 1 + s_suppkey % 7 AS w FROM supplier),
+    g AS (SELECT code, boundary_version, CAST(COUNT(*) AS BIGINT) AS feature_count, MAX(x) AS x, MAX(w) AS w FROM b WHERE code <> 'N13' GROUP BY 1, 2),
+    total AS (SELECT COUNT(*) FILTER (WHERE code = 'N13') AS lost FROM b)
+    SELECT code, boundary_version, feature_count, CASE WHEN feature_count = 1 THEN 'PUBLISHED' ELSE 'SKIPPED_AMBIGUOUS' END AS publication_status, feature_count = 1 AS has_key, CASE WHEN feature_count = 1 THEN TRUE END AS geometry_valid_flag,
+        CASE WHEN feature_count = 1 THEN ROUND(CAST(x AS DOUBLE) + w / 3.0, 6) END AS centroid_longitude, CASE WHEN feature_count = 1 THEN ROUND(10 + 2 / 3.0::DOUBLE, 6) END AS centroid_latitude, CAST(lost AS BIGINT) AS skipped_no_member FROM g, total""",
 )
 def dim03(t):
+    """A right-angled triangle per supplier is a shape of its nation; nation 13 is no member."""
     code = lambda c: F.concat(F.lit("N"), F.col(c).cast("string")).alias("code")
-    members = t.nation.select(F.col("n_nationkey").alias("key"), code("n_nationkey"))
+    members = t.nation.filter("n_nationkey <> 13").select(F.col("n_nationkey").alias("key"), code("n_nationkey"))
+    x, width, low = F.col("s_nationkey").cast("double"), (1 + F.col("s_suppkey") % 7).cast("double"), F.lit(10.0)
+    corners = F.array(F.array(x, low), F.array(x + width, low), F.array(x, low + 2), F.array(x, low))
     boundaries = t.supplier.select(
-        code("s_nationkey"), F.when(F.col("s_acctbal") < 7000, "b1").otherwise("b2").alias("boundary_version")
+        code("s_nationkey"), F.when(F.col("s_acctbal") < 7000, "b1").otherwise("b2").alias("boundary_version"),
+        F.array(corners).alias("rings"),
+    )
+    made = model.boundary_dimension(members, boundaries, "key")
+    losses = model.boundary_losses(made, boundaries).select("skipped_no_member")
+    return made.transform(with_context, losses).select(
+        "code", "boundary_version", "feature_count", "publication_status", F.col("boundary_key").isNotNull().alias("has_key"),
+        "geometry_valid_flag", F.round("centroid_longitude", 6).alias("centroid_longitude"),
+        F.round("centroid_latitude", 6).alias("centroid_latitude"), "skipped_no_member",
     )
-    return model.boundary_dimension(members, boundaries, "key").drop("key")
 
 
 @query(
