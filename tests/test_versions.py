@@ -116,3 +116,20 @@ def test_boundary_rows_and_losses(spark):
     assert model.boundary_losses(made, shapes).first().asDict() == {"published": 3, "skipped_ambiguous": 2, "shapes": 6, "skipped_no_member": 1}
     empty = model.boundary_dimension(members, shapes.limit(0), "key")
     assert empty.count() == 0 and model.boundary_losses(empty, shapes.limit(0)).first()["skipped_no_member"] == 0
+
+
+def test_published_views_are_exactly_the_given_ones(spark):
+    from verigrid.sinks import publish
+
+    text = "SELECT id, id * 2 AS twice FROM range(3)"
+    notes = {"id": "The number's id, a \\ sign.", "twice": "Twice."}
+    assert publish.publish_catalog_views(spark, "vt_", {"vt_a": (text, notes), "vt_b": (text, notes)}) == ["vt_a", "vt_b"]
+    comments = {r["col_name"]: r["comment"] for r in spark.sql("DESCRIBE vt_a").collect()}
+    assert comments == notes
+    with pytest.raises(ValueError, match="nobody knows: \\['vt_b'\\]"):
+        publish.publish_catalog_views(spark, "vt_", {"vt_a": (text, notes)})
+    with pytest.raises(ValueError, match="comments for"):
+        publish.publish_catalog_views(spark, "vt_", {"vt_a": (text, {"id": "x"}), "vt_b": (text, notes)})
+    assert publish.publish_catalog_views(spark, "vt_", {"vt_a": (text, notes)}, ["vt_b", "vt_never"]) == ["vt_a"]
+    assert [r["viewName"] for r in spark.sql("SHOW VIEWS LIKE 'vt_*'").collect()] == ["vt_a"]
+    publish.publish_catalog_views(spark, "vt_", {}, ["vt_a"])

@@ -202,10 +202,10 @@ def snk09(t):
 
 @query("snk10", "SELECT c_nationkey, CAST(COUNT(*) AS BIGINT) AS customers FROM customer GROUP BY 1")
 def snk10(t):
-    counts = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"))
+    text = f"SELECT c_nationkey, COUNT(*) AS customers FROM parquet.`{t.folder}/customer.parquet` GROUP BY c_nationkey"
     comments = {"c_nationkey": "Nation of the customers.", "customers": "Number of customers."}
-    sink.publish_views({"customers_by_nation": (counts, comments)}, retired=["old_customers_by_nation"])
-    return t.spark.table("customers_by_nation")
+    sink.publish_catalog_views(t.spark, "mart_", {"mart_customers_by_nation": (text, comments)}, ["mart_old_customers"])
+    return t.spark.table("mart_customers_by_nation")
 
 
 @query("snk11", f"WITH {RULES_SQL} SELECT source_status, version, (SELECT CAST(COUNT(*) AS BIGINT) FROM orders WHERE o_orderstatus = source_status) AS orders FROM status_rules")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,3 +95,35 @@ def publish_views(views: Mapping[str, tuple[DataFrame, Mapping[str, str]]], reti
     for name in retired:
         next(iter(views.values()))[0].sparkSession.catalog.dropTempView(name)
     return sorted(views)
+
+
+def publish_catalog_views(
+    spark: SparkSession, prefix: str, views: Mapping[str, tuple[str, Mapping[str, str]]], retired: Sequence[str] = ()
+) -> list[str]:
+    """Views of the current database with column comments, as (query text, comment by column).
+
+    The names that begin with ``prefix`` are exactly the given ones afterwards: retired views are
+    dropped, and one that is neither given nor retired stops the call before anything changes, as do a
+    column without a comment and a comment without a column. Returns the names.
+    """
+    strange = [name for name in views if not name.startswith(prefix)]
+    if strange:
+        raise ValueError(f"views outside {prefix}: {strange}")
+    here = {row["viewName"] for row in spark.sql(f"SHOW VIEWS LIKE '{prefix}*'").collect() if not row["isTemporary"]}
+    left_over = sorted(here - set(views) - set(retired))
+    if left_over:
+        raise ValueError(f"published views nobody knows: {left_over}")
+    columns = {name: spark.sql(text).columns for name, (text, _) in views.items()}
+    for name, (_, comments) in views.items():
+        if set(columns[name]) != set(comments):
+            raise ValueError(f"view {name}: columns {columns[name]}, comments for {sorted(comments)}")
+    for name, (text, comments) in views.items():
+        told = ", ".join(f"`{c}` COMMENT {_quoted(comments[c])}" for c in columns[name])
+        spark.sql(f"CREATE OR REPLACE VIEW {name} ({told}) AS {text}")
+    for name in sorted(here & set(retired)):
+        spark.sql(f"DROP VIEW IF EXISTS {name}")
+    return sorted(views)
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
