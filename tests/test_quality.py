@@ -127,3 +127,43 @@ def test_mart_rebuilds_find_planted_faults(spark):
         ("monitoring_mart", "no unexpected row exists", 1),
         ("point_mart", "status equals the rebuild", 1),
     }
+
+
+def test_buckets_grow_with_the_rows(spark):
+    """A differing key brings few other rows along, however large the table is."""
+    from verigrid.operators import resolve
+
+    rows = spark.range(0, 40_000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v"))
+    changed = rows.withColumn("v", F.when(F.col("k") == 5, 99).otherwise(F.col("v")))
+    found = resolve.differing_keys(rows, changed, ["k"], ["v"], buckets=1)
+    assert [tuple(r) for r in found.collect()] == [(5, 1, 1)]
+    assert "cast(312 as bigint)" in found._jdf.queryExecution().analyzed().toString()  # 40,000 rows in buckets of 128
+
+
+def test_marks_are_sums_of_hashes(spark):
+    import hashlib
+
+    from verigrid.operators import resolve
+
+    values = ["a", "a", "", None, "x" * 50]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    digests = [hashlib.md5(("-" if v is None else f"{len(v)}:{v}").encode()).hexdigest() for v in values]
+    row = df.agg(*resolve.multiset_mark([F.col("v")])).first()
+    want = (5, sum(int(d[:15], 16) for d in digests), sum(int(d[15:30], 16) for d in digests))
+    assert tuple(int(x) for x in row) == want
+    assert tuple(int(x) for x in resolve.multiset_marks(df, [], ["v"]).first()) == want
+
+
+def test_statuses_are_grouped_without_sorting_texts(spark):
+    from verigrid.operators import mapping
+
+    rows = [
+        (1, "A", "a", "g"), (1, "A", "a", "g"), (1, None, None, None), (2, "A", "a", "g"), (2, "B", "a", "g"), (3, "A", "a", None),
+        (4, " ", "a", "g"), (None, "A", "a", "g"), (5, "A", "a", "g"), (5, "A", "b", "g"), (6, "C", None, None),
+    ]
+    df = spark.createDataFrame(rows, "k long, raw string, s string, grp string")
+    out = mapping.publish_status(df, ["k"], F.col("raw"), {"s": F.col("s"), "grp": F.col("grp")})
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r["k"]: (r["s"], r["grp"], r["status_mapping_state"]) for r in out.collect()}
+    none = (None, None, "UNMAPPED")
+    assert got == {1: ("a", "g", "MAPPED"), None: ("a", "g", "MAPPED"), **{k: none for k in (2, 3, 4, 5, 6)}}

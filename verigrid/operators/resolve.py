@@ -6,7 +6,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
 from verigrid.operators.scale import with_context
+from verigrid.sinks.stage import materialize
+
+
+#: Rows of a bucket that ``differing_keys`` marks key by key when one of them differs.
+BUCKET_ROWS = 128
 
 
 def _status(lowest: Column, highest: Column, missing: str, resolved: Column | str) -> Column:
@@ -101,25 +107,48 @@ def multiset_mark(cols: Sequence[Column]) -> list[Column]:
     """Order-independent mark of a bag of rows: their number and two sums of 60-bit row hashes.
 
     Sums keep what an exclusive or loses: equal rows do not cancel each other. They combine
-    map-side and over parts of a table, and fit a decimal for any number of rows.
+    map-side and over parts of a table. A hash is added up as three numbers of 20 bits, so the
+    sums are plain longs that last for 2^43 rows; only the totals are decimals.
     """
+    return _mark_sums(*_row_numbers(cols))
+
+
+def _row_numbers(cols: Sequence[Column]) -> list[Column]:
+    """The first 120 bits of a row's hash as two numbers."""
     digest = F.md5(row_text(cols))
-    half = lambda at: F.sum(F.conv(F.substring(digest, at, 15), 16, 10).cast("decimal(20,0)")).cast("decimal(38,0)")
-    return [F.count(F.lit(1)).alias("mark_rows"), half(1).alias("mark_low"), half(16).alias("mark_high")]
+    return [F.conv(F.substring(digest, at, 15), 16, 10).cast("bigint") for at in (1, 16)]
+
+
+def _mark_sums(low: Column, high: Column) -> list[Column]:
+    def total(number: Column) -> Column:
+        sums = [F.sum(F.shiftright(number, shift).bitwiseAND(F.lit((1 << 20) - 1))) for shift in (40, 20, 0)]
+        top, middle, rest = (part.cast("decimal(20,0)") for part in sums)
+        return (top * F.lit(1 << 40).cast("decimal(13,0)") + middle * F.lit(1 << 20).cast("decimal(7,0)") + rest).cast("decimal(38,0)")
+
+    return [F.count(F.lit(1)).alias("mark_rows"), total(low).alias("mark_low"), total(high).alias("mark_high")]
+
+
+def multiset_marks(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """``multiset_mark`` of each group; a row's hash is a column of its own, so it is computed once."""
+    low, high = _row_numbers([F.col(c) for c in cols])
+    rows = df.withColumns({"__low": low, "__high": high}).select(*by, "__low", "__high")
+    return rows.groupBy(*by).agg(*_mark_sums(F.col("__low"), F.col("__high")))
 
 
 def differing_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], cols: Sequence[str], buckets: int = 4096) -> DataFrame:
     """The keys whose bags of rows differ, with their number of rows on either side.
 
     A tree of marks: bucket marks are compared first, and only the rows of buckets that differ are
-    marked key by key. Two equal tables cost one small aggregate each.
+    marked key by key. Two equal tables cost one small aggregate each. There are at least ``buckets``
+    of them, and more for larger tables: a differing key brings about as many rows along at any size.
     """
+    buckets = max(buckets, left.count() // BUCKET_ROWS)
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("bucket")
-    every = [F.col(c) for c in (*keys, *cols)]
+    every = [*keys, *cols]
     marks = ["mark_rows", "mark_low", "mark_high"]
 
     def met(one: DataFrame, two: DataFrame, by: Sequence[str]) -> DataFrame:
-        sides = [df.groupBy(*by).agg(*multiset_mark(every)).withColumnsRenamed({m: f"{m}_{n}" for m in marks}) for n, df in ((1, one), (2, two))]
+        sides = [multiset_marks(df, by, every).withColumnsRenamed({m: f"{m}_{n}" for m in marks}) for n, df in ((1, one), (2, two))]
         on = sides[0].join(sides[1].withColumnsRenamed({k: f"__{k}" for k in by}), null_safe([sides[0][k].eqNullSafe(F.col(f"__{k}")) for k in by]), "full_outer")
         same = null_safe([F.col(f"{m}_1").eqNullSafe(F.col(f"{m}_2")) for m in marks])
         found = on.filter(~same)
@@ -129,7 +158,8 @@ def differing_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], cols:
         )
 
     one, two = (df.select(*keys, *cols).withColumn("bucket", bucket) for df in (left, right))
-    broken = met(one, two, ["bucket"]).select("bucket")
+    # written, so that its size is known: a short list is sent to the rows, which then stay where they are
+    broken = materialize(met(one, two, ["bucket"]).select("bucket"), "broken-buckets")
     return met(one.join(broken, "bucket", "left_semi"), two.join(broken, "bucket", "left_semi"), list(keys))
 
 

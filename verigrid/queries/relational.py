@@ -328,7 +328,7 @@ def agg12(t):
     """Marks over all columns; against a copy with rows written three times and changed cells, the broken keys are found."""
     lines = line_texts(t)
     order, number = F.col("l_orderkey").cast("bigint") % 1000, F.col("l_linenumber")
-    marks = lines.groupBy("l_returnflag").agg(*resolve.multiset_mark([F.col(c) for c in lines.columns]))
+    marks = resolve.multiset_marks(lines, ["l_returnflag"], lines.columns)
     # an exclusive or would not see the two rows more
     spoiled = lines.withColumn("l_tax", F.when(order == 2, F.concat("l_tax", F.lit("1"))).otherwise(F.col("l_tax")))
     more = spoiled.filter((order == 1) & (number == "1"))
