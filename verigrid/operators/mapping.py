@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from verigrid.sinks.stage import materialize
+
 from verigrid.operators.scale import lookup
 
 APPROVED = "APPROVED"
@@ -173,19 +175,25 @@ def publish_status(
     one raw status mapped two ways or not at all, stays UNMAPPED.
     """
     text = F.when(F.trim(raw) != "", F.trim(raw))
-    unit = F.when(text.isNotNull(), F.struct(*[e.alias(n) for n, e in mapped.items()]))
-    grouped = df.groupBy(*keys).agg(
-        F.min(text).alias("__lo"), F.max(text).alias("__hi"),
-        F.min(unit).alias("__ulo"), F.max(unit).alias("__uhi"),
-    )
+    units = {f"__u_{name}": expr for name, expr in mapped.items()}
+    reports = df.withColumns({"__text": text, **units}).select(*keys, "__text", *units)
+    told = reports.filter("__text IS NOT NULL")
+    # ids are given once and written, so that both readers see the same
+    kinds = told.select("__text", *units).distinct().withColumn("__kind", F.monotonically_increasing_id())
+    kinds = materialize(kinds, "status-kinds")
+    named = kinds.withColumnsRenamed({name: f"__k{name}" for name in ("__text", *units)})
+    same = F.lit(True)
+    for name in ("__text", *units):
+        same = same & F.col(name).eqNullSafe(F.col(f"__k{name}"))
+    # longs are added up by hash; texts and structs would make every task sort its rows
+    grouped = reports.join(named, same, "left").groupBy(*keys).agg(F.min("__kind").alias("__lo"), F.max("__kind").alias("__hi"))
     complete = F.lit(True)
-    for name in mapped:
-        complete = complete & F.col("__ulo")[name].isNotNull()
-    agreed = F.coalesce(
-        (F.col("__lo") == F.col("__hi")) & (F.col("__ulo") == F.col("__uhi")) & complete, F.lit(False)
-    )
-    return grouped.select(
+    for name in units:
+        complete = complete & F.col(name).isNotNull()
+    agreed = kinds.filter(complete).select(F.col("__kind").alias("__one"), *units)
+    published = grouped.join(agreed, (F.col("__lo") == F.col("__hi")) & (F.col("__lo") == F.col("__one")), "left")
+    return published.select(
         *keys,
-        *[F.when(agreed, F.col("__ulo")[name]).alias(name) for name in mapped],
-        F.when(agreed, "MAPPED").otherwise("UNMAPPED").alias("status_mapping_state"),
+        *[F.col(f"__u_{name}").alias(name) for name in mapped],
+        F.when(F.col("__one").isNotNull(), "MAPPED").otherwise("UNMAPPED").alias("status_mapping_state"),
     )
