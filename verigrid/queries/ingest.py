@@ -12,6 +12,7 @@ from verigrid.queries.registry import query
 from verigrid.session import work_dir
 from verigrid.sinks import publish as sink
 from verigrid.sinks import upsert
+from verigrid.sinks.stage import materialize
 from verigrid.sources import contracts, dump_rows, loader, snapshot
 from verigrid.operators.scale import with_context
 
@@ -91,7 +92,7 @@ def landed(t):
     """SELECT event_type, CAST(COUNT(*) AS BIGINT) AS rows, 'events_csv' AS source_name, 'run-1' AS ingest_run_id, '2024-02-01' AS ingested_on, CAST(10 AS BIGINT) AS lineage_columns, TRUE AS identity_is_single, CAST(0 AS BIGINT) AS identity_nulls FROM events GROUP BY 1""",
 )
 def src07(t):
-    rows = landed(t)
+    rows = materialize(landed(t), "landed")  # read by two aggregates
     stamped = [c for c in rows.columns if c in contracts.LINEAGE_COLUMNS]
     state = snapshot.table_state(rows, ["_source_snapshot_id", "_source_name", "_source_path"])
     counted = rows.groupBy("event_type").agg(

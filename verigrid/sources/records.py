@@ -12,6 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -85,25 +86,24 @@ def records(spark: SparkSession, path: str, line_sep: str = "\n", multi_line: bo
                 quotes = batch.column(1).to_numpy() if known is not None else np.zeros(b - a, np.int64)
                 after = (np.cumsum(quotes) + inside) % 2 == 1
                 ends_here = np.flatnonzero(~after)  # lines with which a record is complete
-                begins = np.concatenate([[0], ends_here[:-1] + 1]) if ends_here.size else ends_here
-                single = ends_here[(begins == ends_here) & ~((begins == 0) & bool(held or head))]
-                texts = batch.column(4)
-                for i, j in zip(begins.tolist(), ends_here.tolist(), strict=True):
-                    if i == j and not (i == 0 and (held or head)):
-                        continue
-                    held += texts.slice(i, j - i + 1).to_pylist()
-                    yield piece(2 if head else 0, at_start and i == 0)
-                    held, head = [], False
-                if single.size:
-                    first = np.zeros(single.size, bool)
-                    first[0] = at_start and single[0] == 0
-                    n = single.size
-                    columns = [batch.column(2).take(pa.array(single)), batch.column(3).take(pa.array(single)), pa.array(first), pa.array(np.zeros(n, np.int32)), texts.take(pa.array(single))]
-                    yield pa.RecordBatch.from_arrays(columns, ["file", "block", "first", "part", "value"])
+                texts, at = batch.column(4), 0
+                if ends_here.size and (held or head):  # the record that was begun before
+                    at = int(ends_here[0]) + 1
+                    held += texts.slice(0, at).to_pylist()
+                    yield piece(2 if head else 0, at_start)
+                    held, head, at_start, ends_here = [], False, False, ends_here[1:]
                 if ends_here.size:
-                    at_start = False
-                rest = int(ends_here[-1]) + 1 if ends_here.size else 0
-                held += texts.slice(rest).to_pylist()
+                    n, size = ends_here.size, int(ends_here[-1]) + 1 - at
+                    whole_records = texts.slice(at, size)
+                    if n < size:  # some have several lines
+                        offsets = pa.array(np.concatenate([[0], ends_here + 1 - at]), pa.int32())
+                        whole_records = pc.binary_join(pa.ListArray.from_arrays(offsets, whole_records), line_sep)
+                    first = np.zeros(n, bool)
+                    first[0], at_start = at_start, False
+                    at += size
+                    columns = [batch.column(2).slice(0, n), batch.column(3).slice(0, n), pa.array(first), pa.array(np.zeros(n, np.int32)), whole_records]
+                    yield pa.RecordBatch.from_arrays(columns, ["file", "block", "first", "part", "value"])
+                held += texts.slice(at).to_pylist()
                 inside = bool(after[-1])
         if held:
             yield piece(2 if head else 1, at_start)
