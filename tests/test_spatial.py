@@ -199,3 +199,39 @@ def test_union_counts_parity_where_polygons_do_not_turn_once(spark):
     twice = [square(0.0, 0.0)[0], square(0.0, 0.0)[0]]
     df = spark.createDataFrame([("d", 1, twice), ("d", 2, square(0.5, 0.0))], "g string, pid int, rings array<array<array<double>>>")
     assert abs(spatial.union_area(df, "g", "pid", 3.0).first()["union_area"] - 1) < 1e-12
+
+
+def test_pairs_of_one_cell_row_are_not_shuffled(spark):
+    rng = random.Random(8)
+    shapes = polygons()
+    points = [(i, rng.uniform(-6, 10), rng.uniform(-6, 10)) for i in range(200)]
+    want = {(i, p) for i, x, y in points for p, rings in shapes if covers(rings, x, y)}
+    pts, df = spark.createDataFrame(points, "id long, x double, y double"), spark.createDataFrame(shapes, SCHEMA)
+    found = spatial.points_in_polygons(pts, df, "id", ["pid"], 2.0)
+    assert {tuple(r) for r in found.collect()} == want
+    final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "hashpartitioning(id" not in final
+    # polygons with more parts in a cell are summed up part by part
+    for most in (0, 1, 3):
+        got = {tuple(r) for r in spatial.points_in_polygons(pts, df, "id", ["pid"], 2.0, most_parts=most).collect()}
+        assert got == want, most
+
+
+def test_ids_that_points_share_are_summed_up(spark):
+    box = [[[0.0, 0.0], [4.0, 0.0], [4.0, 4.0], [0.0, 4.0], [0.0, 0.0]]]
+    points = [(1, 1.5, 1.5), (1, 9.0, 9.0), (2, 2.5, 2.5), (2, 2.5, 2.5), (2, 3.5, 0.5), (None, 1.5, 1.5), (3, None, 1.0)]
+    pts = spark.createDataFrame(points, "id long, x double, y double")
+    df = spark.createDataFrame([(7, box), (8, box), (8, box)], SCHEMA)
+    got = {tuple(r) for r in spatial.points_in_polygons(pts, df, "id", ["pid"], 1.0).collect()}
+    assert got == {(1, 7), (2, 7), (None, 7)}
+
+
+def test_small_cells_are_measured_by_as_many_tasks_as_there_are_cores(spark):
+    box = [[[0.0, 0.0], [4.0, 0.0], [4.0, 4.0], [0.0, 4.0], [0.0, 0.0]]]
+    df = spark.createDataFrame([(i, box) for i in range(500)], SCHEMA)
+    pieces = spatial._own_cells(spatial.edges(df, ["pid"]), F.col("pid"), F.col("pid"), ["pid"], 1.0, 2000)
+    areas = spatial._areas(pieces)
+    plan = areas._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "FlatMapGroupsInPandas" not in plan and "REPARTITION_BY_NUM" in plan
+    measured = spatial.measure_polygons(df, "pid", 1.0).collect()
+    assert len(measured) == 500 and {r["even_odd_area"] for r in measured} == {16.0}

@@ -601,12 +601,14 @@ def resolve_point_class(points: DataFrame, candidates: DataFrame, key: str) -> D
     """Class of a point from the polygons that hold it; severity never breaks a tie.
 
     ``candidates`` has key and level, one row per polygon. Several polygons of one
-    level are still MATCHED.
+    level are still MATCHED. Candidates are counted by level first, so a point brings a few rows
+    to the second step, however many polygons hold it.
     """
-    found = candidates.groupBy(key).agg(
-        F.count(F.lit(1)).alias("polygon_count"),
-        F.countDistinct("level").alias("level_count"),
-        F.concat_ws(",", F.sort_array(F.collect_set("level"))).alias("candidate_levels"),
+    per_level = candidates.groupBy(key, "level").agg(F.count(F.lit(1)).alias("__polygons"))
+    found = per_level.groupBy(key).agg(
+        F.sum("__polygons").alias("polygon_count"),
+        F.count("level").alias("level_count"),
+        F.concat_ws(",", F.sort_array(F.collect_list("level"))).alias("candidate_levels"),
         F.max("level").alias("__level"),
     )
     joined = points.join(found, key, "left")

@@ -9,17 +9,18 @@ few edges of one cell. The cell size is a tuning knob and never changes a result
 from __future__ import annotations
 
 import struct
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from verigrid.functions.geometry import from_mercator, ring_area, ring_is_closed, rings_bound, segments
 from verigrid.functions.text import unquote_numbers
-from verigrid.operators.scale import with_context
+from verigrid.operators.scale import attach_group_values, with_context
 from verigrid.sinks.stage import materialize
 
 RING = "array<array<double>>"
@@ -294,6 +295,11 @@ def cut(edge_rows: DataFrame, keys: Sequence[str], size: float) -> DataFrame:
     return own.unionByName(above)
 
 
+def busy_tasks(spark: SparkSession) -> int:
+    """Tasks for steps in which few bytes stand for much work: they follow the cores, not the bytes."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+
+
 def cell_join(points: DataFrame, pieces: DataFrame, point_id: str) -> DataFrame:
     """Equi join of points and polygon pieces on the cell, with hot cells salted.
 
@@ -313,39 +319,76 @@ def cell_join(points: DataFrame, pieces: DataFrame, point_id: str) -> DataFrame:
     )
     salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     repeated = pieces.join(F.broadcast(hot), ["ix", "iy"], "left").withColumn("salt", F.explode(salts))
-    return spread.drop("hot").join(repeated.drop("hot"), ["ix", "iy", "salt"])
+    tasks = busy_tasks(points.sparkSession)
+    dealt = [df.drop("hot").repartition(tasks, "ix", "iy", "salt") for df in (spread, repeated)]
+    return dealt[0].join(dealt[1], ["ix", "iy", "salt"])
+
+
+PART = ("x1", "y1", "x2", "y2", "xa", "xb", "w", "is_below")
+
+
+def point_tests(part) -> tuple[Column, Column]:
+    """Whether a part of a polygon, given as ``part(name)``, lies below the point (px, py), and whether it holds it."""
+    px, py = F.col("px"), F.col("py")
+    x1, y1, x2, y2 = (part(name) for name in ("x1", "y1", "x2", "y2"))
+    side = (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)
+    in_strip = (part("xa") <= px) & (px < part("xb"))
+    below = in_strip & (part("is_below") | F.coalesce(side > 0, F.lit(False)))
+    on_edge = F.coalesce(
+        px.between(x1, x2) & py.between(F.least(y1, y2), F.greatest(y1, y2)) & (side == 0), F.lit(False)
+    )
+    return below, on_edge
 
 
 def points_in_polygons(
-    points: DataFrame, polygons: DataFrame, point_id: str, polygon_keys: Sequence[str], size: float
+    points: DataFrame, polygons: DataFrame, point_id: str, polygon_keys: Sequence[str], size: float,
+    most_parts: int = 256,
 ) -> DataFrame:
     """Pairs (point, polygon) where the polygon covers the point; the boundary counts as inside.
 
     ``points`` has x and y. Per pair the directions of the edges below the point are
     summed; an odd sum is inside. A point on an edge is inside by an exact test.
+
+    A point meets all parts of a polygon in its cell in one row, so a pair is settled where it is
+    joined and is not shuffled. Only the pairs of a polygon with more than ``most_parts`` parts in a
+    cell, and of ids that several points share, are summed up part by part.
     """
     step = F.lit(float(size))
     placed = points.select(
         point_id, F.col("x").alias("px"), F.col("y").alias("py"),
         cell_of(F.col("x"), step).alias("ix"), cell_of(F.col("y"), step).alias("iy"),
     )
+    placed = materialize(attach_group_values(placed, [point_id], {"times": F.count(F.lit(1))}), "points")
+    single, repeated = (placed.filter(c).drop("times") for c in ("times = 1", "times > 1"))
     rows = materialize(edges(polygons, polygon_keys), "edges")
-    pieces = cut(rows, polygon_keys, size)
-    joined = cell_join(placed, pieces, point_id)
-    px, py = F.col("px"), F.col("py")
-    side = (F.col("x2") - F.col("x1")) * (py - F.col("y1")) - (F.col("y2") - F.col("y1")) * (px - F.col("x1"))
-    in_strip = (F.col("xa") <= px) & (px < F.col("xb"))
-    below = in_strip & (F.col("is_below") | F.coalesce(side > 0, F.lit(False)))
-    on_edge = F.coalesce(
-        (side == 0)
-        & px.between(F.col("x1"), F.col("x2"))
-        & py.between(F.least("y1", "y2"), F.greatest("y1", "y2")),
-        F.lit(False),
-    )
-    pairs = joined.filter(below | on_edge).groupBy(point_id, *polygon_keys).agg(
+    cell = [*polygon_keys, "ix", "iy"]
+    pieces = attach_group_values(cut(rows, polygon_keys, size), cell, {"parts": F.count(F.lit(1))})
+    pieces = materialize(pieces, "pieces")
+    few, many = (pieces.filter(c).drop("parts") for c in (F.col("parts") <= most_parts, F.col("parts") > most_parts))
+    # left and right of all parts, and below all where no winding comes from lower cells, nothing is covered
+    lowest = F.when(~F.col("is_below"), F.least("y1", "y2")).otherwise(F.lit(float("-inf")))
+    gathered = few.groupBy(*cell).agg(
+        F.collect_list(F.struct(*PART)).alias("parts"), F.min("xa").alias("left"), F.max("xb").alias("right"),
+        F.min(lowest).alias("low"),
+    )
+    turns = F.aggregate(
+        "parts", F.lit(0).cast("bigint"),
+        lambda total, p: total + F.when(point_tests(lambda name: p[name])[0], p["w"]).otherwise(0),
+    )
+    touch = F.exists("parts", lambda p: point_tests(lambda name: p[name])[1])
+    only_step = (F.size("parts") == 1) & F.col("parts")[0]["is_below"]
+    covered = F.when(only_step, (F.col("px") < F.col("right")) & (F.col("parts")[0]["w"] % 2 != 0)).otherwise(
+        (turns % 2 != 0) | touch
+    )
+    near = F.col("px").between(F.col("left"), F.col("right")) & (F.col("py") >= F.col("low"))
+    settled = cell_join(single, gathered, point_id).filter(near).filter(covered).select(point_id, *polygon_keys)
+    loose = cell_join(single, many, point_id).unionByName(cell_join(repeated, pieces.drop("parts"), point_id))
+    below, on_edge = point_tests(F.col)
+    pairs = loose.filter(below | on_edge).groupBy(point_id, *polygon_keys).agg(
         F.sum(F.when(below, F.col("w")).otherwise(0)).alias("turns"), F.bool_or(on_edge).alias("touch")
     )
-    return pairs.filter((F.col("turns") % 2 != 0) | F.col("touch")).select(point_id, *polygon_keys)
+    summed = pairs.filter((F.col("turns") % 2 != 0) | F.col("touch")).select(point_id, *polygon_keys)
+    return settled.unionByName(summed)
 
 
 # --- overlay areas ---------------------------------------------------------------
@@ -390,23 +433,22 @@ def sweep_cell(x1, y1, x2, y2, w, owner, left, right, bottom, top):
         yield xb - xa, gaps, marks.cumsum(axis=0)
 
 
-def _cell_areas(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+def _cell_areas(key: tuple, frame: Mapping[str, np.ndarray]) -> list[tuple]:
     """Fragment, level, union and own areas of one group in one cell."""
     group, ix, iy, size = key
     bottom, top = iy * size, (iy + 1) * size
-    flat = frame["is_below"].to_numpy()
-    xa, xb = frame["xa"].to_numpy(float), frame["xb"].to_numpy(float)
+    flat, xa, xb = frame["is_below"], frame["xa"], frame["xb"]
     # edges that lie below enter the cell as parts of its lower side
-    y1 = np.where(flat, bottom, frame["y1"].to_numpy(float))
-    y2 = np.where(flat, bottom, frame["y2"].to_numpy(float))
-    x1 = np.where(flat, xa, frame["x1"].to_numpy(float))
-    x2 = np.where(flat, xb, frame["x2"].to_numpy(float))
-    names = frame["polygon"].fillna("").to_numpy()
+    y1 = np.where(flat, bottom, frame["y1"])
+    y2 = np.where(flat, bottom, frame["y2"])
+    x1 = np.where(flat, xa, frame["x1"])
+    x2 = np.where(flat, xb, frame["x2"])
+    names = frame["polygon"]
     owners, owner = np.unique(names, return_inverse=True)
     level_of = dict(zip(names, frame["level"]))
     levels = np.array([level_of[o] for o in owners], dtype=object)
     is_clip = owners == ""
-    w = frame["w"].to_numpy(np.int64)
+    w = frame["w"]
     area = np.zeros(len(owners))
     low, high = np.zeros(len(owners), dtype=int), np.zeros(len(owners), dtype=int)
     by_level = {name: 0.0 for name in set(levels[~is_clip])}
@@ -436,7 +478,45 @@ def _cell_areas(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
     rows += [(group, None, None, "UNION", union, 0, 0), (group, None, None, "NONZERO", nonzero, 0, 0)]
     if is_clip.any():
         rows.append((group, None, None, "CLIP", clip_area, 0, 0))
-    return pd.DataFrame(rows, columns=["grp", "level", "polygon", "kind", "area", "low_turn", "high_turn"])
+    return rows
+
+
+def _sorted_cell_areas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The areas of all cells of a task, whose rows come cell by cell; one batch out for each batch in."""
+    kinds = {"xa": float, "xb": float, "x1": float, "y1": float, "x2": float, "y2": float, "w": np.int64, "is_below": bool}
+    schema = pa.schema(
+        [(n, pa.string()) for n in ("grp", "level", "polygon", "kind")]
+        + [("area", pa.float64()), ("low_turn", pa.int32()), ("high_turn", pa.int32())]
+    )
+    cell = ("grp", "ix", "iy", "size")
+
+    def columns_of(table: pa.Table) -> dict[str, np.ndarray]:
+        found = {n: table.column(n).to_numpy().astype(kind) for n, kind in kinds.items()}
+        found["polygon"] = np.array([n or "" for n in table.column("polygon").to_pylist()], dtype=object)
+        found["level"] = np.array(table.column("level").to_pylist(), dtype=object)
+        return found
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
+    held = None  # the rows of the last cell, which the next batch may go on with
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        marks = list(zip(*(table.column(n).to_pylist() for n in cell)))
+        starts = [i for i, mark in enumerate(marks) if i == 0 or mark != marks[i - 1]]
+        columns = columns_of(table.slice(0, starts[-1]))
+        rows = []
+        for a, b in zip(starts, starts[1:]):
+            rows += _cell_areas(marks[a], {n: values[a:b] for n, values in columns.items()})
+        held = table.slice(starts[-1])
+        if rows:
+            yield out(rows)
+    if held is not None:
+        mark = tuple(held.column(n)[0].as_py() for n in cell)
+        yield out(_cell_areas(mark, columns_of(held)))
 
 
 def _by_cells(spread, size: float, limit: int, factor: int = 8) -> DataFrame:
@@ -499,7 +579,11 @@ def _own_cells(rows: DataFrame, group: Column, polygon: Column, keys: Sequence[s
 def _areas(pieces: DataFrame) -> DataFrame:
     """Sum the cell areas; ``pieces`` has grp, ix, iy, size, polygon, level and the edge columns."""
     wide = pieces.filter((F.col("xa") < F.col("xb")) & (F.col("w") != 0))
-    cells = wide.groupBy("grp", "ix", "iy", "size").applyInPandas(_cell_areas, AREA_SCHEMA)
+    # cells are many and small: a task goes through its sorted rows instead of being called for each cell
+    cell = ("grp", "ix", "iy", "size")
+    dealt = wide.select(*cell, "polygon", "level", *PART).repartition(busy_tasks(pieces.sparkSession), *cell)
+    dealt = dealt.sortWithinPartitions(*cell)
+    cells = dealt.mapInArrow(_sorted_cell_areas, AREA_SCHEMA)
     return cells.groupBy("grp", "level", "polygon", "kind").agg(
         F.sum("area").alias("area"), F.min("low_turn").alias("low_turn"), F.max("high_turn").alias("high_turn")
     )
