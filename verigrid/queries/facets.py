@@ -159,9 +159,9 @@ def src15(t):
     def text(table, again=False):
         path = folder(t, "csv")
         rows = table.select(*[F.col(c).cast("string").alias(c) for c in table.columns])
-        if again:  # a header line in the middle of the file
+        if again:  # a header line in the middle of a file
             rows = t.spark.createDataFrame([table.columns], rows.schema).unionByName(rows)
-        rows.coalesce(1).write.option("header", True).option("escape", '"').csv(path)
+        rows.write.option("header", True).option("escape", '"').csv(path)
         return path
 
     def load(contract, path, names, run, snapshot_id=None):
