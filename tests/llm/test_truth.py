@@ -251,3 +251,34 @@ def test_word_encoder_gives_the_ids_of_whole_texts(name, spaced):
         ids, counts = words.encode(texts)
         assert counts.tolist() == [len(w) for w in want]
         assert ids.tolist() == [i for w in want for i in w]
+
+
+def test_words_around_line_ends_are_learnt_once():
+    from tokenizers import Tokenizer
+
+    from verigrid.llm.tokens import WordEncoder
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    heads, tails = [f"so{c}ne." for c in "bcdfgh"], [f"Wé{c}lt" for c in "bcdfgh"]
+    texts = [f"x {a}\n{b} y" for a in heads for b in tails]
+    words = WordEncoder(path, True)
+    texts += ["", "\n", "\n\n", "\n\n\n", "\na", "a\n", "a\n\n\nb c", "a\n\nb 1\n2", "don\n't 'll\n'll", "é\n.\n\u65e5\u672c 12\nx!", " a\nb", "a \nb", "a\n b"]
+    library = Tokenizer.from_file(path)
+    want = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    words.encode(texts[:36])
+    assert len(words.known) == 2 + len(heads) + len(tails)
+    for _ in range(2):
+        ids, counts = words.encode(texts)
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_words_of_an_aged_table_keep_their_ids():
+    from tokenizers import Tokenizer
+
+    from verigrid.llm.tokens import WordEncoder
+
+    for name, spaced in (("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)):
+        library, words = Tokenizer.from_file(public_tokenizers.path(name)), WordEncoder(public_tokenizers.path(name), spaced, most=5)
+        for k in range(12):
+            text = " ".join(f"word{i}ed, it's\nNew{i % 3}" for i in range(k, k + 4))
+            assert words.encode([text, ""])[0].tolist() == library.encode(text, add_special_tokens=False).ids

@@ -9,7 +9,8 @@ carefully, and texts with control characters, unusual blanks or special tokens a
 from __future__ import annotations
 
 import re
-from itertools import repeat
+from collections import defaultdict
+from itertools import count, islice, repeat
 from operator import attrgetter
 
 import numpy as np
@@ -33,6 +34,8 @@ def _shown_bytes() -> dict[int, str]:
 
 
 _SHOWN = _shown_bytes()
+#: How byte-level vocabularies write a line end.
+_SHOWN_LINE = "\u010A"
 
 
 def _common(text: str) -> bool:
@@ -48,6 +51,8 @@ def _spaced_keys(text: str) -> list[str]:
         "<|" not in text and text.replace("\n", "").isprintable() and "  " not in text
         and " \n" not in text and "\n " not in text and not text.endswith(" ")
     ):
+        if "\n\n" not in text:  # a line end between two words is a unit of its own and goes with the second
+            text = text.replace("\n", " \n")
         first, *rest = text.split(" ")
         return [_FIRST + first, *rest] if first else rest
     if _common(text):
@@ -77,8 +82,11 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.keys = _spaced_keys if spaced else _bare_keys
         self.blank = " " if spaced else ""
-        self.lead = _SHOWN[ord(" ")] if spaced else ""
         self.most, self.room = most, room
+        if spaced:
+            vocabulary = self.library.get_vocab()
+            self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.begins[[i for token, i in vocabulary.items() if token[:1] in (_SHOWN[ord(" ")], _SHOWN_LINE)]] = True
         self._clear()
         self._age()
 
@@ -88,17 +96,35 @@ class WordEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.held = 0
+        self.known: defaultdict[str, int] = defaultdict(count().__next__)  # an unknown word gets the next number
+        self.held = self.used = 0
         self.flat = np.empty(0, np.uint32)
         self.first = np.empty(0, np.int64)
         self.count = np.empty(0, np.int64)
 
     def _text(self, key: str) -> str:
-        return key[1:] if key[:1] in (_FIRST, _AS_IS) else self.blank + key
+        return key[1:] if key[:1] in (_FIRST, _AS_IS) else key if key[:1] == "\n" else self.blank + key
 
-    def _ids(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the keys one after the other, and how many belong to each.
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts one after the other, and how many belong to each."""
+        found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.array([i for ids in found for i in ids], np.uint32), counts
+
+    def _joined_ids(self, keys: list[str], run: int = 500) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words with a blank or a line end before them, many in one text.
+
+        Only the first id of such a word has the blank or the line end in it.
+        """
+        texts = [(" " + " ".join(keys[k : k + run])).replace(" \n", "\n") for k in range(0, len(keys), run)]
+        flat, _ = self._encoded(texts)
+        first = np.flatnonzero(self.begins[flat])
+        if first.size != len(keys):  # the vocabulary is not of that kind
+            return self._encoded([self._text(key) for key in keys])
+        return flat, np.diff(np.append(first, flat.size))
+
+    def _bare_ids(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of a vocabulary that drops blanks and case.
 
         Letters are one unit of the pre-tokenizer and the marks behind them are another. The
         normalizer changes nothing but the case of such letters, so the model of the library alone
@@ -116,11 +142,10 @@ class WordEncoder:
                 flat += next(encoded).ids
             else:
                 letters, mark = plain.groups()
-                if not self.blank:
-                    letters = letters.lower()
+                letters = letters.lower()
                 if not letters.isascii():
                     letters = letters.translate(_SHOWN)
-                flat.extend(map(_ID, tokenize(self.lead + letters)))
+                flat.extend(map(_ID, tokenize(letters)))
                 if mark:
                     if mark not in marks:
                         marks[mark] = [token.id for token in tokenize(mark)]
@@ -128,27 +153,34 @@ class WordEncoder:
             ends.append(len(flat))
         return np.array(flat, np.uint32), np.diff(np.array(ends, np.int64), prepend=0)
 
-    def _taken_over(self, at: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def _taken_over(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of the old table."""
-        first, count = self.old_first[at], self.old_count[at]
-        before = np.cumsum(count) - count
-        return self.old_flat[np.repeat(first - before, count) + np.arange(count.sum())], count
+        first, counts = self.old_first[at], self.old_count[at]
+        before = np.cumsum(counts) - counts
+        return self.old_flat[np.repeat(first - before, counts) + np.arange(counts.sum())], counts
 
     def _learn(self, keys: list[str]) -> None:
-        at = [self.old.get(key, -1) for key in keys]
-        again, fresh = ([k for k, i in zip(keys, at, strict=True) if (i >= 0) == old] for old in (True, False))
-        self._add(again, *self._taken_over([i for i in at if i >= 0]))
-        self._add(fresh, *self._ids(fresh))
-
-    def _add(self, keys: list[str], flat: np.ndarray, count: np.ndarray) -> None:
-        if not keys:
-            return
-        first = self.flat.size + np.cumsum(count) - count
-        self.known.update(zip(keys, range(self.first.size, self.first.size + len(keys)), strict=True))
+        """Ids of the words that were numbered last."""
+        start = len(self.known) - len(keys)
         self.held += sum(map(len, keys))
-        self.flat = np.concatenate([self.flat, flat])
-        self.first = np.concatenate([self.first, first])
-        self.count = np.concatenate([self.count, count])
+        self.first, self.count = (_grown(x, start, len(keys)) for x in (self.first, self.count))
+        at = np.fromiter(map(self.old.get, keys, repeat(-1)), np.int64, len(keys))
+        again, fresh = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        self._add(start + again, *self._taken_over(at[again]))
+        if not self.blank:
+            self._add(start + fresh, *self._bare_ids([keys[i] for i in fresh.tolist()]))
+            return
+        alone = np.fromiter((key[0] in "\x00\x01" or "\n" in key[1:] for key in keys), bool, len(keys))
+        for kind, ids in ((fresh[alone[fresh]], lambda some: self._encoded([self._text(key) for key in some])), (fresh[~alone[fresh]], self._joined_ids)):
+            if kind.size:
+                self._add(start + kind, *ids([keys[i] for i in kind.tolist()]))
+
+    def _add(self, at: np.ndarray, flat: np.ndarray, counts: np.ndarray) -> None:
+        self.first[at] = self.used + np.cumsum(counts) - counts
+        self.count[at] = counts
+        self.flat = _grown(self.flat, self.used, flat.size)
+        self.flat[self.used : self.used + flat.size] = flat
+        self.used += flat.size
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and how many belong to each text."""
@@ -159,16 +191,25 @@ class WordEncoder:
         for i, text in enumerate(texts):
             keys += self.keys(text)
             ends[i + 1] = len(keys)
-        at = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
-        if len(new := np.flatnonzero(at < 0)):
-            self._learn(list(dict.fromkeys(keys[i] for i in new)))
-            at[new] = [self.known[keys[i]] for i in new]
-        count = self.count[at]
-        before = np.concatenate([np.zeros(1, np.int64), np.cumsum(count)])
-        place = np.repeat(self.first[at] - before[:-1], count) + np.arange(before[-1])
+        known = len(self.known)
+        at = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+        if new := len(self.known) - known:
+            self._learn(list(islice(reversed(self.known), new))[::-1])
+        counts = self.count[at]
+        before = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
+        place = np.repeat(self.first[at] - before[:-1], counts) + np.arange(before[-1])
         return self.flat[place], np.diff(before[ends])
 
 
+def _grown(values: np.ndarray, used: int, more: int) -> np.ndarray:
+    """The array, or one of more room that begins with its used part."""
+    if used + more <= values.size:
+        return values
+    out = np.empty(max(used + more, values.size + values.size // 2), values.dtype)
+    out[:used] = values[:used]
+    return out
+
+
 _ENCODERS: dict[tuple, WordEncoder] = {}
 
 
