@@ -1,5 +1,7 @@
 """Every operator and pipeline stage on awkward tables: nulls, empty and long texts, ties, repeats, clashing names."""
 
+import hashlib
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -9,6 +11,8 @@ import corpus_pipeline
 from verigrid.llm import ann, jaccard, licenses, mixing, packing, quality, secrets, suffix_dedup, token_files, url_filter
 from verigrid.session import work_dir
 
+real_stage, merged = suffix_dedup.stage, suffix_dedup.merged_intervals
+
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, size bigint, spans string, kept string, n_bytes int"
 LONG = " ".join(f"w{i % 977}x{i}" for i in range(30_000))
 ROWS = [
@@ -148,3 +152,57 @@ def test_all_copies_of_a_query_are_found(copies, size):
     assert len(found) == 10
     near = [int(i) for i in same[:10]]
     assert [v for v, _ in found][: len(near)] == near and all(s == 0 for _, s in found[: len(near)])
+
+
+def test_removed_intervals_travel_by_slot_and_meet_once_per_document(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    words = [f"v{i:x}" for i in rng.integers(0, 1 << 30, 4_000)]
+    texts = {}
+    for i in range(40):
+        at = int(rng.integers(0, 3_000))
+        own = " ".join(f"u{j:x}" for j in rng.integers(0, 1 << 30, 5))
+        texts[(i * 7919) % 1009 - 200] = f"{own} {' '.join(words[at : at + 600])} {own} {' '.join(words[at // 2 : at // 2 + 90])}é"
+    texts[2000] = texts[2001] = f"copied {' '.join(words[:50])}"
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(5)
+    labels, made = [], []
+    monkeypatch.setattr(suffix_dedup, "stage", lambda df, label: labels.append(label) or real_stage(df, label))
+    monkeypatch.setattr(suffix_dedup, "merged_intervals", lambda *a: made.append(a) or merged(*a))
+    found = {r["doc_id"]: r for r in suffix_dedup.remove(df, size=100_000).collect()}
+    seen = set()
+    for doc_id in sorted(texts):
+        data = texts[doc_id].encode()
+        strings = [data[p : p + 50] for p in range(len(data) - 49)]
+        covered = np.zeros(len(data) + 1, bool)
+        for p, s in enumerate(strings):
+            covered[p : p + 50] |= s in seen
+        seen.update(strings)
+        spans = int((covered[:-1] & ~np.concatenate([[False], covered[:-2]])).sum())
+        kept = bytes(b for b, c in zip(data, covered, strict=False) if not c)
+        r = found[doc_id]
+        assert (r["n_removed"], r["n_spans"], r["kept_sha256"]) == (int(covered.sum()), spans, hashlib.sha256(kept).hexdigest())
+    assert labels == ["bytes", "intervals"]  # the runs are not written as a table of their own
+    (runs, length, seed, parts), = made
+    sent = suffix_dedup.packed_intervals(runs, length, seed, parts)
+    assert 0 < sent.count() <= parts * parts
+    per_document = merged(runs, length, seed, parts).groupBy("doc_id").count()
+    assert per_document.count() > 20 and per_document.filter("count > 1").count() == 0
+    # the same intervals if a task gives them on many times
+    often = suffix_dedup.packed_intervals(runs, length, seed, parts, most=1).collect()
+    once = sent.collect()
+    assert len(often) > len(once) and intervals_of(often) == intervals_of(once)
+
+
+def intervals_of(packed):
+    parts = [suffix_dedup.unpack_intervals(bytes(r["cuts"])) for r in packed]
+    return [x.tolist() for x in suffix_dedup.united(*map(np.concatenate, zip(*parts, strict=True)))]
+
+
+def test_united_intervals():
+    docs, starts, ends = np.array([7, -3, 7, 7, -3, 8]), np.array([10, 0, 0, 15, 90, 1]), np.array([20, 50, 10, 17, 95, 2])
+    want = [[-3, -3, 7, 8], [0, 90, 0, 1], [50, 95, 20, 2]]
+    found = suffix_dedup.united(docs, starts, ends)
+    assert [x.tolist() for x in found] == want
+    assert [x.tolist() for x in suffix_dedup.unpack_intervals(suffix_dedup.pack_intervals(*found))] == want
+    assert [r for b in suffix_dedup.by_document(docs, starts, ends, rows=2) for r in b.to_pylist()] == [
+        {"doc_id": -3, "starts": [0, 90], "ends": [50, 95]}, {"doc_id": 7, "starts": [0], "ends": [20]}, {"doc_id": 8, "starts": [1], "ends": [2]},
+    ]

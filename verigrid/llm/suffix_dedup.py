@@ -10,11 +10,14 @@ chosen by content alone, so equal strings have equal anchors. Only suffixes at a
    before each anchor. A context that several documents of a block share is sent once, for the
    smallest document; for the others it is settled inside the block, so a passage or a copy that a
    third of all documents hold is sent once per block.
-3. Merge. A loser tree merges the runs of a bucket. Suffixes carry the length of the prefix they
-   share with the last one out, and only what lies behind equal prefixes is compared. Suffixes of
-   one anchor stand together; inside such a group every window of ``length`` bytes around the anchor
-   is compared, and windows that a smaller document holds give one removed interval per anchor.
-4. Removal. Intervals meet their documents, overlaps are joined and the rest is hashed.
+3. Merge. A task takes many buckets, one behind the other. A loser tree merges the runs of a bucket.
+   Suffixes carry the length of the prefix they share with the last one out, and only what lies
+   behind equal prefixes is compared. Suffixes of one anchor stand together; inside such a group
+   every window of ``length`` bytes around the anchor is compared, and windows that a smaller
+   document holds give one removed interval per anchor. Intervals of all buckets of a task, and
+   those settled inside blocks, are joined per document and sent delta-coded, a row for each slot
+   of documents.
+4. Removal. Slots give each document its intervals, joined where they overlap; the rest is hashed.
 
 Documents equal to a smaller one are removed whole by their hash.
 """
@@ -369,14 +372,75 @@ def held_before(rows, lefts, rights, docs, groups, length: int, seed: int) -> tu
     return low, high
 
 
-def by_document(docs: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Table:
-    """Intervals as one row per document, joined where they meet."""
+def united(docs: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Intervals in the order of documents and starts; those of a document that meet become one."""
+    if not docs.size:
+        return docs, starts, ends
     order = np.lexsort((starts, docs))
     docs, starts, ends = docs[order], starts[order], ends[order]
-    cuts = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]])) if docs.size else []
-    rows = [union(starts[a:b], ends[a:b]) for a, b in zip(cuts, np.append(cuts[1:], docs.size), strict=True)] if docs.size else []
-    lists = [pa.array([r[k] for r in rows], pa.list_(pa.int64())) for k in (0, 1)]
-    return pa.table([pa.array(docs[cuts] if docs.size else [], pa.int64()), *lists], ["doc_id", "starts", "ends"])
+    other = np.concatenate([[True], docs[1:] != docs[:-1]])
+    above = np.cumsum(other) * (ends.max() + 1)  # the ends of a document lie above those of all before it
+    reach = np.maximum.accumulate(ends + above) - above
+    first = np.flatnonzero(other | np.concatenate([[True], starts[1:] > reach[:-1]]))
+    return docs[first], starts[first], reach[np.append(first[1:], docs.size) - 1]
+
+
+def by_document(docs: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: int = 10_000) -> Iterator[pa.RecordBatch]:
+    """Intervals as one row per document, joined where they meet."""
+    docs, starts, ends = united(docs, starts, ends)
+    cuts = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]])) if docs.size else docs
+    edges = np.append(cuts, docs.size)
+    for k in range(0, cuts.size, rows):
+        a, b, own = edges[k], edges[min(k + rows, cuts.size)], edges[k : k + rows + 1]
+        lists = [pa.ListArray.from_arrays(pa.array(own - a, pa.int32()), pa.array(x[a:b])) for x in (starts, ends)]
+        yield pa.RecordBatch.from_arrays([pa.array(docs[own[:-1]]), *lists], ["doc_id", "starts", "ends"])
+
+
+def pack_intervals(docs: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    """Intervals in the order of documents: differences, starts and lengths as byte planes, zstd."""
+    columns = np.stack([np.diff(docs, prepend=0), starts, ends - starts]).astype("<i8")
+    return zstandard.compress(np.ascontiguousarray(columns.view(np.uint8).reshape(3, -1, 8).transpose(0, 2, 1)).tobytes(), 1)
+
+
+def unpack_intervals(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(3, 8, -1)
+    docs, starts, lengths = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8").reshape(3, -1)
+    return np.cumsum(docs), starts, starts + lengths
+
+
+def slots_of(docs: np.ndarray, slots: int) -> np.ndarray:
+    mixed = docs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(slots)).astype(np.int64)
+
+
+class Intervals:
+    """Removed intervals that a task has found so far."""
+
+    def __init__(self) -> None:
+        self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, docs: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        if docs.size:
+            self.found.append(united(docs, starts, ends))
+            self.size += self.found[-1][0].size
+
+    def taken(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All of them, joined per document; none are held any longer."""
+        nothing = (np.empty(0, np.int64),) * 3
+        found = united(*map(np.concatenate, zip(nothing, *self.found, strict=True)))
+        self.found, self.size = [], 0
+        return found
+
+    def packed(self, slots: int) -> Iterator[pa.RecordBatch]:
+        docs, starts, ends = self.taken()
+        if docs.size:
+            slot = slots_of(docs, slots)
+            order = np.argsort(slot, kind="stable")
+            edges = np.flatnonzero(np.concatenate([[True], np.diff(slot[order]) > 0, [True]]))
+            own = [order[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+            rows = [pack_intervals(docs[x], starts[x], ends[x]) for x in own]
+            yield pa.RecordBatch.from_arrays([pa.array(slot[order][edges[:-1]], pa.int32()), pa.array(rows, pa.binary())], ["slot", "cuts"])
 
 
 def union(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -389,9 +453,8 @@ def union(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 def runs_of(docs: DataFrame, bitmap, length: int, seed: int, size: int, buckets: int, bits: int) -> DataFrame:
-    """Rows with a ``bucket`` and a ``run``, and rows with intervals settled inside a block."""
+    """Rows with a ``run`` of a ``bucket``; one row per block has ``cuts`` settled inside it, in any bucket."""
     left = length - seed
-    names = ["bucket", "run", "doc_id", "starts", "ends"]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = bitmap.value
@@ -403,7 +466,7 @@ def runs_of(docs: DataFrame, bitmap, length: int, seed: int, size: int, buckets:
             bucket = bucket_of(prints, buckets, left + 1)
             cuts = np.argsort(bucket, kind="stable")
             edges = np.searchsorted(bucket[cuts], np.arange(buckets + 1))
-            found, settled = [], []
+            found, settled = [], Intervals()
             for k in np.flatnonzero(np.diff(edges)).tolist():
                 mine = cuts[edges[k] : edges[k + 1]]
                 p, d = place[mine], owner[mine]
@@ -415,21 +478,18 @@ def runs_of(docs: DataFrame, bitmap, length: int, seed: int, size: int, buckets:
                 first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
                 smallest = doc[first][group]
                 later = doc > smallest
-                settled.append((doc[later], (at - lefts)[later], (at + rights)[later]))
+                enough = later & (lefts + rights >= length)
+                settled.add(doc[enough], (at - lefts)[enough], (at + rights)[enough])
                 own = ~later
                 counts = np.bincount(group[own], minlength=first.size)
-                found.append((k, write_run(rows[first], lefts[first], rights[first], doc[first], counts, at[own], left)))
+                found.append((k, write_run(rows[first], lefts[first], rights[first], doc[first], counts, at[own], left), None))
+            if settled.size:
+                found.append((int(slots_of(ids[:1], buckets)[0]), None, pack_intervals(*settled.taken())))
             if found:
-                nothing = pa.nulls(len(found), pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.binary()), pa.nulls(len(found), pa.int64()), nothing, nothing], names)
-                doc, a, b = (np.concatenate(x) for x in zip(*settled, strict=True))
-                enough = b - a >= length
-                table = by_document(doc[enough], a[enough], b[enough]).combine_chunks()
-                if table.num_rows:
-                    n = table.num_rows
-                    yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()), *[c.combine_chunks() for c in table.columns]], names)
+                kinds = pa.int32(), pa.binary(), pa.binary()
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*found, strict=True), kinds, strict=True)], ["bucket", "run", "cuts"])
 
-    return docs.mapInArrow(send, f"bucket int, run binary, {INTERVALS}")
+    return docs.mapInArrow(send, "bucket int, run binary, cuts binary")
 
 
 def groups_of(rows: np.ndarray, lefts: np.ndarray, rights: np.ndarray) -> np.ndarray:
@@ -440,39 +500,72 @@ def groups_of(rows: np.ndarray, lefts: np.ndarray, rights: np.ndarray) -> np.nda
     return np.concatenate([[0], np.cumsum(differ)])
 
 
-def merged_intervals(runs: DataFrame, length: int, seed: int, buckets: int) -> DataFrame:
+def merge_bucket(runs: list[bytes], length: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Documents, starts and ends of what the runs of a bucket remove."""
     left = length - seed
-
-    def meet(table: pa.Table) -> pa.Table:
-        parts = [Run(data.as_py(), left, length) for data in table.column("run")]
-        order_run, order_at, shared = merge(parts, length)
-        base = np.cumsum([0, *[p.count for p in parts]])
-        order = base[order_run] + order_at
-        joined = lambda name: np.concatenate([getattr(p, name) for p in parts])
-        lefts, rights, docs, counts = (joined(n) for n in ("lefts", "rights", "docs", "counts"))
-        rows = np.empty((order.size, 2 * length - seed), np.uint8)
-        for k, part in enumerate(parts):
-            part.write_rows(rows[base[k] : base[k + 1]])
-        group = np.empty(order.size, np.int64)
-        group[order] = np.cumsum(shared < seed)
-        low, high = np.empty(order.size, np.int64), np.empty(order.size, np.int64)
-        edges = np.flatnonzero(np.concatenate([[True], shared[1:] < seed])) if order.size else []
-        a = 0
-        while a < order.size:  # whole groups, some thousands of suffixes at a time
-            k = int(np.searchsorted(edges, a + 8_000))
-            b = int(edges[k]) if k < len(edges) else order.size
-            part = order[a:b]
-            low[part], high[part] = held_before(rows[part], lefts[part], rights[part], docs[part], group[part], length, seed)
-            a = b
-        places = joined("places")
-        doc, lo, hi = (np.repeat(x, counts) for x in (docs, low, high))
-        cut = hi >= 0
-        found = by_document(doc[cut], places[cut] - hi[cut], places[cut] - lo[cut] + length)
-        del parts, rows
+    parts = [Run(data, left, length) for data in runs]
+    order_run, order_at, shared = merge(parts, length)
+    base = np.cumsum([0, *[p.count for p in parts]])
+    order = base[order_run] + order_at
+    joined = lambda name: np.concatenate([getattr(p, name) for p in parts])
+    lefts, rights, docs, counts = (joined(n) for n in ("lefts", "rights", "docs", "counts"))
+    rows = np.empty((order.size, 2 * length - seed), np.uint8)
+    for k, part in enumerate(parts):
+        part.write_rows(rows[base[k] : base[k + 1]])
+    group = np.empty(order.size, np.int64)
+    group[order] = np.cumsum(shared < seed)
+    low, high = np.empty(order.size, np.int64), np.empty(order.size, np.int64)
+    edges = np.flatnonzero(np.concatenate([[True], shared[1:] < seed])) if order.size else []
+    a = 0
+    while a < order.size:  # whole groups, some thousands of suffixes at a time
+        k = int(np.searchsorted(edges, a + 8_000))
+        b = int(edges[k]) if k < len(edges) else order.size
+        part = order[a:b]
+        low[part], high[part] = held_before(rows[part], lefts[part], rights[part], docs[part], group[part], length, seed)
+        a = b
+    places = joined("places")
+    doc, lo, hi = (np.repeat(x, counts) for x in (docs, low, high))
+    cut = hi >= 0
+    return doc[cut], places[cut] - hi[cut], places[cut] - lo[cut] + length
+
+
+def packed_intervals(runs: DataFrame, length: int, seed: int, parts: int, most: int = 1_000_000) -> DataFrame:
+    """Rows of a ``slot`` of documents and ``cuts``; a task sends a row for each slot, or more beyond ``most`` intervals."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, bucket, own = Intervals(), None, []
+        for batch in batches:
+            for k, run, cuts in zip(*batch.columns, strict=True):
+                if k.as_py() != bucket and own:
+                    held.add(*merge_bucket(own, length, seed))
+                    own = []
+                    give_back()
+                bucket = k.as_py()
+                if run.is_valid:
+                    own.append(run.as_py())
+                else:
+                    held.add(*unpack_intervals(cuts.as_py()))
+                if held.size >= most:
+                    yield from held.packed(parts)
+        if own:
+            held.add(*merge_bucket(own, length, seed))
+        yield from held.packed(parts)
         give_back()
-        return found
 
-    return runs.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(meet, INTERVALS)
+    return runs.repartitionById(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "slot int, cuts binary")
+
+
+def merged_intervals(runs: DataFrame, length: int, seed: int, parts: int) -> DataFrame:
+    """One row per document that loses bytes."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Intervals()
+        for batch in batches:
+            for cuts in batch.column(1):
+                held.add(*unpack_intervals(cuts.as_py()))
+        yield from by_document(*held.taken())
+
+    return packed_intervals(runs, length, seed, parts).repartitionById(parts, "slot").mapInArrow(gather, INTERVALS)
 
 
 def remove(docs: DataFrame, length: int = 50, seed: int = 24, size: int = 8_000_000, bits: int = 26) -> DataFrame:
@@ -489,14 +582,10 @@ def remove(docs: DataFrame, length: int = 50, seed: int = 24, size: int = 8_000_
     text = F.coalesce(F.col("text"), F.lit(""))
     facts = stage(docs.select("doc_id", F.octet_length(text).cast("bigint").alias("n_bytes"), F.sha2(text, 256).alias("sha")), "bytes")
     total = facts.agg(F.sum("n_bytes")).first()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 4_000_000 + 1)
-    bitmap = spark.sparkContext.broadcast(shared_anchors(docs, length, seed, size, buckets, bits))  # 2**bits bits
-    staged = stage(runs_of(docs, bitmap, length, seed, size, buckets, bits), "suffix-runs")
-    merged = merged_intervals(staged.filter("run IS NOT NULL").select("bucket", "run"), length, seed, buckets)
-    settled = staged.filter("run IS NULL").select("doc_id", "starts", "ends")
-    cut = merged.unionByName(settled).groupBy("doc_id").agg(
-        F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends")
-    )
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // 16_000_000 + 1)
+    buckets = max(parts, total // 4_000_000 + 1)  # a task merges one at a time
+    bitmap = spark.sparkContext.broadcast(shared_anchors(docs, length, seed, size, parts, bits))  # 2**bits bits
+    cut = merged_intervals(runs_of(docs, bitmap, length, seed, size, buckets, bits), length, seed, parts)
     smallest = facts.filter("doc_id IS NOT NULL").groupBy("sha").agg(F.min("doc_id").alias("first"))
     facts = facts.join(smallest, "sha", "left")
     copies = facts.filter(F.col("doc_id") > F.col("first")).select("doc_id").distinct()
