@@ -49,6 +49,17 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [text or "" for text in batch.column(name).to_pylist()]
 
 
+#: What operators keep in a worker between its tasks, such as encoders with their tables of words.
+WORKER_TABLES: dict[tuple, object] = {}
+
+
+def begin_without_tables() -> None:
+    """A reused worker drops what another operator has left in it; results never depend on it."""
+    if WORKER_TABLES:
+        WORKER_TABLES.clear()
+        give_back()
+
+
 def parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Batches in short parts, so that few texts are Python objects at a time."""
     for batch in batches:

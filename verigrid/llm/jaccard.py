@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verigrid.llm.common import give_back, stage, texts_of
+from verigrid.llm.common import begin_without_tables, give_back, parts, stage, texts_of
 from verigrid.llm.graph import components
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
@@ -75,10 +75,21 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def repeated(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Values found twice or more, ascending, and how often; the list is emptied, so it is not held beside its copy."""
+    tokens = np.concatenate(held)
+    held.clear()
+    tokens.sort()
+    same = np.concatenate([[False], tokens[1:] == tokens[:-1], [False]])
+    first = np.flatnonzero(same[1:] & ~same[:-1])
+    return tokens[first], (np.flatnonzero(same[:-1] & ~same[1:]) - first + 1).astype(np.int32)
+
+
 def sets_and_counts(docs: DataFrame, width: int, block: int) -> DataFrame:
     """Per document its set's size and class; per block of documents the shingles of two sets or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_without_tables()
         hashes, held, seen, size = WordHashes(), [], set(), 0
         names = ["doc_id", "n", "c1", "c2", "token", "found"]
         kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 3, pa.int32()]
@@ -89,11 +100,10 @@ def sets_and_counts(docs: DataFrame, width: int, block: int) -> DataFrame:
             return pa.RecordBatch.from_arrays(arrays, names)
 
         def counted() -> pa.RecordBatch:
-            tokens, found = np.unique(np.concatenate(held), return_counts=True)
-            more = found > 1
-            return rows([None, None, None, None, tokens[more].view(np.int64), found[more].astype(np.int32)])
+            tokens, found = repeated(held)
+            return rows([None, None, None, None, tokens.view(np.int64), found])
 
-        for batch in batches:
+        for batch in parts(batches):
             out = []
             for text in texts_of(batch):
                 tokens = shingle_set(text, width, hashes)
@@ -105,7 +115,7 @@ def sets_and_counts(docs: DataFrame, width: int, block: int) -> DataFrame:
                     size += tokens.size
                 if size > block:
                     yield counted()
-                    held, seen, size = [], set(), 0
+                    seen, size = set(), 0
             yield rows([batch.column(0), *zip(*out, strict=True), None, None])
         if held:
             yield counted()
@@ -119,29 +129,32 @@ def prefixes(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) ->
     """Postings of every document's prefix; equal sets of a batch post once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_without_tables()
         hashes = WordHashes()
         for batch in batches:
-            seen, parts = set(), []
-            for text in texts_of(batch):
-                tokens = shingle_set(text, width, hashes)
-                key = class_of(tokens)
-                if not tokens.size or key in seen:
-                    continue
-                seen.add(key)
-                length = prefix_length(tokens.size, percent)
-                if frequent.size:
-                    at = np.minimum(np.searchsorted(frequent, tokens), frequent.size - 1)
-                    often = frequent[at] == tokens
-                    tokens = np.concatenate([tokens[~often], tokens[often]])
-                parts.append((tokens[:length], *key, tokens.size))
-            if parts:
-                lengths = [len(p[0]) for p in parts]
-                tokens = np.concatenate([p[0] for p in parts]).view(np.int64)
-                columns = [tokens, *[np.repeat(np.array([p[k] for p in parts], np.int64), lengths) for k in (1, 2)]]
-                columns.append(np.repeat(np.array([p[3] for p in parts], np.int32), lengths))
-                columns.append(np.concatenate([np.arange(n, dtype=np.int32) for n in lengths]))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "c1", "c2", "n", "pos"])
-        hashes, parts = WordHashes(), []
+            seen = set()
+            for part in parts([batch]):
+                sets = []
+                for text in texts_of(part):
+                    tokens = shingle_set(text, width, hashes)
+                    key = class_of(tokens)
+                    if not tokens.size or key in seen:
+                        continue
+                    seen.add(key)
+                    length = prefix_length(tokens.size, percent)
+                    if frequent.size:
+                        at = np.minimum(np.searchsorted(frequent, tokens), frequent.size - 1)
+                        often = frequent[at] == tokens
+                        tokens = np.concatenate([tokens[~often], tokens[often]])
+                    sets.append((tokens[:length].copy(), *key, tokens.size))
+                if sets:
+                    lengths = [len(p[0]) for p in sets]
+                    tokens = np.concatenate([p[0] for p in sets]).view(np.int64)
+                    columns = [tokens, *[np.repeat(np.array([p[k] for p in sets], np.int64), lengths) for k in (1, 2)]]
+                    columns.append(np.repeat(np.array([p[3] for p in sets], np.int32), lengths))
+                    columns.append(np.concatenate([np.arange(n, dtype=np.int32) for n in lengths]))
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "c1", "c2", "n", "pos"])
+        hashes, sets, seen = WordHashes(), [], set()
         give_back()
 
     return docs.select("text").mapInArrow(run, POSTING)
@@ -204,8 +217,9 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int, bits: int = 24) -> Data
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits)).alias("slot")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_without_tables()
         hashes = WordHashes()
-        for batch in batches:
+        for batch in parts(batches):
             slots = batch.column(2).to_numpy()
             rows = pa.array(np.flatnonzero(bitmap[slots >> 5] >> (slots & 31).astype(np.uint32) & 1))
             tokens = [shingle_set(t or "", width, hashes).tobytes() for t in batch.column(1).take(rows).to_pylist()]
@@ -224,7 +238,8 @@ def overlaps(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     a holds beside b and b beside a (``xa``, ``xb``) where ``own`` is not null; ``xa`` only where it is false."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        begin_without_tables()
+        for batch in parts(batches):
             found, beside = [], ([], [])
             for x, y, own in zip(batch.column(3), batch.column(4), batch.column(2).to_pylist(), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
@@ -235,6 +250,7 @@ def overlaps(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
             columns = [*batch.columns[:3], *[pa.array(counts[:, k]) for k in range(3)]]
             columns += [pa.array(x, pa.list_(pa.int64())) for x in beside]
             yield pa.RecordBatch.from_arrays(columns, ["a", "b", "own", "both", "na", "nb", "xa", "xb"])
+        give_back()
 
     pairs = stage(pairs.select("a", "b", "own"), "pairs")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()

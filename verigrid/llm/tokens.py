@@ -15,6 +15,8 @@ from operator import attrgetter
 
 import numpy as np
 
+from verigrid.llm.common import WORKER_TABLES
+
 #: A word with the blanks before it, and what blanks remain at the end.
 _CHUNKS = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+\Z").findall
 #: Letters of ASCII and Latin-1, then ASCII marks other than the apostrophe.
@@ -210,12 +212,9 @@ def _grown(values: np.ndarray, used: int, more: int) -> np.ndarray:
     return out
 
 
-_ENCODERS: dict[tuple, WordEncoder] = {}
-
-
 def encoder(path: str, spaced: bool, **bounds: int) -> WordEncoder:
     """The worker's encoder of a vocabulary file; a reused worker keeps its tables of words."""
     key = (path, spaced, *bounds.items())
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(path, spaced, **bounds)
-    return _ENCODERS[key]
+    if key not in WORKER_TABLES:
+        WORKER_TABLES[key] = WordEncoder(path, spaced, **bounds)
+    return WORKER_TABLES[key]
