@@ -14,6 +14,8 @@ of encodings, which text falls below with no more than that chance (Markov's ine
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ from verigrid.llm.common import stage
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"(AKIA[A-Z0-9]{16,})"
 HEX = r"([0-9a-f]{24,})"
+#: The names of ``ASSIGN`` in lower case, shortened where one begins like another; every match has one.
+ASSIGN_NAMES = ("passw", "secret", "token", "apikey", "api_key")
 KINDS = ("assign", "access", "hex", "random")
 CANDIDATE = r"([A-Za-z0-9+/_=-]{16,})"
 #: Alphabets in code order.
@@ -65,10 +69,16 @@ def let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), 0)
 
 
-def found(text: Column, pattern: str, group: int = 0) -> Column:
+def fields(**values: Column) -> Column:
+    """A struct of the named values; inside ``let`` each of them is computed once."""
+    return F.struct(*[value.alias(name) for name, value in values.items()])
+
+
+def found(text: Column, pattern: str, group: int = 0, may: Column | None = None) -> Column:
     """All matches as (start, end, match, part); places in code points.
 
     What lies between matches comes from a split by the same pattern, so places are running sums.
+    ``may`` is cheaper than the pattern and true for every text with a match.
     """
     kind = "array<struct<start:int,end:int,match:string,part:string>>"
     gaps = F.split(text, pattern, -1)
@@ -85,14 +95,25 @@ def found(text: Column, pattern: str, group: int = 0) -> Column:
 
     zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
     places = F.aggregate(pairs, zero, step, lambda acc: acc["out"])
-    return F.when(F.rlike(text, F.lit(pattern)), places).otherwise(F.array().cast(kind))
+    matches = F.rlike(text, F.lit(pattern))
+    return F.when(matches if may is None else may & matches, places).otherwise(F.array().cast(kind))
+
 
+def may_assign(text: Column) -> Column:
+    """True for every text that ``ASSIGN`` matches: one of its signs and, in any case, one of its names."""
+    named = let(F.lower(text), lambda low: reduce(or_, (F.contains(low, F.lit(name)) for name in ASSIGN_NAMES)))
+    return (F.contains(text, F.lit("=")) | F.contains(text, F.lit(":"))) & named
 
-def base_spans(text: Column) -> Column:
-    """Base spans ordered by start, then kind, as (kind number, start, end)."""
+
+def base_spans(text: Column, has_run: Column) -> Column:
+    """Base spans ordered by start, then kind, as (kind number, start, end).
+
+    ``has_run`` tells whether the text has a run of ``CANDIDATE``; what ``HEX`` matches is or lies in one.
+    """
     spans = []
-    for number, (pattern, group, least) in enumerate(((ASSIGN, 2, 6), (ACCESS, 1, 20), (HEX, 1, 24))):
-        long = F.filter(found(text, pattern, group), _at_least(least))
+    kinds = ((ASSIGN, 2, 6, may_assign(text)), (ACCESS, 1, 20, F.contains(text, F.lit("AKIA"))), (HEX, 1, 24, has_run))
+    for number, (pattern, group, least, may) in enumerate(kinds):
+        long = F.filter(found(text, pattern, group, may), _at_least(least))
         spans.append(F.transform(long, _as_span(number)))
     order = F.array_sort(F.transform(F.concat(*spans), lambda x: F.struct(x["start"], x["kind"], x["end"])))
     return F.transform(order, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
@@ -108,8 +129,8 @@ def _as_span(kind: int):
 
 def upper_tail(z: Column) -> Column:
     """Upper tail of the normal law (logistic form, error below 0.0002), never 0."""
-    z = F.greatest(F.lit(-8.0), F.least(F.lit(8.0), z))
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(z * 1.5976 + z * z * z * 0.07056))
+    held = F.greatest(F.lit(-8.0), F.least(F.lit(8.0), z))
+    return let(held, lambda z: F.lit(1.0) / (F.lit(1.0) + F.exp(z * 1.5976 + z * z * z * 0.07056)))
 
 
 def text_costs() -> list[int]:
@@ -146,31 +167,41 @@ def encoding_of(key: Column) -> Column:
 
 
 def randomness(codes: Column, symbols: Column) -> Column:
-    """Fisher's joint p-value of the three tests for an array of symbol codes (double)."""
-    n = F.size(codes).cast("double")
+    """Fisher's joint p-value of the three tests for an array of symbol codes (double).
+
+    A column that is named twice is computed twice, inside lambdas for each element; so the
+    steps pass their values on in structs, and the work follows the number of codes.
+    """
     total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + x)
 
-    def tests(cs: Column) -> Column:
+    def counted(x: Column) -> Column:
+        cs, symbols = x["cs"], x["symbols"]
+        n = F.size(cs).cast("double")
         squares = total(F.transform(F.array_distinct(cs), lambda c: F.pow(F.size(F.filter(cs, lambda x: x == c)).cast("double"), F.lit(2.0))))
-        free = symbols - 1
-        fit = F.greatest(symbols * squares / n - n, F.lit(0.0)) / free
-        spread = F.lit(2.0) / (free * 9)
-        chi = (F.pow(fit, F.lit(1 / 3)) - (F.lit(1.0) - spread)) / F.sqrt(spread)
-        high = F.transform(cs, lambda c: c >= symbols / 2)
-        ones = F.size(F.filter(high, lambda x: x)).cast("double")
         pairs = F.zip_with(F.slice(cs, F.lit(1), F.size(cs) - 1), F.slice(cs, F.lit(2), F.size(cs) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-        runs = F.size(F.filter(pairs, lambda p: (p["a"] >= symbols / 2) != (p["b"] >= symbols / 2))) + F.lit(1.0)
-        mean_runs = ones * (n - ones) * 2 / n + 1
-        variance = (mean_runs - 1) * (mean_runs - 2) / (n - 1)
-        runs_z = F.when(variance > 0, F.abs(runs - mean_runs) / F.sqrt(variance)).otherwise(F.lit(8.0))
-        mean = total(cs) / n
-        moved = total(F.transform(cs, lambda c: (c - mean) * (c - mean)))
-        along = total(F.transform(pairs, lambda p: (p["a"] - mean) * (p["b"] - mean)))
-        serial = F.when(moved > 0, F.abs(along / moved + F.lit(1.0) / n) * F.sqrt(n)).otherwise(F.lit(8.0))
-        half = -(F.log(upper_tail(chi)) + F.log(F.least(upper_tail(runs_z) * 2, F.lit(1.0))) + F.log(F.least(upper_tail(serial) * 2, F.lit(1.0))))
-        return F.exp(-half) * (half + F.lit(1.0) + half * half / 2)
+        ones = F.size(F.filter(F.transform(cs, lambda c: c >= symbols / 2), lambda x: x)).cast("double")
+        return fields(cs=cs, symbols=symbols, n=n, free=symbols - 1, squares=squares, pairs=pairs, ones=ones, mean=total(cs) / n)
+
+    def measured(x: Column) -> Column:
+        symbols, n, ones, mean = x["symbols"], x["n"], x["ones"], x["mean"]
+        runs = F.size(F.filter(x["pairs"], lambda p: (p["a"] >= symbols / 2) != (p["b"] >= symbols / 2))) + F.lit(1.0)
+        return fields(
+            n=n, fit=F.greatest(symbols * x["squares"] / n - n, F.lit(0.0)) / x["free"], spread=F.lit(2.0) / (x["free"] * 9),
+            runs=runs, mean_runs=ones * (n - ones) * 2 / n + 1,
+            moved=total(F.transform(x["cs"], lambda c: (c - mean) * (c - mean))),
+            along=total(F.transform(x["pairs"], lambda p: (p["a"] - mean) * (p["b"] - mean))),
+        )
 
-    return let(codes, tests)
+    def tested(x: Column) -> Column:
+        n, spread, moved = x["n"], x["spread"], x["moved"]
+        chi = (F.pow(x["fit"], F.lit(1 / 3)) - (F.lit(1.0) - spread)) / F.sqrt(spread)
+        variance = (x["mean_runs"] - 1) * (x["mean_runs"] - 2) / (n - 1)
+        runs_z = let(variance, lambda v: F.when(v > 0, F.abs(x["runs"] - x["mean_runs"]) / F.sqrt(v)).otherwise(F.lit(8.0)))
+        serial = F.when(moved > 0, F.abs(x["along"] / moved + F.lit(1.0) / n) * F.sqrt(n)).otherwise(F.lit(8.0))
+        return -(F.log(upper_tail(chi)) + F.log(F.least(upper_tail(runs_z) * 2, F.lit(1.0))) + F.log(F.least(upper_tail(serial) * 2, F.lit(1.0))))
+
+    joined = lambda half: F.exp(-half) * (half + F.lit(1.0) + half * half / 2)
+    return let(let(let(let(fields(cs=codes, symbols=symbols), counted), measured), tested), joined)
 
 
 def text_chance(token: Column, key: Column, symbols: Column) -> Column:
@@ -188,17 +219,21 @@ def text_chance(token: Column, key: Column, symbols: Column) -> Column:
     return F.least(F.lit(0.0), F.length(key) * F.log10(symbols) + groups + math.log10(len(ALPHABETS)) - cost)
 
 
-def candidates(text: Column, base: Column) -> Column:
+def candidates(text: Column, base: Column, has_run: Column) -> Column:
     """Tested runs outside base spans: (start, end, encoding, length class, p_random, bin of p_text)."""
-    runs = F.filter(found(text, CANDIDATE, 1), lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+    runs = F.filter(found(text, CANDIDATE, 1, has_run), lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
     ends = lambda x: (x["start"].alias("start"), x["end"].alias("end"))
     named = F.transform(runs, lambda x: F.struct(*ends(x), F.regexp_replace(x["match"], "=+$", "").alias("token")))
     named = F.filter(named, lambda x: F.length(x["token"]) >= 16)
     named = F.transform(named, lambda x: F.struct(*ends(x), x["token"].alias("token"), key_of(x["token"]).alias("key")))
     named = F.transform(named, lambda x: F.struct(*ends(x), x["token"].alias("token"), x["key"].alias("key"), encoding_of(x["key"]).alias("enc")))
 
+    alphabet_of = F.create_map(*[F.lit(v) for kv in ALPHABETS.items() for v in kv])
+
     def test(x: Column) -> Column:
-        alphabet = F.element_at(F.create_map(*[F.lit(v) for kv in ALPHABETS.items() for v in kv]), x["enc"])
+        return let(F.element_at(alphabet_of, x["enc"]), lambda alphabet: test_in(x, alphabet))
+
+    def test_in(x: Column, alphabet: Column) -> Column:
         symbols = F.length(alphabet).cast("double")
         key = F.when(x["enc"] == "hex", F.lower(x["key"])).otherwise(x["key"])
         codes = F.transform(F.split(key, ""), lambda c: F.instr(alphabet, c).cast("double") - 0.5)
@@ -214,8 +249,10 @@ def candidates(text: Column, base: Column) -> Column:
 
 def examine(df: DataFrame) -> DataFrame:
     """Replace ``text`` by ``base`` and ``tested``; one pass over the texts."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return df.withColumn("base", base_spans(text)).withColumn("tested", candidates(text, F.col("base")))
+    text, has_run = F.coalesce(F.col("text"), F.lit("")), F.col("__has_run")
+    looked = df.withColumn("__has_run", F.rlike(text, F.lit(CANDIDATE)))
+    found_in = looked.withColumn("base", base_spans(text, has_run)).withColumn("tested", candidates(text, F.col("base"), has_run))
+    return found_in.drop("__has_run")
 
 
 def cutoffs(tested: DataFrame, rate: float, alpha: float) -> dict[tuple[str, int], int]:
