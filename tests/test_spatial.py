@@ -235,3 +235,43 @@ def test_small_cells_are_measured_by_as_many_tasks_as_there_are_cores(spark):
     assert "MapInArrow" in plan and "FlatMapGroupsInPandas" not in plan and "REPARTITION_BY_NUM" in plan
     measured = spatial.measure_polygons(df, "pid", 1.0).collect()
     assert len(measured) == 500 and {r["even_odd_area"] for r in measured} == {16.0}
+
+
+def stages_seen(monkeypatch):
+    """The stages that spatial writes: label, plan before it runs, number of rows."""
+    seen, write = {}, spatial.materialize
+
+    def watched(df, label):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        written = write(df, label)
+        seen[label] = (plan, written.count())
+        return written
+
+    monkeypatch.setattr(spatial, "materialize", watched)
+    return seen
+
+
+def test_only_hot_cells_are_broadcast(spark, monkeypatch):
+    seen = stages_seen(monkeypatch)
+    pts = spark.range(200).selectExpr("id", "id % 20 / 2.0 AS x", "id % 7 / 1.0 AS y")
+    df = spark.createDataFrame(polygons(), SCHEMA)
+    found = spatial.points_in_polygons(pts, df, "id", ["pid"], 1.0)
+    assert {"points", "shapes", "edges", "cut", "pieces"} <= set(seen)
+    assert not [label for label, (plan, _) in seen.items() if "BroadcastExchange" in plan]
+    # for points and for parts in three joins
+    assert found._jdf.queryExecution().executedPlan().toString().count("BroadcastExchange") == 6
+
+
+def test_equal_shapes_are_cut_once(spark, monkeypatch):
+    made = polygons(count=3)
+    pts = spark.createDataFrame([(i, i % 9 / 1.0, i // 9 / 1.0) for i in range(81)], "id long, x double, y double")
+    rows = {}
+    for copies in (1, 50):
+        shapes = [(1000 * i + pid, rings) for i in range(copies) for pid, rings in made]
+        monkeypatch.undo()
+        seen = stages_seen(monkeypatch)
+        monkeypatch.setattr(spatial, "MEMBERS", 7)
+        got = {tuple(r) for r in spatial.points_in_polygons(pts, spark.createDataFrame(shapes, SCHEMA), "id", ["pid"], 2.0).collect()}
+        assert got == {(i, pid) for i, x, y in pts.collect() for pid, rings in shapes if covers(rings, x, y)}
+        rows[copies] = seen["pieces"][1]
+    assert rows[1] == rows[50]

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from verigrid.functions.geometry import from_mercator, ring_area, ring_is_closed, rings_bound, segments
 from verigrid.functions.text import unquote_numbers
-from verigrid.operators.scale import attach_group_values, with_context
+from verigrid.operators.scale import lookup, with_context
 from verigrid.sinks.stage import materialize
 
 RING = "array<array<double>>"
@@ -28,6 +28,8 @@ POLYGON = f"array<{RING}>"
 MULTI = f"array<{POLYGON}>"
 SALTS = 32
 HOT_CELLS = 256
+#: Polygons that travel in one row with their common shape; a tuning knob.
+MEMBERS = 4096
 
 
 # --- parsing and status -------------------------------------------------------
@@ -321,7 +323,28 @@ def cell_join(points: DataFrame, pieces: DataFrame, point_id: str) -> DataFrame:
     repeated = pieces.join(F.broadcast(hot), ["ix", "iy"], "left").withColumn("salt", F.explode(salts))
     tasks = busy_tasks(points.sparkSession)
     dealt = [df.drop("hot").repartition(tasks, "ix", "iy", "salt") for df in (spread, repeated)]
-    return dealt[0].join(dealt[1], ["ix", "iy", "salt"])
+    return dealt[0].join(unsent(dealt[1]), ["ix", "iy", "salt"])
+
+
+def unsent(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that never goes through the driver.
+
+    Rows of a written stage repeat most of their values, so a few MB of files can be millions of rows;
+    by the size of the files Spark would broadcast them.
+    """
+    return df.hint("merge")
+
+
+def equal_shapes(polygons: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of every polygon with ``shape``, the least keys among polygons of the same rings, and their number ``n``.
+
+    Rows that share their keys are one polygon, as for the edges. Only marks of the rings travel.
+    """
+    marks = polygons.select(*keys, shape_mark(F.col("rings")).alias("mark")).groupBy(*keys).agg(
+        F.sha2(F.concat_ws(",", F.sort_array(F.collect_list("mark"))), 256).alias("mark")
+    )
+    per_mark = marks.groupBy("mark").agg(F.min(F.struct(*keys)).alias("shape"), F.count(F.lit(1)).alias("n"))
+    return materialize(lookup(marks, unsent(per_mark), ["mark"], "inner").drop("mark"), "shapes")
 
 
 PART = ("x1", "y1", "x2", "y2", "xa", "xb", "w", "is_below")
@@ -342,35 +365,58 @@ def point_tests(part) -> tuple[Column, Column]:
 
 def points_in_polygons(
     points: DataFrame, polygons: DataFrame, point_id: str, polygon_keys: Sequence[str], size: float,
-    most_parts: int = 256,
+    most_parts: int = 256, count_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Pairs (point, polygon) where the polygon covers the point; the boundary counts as inside.
 
     ``points`` has x and y. Per pair the directions of the edges below the point are
     summed; an odd sum is inside. A point on an edge is inside by an exact test.
 
-    A point meets all parts of a polygon in its cell in one row, so a pair is settled where it is
-    joined and is not shuffled. Only the pairs of a polygon with more than ``most_parts`` parts in a
-    cell, and of ids that several points share, are summed up part by part.
+    With ``count_by``, some of the polygon keys, the rows are point, these keys and ``polygons``, the
+    number of covering polygons; the numbers of equal rows add up. No pair is made then, so the work
+    follows points and what differs in a cell, not the number of polygons over a point.
+
+    Polygons of equal rings are cut and tested once. A point meets all parts of a shape in its cell in
+    one row, so a pair is settled where it is joined and is not shuffled. Only the pairs of a shape
+    with more than ``most_parts`` parts in a cell, and of ids that several points share, are summed
+    up part by part.
     """
     step = F.lit(float(size))
     placed = points.select(
         point_id, F.col("x").alias("px"), F.col("y").alias("py"),
         cell_of(F.col("x"), step).alias("ix"), cell_of(F.col("y"), step).alias("iy"),
     )
-    placed = materialize(attach_group_values(placed, [point_id], {"times": F.count(F.lit(1))}), "points")
+    times = placed.groupBy(point_id).agg(F.count(F.lit(1)).alias("times"))
+    placed = materialize(lookup(placed, unsent(times), [point_id], "inner"), "points")
     single, repeated = (placed.filter(c).drop("times") for c in ("times = 1", "times > 1"))
-    rows = materialize(edges(polygons, polygon_keys), "edges")
+    shapes = equal_shapes(polygons, polygon_keys)
+    first = shapes.filter(F.struct(*polygon_keys).eqNullSafe(F.col("shape"))).select(*polygon_keys)
+    rows = materialize(lookup(edges(polygons, polygon_keys), unsent(first), polygon_keys, "left_semi"), "edges")
     cell = [*polygon_keys, "ix", "iy"]
-    pieces = attach_group_values(cut(rows, polygon_keys, size), cell, {"parts": F.count(F.lit(1))})
-    pieces = materialize(pieces, "pieces")
+    pieces = materialize(cut(rows, polygon_keys, size), "cut")
+    parts = pieces.groupBy(*cell).agg(F.count(F.lit(1)).alias("parts"))
+    pieces = materialize(lookup(pieces, unsent(parts), cell, "inner"), "pieces")
     few, many = (pieces.filter(c).drop("parts") for c in (F.col("parts") <= most_parts, F.col("parts") > most_parts))
     # left and right of all parts, and below all where no winding comes from lower cells, nothing is covered
     lowest = F.when(~F.col("is_below"), F.least("y1", "y2")).otherwise(F.lit(float("-inf")))
+    bounds = {"left": F.min("xa"), "right": F.max("xb"), "low": F.min(lowest)}
     gathered = few.groupBy(*cell).agg(
-        F.collect_list(F.struct(*PART)).alias("parts"), F.min("xa").alias("left"), F.max("xb").alias("right"),
-        F.min(lowest).alias("low"),
-    )
+        F.sort_array(F.collect_list(F.struct(*PART))).alias("parts"), *[bound.alias(name) for name, bound in bounds.items()]
+    )
+    if count_by is None:
+        chunk = F.pmod(F.xxhash64(*polygon_keys), F.ceil(F.col("n") / MEMBERS))
+        members = shapes.groupBy("shape", chunk.alias("chunk")).agg(F.collect_list(F.struct(*polygon_keys)).alias("members"))
+        named = members.select("shape.*", "members")
+        gathered = lookup(gathered, unsent(named), polygon_keys, "inner")
+        told = lambda df: df.select(point_id, F.inline("members"))
+    else:
+        of_class = shapes.groupBy("shape", F.struct(*count_by).alias("class")).agg(F.count(F.lit(1)).alias("polygons"))
+        named = of_class.select("shape.*", "class", "polygons")
+        # what looks the same inside a cell is tested once, above all what covers the whole cell
+        gathered = lookup(gathered, unsent(named), polygon_keys, "inner").groupBy("ix", "iy", "parts", "class").agg(
+            F.sum("polygons").alias("polygons"), *[F.first(name).alias(name) for name in bounds]
+        )
+        told = lambda df: df.select(point_id, "class.*", "polygons")
     turns = F.aggregate(
         "parts", F.lit(0).cast("bigint"),
         lambda total, p: total + F.when(point_tests(lambda name: p[name])[0], p["w"]).otherwise(0),
@@ -381,14 +427,14 @@ def points_in_polygons(
         (turns % 2 != 0) | touch
     )
     near = F.col("px").between(F.col("left"), F.col("right")) & (F.col("py") >= F.col("low"))
-    settled = cell_join(single, gathered, point_id).filter(near).filter(covered).select(point_id, *polygon_keys)
+    settled = told(cell_join(single, gathered, point_id).filter(near).filter(covered))
     loose = cell_join(single, many, point_id).unionByName(cell_join(repeated, pieces.drop("parts"), point_id))
     below, on_edge = point_tests(F.col)
     pairs = loose.filter(below | on_edge).groupBy(point_id, *polygon_keys).agg(
         F.sum(F.when(below, F.col("w")).otherwise(0)).alias("turns"), F.bool_or(on_edge).alias("touch")
     )
-    summed = pairs.filter((F.col("turns") % 2 != 0) | F.col("touch")).select(point_id, *polygon_keys)
-    return settled.unionByName(summed)
+    summed = pairs.filter((F.col("turns") % 2 != 0) | F.col("touch"))
+    return settled.unionByName(told(lookup(summed, unsent(named), polygon_keys, "inner")))
 
 
 # --- overlay areas ---------------------------------------------------------------
