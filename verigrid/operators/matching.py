@@ -600,11 +600,13 @@ def contract_gaps(observed: DataFrame, members: DataFrame, published: DataFrame)
 def resolve_point_class(points: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
     """Class of a point from the polygons that hold it; severity never breaks a tie.
 
-    ``candidates`` has key and level, one row per polygon. Several polygons of one
-    level are still MATCHED. Candidates are counted by level first, so a point brings a few rows
-    to the second step, however many polygons hold it.
+    ``candidates`` has key and level, one row per polygon, or rows that stand for as many as their
+    column ``polygons`` says. Several polygons of one level are still MATCHED. Candidates are
+    counted by level first, so a point brings a few rows to the second step, however many
+    polygons hold it.
     """
-    per_level = candidates.groupBy(key, "level").agg(F.count(F.lit(1)).alias("__polygons"))
+    number = F.sum("polygons") if "polygons" in candidates.columns else F.count(F.lit(1))
+    per_level = candidates.groupBy(key, "level").agg(number.alias("__polygons"))
     found = per_level.groupBy(key).agg(
         F.sum("__polygons").alias("polygon_count"),
         F.count("level").alias("level_count"),

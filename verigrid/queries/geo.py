@@ -463,7 +463,9 @@ CLASS_SQL = f"""{COVER_SQL}, {BOX_SQL}, lc AS (SELECT c_custkey, COUNT(*) AS pc,
 
 def point_classes(t, size):
     boxes = supplier_boxes(t)
-    found = spatial.points_in_polygons(customer_points(t), boxes, "c_custkey", ["s_suppkey", "level"], size)
+    found = spatial.points_in_polygons(
+        customer_points(t), boxes, "c_custkey", ["s_suppkey", "level"], size, count_by=["level"]
+    )
     points = t.customer.select("c_custkey", F.lit("VALID_PAIR").alias("coordinate_status"))
     return matching.resolve_point_class(points, found, "c_custkey")
 
