@@ -55,3 +55,11 @@ def test_spans_are_found_whatever_the_case_and_the_length_of_the_text(spark):
     # the method's own spans never meet these
     got = {r["doc_id"]: [secrets.KINDS[s["kind"]] for s in r["spans"] if s["kind"] < 3] for r in secrets.scan(df).collect()}
     assert got == {i: kinds for i, (_, kinds) in texts.items()}
+
+
+def test_redaction_examines_a_text_with_a_small_plan(spark):
+    df = spark.createDataFrame([(1, "x password=abcdef1 y", "k"), (2, "plain words", "k"), (3, None, "k")], "doc_id int, text string, kept string")
+    # one for the places of each of four patterns, four in the tests and one for the cost as text
+    assert secrets.examine(df)._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 9
+    got = {tuple(r) for r in secrets.redact(df).collect()}
+    assert got == {(1, "x [secret] y", "k"), (2, "plain words", "k"), (3, None, "k")}
